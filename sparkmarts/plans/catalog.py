@@ -71,3 +71,88 @@ for _key, _attr in [
     ("revenue_by_sales_region", "revenue_by_sales_region"),
 ]:
     QUERIES[_key] = _staged(_attr)
+
+
+# -- dimensions and helpers ----------------------------------------------------
+from sparkmarts.functions.columns import cents_to_dollars, month_start, surrogate_key  # noqa: E402
+from sparkmarts.operators import dimensions, reports  # noqa: E402
+from sparkmarts.operators.enrich import with_segment_label  # noqa: E402
+from sparkmarts.plans import standins  # noqa: E402
+
+
+@query("dim_dates")
+def q_dim_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day dimension spanning the order dates of the given orders table."""
+    wh = warehouse(spark, sf_dir)
+    bounds = wh.orders.agg(
+        F.min("order_date").alias("start"), F.date_add(F.max("order_date"), 1).alias("end")
+    )
+    return dimensions.dim_dates_for_range(bounds, "start", "end")
+
+
+@query("segment_label")
+def q_segment_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    return with_segment_label(wh.customers.select("customer_key", "market_segment"), wh.segment_labels)
+
+
+@query("surrogate_key")
+def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = warehouse(spark, sf_dir).line_items
+    return li.select("order_key", "line_number", surrogate_key("order_key", "line_number").alias("order_item_key"))
+
+
+@query("month_bucket")
+def q_month_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = warehouse(spark, sf_dir).orders
+    return o.select("order_key", "order_date", month_start("order_date").alias("order_month"))
+
+
+@query("cents_to_dollars")
+def q_cents_to_dollars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = warehouse(spark, sf_dir).line_items
+    cents = (F.col("extended_price") * 100).cast("bigint")
+    return decimals_as_double(
+        li.select("order_key", "line_number", cents.alias("extended_price_cents")).withColumn(
+            "extended_price_dollars", cents_to_dollars("extended_price_cents", 2)
+        )
+    )
+
+
+# -- reports -------------------------------------------------------------------
+@query("monthly_revenue_trend")
+def q_monthly_revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decimals_as_double(reports.monthly_revenue_trend(warehouse(spark, sf_dir).revenue_by_sales_region))
+
+
+@query("supplier_concentration")
+def q_supplier_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decimals_as_double(reports.supplier_concentration(warehouse(spark, sf_dir).fct_order_items))
+
+
+@query("top_customers")
+def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    return decimals_as_double(reports.top_customers(wh.fct_orders, wh.dim_customers, 50))
+
+
+@query("returns_alert")
+def q_returns_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extracts have no receipt date: the order date stands in."""
+    wh = warehouse(spark, sf_dir)
+    return decimals_as_double(reports.returns_alert(wh.fct_returns, date_col="order_date"))
+
+
+@query("supplier_scorecard")
+def q_supplier_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    return decimals_as_double(reports.supplier_scorecard(wh.dim_suppliers, wh.fct_order_items, wh.fct_returns))
+
+
+@query("convert_to_usd")
+def q_convert_to_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    cust = standins.with_local_currency(wh.customers.select("customer_key", "nation_key", "account_balance"))
+    return decimals_as_double(
+        reports.convert_to_usd(cust, "account_balance", "currency_code", wh.fx_rates, "account_balance_usd")
+    )

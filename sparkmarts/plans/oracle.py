@@ -266,3 +266,121 @@ RELATIONS: dict[str, tuple[str, list[str], set[str]]] = {
 ORACLE_SQL: dict[str, str] = {
     key: with_base(select_doubles(rel, cols, decs)) for key, (rel, cols, decs) in RELATIONS.items()
 }
+
+_FX_CODES = "['USD', 'EUR', 'GBP', 'JPY', 'CNY', 'BRL', 'INR', 'RUB', 'CAD', 'ARS', 'SAR', 'XXX', NULL]"
+_FX_VALUES = (
+    "('USD', 1.000), ('EUR', 1.080), ('GBP', 1.260), ('JPY', 0.0067), ('CNY', 0.140), ('BRL', 0.200), "
+    "('INR', 0.012), ('RUB', 0.011), ('CAD', 0.740), ('ARS', 0.0011), ('SAR', 0.270)"
+)
+FX_CTE = f"""fx_rates AS (
+  SELECT code AS currency_code, CAST(rate AS DECIMAL(12,6)) AS usd_rate FROM (VALUES {_FX_VALUES}) AS f(code, rate))"""
+
+ORACLE_SQL["dim_dates"] = """
+SELECT d AS date_key, d AS full_date, CAST(year(d) AS INTEGER) AS year_number,
+       CAST(quarter(d) AS INTEGER) AS quarter_number, CAST(month(d) AS INTEGER) AS month_number,
+       strftime(d, '%Y-%m') AS year_month, CAST(day(d) AS INTEGER) AS day_of_month,
+       CAST(dayofweek(d) AS INTEGER) AS day_of_week, dayofweek(d) NOT IN (0, 6) AS is_business_day,
+       CAST(date_trunc('month', d) AS DATE) AS month_start
+FROM (SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM orders)
+"""
+
+ORACLE_SQL["segment_label"] = with_base(
+    "SELECT c.customer_key, c.market_segment, COALESCE(l.display_label, c.market_segment) AS market_segment_label "
+    "FROM stg_customers c LEFT JOIN segment_labels l ON c.market_segment = l.market_segment"
+)
+
+ORACLE_SQL["surrogate_key"] = f"""
+SELECT l_orderkey AS order_key, l_linenumber AS line_number,
+       md5(concat_ws('-', COALESCE(CAST(l_orderkey AS VARCHAR), '{NULL_MARKER}'),
+                          COALESCE(CAST(l_linenumber AS VARCHAR), '{NULL_MARKER}'))) AS order_item_key
+FROM lineitem
+"""
+
+ORACLE_SQL["month_bucket"] = """
+SELECT o_orderkey AS order_key, CAST(o_orderdate AS DATE) AS order_date,
+       CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS order_month
+FROM orders
+"""
+
+ORACLE_SQL["cents_to_dollars"] = """
+SELECT order_key, line_number, cents AS extended_price_cents,
+       CAST(round(CAST(cents AS DECIMAL(28,6)) / 100, 2) AS DOUBLE) AS extended_price_dollars
+FROM (SELECT l_orderkey AS order_key, l_linenumber AS line_number,
+             CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) AS cents FROM lineitem)
+"""
+
+ORACLE_SQL["monthly_revenue_trend"] = with_base("""
+SELECT sales_region, order_year, order_month, CAST(net_revenue AS DOUBLE) AS net_revenue,
+       CAST(prev AS DOUBLE) AS prev_month_net_revenue, CAST(net_revenue - prev AS DOUBLE) AS mom_delta,
+       CASE WHEN prev IS NULL OR prev = 0 THEN NULL
+            ELSE CAST(net_revenue - prev AS DOUBLE) / CAST(prev AS DOUBLE) END AS mom_pct_change
+FROM (SELECT *, lag(net_revenue) OVER (PARTITION BY sales_region ORDER BY order_year, order_month) AS prev
+      FROM agg_revenue_by_sales_region)
+""")
+
+ORACLE_SQL["supplier_concentration"] = with_base("""
+SELECT sales_region,
+       CAST(SUM(CASE WHEN supplier_rank <= 5 THEN net_revenue ELSE 0 END) AS DOUBLE) AS top_5_net_revenue,
+       CAST(MAX(region_net_revenue) AS DOUBLE) AS region_net_revenue,
+       CAST(SUM(CASE WHEN supplier_rank <= 5 THEN net_revenue ELSE 0 END) AS DOUBLE)
+         / CAST(NULLIF(MAX(region_net_revenue), 0) AS DOUBLE) AS top_5_share
+FROM (SELECT *, row_number() OVER (PARTITION BY sales_region ORDER BY net_revenue DESC NULLS LAST, supplier_key)
+                  AS supplier_rank,
+             SUM(net_revenue) OVER (PARTITION BY sales_region) AS region_net_revenue
+      FROM (SELECT sales_region, supplier_key, SUM(discounted_price) AS net_revenue
+            FROM fct_order_items GROUP BY 1, 2))
+GROUP BY 1
+""")
+
+ORACLE_SQL["top_customers"] = with_base("""
+SELECT cr.customer_key, d.customer_name, d.market_segment_label, d.nation_name, d.sales_region,
+       cr.order_count, CAST(cr.lifetime_net_revenue AS DOUBLE) AS lifetime_net_revenue
+FROM (SELECT customer_key, SUM(net_revenue) AS lifetime_net_revenue, COUNT(*) AS order_count
+      FROM fct_orders GROUP BY 1) cr
+JOIN dim_customers d ON cr.customer_key = d.customer_key
+ORDER BY cr.lifetime_net_revenue DESC NULLS LAST, cr.customer_key
+LIMIT 50
+""")
+
+ORACLE_SQL["returns_alert"] = with_base("""
+SELECT d.return_date, CAST(d.returned_amount AS DOUBLE) AS returned_amount,
+       CASE WHEN d.return_date >= f.first_day + 14 THEN CAST(COALESCE(p.prior_sum, 0) AS DOUBLE) / 14.0 END
+         AS trailing_avg,
+       (d.return_date >= f.first_day + 14) AND (d.returned_amount * 14 > 1.25 * COALESCE(p.prior_sum, 0))
+         AS is_alert
+FROM daily d
+CROSS JOIN (SELECT MIN(return_date) AS first_day FROM daily) f
+LEFT JOIN (SELECT d2.return_date, SUM(p2.returned_amount) AS prior_sum
+           FROM daily d2 JOIN daily p2
+             ON p2.return_date >= d2.return_date - 14 AND p2.return_date <= d2.return_date - 1
+           GROUP BY 1) p ON d.return_date = p.return_date
+""", """daily AS (
+  SELECT CAST(order_date AS DATE) AS return_date, SUM(returned_net_amount) AS returned_amount
+  FROM fct_returns WHERE order_date IS NOT NULL GROUP BY 1)""")
+
+ORACLE_SQL["supplier_scorecard"] = with_base("""
+SELECT d.supplier_key, d.supplier_name, d.nation_name, d.region_name, d.sales_region,
+       CAST(d.account_balance AS DOUBLE) AS account_balance,
+       COALESCE(s.line_count, 0) AS line_count, CAST(s.gross_revenue AS DOUBLE) AS gross_revenue,
+       CAST(s.net_revenue AS DOUBLE) AS net_revenue, COALESCE(r.returned_line_count, 0) AS returned_line_count,
+       CAST(r.returned_quantity AS DOUBLE) AS returned_quantity,
+       CAST(r.returned_net_amount AS DOUBLE) AS returned_net_amount,
+       CASE WHEN s.net_revenue IS NULL OR s.net_revenue = 0 THEN NULL
+            ELSE CAST(r.returned_net_amount AS DOUBLE) / CAST(s.net_revenue AS DOUBLE) END AS return_rate
+FROM dim_suppliers d
+LEFT JOIN (SELECT supplier_key, COUNT(*) AS line_count, SUM(extended_price) AS gross_revenue,
+                  SUM(discounted_price) AS net_revenue FROM fct_order_items GROUP BY 1) s
+  ON d.supplier_key = s.supplier_key
+LEFT JOIN (SELECT supplier_key, COUNT(*) AS returned_line_count, SUM(returned_quantity) AS returned_quantity,
+                  SUM(returned_net_amount) AS returned_net_amount FROM fct_returns GROUP BY 1) r
+  ON d.supplier_key = r.supplier_key
+""")
+
+ORACLE_SQL["convert_to_usd"] = with_base(f"""
+SELECT c.customer_key, c.nation_key, CAST(c.account_balance AS DOUBLE) AS account_balance, c.currency_code,
+       CAST(c.account_balance * fx.usd_rate AS DOUBLE) AS account_balance_usd
+FROM (SELECT customer_key, nation_key, account_balance, {_FX_CODES}[(nation_key % 13) + 1] AS currency_code
+      FROM stg_customers) c
+LEFT JOIN fx_rates fx ON c.currency_code = fx.currency_code
+""", FX_CTE)

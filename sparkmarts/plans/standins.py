@@ -55,3 +55,14 @@ def part_suppliers_from_line_items(raw_lineitem: DataFrame) -> DataFrame:
         F.sum(F.col("l_quantity").cast("decimal(12,2)")).cast("int").alias("ps_availqty"),
         F.min("l_extendedprice").cast("decimal(12,2)").alias("ps_supplycost"),
     )
+
+
+def with_local_currency(df: DataFrame, nation_key_col: str = "nation_key", out_col: str = "currency_code") -> DataFrame:
+    """A currency code per row derived from its nation key: the fx-seed codes
+    in seed order, then an unknown code 'XXX', then NULL (cycle of 13), so
+    conversion and the currency check see known, unknown and missing codes."""
+    from sparkmarts.sources.seeds import FX_RATES
+
+    codes = [F.lit(c) for c, _, _ in FX_RATES] + [F.lit("XXX"), F.lit(None).cast("string")]
+    idx = F.pmod(F.col(nation_key_col), F.lit(len(codes))) + 1
+    return df.withColumn(out_col, F.element_at(F.array(*codes), idx.cast("int")))
