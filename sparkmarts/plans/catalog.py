@@ -156,3 +156,89 @@ def q_convert_to_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_as_double(
         reports.convert_to_usd(cust, "account_balance", "currency_code", wh.fx_rates, "account_balance_usd")
     )
+
+
+# -- incremental loads -----------------------------------------------------------
+from sparkmarts.operators import enrich, facts, snapshots  # noqa: E402
+from sparkmarts.operators.incremental import read_fact  # noqa: E402
+from sparkmarts.plans import loads, scenarios  # noqa: E402
+from sparkmarts.session import scratch_path  # noqa: E402
+
+
+def _two_order_loads(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
+    o1 = enrich.orders_enriched(scenarios.orders_load1(wh.orders), wh.customers, wh.geography)
+    o2 = enrich.orders_enriched(scenarios.orders_load2(wh.orders), wh.customers, wh.geography)
+    return o1, o2
+
+
+@query("fct_orders_incremental")
+def q_fct_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    path = scratch_path(spark, "fct_orders")
+    o1, o2 = _two_order_loads(wh)
+    loads.load_fct_orders(spark, o1, wh.line_items, path)
+    loads.load_fct_orders(spark, o2, wh.line_items, path)
+    return decimals_as_double(read_fact(spark, path))
+
+
+@query("fct_order_items_incremental")
+def q_fct_order_items_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    path = scratch_path(spark, "fct_order_items")
+    o1, o2 = _two_order_loads(wh)
+    loads.load_fct_order_items(spark, wh.line_items_enriched, o1, path)
+    loads.load_fct_order_items(spark, wh.line_items_enriched, o2, path)
+    return decimals_as_double(read_fact(spark, path))
+
+
+@query("fct_returns_incremental")
+def q_fct_returns_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    path = scratch_path(spark, "fct_returns")
+    o1, o2 = _two_order_loads(wh)
+    loads.load_fct_returns(spark, wh.line_items_enriched, o1, path)
+    loads.load_fct_returns(spark, wh.line_items_enriched, o2, path)
+    return decimals_as_double(read_fact(spark, path))
+
+
+def _revenue_incremental(spark: SparkSession, sf_dir: str, loader, name: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    path = scratch_path(spark, name)
+    items1 = wh.fct_order_items.where(F.col("order_date") < F.lit(scenarios.AGG_LOAD1_BEFORE))
+    _, o2 = _two_order_loads(wh)
+    items2 = facts.fct_order_items(wh.line_items_enriched, o2)
+    loader(spark, items1, path)
+    loader(spark, items2, path)
+    return decimals_as_double(spark.read.parquet(path))
+
+
+@query("revenue_by_nation_incremental")
+def q_revenue_by_nation_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _revenue_incremental(spark, sf_dir, loads.load_revenue_by_nation, "agg_revenue_by_nation")
+
+
+@query("revenue_by_sales_region_incremental")
+def q_revenue_by_sales_region_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _revenue_incremental(spark, sf_dir, loads.load_revenue_by_sales_region, "agg_revenue_by_sales_region")
+
+
+# -- history -------------------------------------------------------------------------
+def _history(spark: SparkSession, entities: DataFrame, spec: dict, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    key = spec["key"]
+    for load, ts in [
+        (scenarios.history_load1(entities, key), scenarios.SNAPSHOT_T1),
+        (scenarios.history_load2(entities, key), scenarios.SNAPSHOT_T2),
+    ]:
+        snapshots.snapshot_check(spark, load, path, key, spec["check"], ts, spec["columns"])
+    return decimals_as_double(snapshots.read_snapshot(spark, path))
+
+
+@query("snapshot_customers")
+def q_snapshot_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(spark, warehouse(spark, sf_dir).customers, snapshots.CUSTOMER_SNAPSHOT, "snp_customers")
+
+
+@query("snapshot_suppliers")
+def q_snapshot_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(spark, warehouse(spark, sf_dir).suppliers, snapshots.SUPPLIER_SNAPSHOT, "snp_suppliers")

@@ -384,3 +384,132 @@ FROM (SELECT customer_key, nation_key, account_balance, {_FX_CODES}[(nation_key
       FROM stg_customers) c
 LEFT JOIN fx_rates fx ON c.currency_code = fx.currency_code
 """, FX_CTE)
+
+
+# -- incremental loads: expected end states ------------------------------------------
+def _orders_enriched_from(name: str, src: str) -> str:
+    return f"""{name} AS (
+  SELECT o.order_key, o.customer_key, o.order_date, o.status_code, o.priority_code, o.total_price,
+         o.clerk_name, o.ship_priority, c.customer_name, c.market_segment, c.account_balance,
+         g.nation_name AS customer_nation, g.region_name AS customer_region, g.sales_region
+  FROM {src} o
+  LEFT JOIN stg_customers c ON o.customer_key = c.customer_key
+  LEFT JOIN geography g ON c.nation_key = g.nation_key)"""
+
+
+LOAD_CTES = (
+    """stg_orders2 AS (
+  SELECT * REPLACE (CASE WHEN order_key % 100 = 1 THEN DATE '2001-09-01' ELSE order_date END AS order_date)
+  FROM stg_orders),
+load1_keys AS (
+  SELECT order_key FROM stg_orders WHERE order_date < DATE '2000-01-01' AND order_key % 50 <> 0),
+"""
+    + _orders_enriched_from("orders_enriched2", "stg_orders2")
+    + """,
+hwm AS (SELECT MAX(order_date) AS mark FROM stg_orders WHERE order_key IN (SELECT order_key FROM load1_keys)),
+fct_orders2 AS (
+  SELECT o.order_key, o.customer_key, o.customer_name, o.customer_nation, o.customer_region, o.sales_region,
+         o.market_segment, o.order_date, o.status_code, o.priority_code, o.total_price, o.clerk_name,
+         s.line_item_count, s.gross_revenue, s.net_revenue, s.net_revenue_after_tax, s.total_quantity,
+         s.avg_discount_rate, s.first_ship_date, s.last_ship_date
+  FROM orders_enriched2 o LEFT JOIN line_item_summary s ON o.order_key = s.order_key),
+fct_order_items2 AS (
+  SELECT f.order_item_key, f.order_key, f.line_number, f.part_key, f.supplier_key, o.order_date, f.customer_key,
+         f.customer_nation, f.customer_region, f.sales_region, f.order_status, f.part_name, f.brand, f.part_type,
+         f.manufacturer, f.retail_price, f.supplier_name, f.supplier_nation, f.quantity, f.extended_price,
+         f.discount_percentage, f.tax_rate, f.discounted_price, f.net_price, f.return_flag, f.ship_date, f.ship_mode
+  FROM fct_order_items f JOIN stg_orders2 o ON f.order_key = o.order_key),
+fct_returns2 AS (
+  SELECT f.order_item_key, f.order_key, f.line_number, f.part_key, f.supplier_key, o.order_date, f.customer_key,
+         f.customer_nation, f.customer_region, f.sales_region, f.part_name, f.brand, f.supplier_name,
+         f.supplier_nation, f.returned_quantity, f.returned_gross_amount, f.returned_net_amount,
+         f.return_receipt_date
+  FROM fct_returns f JOIN stg_orders2 o ON f.order_key = o.order_key)"""
+)
+
+# Rows after the second load: the batch (dated after the first load's mark)
+# plus first-load rows of orders the batch does not replace.
+_END_STATE = "WHERE order_date > (SELECT mark FROM hwm) OR order_key IN (SELECT order_key FROM load1_keys)"
+
+for _key, _rel, _spec in [
+    ("fct_orders_incremental", "fct_orders2", "fct_orders"),
+    ("fct_order_items_incremental", "fct_order_items2", "fct_order_items"),
+    ("fct_returns_incremental", "fct_returns2", "fct_returns"),
+]:
+    _r, _cols, _decs = RELATIONS[_spec]
+    ORACLE_SQL[_key] = with_base(select_doubles(_rel, _cols, _decs) + "\n" + _END_STATE, LOAD_CTES)
+
+
+def _revenue_end_state(group_col: str, out_col: str) -> str:
+    ctes = (
+        LOAD_CTES
+        + ",\n"
+        + revenue_cte("agg1", group_col, out_col, "fct_order_items", "WHERE order_date < DATE '2000-01-15'")
+        + """,
+cutoff AS (SELECT CAST(MAX(make_date(order_year, order_month, 1)) - INTERVAL 1 MONTH AS DATE) AS c FROM agg1),
+"""
+        + revenue_cte("batch", group_col, out_col, "fct_order_items2", "WHERE order_date >= (SELECT c FROM cutoff)")
+        + f""",
+end_state AS (
+  SELECT * FROM agg1 a
+  WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.{out_col} = a.{out_col}
+                    AND b.order_year = a.order_year AND b.order_month = a.order_month)
+  UNION ALL SELECT * FROM batch)"""
+    )
+    cols = [out_col, "order_year", "order_month", "order_count", "total_quantity", "gross_revenue",
+            "net_revenue", "net_revenue_after_tax", "avg_discount_rate"]
+    decs = {"total_quantity", "gross_revenue", "net_revenue", "net_revenue_after_tax"}
+    return with_base(select_doubles("end_state", cols, decs), ctes)
+
+
+ORACLE_SQL["revenue_by_nation_incremental"] = _revenue_end_state("customer_nation", "nation_name")
+ORACLE_SQL["revenue_by_sales_region_incremental"] = _revenue_end_state("sales_region", "sales_region")
+
+
+# -- history: expected versions after two loads --------------------------------------
+def _history_sql(stg: str, key: str, columns: list[str], check: list[str]) -> str:
+    cols = ", ".join(columns)
+    l2_cols = []
+    for c in columns:
+        if c == "account_balance":
+            l2_cols.append(
+                f"CASE WHEN {key} % 10 = 0 THEN CAST(account_balance + 100 AS DECIMAL(12,2)) "
+                f"WHEN {key} % 10 = 3 THEN CAST(NULL AS DECIMAL(12,2)) ELSE account_balance END AS account_balance"
+            )
+        elif c == "phone_number":
+            l2_cols.append(f"CASE WHEN {key} % 10 = 5 THEN 'changed' ELSE phone_number END AS phone_number")
+        else:
+            l2_cols.append(c)
+    differs = " OR ".join(f"l1.{c} IS DISTINCT FROM l2.{c}" for c in check)
+    sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == "account_balance" else c for c in columns)
+    return f"""WITH {BASE_CTES.rstrip()},
+l1 AS (SELECT {cols} FROM {stg} WHERE {key} % 10 <> 9),
+l2 AS (SELECT {", ".join(l2_cols)} FROM {stg} WHERE {key} <> 7),
+changed AS (SELECT l1.{key} FROM l1 JOIN l2 ON l1.{key} = l2.{key} WHERE {differs}),
+versions AS (
+  SELECT {cols}, md5(concat_ws('|', CAST({key} AS VARCHAR), '2024-01-01 00:00:00')) AS scd_id,
+         TIMESTAMP '2024-01-01 00:00:00' AS valid_from,
+         CASE WHEN {key} IN (SELECT {key} FROM changed) THEN TIMESTAMP '2024-01-02 00:00:00' END AS valid_to,
+         TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+  FROM l1
+  UNION ALL
+  SELECT {cols}, md5(concat_ws('|', CAST({key} AS VARCHAR), '2024-01-02 00:00:00')) AS scd_id,
+         TIMESTAMP '2024-01-02 00:00:00' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
+         TIMESTAMP '2024-01-02 00:00:00' AS updated_at
+  FROM l2
+  WHERE {key} IN (SELECT {key} FROM changed) OR {key} NOT IN (SELECT {key} FROM l1))
+SELECT {sel}, scd_id, valid_from, valid_to, updated_at FROM versions
+"""
+
+
+ORACLE_SQL["snapshot_customers"] = _history_sql(
+    "stg_customers", "customer_key",
+    ["customer_key", "customer_name", "customer_address", "nation_key", "phone_number", "account_balance",
+     "market_segment"],
+    ["account_balance", "market_segment", "customer_address"],
+)
+ORACLE_SQL["snapshot_suppliers"] = _history_sql(
+    "stg_suppliers", "supplier_key",
+    ["supplier_key", "supplier_name", "supplier_address", "nation_key", "phone_number", "account_balance"],
+    ["account_balance", "supplier_address"],
+)
