@@ -242,3 +242,173 @@ def q_snapshot_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("snapshot_suppliers")
 def q_snapshot_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, warehouse(spark, sf_dir).suppliers, snapshots.SUPPLIER_SNAPSHOT, "snp_suppliers")
+
+
+# -- data quality --------------------------------------------------------------------
+from sparkmarts.operators import changes, freshness, quality  # noqa: E402
+from sparkmarts.settings import Freshness  # noqa: E402
+from sparkmarts.sources import landing  # noqa: E402
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = scenarios.planted_null_names(warehouse(spark, sf_dir).customers)
+    return decimals_as_double(quality.not_null_failures(cust, "customer_name"))
+
+
+@query("dq_unique")
+def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.unique_failures(warehouse(spark, sf_dir).fct_order_items, "order_item_key")
+
+
+@query("dq_relationships")
+def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    parents = scenarios.history_load1(wh.customers, "customer_key")
+    return decimals_as_double(quality.relationships_failures(wh.orders, "customer_key", parents, "customer_key"))
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = scenarios.planted_status(warehouse(spark, sf_dir).orders)
+    return quality.accepted_values_failures(orders, "status_code", ["O", "F", "P"])
+
+
+@query("dq_not_negative")
+def q_dq_not_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decimals_as_double(quality.not_negative_failures(warehouse(spark, sf_dir).customers, "account_balance"))
+
+
+@query("dq_valid_currency_code")
+def q_dq_valid_currency_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    cust = standins.with_local_currency(wh.customers.select("customer_key", "nation_key"))
+    return quality.valid_currency_code_failures(cust, "currency_code", wh.fx_rates)
+
+
+@query("dq_gross_gte_net")
+def q_dq_gross_gte_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    fo = facts.fct_orders(wh.orders_enriched, scenarios.planted_negative_discount(wh.line_items))
+    return decimals_as_double(quality.gross_gte_net_failures(fo))
+
+
+@query("dq_months_complete")
+def q_dq_months_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.months_complete_failures(warehouse(spark, sf_dir).revenue_by_nation)
+
+
+def dq_relations(wh: Warehouse) -> dict[str, DataFrame]:
+    return {
+        "stg_customers": scenarios.planted_null_names(wh.customers),
+        "stg_orders": scenarios.planted_status(wh.orders),
+        "stg_line_items": wh.line_items,
+        "stg_suppliers": wh.suppliers,
+        "stg_parts": wh.parts,
+        "stg_nations": wh.nations,
+        "stg_regions": wh.regions,
+        "fct_orders": facts.fct_orders(wh.orders_enriched, scenarios.planted_negative_discount(wh.line_items)),
+        "fct_order_items": wh.fct_order_items,
+        "customers_with_currency": standins.with_local_currency(wh.customers.select("customer_key", "nation_key")),
+        "fx_rates": wh.fx_rates,
+    }
+
+
+def dq_suite() -> quality.CheckSuite:
+    s = quality.default_suite()
+    s.add("not_null", "stg_customers", "customer_name")
+    s.add("not_negative", "stg_customers", "account_balance", severity="error")
+    s.add("accepted_values", "stg_orders", "status_code", values=("O", "F", "P"))
+    s.add("valid_currency_code", "customers_with_currency", "currency_code", parent="fx_rates")
+    return s
+
+
+@query("dq_report")
+def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = warehouse(spark, sf_dir)
+    return quality.run_checks(spark, dq_relations(wh), dq_suite().checks)
+
+
+# -- freshness and change detection -----------------------------------------------------
+FRESHNESS_CASES = [
+    ("events", None, Freshness(48, 168)),
+    ("events_without_errors", "event_type <> 'error'", Freshness(48, 168)),
+    ("events_strict", None, Freshness(12, 24)),
+    ("events_lenient", None, Freshness(72, 168)),
+]
+
+
+@query("freshness_by_column")
+def q_freshness_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = warehouse(spark, sf_dir).raw("events")
+    parts = [
+        freshness.freshness_by_column(events, name, "ts", scenarios.FRESHNESS_NOW, th, flt)
+        for name, flt, th in FRESHNESS_CASES
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("freshness_by_files")
+def q_freshness_by_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows-only check: the result depends on file modification times."""
+    tables = ["customer", "orders", "lineitem", "supplier", "part", "nation", "region"]
+    return freshness.freshness_report(spark, sf_dir, tables, scenarios.FRESHNESS_NOW)
+
+
+@query("table_fingerprint")
+def q_table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows-only check: 64-bit row hashes have no equal in the oracle engine."""
+    return changes.table_fingerprint(warehouse(spark, sf_dir).line_items, ["return_flag"])
+
+
+@query("table_diff")
+def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cust = warehouse(spark, sf_dir).customers
+    before = scenarios.history_load1(cust, "customer_key")
+    after = scenarios.history_load2(cust, "customer_key")
+    return changes.table_diff(before, after, ["customer_key"])
+
+
+# -- landing and key allocation -------------------------------------------------------------
+LANDED = ["customer", "orders", "lineitem", "supplier", "part", "nation", "region"]
+
+
+@query("land_tables")
+def q_land_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dst = scratch_path(spark, "landed")
+    steps = [
+        (1, landing.land_tables(spark, sf_dir, dst, LANDED)),
+        (2, landing.land_tables(spark, sf_dir, dst, ["customer", "nation"])),
+        (3, landing.land_tables(spark, sf_dir, dst, ["orders"], full_refresh=True)),
+    ]
+    parts = []
+    for step, actions in steps:
+        for table, action in actions:
+            parts.append(
+                spark.read.parquet(f"{dst}/{table}.parquet").agg(
+                    F.lit(step).alias("step"), F.lit(table).alias("table_name"), F.lit(action).alias("action"),
+                    F.count(F.lit(1)).alias("row_count"),
+                )
+            )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("append_next_keys")
+def q_append_next_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dst = scratch_path(spark, "landed")
+    landing.land_tables(spark, sf_dir, dst, ["orders"])
+    target = f"{dst}/orders.parquet"
+    batch = spark.read.parquet(target).where(F.col("o_orderdate") >= F.lit(scenarios.APPEND_BATCH_FROM))
+    # materialize the batch first: it is read from the table it is appended to
+    batch_path = scratch_path(spark, "append-batch")
+    batch.write.parquet(batch_path)
+    landing.append_with_next_keys(
+        spark, target, spark.read.parquet(batch_path), "o_orderkey", scenarios.APPEND_LOADED_AT, ["o_orderkey"]
+    )
+    return spark.read.option("mergeSchema", "true").parquet(target)

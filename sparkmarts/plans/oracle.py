@@ -513,3 +513,173 @@ ORACLE_SQL["snapshot_suppliers"] = _history_sql(
     ["supplier_key", "supplier_name", "supplier_address", "nation_key", "phone_number", "account_balance"],
     ["account_balance", "supplier_address"],
 )
+
+
+# -- data quality ------------------------------------------------------------------------
+DQ_CTES = f"""dq_customers AS (
+  SELECT * REPLACE (CASE WHEN customer_key % 97 = 0 THEN NULL ELSE customer_name END AS customer_name)
+  FROM stg_customers),
+dq_orders AS (
+  SELECT * REPLACE (CASE WHEN order_key % 101 = 0 THEN 'X' ELSE status_code END AS status_code) FROM stg_orders),
+planted_items AS (
+  SELECT * REPLACE (CASE WHEN order_key % 97 = 0 THEN CAST(-0.05 AS DECIMAL(4,2)) ELSE discount_percentage END
+                    AS discount_percentage)
+  FROM stg_line_items),
+planted_summary AS (
+  SELECT order_key, SUM(extended_price) AS gross_revenue,
+         SUM(extended_price * (1 - discount_percentage)) AS net_revenue
+  FROM planted_items GROUP BY order_key),
+dq_fct_orders AS (
+  SELECT o.order_key, o.order_date, o.sales_region, s.gross_revenue, s.net_revenue
+  FROM orders_enriched o LEFT JOIN planted_summary s ON o.order_key = s.order_key),
+customers_with_currency AS (
+  SELECT customer_key, nation_key, {_FX_CODES}[(nation_key % 13) + 1] AS currency_code FROM stg_customers),
+{FX_CTE}"""
+
+_CUSTOMER_COLS = RELATIONS["stg_customers"][1]
+_ORDER_COLS = RELATIONS["stg_orders"][1]
+
+ORACLE_SQL["dq_not_null"] = with_base(
+    select_doubles("dq_customers", _CUSTOMER_COLS, {"account_balance"}) + " WHERE customer_name IS NULL", DQ_CTES
+)
+ORACLE_SQL["dq_unique"] = with_base(
+    "SELECT order_item_key, COUNT(*) AS n_records FROM fct_order_items WHERE order_item_key IS NOT NULL "
+    "GROUP BY 1 HAVING COUNT(*) > 1"
+)
+ORACLE_SQL["dq_relationships"] = with_base(
+    select_doubles("stg_orders o", _ORDER_COLS, {"total_price"})
+    + " WHERE o.customer_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_customers c "
+    "WHERE c.customer_key % 10 <> 9 AND c.customer_key = o.customer_key)"
+)
+ORACLE_SQL["dq_accepted_values"] = with_base(
+    "SELECT status_code, COUNT(*) AS n_records FROM dq_orders WHERE status_code NOT IN ('O', 'F', 'P') GROUP BY 1",
+    DQ_CTES,
+)
+ORACLE_SQL["dq_not_negative"] = with_base(
+    select_doubles("stg_customers", _CUSTOMER_COLS, {"account_balance"}) + " WHERE account_balance < 0"
+)
+ORACLE_SQL["dq_valid_currency_code"] = with_base(
+    "SELECT customer_key, nation_key, currency_code FROM customers_with_currency c WHERE currency_code IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM fx_rates f WHERE f.currency_code = c.currency_code)",
+    DQ_CTES,
+)
+ORACLE_SQL["dq_gross_gte_net"] = with_base(
+    "SELECT order_key, CAST(gross_revenue AS DOUBLE) AS gross_revenue, CAST(net_revenue AS DOUBLE) AS net_revenue "
+    "FROM dq_fct_orders WHERE net_revenue > gross_revenue",
+    DQ_CTES,
+)
+ORACLE_SQL["dq_months_complete"] = with_base(
+    "SELECT nation_name, order_year, COUNT(DISTINCT order_month) AS month_count FROM agg_revenue_by_nation "
+    "WHERE order_year < (SELECT MAX(order_year) FROM agg_revenue_by_nation) GROUP BY 1, 2 "
+    "HAVING COUNT(DISTINCT order_month) <> 12"
+)
+
+# relation names of the check suite -> relations of the oracle
+_DQ_RELATIONS = {"stg_customers": "dq_customers", "stg_orders": "dq_orders", "fct_orders": "dq_fct_orders"}
+
+
+def _check_sql(check) -> str:
+    rel = _DQ_RELATIONS.get(check.relation, check.relation)
+    col = check.column
+    head = (
+        f"SELECT '{check.name}' AS check_name, '{check.relation}' AS relation, '{col}' AS column_name, "
+        f"'{check.severity}' AS severity, "
+    )
+    if check.kind == "not_null":
+        return head + f"COUNT(*) FILTER (WHERE {col} IS NULL) AS failures FROM {rel}"
+    if check.kind == "not_negative":
+        return head + f"COUNT(*) FILTER (WHERE {col} < 0) AS failures FROM {rel}"
+    if check.kind == "unique":
+        return head + (
+            f"(SELECT COUNT(*) FROM (SELECT {col} FROM {rel} WHERE {col} IS NOT NULL GROUP BY 1 "
+            f"HAVING COUNT(*) > 1)) AS failures"
+        )
+    if check.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in check.values)
+        return head + f"(SELECT COUNT(DISTINCT {col}) FROM {rel} WHERE {col} NOT IN ({vals})) AS failures"
+    if check.kind in ("relationships", "valid_currency_code"):
+        parent = _DQ_RELATIONS.get(check.parent, check.parent) if check.parent else "fx_rates"
+        pcol = check.parent_column or "currency_code"
+        return head + (
+            f"(SELECT COUNT(*) FROM {rel} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})) AS failures"
+        )
+    raise ValueError(check.kind)
+
+
+def dq_report_sql(checks) -> str:
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in checks)
+    return with_base(
+        "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM (\n" + body + "\n)", DQ_CTES
+    )
+
+
+# -- freshness, change detection, landing -------------------------------------------------
+_FRESH_CASES = [
+    ("events", None, 48, 168), ("events_without_errors", "event_type <> 'error'", 48, 168),
+    ("events_strict", None, 12, 24), ("events_lenient", None, 72, 168),
+]
+_NOW = "TIMESTAMP '2024-02-03 00:00:00'"
+ORACLE_SQL["freshness_by_column"] = (
+    "SELECT source_name, max_loaded_at, " + _NOW + " AS snapshotted_at,\n"
+    "  CAST(epoch_us(" + _NOW + ") - epoch_us(max_loaded_at) AS DOUBLE) / CAST(3600000000 AS DOUBLE) AS age_hours,\n"
+    "  warn_after_hours, error_after_hours,\n"
+    "  CASE WHEN max_loaded_at IS NULL THEN 'error'\n"
+    "       WHEN epoch_us(" + _NOW + ") - epoch_us(max_loaded_at) > CAST(error_after_hours * 3600000000 AS BIGINT) THEN 'error'\n"
+    "       WHEN epoch_us(" + _NOW + ") - epoch_us(max_loaded_at) > CAST(warn_after_hours * 3600000000 AS BIGINT) THEN 'warn'\n"
+    "       ELSE 'pass' END AS status\n"
+    "FROM (\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS source_name, CAST(MAX(ts) AS TIMESTAMP) AS max_loaded_at, CAST({w} AS DOUBLE) AS warn_after_hours, "
+        f"CAST({e} AS DOUBLE) AS error_after_hours FROM events" + (f" WHERE {f}" if f else "")
+        for n, f, w, e in _FRESH_CASES
+    )
+    + "\n)"
+)
+
+_CUST_ALL = _CUSTOMER_COLS
+_L2 = [
+    "CASE WHEN customer_key % 10 = 0 THEN CAST(account_balance + 100 AS DECIMAL(12,2)) "
+    "WHEN customer_key % 10 = 3 THEN CAST(NULL AS DECIMAL(12,2)) ELSE account_balance END AS account_balance"
+    if c == "account_balance"
+    else ("CASE WHEN customer_key % 10 = 5 THEN 'changed' ELSE phone_number END AS phone_number"
+          if c == "phone_number" else c)
+    for c in _CUST_ALL
+]
+ORACLE_SQL["table_diff"] = with_base(
+    "SELECT COALESCE(b.customer_key, a.customer_key) AS customer_key,\n"
+    "  CASE WHEN b.customer_key IS NULL THEN 'added' WHEN a.customer_key IS NULL THEN 'removed' ELSE 'changed' END AS change_type\n"
+    "FROM l1 b FULL OUTER JOIN l2 a ON b.customer_key = a.customer_key\n"
+    "WHERE b.customer_key IS NULL OR a.customer_key IS NULL OR "
+    + " OR ".join(f"b.{c} IS DISTINCT FROM a.{c}" for c in _CUST_ALL if c != "customer_key"),
+    "l1 AS (SELECT * FROM stg_customers WHERE customer_key % 10 <> 9),\n"
+    f"l2 AS (SELECT {', '.join(_L2)} FROM stg_customers WHERE customer_key <> 7)",
+)
+
+_LAND_STEPS = [
+    (1, t, "created") for t in ["customer", "orders", "lineitem", "supplier", "part", "nation", "region"]
+] + [(2, "customer", "skipped"), (2, "nation", "skipped"), (3, "orders", "replaced")]
+ORACLE_SQL["land_tables"] = "\nUNION ALL\n".join(
+    f"SELECT {s} AS step, '{t}' AS table_name, '{a}' AS action, COUNT(*) AS row_count FROM {t}"
+    for s, t, a in _LAND_STEPS
+)
+
+ORACLE_SQL["append_next_keys"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       CAST(NULL AS TIMESTAMP) AS loaded_at
+FROM orders
+UNION ALL
+SELECT (SELECT MAX(o_orderkey) FROM orders) + row_number() OVER (ORDER BY o_orderkey) AS o_orderkey,
+       o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       TIMESTAMP '2024-01-01 00:00:00' AS loaded_at
+FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00'
+"""
+
+
+def _register_dq_report() -> None:
+    from sparkmarts.plans.catalog import dq_suite
+
+    ORACLE_SQL["dq_report"] = dq_report_sql(dq_suite().checks)
+
+
+_register_dq_report()

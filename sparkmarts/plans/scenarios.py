@@ -60,3 +60,30 @@ def history_load2(entities: DataFrame, key: str) -> DataFrame:
         )
         .withColumn("phone_number", F.when(k == 5, F.lit("changed")).otherwise(F.col("phone_number")))
     )
+
+
+# Planted violations for checks that pass on clean data.
+def planted_null_names(customers: DataFrame) -> DataFrame:
+    return customers.withColumn(
+        "customer_name", F.when(F.col("customer_key") % 97 == 0, F.lit(None)).otherwise(F.col("customer_name"))
+    )
+
+
+def planted_status(orders: DataFrame) -> DataFrame:
+    return orders.withColumn(
+        "status_code", F.when(F.col("order_key") % 101 == 0, F.lit("X")).otherwise(F.col("status_code"))
+    )
+
+
+def planted_negative_discount(line_items: DataFrame) -> DataFrame:
+    from sparkmarts.settings import RATE
+
+    return line_items.withColumn(
+        "discount_percentage",
+        F.when(F.col("order_key") % 97 == 0, F.lit(-0.05).cast(RATE)).otherwise(F.col("discount_percentage")),
+    )
+
+
+FRESHNESS_NOW = dt.datetime(2024, 2, 3, 0, 0, 0)
+APPEND_BATCH_FROM = dt.date(2001, 1, 1)
+APPEND_LOADED_AT = dt.datetime(2024, 1, 1, 0, 0, 0)
