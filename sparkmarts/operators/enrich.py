@@ -34,10 +34,13 @@ ORDERS_ENRICHED_COLUMNS = [
 
 def nation_geography(nations: DataFrame, regions: DataFrame, overrides: DataFrame) -> DataFrame:
     """One row per nation: nation_key, nation_name, region_name and the sales
-    region (override seed by nation name, falling back to the region name)."""
+    region (override seed by nation name, falling back to the region name).
+
+    Each side and the result are size-checked once; the result, when small,
+    carries its broadcast hint into every join of an entity table with it."""
     regs = checked_broadcast(regions.select("region_key", "region_name"))
     ovr = checked_broadcast(overrides.select("nation_name", F.col("sales_region").alias("_override_region")))
-    return (
+    geo = (
         nations.select("nation_key", "nation_name", "region_key")
         .join(regs, "region_key", "left")
         .join(ovr, "nation_name", "left")
@@ -48,20 +51,25 @@ def nation_geography(nations: DataFrame, regions: DataFrame, overrides: DataFram
             F.coalesce("_override_region", "region_name").alias("sales_region"),
         )
     )
+    return checked_broadcast(geo)
 
 
 def with_geography(df: DataFrame, geography: DataFrame, nation_key: str = "nation_key") -> DataFrame:
-    """Left join of ``df`` to the nation geography (broadcast, size-checked).
+    """Left join of ``df`` to the nation geography (from
+    :func:`nation_geography`, which decides on broadcasting).
 
     Adds nation_name, region_name, sales_region. Rows whose nation is unknown
     or NULL keep NULLs."""
-    geo = checked_broadcast(geography.withColumnRenamed("nation_key", "_geo_nation_key"))
+    geo = geography.withColumnRenamed("nation_key", "_geo_nation_key")
     return df.join(geo, df[nation_key] == geo["_geo_nation_key"], "left").drop("_geo_nation_key")
 
 
 def customer_geography(customers: DataFrame, geography: DataFrame) -> DataFrame:
+    """Customers with their geography, size-checked for broadcasting (small
+    extracts); at scale the orders join stays a sort-merge join on
+    customer_key with AQE splitting skewed customers."""
     cust = customers.select("customer_key", "customer_name", "market_segment", "account_balance", "nation_key")
-    return with_geography(cust, geography).select(
+    return checked_broadcast(with_geography(cust, geography).select(
         "customer_key",
         "customer_name",
         "market_segment",
@@ -69,13 +77,17 @@ def customer_geography(customers: DataFrame, geography: DataFrame) -> DataFrame:
         F.col("nation_name").alias("customer_nation"),
         F.col("region_name").alias("customer_region"),
         "sales_region",
-    )
+    ))
 
 
 def orders_enriched(orders: DataFrame, customers: DataFrame, geography: DataFrame) -> DataFrame:
     """Orders LEFT JOIN customer geography on customer_key (14 columns)."""
-    cg = customer_geography(customers, geography)
-    return orders.join(cg, "customer_key", "left").select(*ORDERS_ENRICHED_COLUMNS)
+    return orders_with_customer_geography(orders, customer_geography(customers, geography))
+
+
+def orders_with_customer_geography(orders: DataFrame, customer_geo: DataFrame) -> DataFrame:
+    """As :func:`orders_enriched`, reusing a customer geography already built."""
+    return orders.join(customer_geo, "customer_key", "left").select(*ORDERS_ENRICHED_COLUMNS)
 
 
 def priced_line_items(line_items: DataFrame) -> DataFrame:
@@ -95,8 +107,8 @@ def supplier_nations(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
         nations.select(F.col("nation_key").alias("_snk"), F.col("nation_name").alias("supplier_nation"))
     )
     sup = suppliers.select("supplier_key", "supplier_name", F.col("nation_key").alias("_sk_nation"))
-    return sup.join(nat, sup["_sk_nation"] == nat["_snk"], "left").select(
-        "supplier_key", "supplier_name", "supplier_nation"
+    return checked_broadcast(
+        sup.join(nat, sup["_sk_nation"] == nat["_snk"], "left").select("supplier_key", "supplier_name", "supplier_nation")
     )
 
 
@@ -104,7 +116,7 @@ def line_items_enriched(
     line_items: DataFrame, parts: DataFrame, suppliers: DataFrame, nations: DataFrame
 ) -> DataFrame:
     """Line items LEFT parts LEFT suppliers LEFT supplier nation, plus prices."""
-    prt = parts.select("part_key", "part_name", "manufacturer", "brand", "part_type", "retail_price")
+    prt = checked_broadcast(parts.select("part_key", "part_name", "manufacturer", "brand", "part_type", "retail_price"))
     sup = supplier_nations(suppliers, nations)
     return (
         priced_line_items(line_items)

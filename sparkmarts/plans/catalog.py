@@ -36,9 +36,20 @@ def decimals_as_double(df: DataFrame) -> DataFrame:
     )
 
 
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The synthetic extracts lack several columns and use coded nation names."""
-    return Warehouse(spark, sf_dir, fill_missing=True, coded_nation_names=True)
+    """The synthetic extracts lack several columns and use coded nation names.
+
+    One Warehouse per (application, folder): its lazy plans and the one-time
+    size checks of the small tables are shared by all queries, as when one
+    job builds every mart."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    wh = _WAREHOUSES.get(key)
+    if wh is None:
+        wh = _WAREHOUSES[key] = Warehouse(spark, sf_dir, fill_missing=True, coded_nation_names=True)
+    return wh
 
 
 # -- staging -----------------------------------------------------------------
@@ -166,8 +177,8 @@ from sparkmarts.session import scratch_path  # noqa: E402
 
 
 def _two_order_loads(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
-    o1 = enrich.orders_enriched(scenarios.orders_load1(wh.orders), wh.customers, wh.geography)
-    o2 = enrich.orders_enriched(scenarios.orders_load2(wh.orders), wh.customers, wh.geography)
+    o1 = wh.enrich_orders(scenarios.orders_load1(wh.orders))
+    o2 = wh.enrich_orders(scenarios.orders_load2(wh.orders))
     return o1, o2
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmarts.sources.seeds import load_seed
+from sparkmarts.sources.seeds import constant_table, load_seed
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: TPC-H nation keys and names (public TPC-H specification).
@@ -31,7 +31,7 @@ def overrides_for_coded_nations(spark: SparkSession, nations: DataFrame) -> Data
     """The real override seed, re-keyed onto a nation table whose names are
     codes (``NATION_<key>``): the seed row of the TPC-H nation with the same
     key, for keys below :data:`OVERRIDDEN_NATION_KEYS_BELOW`."""
-    keys = spark.createDataFrame(TPCH_NATIONS, "nation_key int, tpch_name string")
+    keys = constant_table(spark, TPCH_NATIONS, "nation_key int, tpch_name string")
     seed = load_seed(spark, "nation_region_overrides")
     mapped = keys.join(seed, keys["tpch_name"] == seed["nation_name"]).select(
         "nation_key", "display_name", "sales_region"

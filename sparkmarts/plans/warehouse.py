@@ -110,9 +110,17 @@ class Warehouse:
     def geography(self) -> DataFrame:
         return enrich.nation_geography(self.nations, self.regions, self.overrides)
 
+    @cached_property
+    def customer_geography(self) -> DataFrame:
+        return enrich.customer_geography(self.customers, self.geography)
+
+    def enrich_orders(self, orders: DataFrame) -> DataFrame:
+        """Enrich another version of the orders (e.g. an arriving batch)."""
+        return enrich.orders_with_customer_geography(orders, self.customer_geography)
+
     @cached_property
     def orders_enriched(self) -> DataFrame:
-        return enrich.orders_enriched(self.orders, self.customers, self.geography)
+        return self.enrich_orders(self.orders)
 
     @cached_property
     def line_items_enriched(self) -> DataFrame:

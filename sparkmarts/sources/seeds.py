@@ -8,6 +8,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SEED_SCHEMAS = {
     "nation_region_overrides": "nation_name string, display_name string, sales_region string",
@@ -79,9 +80,39 @@ def _rows(name: str) -> list[tuple]:
     raise ValueError(f"unknown seed {name!r}; known: {', '.join(SEED_NAMES)}")
 
 
+def _literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, Decimal)):
+        return str(v)
+    if isinstance(v, float):
+        return repr(v) + "D"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def constant_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small constant table as an inline VALUES relation.
+
+    Unlike ``createDataFrame`` (an RDD scan without statistics), the planner
+    knows the exact size of a VALUES relation, so joins against it are
+    broadcast automatically and no size-check job is needed."""
+    schema = StructType.fromDDL(ddl)
+    fields = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    names = [n for n, _ in fields]
+    if not rows:
+        return spark.createDataFrame([], ddl)
+    values = ", ".join("(" + ", ".join(_literal(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST(c{i} AS {t}) AS `{n}`" for i, (n, t) in enumerate(fields))
+    aliases = ", ".join(f"c{i}" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({aliases})")
+
+
 def load_seed(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
     if name not in SEED_SCHEMAS:
         raise ValueError(f"unknown seed {name!r}; known: {', '.join(SEED_NAMES)}")
     if path is not None:
         return spark.read.schema(SEED_SCHEMAS[name]).option("header", True).csv(path)
-    return spark.createDataFrame(_rows(name), SEED_SCHEMAS[name])
+    return constant_table(spark, _rows(name), SEED_SCHEMAS[name])
