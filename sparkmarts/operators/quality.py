@@ -109,6 +109,8 @@ class CheckSuite:
 
 
 ROW_LEVEL = {"not_null", "not_negative"}
+PER_VALUE = {"unique", "accepted_values"}
+FUSED = ROW_LEVEL | PER_VALUE
 
 
 def failures_of(check: Check, relations: dict[str, DataFrame]) -> DataFrame:
@@ -128,14 +130,58 @@ def failures_of(check: Check, relations: dict[str, DataFrame]) -> DataFrame:
     raise ValueError(f"unknown check kind {check.kind!r}")
 
 
-def _report_row(check: Check, failures) -> list:
-    return [
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.relation).alias("relation"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        failures.cast("bigint").alias("failures"),
-    ]
+def _row_condition(check: Check):
+    return F.col(check.column).isNull() if check.kind == "not_null" else F.col(check.column) < 0
+
+
+def _report_rows(checks: Sequence[Check], counts: list) -> DataFrame:
+    """One report row per check, unpivoted from a one-row DataFrame."""
+    return F.inline(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(ch.name).alias("check_name"),
+                    F.lit(ch.relation).alias("relation"),
+                    F.lit(ch.column).alias("column_name"),
+                    F.lit(ch.severity).alias("severity"),
+                    F.coalesce(n.cast("bigint"), F.lit(0).cast("bigint")).alias("failures"),
+                )
+                for ch, n in zip(checks, counts)
+            ]
+        )
+    )
+
+
+def _fused_relation_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All not_null / not_negative / unique / accepted_values checks of one
+    relation in a single pass: one scan, and (when a per-value check exists)
+    one shuffle of a grouping-sets aggregation, one set per checked column.
+    Each input row falls in exactly one group of the first set, so row-level
+    counts are summed over that set only."""
+    row_checks = [c for c in checks if c.kind in ROW_LEVEL]
+    value_checks = [c for c in checks if c.kind in PER_VALUE]
+    row_aggs = [F.count_if(_row_condition(c)).alias(f"_r{i}") for i, c in enumerate(row_checks)]
+    if not value_checks:
+        totals = df.agg(*row_aggs)
+        counts = [F.col(f"_r{i}") for i in range(len(row_checks))]
+        return totals.select(_report_rows(row_checks, counts))
+    cols = list(dict.fromkeys(c.column for c in value_checks))
+    grouped = df.groupingSets([[c] for c in cols], *cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.grouping(c).alias(f"_g{j}") for j, c in enumerate(cols)],
+        *row_aggs,
+    )
+    final = [F.sum(F.when(F.col("_g0") == 0, F.col(f"_r{i}"))).alias(f"_r{i}") for i in range(len(row_checks))]
+    for k, c in enumerate(value_checks):
+        in_set = F.col(f"_g{cols.index(c.column)}") == 0
+        if c.kind == "unique":
+            bad = in_set & F.col(c.column).isNotNull() & (F.col("_n") > 1)
+        else:
+            bad = in_set & ~F.col(c.column).isin(list(c.values))
+        final.append(F.count_if(bad).alias(f"_v{k}"))
+    totals = grouped.agg(*final)
+    counts = [F.col(f"_r{i}") for i in range(len(row_checks))] + [F.col(f"_v{k}") for k in range(len(value_checks))]
+    return totals.select(_report_rows(row_checks + value_checks, counts))
 
 
 def run_checks(
@@ -145,27 +191,22 @@ def run_checks(
     store_failures_to: str | None = None,
 ) -> DataFrame:
     """One report row per check: check_name, relation, column_name, severity,
-    failures (rows returned by the check), status (pass / warn / error).
+    failures (rows the check returns), status (pass, or the severity).
 
+    Checks on the same relation share one pass (see
+    :func:`_fused_relation_report`); relationship checks are anti joins.
     With ``store_failures_to`` the failing rows of every check are written to
     ``<path>/<check name>`` (replaced on each run)."""
     parts: list[DataFrame] = []
     by_relation: dict[str, list[Check]] = {}
     for ch in checks:
-        if ch.kind in ROW_LEVEL:
+        if ch.kind in FUSED:
             by_relation.setdefault(ch.relation, []).append(ch)
     for rel, chs in by_relation.items():
-        counts = relations[rel].agg(
-            *[
-                F.count_if(F.col(ch.column).isNull() if ch.kind == "not_null" else F.col(ch.column) < 0).alias(f"_c{i}")
-                for i, ch in enumerate(chs)
-            ]
-        )
-        for i, ch in enumerate(chs):
-            parts.append(counts.select(*_report_row(ch, F.col(f"_c{i}"))))
+        parts.append(_fused_relation_report(relations[rel], chs))
     for ch in checks:
-        if ch.kind not in ROW_LEVEL:
-            parts.append(failures_of(ch, relations).agg(*_report_row(ch, F.count(F.lit(1)))))
+        if ch.kind not in FUSED:
+            parts.append(failures_of(ch, relations).agg(F.count(F.lit(1)).alias("_c")).select(_report_rows([ch], [F.col("_c")])))
     if store_failures_to:
         for ch in checks:
             store_failures(failures_of(ch, relations), f"{store_failures_to.rstrip('/')}/{_safe(ch.name)}")
