@@ -93,14 +93,20 @@ def lookback_cutoff(target: DataFrame, months: int = 1):
 def month_lookback_batch(
     items: DataFrame, target: DataFrame | None, months: int = 1, date_col: str = "order_date"
 ) -> DataFrame:
-    """Items on or after the look-back cutoff; all items without a target."""
+    """Items on or after the look-back cutoff; all items without a target.
+
+    When the items are a stored month-partitioned fact, the cutoff is also
+    applied to the partition column, so only the recent partitions are read."""
     if target is None:
         return items
     cutoff = lookback_cutoff(target, months)
     if cutoff is None:
         log.warning("target exists but is empty: nothing is loaded")
         return items.where(F.lit(False))
-    return items.where(F.col(date_col) >= F.lit(cutoff))
+    cond = F.col(date_col) >= F.lit(cutoff)
+    if MONTH_PARTITION in items.columns:
+        cond = cond & (F.col(MONTH_PARTITION) >= F.lit(cutoff.strftime("%Y-%m")))
+    return items.where(cond)
 
 
 def _stage_batch(spark: SparkSession, batch: DataFrame) -> tuple[DataFrame, str]:
@@ -126,6 +132,16 @@ def _partition_dir(partition_cols: Sequence[str], vals: tuple) -> str:
     return "/".join(parts)
 
 
+def _write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], dynamic: bool) -> None:
+    # REBALANCE: one shuffle by the partition columns; AQE splits large
+    # partitions and merges small ones to the advisory size, so each month
+    # gets a few right-sized files instead of one file per task and month.
+    w = df.hint("rebalance", *partition_by).write.mode("overwrite")
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(*partition_by).parquet(path)
+
+
 def delete_insert(
     spark: SparkSession,
     batch: DataFrame,
@@ -133,25 +149,30 @@ def delete_insert(
     unique_key: Sequence[str],
     partition_by: Sequence[str],
     keys_may_move: bool = True,
+    locate_by: Sequence[str] | None = None,
 ) -> dict:
     """Replace target rows whose key occurs in ``batch`` and append the batch.
 
     ``keys_may_move=False`` (all partition columns are part of the key, as for
     the monthly aggregates) skips the scan for keys stored in other
-    partitions. Returns a small summary dict."""
+    partitions. ``locate_by``: a coarser key implied by the unique key (e.g.
+    order_key for a key hashed from order_key and line number) used only to
+    find those partitions, so the scan reads a compact column. Returns a
+    small summary dict."""
     unique_key, partition_by = list(unique_key), list(partition_by)
+    locate = list(locate_by or unique_key)
+    if not table_exists(spark, target_path):
+        _write_partitioned(batch, target_path, partition_by, dynamic=False)
+        return {"mode": "create", "touched_partitions": None}
     staged, staged_path = _stage_batch(spark, batch)
     try:
-        if not table_exists(spark, target_path):
-            staged.write.mode("overwrite").partitionBy(*partition_by).parquet(target_path)
-            return {"mode": "create", "touched_partitions": None}
-
         target = spark.read.schema(staged.schema).parquet(target_path)
         # NULL key parts never match the equi-joins below: such target rows stay
         bkeys = staged.select(*unique_key).distinct()
         touched_df = staged.select(*partition_by).distinct()
         if keys_may_move:
-            moved = target.join(checked_broadcast(bkeys), unique_key, "left_semi").select(*partition_by).distinct()
+            lkeys = checked_broadcast(staged.select(*locate).distinct())
+            moved = target.join(lkeys, locate, "left_semi").select(*partition_by).distinct()
             touched_df = touched_df.union(moved).distinct()
         # bounded by the number of partitions (months), not by the data
         touched = [tuple(r) for r in touched_df.collect()]
@@ -163,12 +184,7 @@ def delete_insert(
         )
         new = kept.unionByName(staged)
         present = {tuple(r) for r in new.select(*partition_by).distinct().collect()}
-        (
-            new.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(target_path)
-        )
+        _write_partitioned(new, target_path, partition_by, dynamic=True)
         emptied = [t for t in touched if t not in present]
         for vals in emptied:
             delete_path(spark, f"{target_path.rstrip('/')}/{_partition_dir(partition_by, vals)}")

@@ -35,7 +35,9 @@ def load_fct_order_items(
     target = read_target(spark, target_path)
     new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days)
     batch = facts.fct_order_items(line_items_enriched, new_orders)
-    return delete_insert(spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION])
+    return delete_insert(
+        spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
+    )
 
 
 def load_fct_returns(
@@ -45,7 +47,9 @@ def load_fct_returns(
     target = read_target(spark, target_path)
     new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days)
     batch = facts.fct_returns(line_items_enriched, new_orders)
-    return delete_insert(spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION])
+    return delete_insert(
+        spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
+    )
 
 
 def load_revenue(

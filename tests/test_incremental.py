@@ -92,7 +92,6 @@ def test_two_step_fact_load_equals_full_build(spark, scratch):
     """With no late or moved orders, loading in two steps equals one build."""
     from conftest import SMOKE_DIR
 
-    from sparkmarts.operators import enrich
     from sparkmarts.plans.catalog import warehouse
 
     wh = warehouse(spark, SMOKE_DIR)
@@ -104,4 +103,3 @@ def test_two_step_fact_load_equals_full_build(spark, scratch):
     full = wh.fct_orders
     assert stored.count() == full.count()
     assert stored.exceptAll(full.select(*stored.columns)).count() == 0
-    assert enrich  # imported for clarity of the dependency
