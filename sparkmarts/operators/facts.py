@@ -110,3 +110,26 @@ def fct_returns(line_items_enriched: DataFrame, orders_enriched: DataFrame) -> D
             F.col("receipt_date").alias("return_receipt_date"),
         )
     )
+
+
+def order_lines(line_items: DataFrame, orders_enriched: DataFrame) -> DataFrame:
+    """The line-item fact without part and supplier attributes: priced line
+    items inner-joined to their order context. The same rows as
+    :func:`fct_order_items` while part and supplier keys are unique (which the
+    unique checks on the staged tables assert), without the two dimension
+    joins that Catalyst cannot drop on its own."""
+    return priced_line_items(line_items).join(_order_context(orders_enriched, True), "order_key", "inner")
+
+
+def returned_lines(line_items: DataFrame, orders_enriched: DataFrame) -> DataFrame:
+    """The returns fact's measures and order context, without part and
+    supplier attributes (see :func:`order_lines`)."""
+    returned = priced_line_items(line_items).where(F.col("return_flag") == "R")
+    return returned.join(_order_context(orders_enriched, False), "order_key", "inner").select(
+        "order_key", "line_number", "part_key", "supplier_key", "order_date", "customer_key",
+        "customer_nation", "customer_region", "sales_region",
+        F.col("quantity").alias("returned_quantity"),
+        F.col("extended_price").alias("returned_gross_amount"),
+        F.col("discounted_price").alias("returned_net_amount"),
+        F.col("receipt_date").alias("return_receipt_date"),
+    )

@@ -138,7 +138,7 @@ def q_monthly_revenue_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("supplier_concentration")
 def q_supplier_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decimals_as_double(reports.supplier_concentration(warehouse(spark, sf_dir).fct_order_items))
+    return decimals_as_double(reports.supplier_concentration(warehouse(spark, sf_dir).order_lines))
 
 
 @query("top_customers")
@@ -151,13 +151,13 @@ def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_returns_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extracts have no receipt date: the order date stands in."""
     wh = warehouse(spark, sf_dir)
-    return decimals_as_double(reports.returns_alert(wh.fct_returns, date_col="order_date"))
+    return decimals_as_double(reports.returns_alert(wh.returned_lines, date_col="order_date"))
 
 
 @query("supplier_scorecard")
 def q_supplier_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    return decimals_as_double(reports.supplier_scorecard(wh.dim_suppliers, wh.fct_order_items, wh.fct_returns))
+    return decimals_as_double(reports.supplier_scorecard(wh.dim_suppliers, wh.order_lines, wh.returned_lines))
 
 
 @query("convert_to_usd")

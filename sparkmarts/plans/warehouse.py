@@ -143,6 +143,16 @@ class Warehouse:
     def fct_returns(self) -> DataFrame:
         return facts.fct_returns(self.line_items_enriched, self.orders_enriched)
 
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        """Narrow line-level fact for reports that need no part / supplier
+        attributes (see :func:`facts.order_lines`)."""
+        return facts.order_lines(self.line_items, self.orders_enriched)
+
+    @cached_property
+    def returned_lines(self) -> DataFrame:
+        return facts.returned_lines(self.line_items, self.orders_enriched)
+
     # -- dimensions ----------------------------------------------------------
     @cached_property
     def dim_customers(self) -> DataFrame:

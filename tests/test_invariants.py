@@ -19,3 +19,24 @@ def test_rollup_shape_equals_line_level_shape(spark):
     plain = aggregates.revenue_by_sales_region(wh.fct_order_items)
     assert fast.count() == plain.count()
     assert fast.exceptAll(plain.select(*fast.columns)).count() == 0
+
+
+def test_narrow_views_equal_fact_columns(spark):
+    wh = warehouse(spark, SMOKE_DIR)
+    cols = ["order_key", "line_number", "supplier_key", "order_date", "sales_region", "quantity",
+            "extended_price", "discounted_price", "net_price", "return_flag"]
+    a, b = wh.order_lines.select(*cols), wh.fct_order_items.select(*cols)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    rcols = ["order_key", "line_number", "supplier_key", "order_date", "returned_quantity",
+             "returned_gross_amount", "returned_net_amount", "return_receipt_date"]
+    ra, rb = wh.returned_lines.select(*rcols), wh.fct_returns.select(*rcols)
+    assert ra.count() == rb.count() and ra.exceptAll(rb).count() == 0
+
+
+def test_pushdown_and_pruning(spark):
+    wh = warehouse(spark, SMOKE_DIR)
+    plan = wh.fct_returns._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan
+    scan = [ln for ln in wh.revenue_by_nation._jdf.queryExecution().executedPlan().toString().splitlines()
+            if "FileScan parquet" in ln and "l_orderkey" in ln][0]
+    assert "l_comment" not in scan and "l_returnflag" not in scan  # only needed columns are read
