@@ -12,12 +12,29 @@ def source_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
 
-def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
+# Dominant join / grouping key of the large raw tables.
+SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+
+def read_source(spark: SparkSession, root: str, name: str, spread: bool = True) -> DataFrame:
     """Lazy scan of ``<root>/<name>.parquet`` (a file or a folder of part files).
 
     Column pruning and filter pushdown reach the scan through the staging
-    projections, so nothing here reads more than the query needs."""
-    return spark.read.parquet(source_path(root, name))
+    projections, so nothing here reads more than the query needs.
+
+    A Parquet row group is the unit of a scan task. When a large table comes
+    in fewer scan partitions than ``spark.sql.shuffle.partitions`` (a few big
+    row groups), it is hash-partitioned by its dominant key right after the
+    scan, so the decoding, casting and map-side work use every core, and
+    later joins / aggregations on that key reuse the partitioning. Tables
+    with enough partitions (any large data set) are returned as scanned."""
+    df = spark.read.parquet(source_path(root, name))
+    key = SPREAD_KEYS.get(name)
+    if spread and key and key in df.columns:
+        wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if df.rdd.getNumPartitions() < wanted:
+            df = df.repartition(wanted, key)
+    return df
 
 
 def _fs_and_path(spark: SparkSession, path: str):
