@@ -53,14 +53,14 @@ def work_dir(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) a temporary folder is created and registered as checkpoint dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="sparkmarts-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    if root:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+        return root.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+        # core confs cannot be set at runtime: register through the context
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmarts-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
