@@ -36,9 +36,11 @@ def nation_geography(nations: DataFrame, regions: DataFrame, overrides: DataFram
     """One row per nation: nation_key, nation_name, region_name and the sales
     region (override seed by nation name, falling back to the region name).
 
-    Each side and the result are size-checked once; the result, when small,
-    carries its broadcast hint into every join of an entity table with it."""
-    regs = checked_broadcast(regions.select("region_key", "region_name"))
+    Derived inputs and the result are size-checked once (file-based tables
+    carry their size to the planner); the result, when small, carries its
+    broadcast hint into every join of an entity table with it."""
+    # a region table read from files carries its size: the planner decides
+    regs = regions.select("region_key", "region_name")
     ovr = checked_broadcast(overrides.select("nation_name", F.col("sales_region").alias("_override_region")))
     geo = (
         nations.select("nation_key", "nation_name", "region_key")
@@ -103,9 +105,7 @@ def priced_line_items(line_items: DataFrame) -> DataFrame:
 
 def supplier_nations(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
     """supplier_key, supplier_name, supplier_nation."""
-    nat = checked_broadcast(
-        nations.select(F.col("nation_key").alias("_snk"), F.col("nation_name").alias("supplier_nation"))
-    )
+    nat = nations.select(F.col("nation_key").alias("_snk"), F.col("nation_name").alias("supplier_nation"))
     sup = suppliers.select("supplier_key", "supplier_name", F.col("nation_key").alias("_sk_nation"))
     return checked_broadcast(
         sup.join(nat, sup["_sk_nation"] == nat["_snk"], "left").select("supplier_key", "supplier_name", "supplier_nation")

@@ -18,3 +18,9 @@ def test_table_diff(spark):
     assert got == {(2, "changed"), (3, "changed"), (4, "added")}
     got2 = {(r.k, r.change_type) for r in changes.table_diff(after, before, ["k"]).collect()}
     assert (4, "removed") in got2
+
+
+def test_fingerprint_per_group(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "g int, v string")
+    rows = {r.g: r.row_count for r in changes.table_fingerprint(df, ["g"]).collect()}
+    assert rows == {1: 2, 2: 1}
