@@ -17,34 +17,13 @@ from sparkmarts.operators import quality, snapshots
 from sparkmarts.plans import loads
 from sparkmarts.plans.warehouse import Warehouse
 from sparkmarts.session import scratch_path
-from sparkmarts.sources.readers import delete_path
+from sparkmarts.sources.readers import SOURCE_TABLES, delete_path, source_path, table_exists
 from sparkmarts.sources.sinks import save_table
 
 FACTS = ("fct_orders", "fct_order_items", "fct_returns")
 AGGREGATES = ("agg_revenue_by_nation", "agg_revenue_by_sales_region")
 
 
-def mart_checks() -> quality.CheckSuite:
-    """Column checks declared on the marts."""
-    s = quality.CheckSuite()
-    s.add("unique", "fct_orders", "order_key").add("not_null", "fct_orders", ["order_key", "order_date", "sales_region"])
-    s.add("not_negative", "fct_orders", ["gross_revenue", "net_revenue"])
-    s.add("unique", "fct_order_items", "order_item_key")
-    s.add("not_null", "fct_order_items", ["order_item_key", "order_key", "sales_region"])
-    s.add("not_negative", "fct_order_items", ["discounted_price", "net_price"])
-    s.add("unique", "fct_returns", "order_item_key").add("not_null", "fct_returns", ["order_item_key", "order_key"])
-    s.add("not_negative", "fct_returns", "returned_gross_amount")
-    s.add("unique", "dim_customers", "customer_key").add("not_null", "dim_customers", ["customer_key", "sales_region"])
-    s.add("unique", "dim_suppliers", "supplier_key").add("not_null", "dim_suppliers", ["supplier_key", "sales_region"])
-    s.add("unique", "dim_parts", "part_key").add("not_null", "dim_parts", ["part_key", "supplier_count"])
-    s.add("not_negative", "dim_parts", "supplier_count")
-    s.add("unique", "dim_dates", "date_key").add("not_null", "dim_dates", ["date_key", "year_number"])
-    for agg, key in (("agg_revenue_by_nation", "nation_name"), ("agg_revenue_by_sales_region", "sales_region")):
-        s.add("not_null", agg, [key, "order_year", "order_month"])
-        s.add("not_negative", agg, ["gross_revenue", "net_revenue"])
-    return s
-
-
 def build_all(
     spark: SparkSession,
     warehouse: Warehouse,
@@ -86,8 +65,34 @@ def build_all(
     snapshots.snapshot_customers(spark, warehouse.customers, f"{out}/snp_customers", now)
     snapshots.snapshot_suppliers(spark, warehouse.suppliers, f"{out}/snp_suppliers", now)
 
-    names = FACTS + AGGREGATES + ("dim_customers", "dim_suppliers", "dim_parts", "dim_dates")
-    relations = {n: spark.read.parquet(f"{out}/{n}") for n in names}
-    report = quality.run_checks(spark, relations, mart_checks().checks, store_failures_to=f"{out}/check_failures")
+    report = quality.run_checks(
+        spark, check_relations(spark, warehouse, out), quality.declared_checks().checks,
+        store_failures_to=f"{out}/check_failures",
+    )
     save_table(report, f"{out}/check_report")
     return spark.read.parquet(f"{out}/check_report")
+
+
+def check_relations(spark: SparkSession, warehouse: Warehouse, out: str) -> dict[str, DataFrame]:
+    """Relations the declared checks run on: raw sources present in the raw
+    folder, staged tables and enriched views (lazy), stored marts and
+    history, and the seeds in use."""
+    rel: dict[str, DataFrame] = {}
+    for t in SOURCE_TABLES:
+        if table_exists(spark, source_path(warehouse.root, t)):
+            rel[f"source.{t}"] = warehouse.raw(t)
+    staged = {
+        "stg_customers": "customers", "stg_orders": "orders", "stg_line_items": "line_items",
+        "stg_parts": "parts", "stg_suppliers": "suppliers", "stg_part_suppliers": "part_suppliers",
+        "stg_nations": "nations", "stg_regions": "regions",
+        "orders_enriched": "orders_enriched", "line_items_enriched": "line_items_enriched",
+    }
+    for name, attr in staged.items():
+        rel[name] = getattr(warehouse, attr)
+    stored = FACTS + AGGREGATES + ("dim_customers", "dim_suppliers", "dim_parts", "dim_dates", "snp_customers", "snp_suppliers")
+    for name in stored:
+        rel[name] = spark.read.parquet(f"{out}/{name}")
+    rel["seed.nation_region_overrides"] = warehouse.overrides
+    rel["seed.fx_rates"] = warehouse.fx_rates
+    rel["seed.market_segment_labels"] = warehouse.segment_labels
+    return rel
