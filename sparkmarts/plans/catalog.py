@@ -13,7 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from sparkmarts.functions.columns import cents_to_dollars, month_start, surrogate_key
+from sparkmarts.operators import changes, dimensions, facts, freshness, quality, reports, snapshots
+from sparkmarts.operators.enrich import with_segment_label
+from sparkmarts.operators.incremental import read_fact
+from sparkmarts.plans import loads, scenarios, standins
 from sparkmarts.plans.warehouse import Warehouse
+from sparkmarts.session import scratch_path
+from sparkmarts.settings import Freshness
+from sparkmarts.sources import landing
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -85,10 +93,6 @@ for _key, _attr in [
 
 
 # -- dimensions and helpers ----------------------------------------------------
-from sparkmarts.functions.columns import cents_to_dollars, month_start, surrogate_key  # noqa: E402
-from sparkmarts.operators import dimensions, reports  # noqa: E402
-from sparkmarts.operators.enrich import with_segment_label  # noqa: E402
-from sparkmarts.plans import standins  # noqa: E402
 
 
 @query("dim_dates")
@@ -170,10 +174,6 @@ def q_convert_to_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- incremental loads -----------------------------------------------------------
-from sparkmarts.operators import enrich, facts, snapshots  # noqa: E402
-from sparkmarts.operators.incremental import read_fact  # noqa: E402
-from sparkmarts.plans import loads, scenarios  # noqa: E402
-from sparkmarts.session import scratch_path  # noqa: E402
 
 
 def _two_order_loads(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
@@ -256,9 +256,6 @@ def q_snapshot_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # -- data quality --------------------------------------------------------------------
-from sparkmarts.operators import changes, freshness, quality  # noqa: E402
-from sparkmarts.settings import Freshness  # noqa: E402
-from sparkmarts.sources import landing  # noqa: E402
 
 
 @query("dq_not_null")

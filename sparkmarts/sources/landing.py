@@ -91,7 +91,13 @@ def _assign_next_keys(
     row per partition, so their size is bounded by the partition count —
     give each partition's offset. The tagged batch is written once to the
     shared work folder so both passes see the same rows."""
-    src = batch.orderBy(*order_by) if order_by else batch
+    if order_by:
+        # the other columns break ties: equal sort keys spread over several
+        # range partitions, and the numbering is the same on every retry
+        rest = [c for c in batch.columns if c not in order_by]
+        src = batch.orderBy(*order_by, *rest)
+    else:
+        src = batch
     tagged = src.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)
     )
