@@ -80,6 +80,9 @@ def snapshot_check(
         return {"mode": "create"}
 
     current = spark.read.parquet(snapshot_path).where(F.col(STATE) == CURRENT).drop(STATE)
+    latest = current.agg(F.max("valid_from")).first()[0]  # one column of the current versions
+    if latest is not None and load_ts < latest:
+        raise ValueError(f"load time {load_ts} is earlier than the latest version ({latest})")
     c = current.alias("c")
     n = ext.alias("n")
     joined = c.join(n, F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer")
@@ -108,18 +111,24 @@ def snapshot_check(
     )
     new_current = kept_open.unionByName(opened).withColumn(STATE, F.lit(CURRENT))
     out = new_current.unionByName(closed)
-    # Stage once in the shared work folder: the write below replaces the
+    # Stage once in the shared work folder: the writes below replace the
     # partition it was computed from.
     staged_path = scratch_path(spark, "snapshot")
     out.write.mode("overwrite").parquet(staged_path)
     try:
-        (
-            spark.read.parquet(staged_path)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(STATE)
-            .parquet(snapshot_path)
-        )
+        staged = spark.read.parquet(staged_path)
+        closing = staged.where(F.col(STATE) != CURRENT)
+        if latest == load_ts and not closing.isEmpty():
+            raise ValueError(f"a different load with time {load_ts} was already applied")
+        # Closed versions first (a re-run after a failure rewrites the same
+        # partition), then the current versions.
+        for part in (closing, staged.where(F.col(STATE) == CURRENT)):
+            (
+                part.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(STATE)
+                .parquet(snapshot_path)
+            )
     finally:
         delete_path(spark, staged_path)
     return {"mode": "update", "closed_state": closed_state}

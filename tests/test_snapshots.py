@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from helpers import D
 
 from sparkmarts.operators import snapshots
@@ -48,3 +49,14 @@ def test_scd2_rules(spark, scratch):
     # the same load again opens nothing new
     _apply(spark, path, second, T3)
     assert snapshots.read_snapshot(spark, path).count() == len(rows)
+
+
+def test_load_time_must_not_go_back(spark, scratch):
+    path = scratch("snp-time")
+    _apply(spark, path, [(1, "a", "p", D("1.00"), "S")], T2)
+    with pytest.raises(ValueError):
+        _apply(spark, path, [(1, "a", "p", D("2.00"), "S")], T1)
+    with pytest.raises(ValueError):  # a different load with the same time
+        _apply(spark, path, [(1, "a", "p", D("2.00"), "S")], T2)
+    _apply(spark, path, [(1, "a", "p", D("1.00"), "S")], T2)  # the same load again: no-op
+    assert snapshots.read_snapshot(spark, path).count() == 1
