@@ -10,9 +10,10 @@ from sparkmarts.functions.columns import (
     to_money,
     to_rate,
 )
-from sparkmarts.functions.joins import checked_broadcast, is_small
+from sparkmarts.functions.joins import broadcast_keys, checked_broadcast, is_small
 
 __all__ = [
+    "broadcast_keys",
     "cents_to_dollars",
     "checked_broadcast",
     "day_of_week_sun0",

@@ -22,3 +22,12 @@ def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def broadcast_keys(df: DataFrame, cols: list[str], max_rows: int | None = None) -> DataFrame:
+    """Distinct ``cols`` of ``df``, broadcast when ``df`` itself has at most
+    ``max_rows`` rows. Bounding the rows *before* the distinct keeps the check
+    a cheap early-stopping scan (a limit over a distinct would have to finish
+    the whole aggregation first); the distinct keys are never more."""
+    keys = df.select(*cols).distinct()
+    return F.broadcast(keys) if is_small(df.select(*cols), max_rows) else keys

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmarts.functions.columns import ratio, surrogate_key
-from sparkmarts.functions.joins import checked_broadcast
+from sparkmarts.functions.joins import broadcast_keys
 from sparkmarts.operators.enrich import priced_line_items
 
 FCT_ORDERS_COLUMNS = [
@@ -65,8 +65,7 @@ def fct_orders(orders_enriched: DataFrame, line_items: DataFrame, restrict_to_or
     semi-joined to the given orders before aggregating."""
     li = priced_line_items(line_items)
     if restrict_to_orders:
-        keys = checked_broadcast(orders_enriched.select("order_key").distinct())
-        li = li.join(keys, "order_key", "left_semi")
+        li = li.join(broadcast_keys(orders_enriched, ["order_key"]), "order_key", "left_semi")
     rollup = order_line_rollup(li)
     return (
         orders_enriched.join(rollup, "order_key", "left")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from sparkmarts.functions.joins import checked_broadcast
+from sparkmarts.functions.joins import broadcast_keys
 from sparkmarts.session import scratch_path
 from sparkmarts.sources.readers import delete_path, list_partition_dirs, table_exists
 
@@ -168,11 +168,9 @@ def delete_insert(
     try:
         target = spark.read.schema(staged.schema).parquet(target_path)
         # NULL key parts never match the equi-joins below: such target rows stay
-        bkeys = staged.select(*unique_key).distinct()
         touched_df = staged.select(*partition_by).distinct()
         if keys_may_move:
-            lkeys = checked_broadcast(staged.select(*locate).distinct())
-            moved = target.join(lkeys, locate, "left_semi").select(*partition_by).distinct()
+            moved = target.join(broadcast_keys(staged, locate), locate, "left_semi").select(*partition_by).distinct()
             touched_df = touched_df.union(moved).distinct()
         # bounded by the number of partitions (months), not by the data
         touched = [tuple(r) for r in touched_df.collect()]
@@ -180,7 +178,7 @@ def delete_insert(
             return {"mode": "noop", "touched_partitions": []}
 
         kept = target.where(_partition_filter(partition_by, touched)).join(
-            checked_broadcast(bkeys), unique_key, "left_anti"
+            broadcast_keys(staged, unique_key), unique_key, "left_anti"
         )
         new = kept.unionByName(staged)
         present = {tuple(r) for r in new.select(*partition_by).distinct().collect()}
