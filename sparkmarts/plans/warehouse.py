@@ -3,8 +3,9 @@
 ``Warehouse(spark, root)`` stages each raw table on first use and exposes the
 intermediate views, facts, dimensions and aggregates as properties. Nothing
 is computed until an action or a write; shared sub-plans are plain Python
-attributes, so one session can build every mart from the same lazy plans (or
-from stored facts, see :meth:`from_stored_facts`)."""
+attributes, so one session can build every mart from the same lazy plans.
+:func:`sparkmarts.plans.build.build_all` stores the marts and derives the
+aggregates and checks from the stored tables."""
 
 from __future__ import annotations
 
