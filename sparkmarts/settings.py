@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from dataclasses import dataclass, field
 
 # Money (prices, balances, quantities) and rates are exact decimals. Narrow
@@ -37,7 +38,7 @@ class Settings:
     # Largest row count a side may have to be broadcast by our explicit
     # hints (nation, region, seeds, batch key sets). Beyond it the join is
     # left to the planner (sort-merge with AQE skew splitting).
-    broadcast_max_rows: int = 100_000
+    broadcast_max_rows: int = int(os.environ.get("SPARKMARTS_BROADCAST_MAX_ROWS", "100000"))
     # Month look-back of the incremental aggregates.
     aggregate_lookback_months: int = 1
 
