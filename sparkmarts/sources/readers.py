@@ -33,7 +33,9 @@ def read_source(spark: SparkSession, root: str, name: str, spread: bool = True)
     if spread and key and key in df.columns:
         wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
         if df.rdd.getNumPartitions() < wanted:
-            df = df.repartition(wanted, key)
+            # no explicit count: spark.sql.shuffle.partitions, which AQE may
+            # coalesce for tiny inputs and which matches the other exchanges
+            df = df.repartition(key)
     return df
 
 
