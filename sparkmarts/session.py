@@ -42,10 +42,9 @@ def recommended_conf() -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-        # size post-shuffle partitions by bytes, not by maximum parallelism:
-        # set spark.sql.shuffle.partitions to about (largest shuffle / 128MB)
-        # on a cluster and let AQE merge the small ones
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        # on a cluster set spark.sql.shuffle.partitions to about
+        # (largest shuffle / 128MB); AQE merges small partitions but keeps at
+        # least the cluster's parallelism (parallelismFirst, the default)
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.filterPushdown": "true",
     }
