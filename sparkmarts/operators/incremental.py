@@ -58,20 +58,31 @@ def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None
         return spark.createDataFrame([], schema or EMPTY_TARGET_SCHEMA)
 
 
-def high_water_mark(target: DataFrame, col: str = "order_date"):
-    """max(col) of the target as a Python value (a one-row aggregate)."""
+def high_water_mark(target: DataFrame, col: str = "order_date", latest_month: str | None = None):
+    """max(col) of the target as a Python value (a one-row aggregate).
+
+    With ``latest_month`` (the newest ``order_month`` partition, known from
+    the folder listing) only that partition is read."""
+    if latest_month is not None and MONTH_PARTITION in target.columns:
+        mark = target.where(F.col(MONTH_PARTITION) == F.lit(latest_month)).agg(F.max(col)).first()[0]
+        if mark is not None:
+            return mark
     return target.agg(F.max(col)).first()[0]
 
 
 def high_water_batch(
-    source: DataFrame, target: DataFrame | None, col: str = "order_date", lookback_days: int = 0
+    source: DataFrame,
+    target: DataFrame | None,
+    col: str = "order_date",
+    lookback_days: int = 0,
+    latest_month: str | None = None,
 ) -> DataFrame:
     """Rows of ``source`` newer than the target's maximum ``col``; all rows
     when there is no target. The mark is a literal, so the filter reaches the
     source scan (and prunes partitions when the source is partitioned)."""
     if target is None:
         return source
-    mark = high_water_mark(target, col)
+    mark = high_water_mark(target, col, latest_month)
     if mark is None:
         log.warning("target exists but is empty: nothing is loaded (strict high-water mark)")
         return source.where(F.lit(False))
@@ -81,8 +92,12 @@ def high_water_batch(
     return source.where(F.col(col) > bound)
 
 
-def lookback_cutoff(target: DataFrame, months: int = 1):
-    """First day of (latest year-month in the target) minus ``months``."""
+def lookback_cutoff(target: DataFrame, months: int = 1, latest: tuple | None = None):
+    """First day of (latest year-month in the target) minus ``months``.
+    ``latest``: the newest (order_year, order_month) partition, when known
+    from the folder listing, so only that partition is read."""
+    if latest is not None:
+        target = target.where((F.col("order_year") == latest[0]) & (F.col("order_month") == latest[1]))
     ym = target.agg(F.max(F.col("order_year") * 100 + F.col("order_month")).alias("ym"))
     row = ym.select(
         F.add_months(F.to_date(F.col("ym").cast("string"), "yyyyMM"), -months).alias("cutoff")
@@ -91,7 +106,11 @@ def lookback_cutoff(target: DataFrame, months: int = 1):
 
 
 def month_lookback_batch(
-    items: DataFrame, target: DataFrame | None, months: int = 1, date_col: str = "order_date"
+    items: DataFrame,
+    target: DataFrame | None,
+    months: int = 1,
+    date_col: str = "order_date",
+    latest: tuple | None = None,
 ) -> DataFrame:
     """Items on or after the look-back cutoff; all items without a target.
 
@@ -99,7 +118,9 @@ def month_lookback_batch(
     applied to the partition column, so only the recent partitions are read."""
     if target is None:
         return items
-    cutoff = lookback_cutoff(target, months)
+    cutoff = lookback_cutoff(target, months, latest)
+    if cutoff is None and latest is not None:
+        cutoff = lookback_cutoff(target, months)
     if cutoff is None:
         log.warning("target exists but is empty: nothing is loaded")
         return items.where(F.lit(False))

@@ -14,6 +14,13 @@ from sparkmarts.operators.incremental import (
     read_target,
     with_month_partition,
 )
+from sparkmarts.sources.readers import latest_partition
+
+
+def _latest_month(spark: SparkSession, target_path: str) -> str | None:
+    """Newest order_month partition of a stored fact (folder listing only)."""
+    latest = latest_partition(spark, target_path, [MONTH_PARTITION])
+    return latest[0] if latest else None
 
 
 def load_fct_orders(
@@ -23,7 +30,7 @@ def load_fct_orders(
     their own line items (semi join before the aggregation), delete+insert
     by order_key."""
     target = read_target(spark, target_path)
-    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days)
+    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days, _latest_month(spark, target_path))
     batch = facts.fct_orders(new_orders, line_items, restrict_to_orders=target is not None)
     return delete_insert(spark, with_month_partition(batch), target_path, ["order_key"], [MONTH_PARTITION])
 
@@ -33,7 +40,7 @@ def load_fct_order_items(
     lookback_days: int = 0,
 ) -> dict:
     target = read_target(spark, target_path)
-    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days)
+    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days, _latest_month(spark, target_path))
     batch = facts.fct_order_items(line_items_enriched, new_orders)
     return delete_insert(
         spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
@@ -45,7 +52,7 @@ def load_fct_returns(
     lookback_days: int = 0,
 ) -> dict:
     target = read_target(spark, target_path)
-    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days)
+    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days, _latest_month(spark, target_path))
     batch = facts.fct_returns(line_items_enriched, new_orders)
     return delete_insert(
         spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
@@ -59,7 +66,8 @@ def load_revenue(
     """Recompute the months from (latest stored month - ``lookback_months``)
     on, replace those (group, year, month) rows; older months stay."""
     target = read_target(spark, target_path)
-    items = month_lookback_batch(order_items, target, lookback_months)
+    latest = latest_partition(spark, target_path, ["order_year", "order_month"]) if target is not None else None
+    items = month_lookback_batch(order_items, target, lookback_months, latest=latest)
     batch = aggregates.revenue_by(items, group_col, out_name)
     return delete_insert(
         spark, batch, target_path, [out_name, "order_year", "order_month"], ["order_year", "order_month"],

@@ -69,3 +69,21 @@ def list_partition_dirs(spark: SparkSession, path: str) -> list[str]:
         if st.isDirectory() and "=" in name and not name.startswith((".", "_")):
             out.append(name)
     return sorted(out)
+
+
+def latest_partition(spark: SparkSession, path: str, columns: list[str]) -> tuple | None:
+    """The greatest partition value tuple under ``path`` for nested partition
+    ``columns`` (e.g. order_year/order_month), from the folder listing only;
+    integers compare numerically. None when there is no such partition."""
+    values: list = []
+    base = path.rstrip("/")
+    for col in columns:
+        names = [n for n in list_partition_dirs(spark, base) if n.startswith(f"{col}=")]
+        vals = [n.split("=", 1)[1] for n in names]
+        vals = [v for v in vals if v != "__HIVE_DEFAULT_PARTITION__"]
+        if not vals:
+            return None
+        best = max(vals, key=lambda v: (0, int(v)) if v.lstrip("-").isdigit() else (1, v))
+        values.append(int(best) if best.lstrip("-").isdigit() else best)
+        base = f"{base}/{col}={best}"
+    return tuple(values)

@@ -103,3 +103,21 @@ def test_two_step_fact_load_equals_full_build(spark, scratch):
     full = wh.fct_orders
     assert stored.count() == full.count()
     assert stored.exceptAll(full.select(*stored.columns)).count() == 0
+
+
+def test_latest_partition_from_listing(spark, scratch):
+    from sparkmarts.sources.readers import latest_partition
+
+    path = scratch("latest")
+    rows = [(2001, 12, 1), (2001, 9, 2), (2002, 3, 3), (2002, 11, 4), (None, None, 5)]
+    spark.createDataFrame(rows, "order_year int, order_month int, v int").write.partitionBy(
+        "order_year", "order_month"
+    ).parquet(path)
+    assert latest_partition(spark, path, ["order_year", "order_month"]) == (2002, 11)
+    fact = scratch("latest-fact")
+    df = spark.createDataFrame([(1, "x", d("2024-01-31")), (2, "y", d("2024-03-02")), (3, "z", None)], SCHEMA)
+    incremental.delete_insert(spark, incremental.with_month_partition(df), fact, ["k"], ["order_month"])
+    assert latest_partition(spark, fact, ["order_month"]) == ("2024-03",)
+    target = incremental.read_target(spark, fact)
+    assert incremental.high_water_mark(target, "order_date", "2024-03") == d("2024-03-02")
+    assert latest_partition(spark, scratch("none"), ["order_month"]) is None
