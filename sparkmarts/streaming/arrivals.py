@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from sparkmarts.operators import staging
 from sparkmarts.plans import loads
@@ -27,10 +28,14 @@ def start_order_fact_stream(
     checkpoint_location: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    schema: StructType | str | None = None,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes what has landed
-    and stops (``query.awaitTermination()``), else it keeps running."""
-    schema = spark.read.parquet(landing_orders_dir).schema
+    and stops (``query.awaitTermination()``), else it keeps running.
+    ``schema``: the raw orders schema; taken from the landed files when not
+    given (the folder must then hold at least one file)."""
+    if schema is None:
+        schema = spark.read.parquet(landing_orders_dir).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
