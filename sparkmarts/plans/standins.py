@@ -39,7 +39,7 @@ def overrides_for_coded_nations(spark: SparkSession, nations: DataFrame) -> Data
     return (
         nations.where(F.col("nation_key") < OVERRIDDEN_NATION_KEYS_BELOW)
         .select("nation_key", "nation_name")
-        .join(F.broadcast(mapped), "nation_key")
+        .join(F.broadcast(mapped), "nation_key")  # at most 25 rows: two constant tables
         .select("nation_name", "display_name", "sales_region")
     )
 

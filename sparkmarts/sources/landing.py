@@ -111,6 +111,7 @@ def _assign_next_keys(
             F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("_off"),
     )
+    # one row per partition of the batch: bounded by the partition count
     keyed = tagged.join(F.broadcast(offsets), "_pid").withColumn(
         key, (F.lit(start_after) + F.col("_off") + F.col("_pos") + 1).cast("bigint")
     )
