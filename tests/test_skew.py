@@ -1,6 +1,6 @@
-"""A third of the line items on one order key: results stay whole and AQE
-splits the hot partition of the sort-merge join (thresholds lowered so the
-split happens at test size)."""
+"""A third of the line items on one order key, a third of the orders on one
+customer: results stay whole and AQE splits the hot partitions of the
+sort-merge joins (thresholds lowered so the split happens at test size)."""
 
 import dataclasses
 
@@ -28,7 +28,12 @@ def skewed_root(spark, scratch, monkeypatch):
     for k, v in CONF.items():
         spark.conf.set(k, v)
     root = scratch("skew")
-    land_tables(spark, SRC, root, ["customer", "orders", "supplier", "part", "nation", "region"])
+    land_tables(spark, SRC, root, ["customer", "supplier", "part", "nation", "region"])
+    orders = spark.read.parquet(f"{SRC}/orders.parquet")
+    hot_customer = orders.agg(F.min("o_custkey")).first()[0]
+    orders.withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(hot_customer)).otherwise(F.col("o_custkey"))
+    ).repartition(8).write.parquet(f"{root}/orders.parquet")
     li = spark.read.parquet(f"{SRC}/lineitem.parquet")
     hot = li.agg(F.min("l_orderkey")).first()[0]
     third = F.pmod(F.xxhash64("l_partkey", "l_linenumber", "l_suppkey"), F.lit(3)) == 0
@@ -57,3 +62,14 @@ def test_hot_order_key(spark, skewed_root):
     assert fo.line_item_count == sum(1 for r in rows if r.order_key == hot)
     total = wh.revenue_by_nation.agg(F.sum("net_revenue")).first()[0]
     assert total == sum(r.discounted_price for r in rows)
+
+
+def test_hot_customer(spark, skewed_root):
+    root, _ = skewed_root
+    wh = Warehouse(spark, root, fill_missing=True, coded_nation_names=True)
+    oe = wh.orders_enriched
+    rows = oe.collect()
+    plan = oe._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan  # orders LEFT JOIN customers, hot side split
+    assert len(rows) == spark.read.parquet(f"{root}/orders.parquet").count()
+    assert all(r.customer_name is not None for r in rows)
