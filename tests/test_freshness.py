@@ -36,3 +36,13 @@ def test_by_file_metadata(spark, scratch):
     assert r.max_loaded_at is not None and r.status == "error"
     r = freshness.freshness_by_files(df, "t", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=1), Freshness(24, 72)).collect()[0]
     assert r.status == "pass"
+
+
+def test_cli_freshness(spark, capsys):
+    from conftest import SMOKE_DIR
+
+    from sparkmarts.__main__ import main
+
+    assert main(["freshness", SMOKE_DIR, "--now", "2200-01-01T00:00:00"]) == 0
+    out = capsys.readouterr().out
+    assert "lineitem" in out and "error" in out  # files are far older than 72 hours by then
