@@ -100,7 +100,7 @@ line_items_enriched AS (
   LEFT JOIN stg_parts p ON li.part_key = p.part_key
   LEFT JOIN stg_suppliers s ON li.supplier_key = s.supplier_key
   LEFT JOIN stg_nations sn ON s.nation_key = sn.nation_key),
-line_item_summary AS (
+per_order_rollup AS (
   SELECT order_key, COUNT(*) AS line_item_count, SUM(extended_price) AS gross_revenue,
          SUM(discounted_price) AS net_revenue, SUM(net_price) AS net_revenue_after_tax,
          SUM(quantity) AS total_quantity, MIN(ship_date) AS first_ship_date, MAX(ship_date) AS last_ship_date,
@@ -111,7 +111,7 @@ fct_orders AS (
          o.market_segment, o.order_date, o.status_code, o.priority_code, o.total_price, o.clerk_name,
          s.line_item_count, s.gross_revenue, s.net_revenue, s.net_revenue_after_tax, s.total_quantity,
          s.avg_discount_rate, s.first_ship_date, s.last_ship_date
-  FROM orders_enriched o LEFT JOIN line_item_summary s ON o.order_key = s.order_key),
+  FROM orders_enriched o LEFT JOIN per_order_rollup s ON o.order_key = s.order_key),
 fct_order_items AS (
   SELECT md5(concat_ws('-', COALESCE(CAST(li.order_key AS VARCHAR), '{NULL_MARKER}'),
                             COALESCE(CAST(li.line_number AS VARCHAR), '{NULL_MARKER}'))) AS order_item_key,
@@ -412,7 +412,7 @@ fct_orders2 AS (
          o.market_segment, o.order_date, o.status_code, o.priority_code, o.total_price, o.clerk_name,
          s.line_item_count, s.gross_revenue, s.net_revenue, s.net_revenue_after_tax, s.total_quantity,
          s.avg_discount_rate, s.first_ship_date, s.last_ship_date
-  FROM orders_enriched2 o LEFT JOIN line_item_summary s ON o.order_key = s.order_key),
+  FROM orders_enriched2 o LEFT JOIN per_order_rollup s ON o.order_key = s.order_key),
 fct_order_items2 AS (
   SELECT f.order_item_key, f.order_key, f.line_number, f.part_key, f.supplier_key, o.order_date, f.customer_key,
          f.customer_nation, f.customer_region, f.sales_region, f.order_status, f.part_name, f.brand, f.part_type,
