@@ -238,8 +238,8 @@ def _history(spark: SparkSession, entities: DataFrame, spec: dict, name: str) ->
     path = scratch_path(spark, name)
     key = spec["key"]
     for load, ts in [
-        (scenarios.history_load1(entities, key), scenarios.SNAPSHOT_T1),
-        (scenarios.history_load2(entities, key), scenarios.SNAPSHOT_T2),
+        (scenarios.history_load1(entities), scenarios.SNAPSHOT_T1),
+        (scenarios.history_load2(entities), scenarios.SNAPSHOT_T2),
     ]:
         snapshots.snapshot_check(spark, load, path, key, spec["check"], ts, spec["columns"])
     return decimals_as_double(snapshots.read_snapshot(spark, path))
@@ -272,7 +272,7 @@ def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_relationships")
 def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    parents = scenarios.history_load1(wh.customers, "customer_key")
+    parents = scenarios.history_load1(wh.customers)
     return decimals_as_double(quality.relationships_failures(wh.orders, "customer_key", parents, "customer_key"))
 
 
@@ -375,8 +375,8 @@ def q_table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("table_diff")
 def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = warehouse(spark, sf_dir).customers
-    before = scenarios.history_load1(cust, "customer_key")
-    after = scenarios.history_load2(cust, "customer_key")
+    before = scenarios.history_load1(cust)
+    after = scenarios.history_load2(cust)
     return changes.table_diff(before, after, ["customer_key"])
 
 

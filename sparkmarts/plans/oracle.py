@@ -399,10 +399,11 @@ def _orders_enriched_from(name: str, src: str) -> str:
 
 LOAD_CTES = (
     """stg_orders2 AS (
-  SELECT * REPLACE (CASE WHEN order_key % 100 = 1 THEN DATE '2001-09-01' ELSE order_date END AS order_date)
+  SELECT * REPLACE (CASE WHEN status_code = 'P' AND priority_code = '1-URGENT' THEN DATE '2001-09-01'
+                         ELSE order_date END AS order_date)
   FROM stg_orders),
 load1_keys AS (
-  SELECT order_key FROM stg_orders WHERE order_date < DATE '2000-01-01' AND order_key % 50 <> 0),
+  SELECT order_key FROM stg_orders WHERE order_date < DATE '2000-01-01' AND priority_code <> '5-LOW'),
 """
     + _orders_enriched_from("orders_enriched2", "stg_orders2")
     + """,
@@ -467,24 +468,29 @@ ORACLE_SQL["revenue_by_sales_region_incremental"] = _revenue_end_state("sales_re
 
 
 # -- history: expected versions after two loads --------------------------------------
+# Balance bands of the second history load (see scenarios.history_load2).
+def _load2_column(c: str) -> str:
+    if c == "account_balance":
+        return ("CASE WHEN account_balance >= 9000 THEN CAST(account_balance + 100 AS DECIMAL(12,2)) "
+                "WHEN account_balance >= 0 AND account_balance < 500 THEN CAST(NULL AS DECIMAL(12,2)) "
+                "ELSE account_balance END AS account_balance")
+    if c == "phone_number":
+        return ("CASE WHEN account_balance >= 500 AND account_balance < 1000 THEN 'changed' "
+                "ELSE phone_number END AS phone_number")
+    return c
+
+
+LOAD1_WHERE = "WHERE NOT (account_balance < 0)"
+LOAD2_WHERE = "WHERE NOT (account_balance >= 1000 AND account_balance < 1500)"
+
+
 def _history_sql(stg: str, key: str, columns: list[str], check: list[str]) -> str:
     cols = ", ".join(columns)
-    l2_cols = []
-    for c in columns:
-        if c == "account_balance":
-            l2_cols.append(
-                f"CASE WHEN {key} % 10 = 0 THEN CAST(account_balance + 100 AS DECIMAL(12,2)) "
-                f"WHEN {key} % 10 = 3 THEN CAST(NULL AS DECIMAL(12,2)) ELSE account_balance END AS account_balance"
-            )
-        elif c == "phone_number":
-            l2_cols.append(f"CASE WHEN {key} % 10 = 5 THEN 'changed' ELSE phone_number END AS phone_number")
-        else:
-            l2_cols.append(c)
     differs = " OR ".join(f"l1.{c} IS DISTINCT FROM l2.{c}" for c in check)
     sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c == "account_balance" else c for c in columns)
     return f"""WITH {BASE_CTES.rstrip()},
-l1 AS (SELECT {cols} FROM {stg} WHERE {key} % 10 <> 9),
-l2 AS (SELECT {", ".join(l2_cols)} FROM {stg} WHERE {key} <> 7),
+l1 AS (SELECT {cols} FROM {stg} {LOAD1_WHERE}),
+l2 AS (SELECT {", ".join(_load2_column(c) for c in columns)} FROM {stg} {LOAD2_WHERE}),
 changed AS (SELECT l1.{key} FROM l1 JOIN l2 ON l1.{key} = l2.{key} WHERE {differs}),
 versions AS (
   SELECT {cols}, md5(concat_ws('|', CAST({key} AS VARCHAR), '2024-01-01 00:00:00')) AS scd_id,
@@ -517,12 +523,14 @@ ORACLE_SQL["snapshot_suppliers"] = _history_sql(
 
 # -- data quality ------------------------------------------------------------------------
 DQ_CTES = f"""dq_customers AS (
-  SELECT * REPLACE (CASE WHEN customer_key % 97 = 0 THEN NULL ELSE customer_name END AS customer_name)
+  SELECT * REPLACE (CASE WHEN account_balance < 0 THEN NULL ELSE customer_name END AS customer_name)
   FROM stg_customers),
 dq_orders AS (
-  SELECT * REPLACE (CASE WHEN order_key % 101 = 0 THEN 'X' ELSE status_code END AS status_code) FROM stg_orders),
+  SELECT * REPLACE (CASE WHEN status_code = 'P' AND priority_code = '4-NOT SPECIFIED' THEN 'X'
+                         ELSE status_code END AS status_code)
+  FROM stg_orders),
 planted_items AS (
-  SELECT * REPLACE (CASE WHEN order_key % 97 = 0 THEN CAST(-0.05 AS DECIMAL(4,2)) ELSE discount_percentage END
+  SELECT * REPLACE (CASE WHEN quantity = 50 THEN CAST(-0.05 AS DECIMAL(4,2)) ELSE discount_percentage END
                     AS discount_percentage)
   FROM stg_line_items),
 planted_summary AS (
@@ -549,7 +557,7 @@ ORACLE_SQL["dq_unique"] = with_base(
 ORACLE_SQL["dq_relationships"] = with_base(
     select_doubles("stg_orders o", _ORDER_COLS, {"total_price"})
     + " WHERE o.customer_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_customers c "
-    "WHERE c.customer_key % 10 <> 9 AND c.customer_key = o.customer_key)"
+    "WHERE NOT (c.account_balance < 0) AND c.customer_key = o.customer_key)"
 )
 ORACLE_SQL["dq_accepted_values"] = with_base(
     "SELECT status_code, COUNT(*) AS n_records FROM dq_orders WHERE status_code NOT IN ('O', 'F', 'P') GROUP BY 1",
@@ -638,22 +646,14 @@ ORACLE_SQL["freshness_by_column"] = (
 )
 
 _CUST_ALL = _CUSTOMER_COLS
-_L2 = [
-    "CASE WHEN customer_key % 10 = 0 THEN CAST(account_balance + 100 AS DECIMAL(12,2)) "
-    "WHEN customer_key % 10 = 3 THEN CAST(NULL AS DECIMAL(12,2)) ELSE account_balance END AS account_balance"
-    if c == "account_balance"
-    else ("CASE WHEN customer_key % 10 = 5 THEN 'changed' ELSE phone_number END AS phone_number"
-          if c == "phone_number" else c)
-    for c in _CUST_ALL
-]
 ORACLE_SQL["table_diff"] = with_base(
     "SELECT COALESCE(b.customer_key, a.customer_key) AS customer_key,\n"
     "  CASE WHEN b.customer_key IS NULL THEN 'added' WHEN a.customer_key IS NULL THEN 'removed' ELSE 'changed' END AS change_type\n"
     "FROM l1 b FULL OUTER JOIN l2 a ON b.customer_key = a.customer_key\n"
     "WHERE b.customer_key IS NULL OR a.customer_key IS NULL OR "
     + " OR ".join(f"b.{c} IS DISTINCT FROM a.{c}" for c in _CUST_ALL if c != "customer_key"),
-    "l1 AS (SELECT * FROM stg_customers WHERE customer_key % 10 <> 9),\n"
-    f"l2 AS (SELECT {', '.join(_L2)} FROM stg_customers WHERE customer_key <> 7)",
+    f"l1 AS (SELECT * FROM stg_customers {LOAD1_WHERE}),\n"
+    f"l2 AS (SELECT {', '.join(_load2_column(c) for c in _CUST_ALL)} FROM stg_customers {LOAD2_WHERE})",
 )
 
 _LAND_STEPS = [

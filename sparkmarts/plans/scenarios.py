@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from sparkmarts.settings import MONEY
 
-# Fact loads: the first load holds orders dated before LOAD1_BEFORE, except
-# late ones (key % LATE_EVERY == 0); the second holds all orders, with orders
-# key % MOVED_EVERY == 1 re-dated to MOVED_DATE (changed orders that must
-# replace their old rows, leaving their old months).
+# Fact loads: the first load holds orders dated before LOAD1_BEFORE except
+# the late ones (low-priority orders, which arrive only with the second
+# load); the second load holds all orders, with the pending urgent orders
+# re-dated to MOVED_DATE (changed orders that must replace their old rows and
+# leave their old months).
 LOAD1_BEFORE = dt.date(2000, 1, 1)
-LATE_EVERY = 50
-MOVED_EVERY = 100
+LATE_PRIORITY = "5-LOW"
+MOVED_STATUS, MOVED_PRIORITY = "P", "1-URGENT"
 MOVED_DATE = dt.date(2001, 9, 1)
 # Aggregate loads: the first from items dated before AGG_LOAD1_BEFORE (a
 # partial month), the second from all items of the second fact load.
@@ -30,57 +31,58 @@ SNAPSHOT_T2 = dt.datetime(2024, 1, 2, 0, 0, 0)
 
 
 def orders_load1(orders: DataFrame) -> DataFrame:
-    return orders.where((F.col("order_date") < F.lit(LOAD1_BEFORE)) & (F.col("order_key") % LATE_EVERY != 0))
+    return orders.where((F.col("order_date") < F.lit(LOAD1_BEFORE)) & (F.col("priority_code") != LATE_PRIORITY))
 
 
 def orders_load2(orders: DataFrame) -> DataFrame:
-    return orders.withColumn(
-        "order_date",
-        F.when(F.col("order_key") % MOVED_EVERY == 1, F.lit(MOVED_DATE)).otherwise(F.col("order_date")),
-    )
+    moved = (F.col("status_code") == MOVED_STATUS) & (F.col("priority_code") == MOVED_PRIORITY)
+    return orders.withColumn("order_date", F.when(moved, F.lit(MOVED_DATE)).otherwise(F.col("order_date")))
 
 
-def history_load1(entities: DataFrame, key: str) -> DataFrame:
-    """First load: every entity except keys ending in 9 (they arrive later)."""
-    return entities.where(F.col(key) % 10 != 9)
+def history_load1(entities: DataFrame) -> DataFrame:
+    """First load: every entity except overdrawn accounts (balance < 0),
+    which arrive with the second load."""
+    return entities.where(~(F.col("account_balance") < 0))
 
 
-def history_load2(entities: DataFrame, key: str) -> DataFrame:
-    """Second load: balance +100 for keys ending in 0, NULL balance for keys
-    ending in 3, a phone change (not a checked column) for keys ending in 5,
-    key 7 gone, keys ending in 9 new."""
-    k = F.col(key) % 10
+def history_load2(entities: DataFrame) -> DataFrame:
+    """Second load, by balance band of the first: >= 9000 revalued by +100,
+    [0, 500) balance unknown (NULL), [500, 1000) new phone number (not a
+    checked column), [1000, 1500) closed (absent); overdrawn accounts new."""
+    b = F.col("account_balance")
     return (
-        entities.where(F.col(key) != 7)
+        entities.where(~((b >= 1000) & (b < 1500)))
+        .withColumn(
+            "phone_number", F.when((b >= 500) & (b < 1000), F.lit("changed")).otherwise(F.col("phone_number"))
+        )
         .withColumn(
             "account_balance",
-            F.when(k == 0, (F.col("account_balance") + 100).cast(MONEY))
-            .when(k == 3, F.lit(None).cast(MONEY))
-            .otherwise(F.col("account_balance")),
+            F.when(b >= 9000, (b + 100).cast(MONEY)).when((b >= 0) & (b < 500), F.lit(None).cast(MONEY)).otherwise(b),
         )
-        .withColumn("phone_number", F.when(k == 5, F.lit("changed")).otherwise(F.col("phone_number")))
     )
 
 
 # Planted violations for checks that pass on clean data.
 def planted_null_names(customers: DataFrame) -> DataFrame:
+    """Overdrawn accounts lose their name."""
     return customers.withColumn(
-        "customer_name", F.when(F.col("customer_key") % 97 == 0, F.lit(None)).otherwise(F.col("customer_name"))
+        "customer_name", F.when(F.col("account_balance") < 0, F.lit(None)).otherwise(F.col("customer_name"))
     )
 
 
 def planted_status(orders: DataFrame) -> DataFrame:
-    return orders.withColumn(
-        "status_code", F.when(F.col("order_key") % 101 == 0, F.lit("X")).otherwise(F.col("status_code"))
-    )
+    """Pending orders of unspecified priority get an unknown status 'X'."""
+    bad = (F.col("status_code") == "P") & (F.col("priority_code") == "4-NOT SPECIFIED")
+    return orders.withColumn("status_code", F.when(bad, F.lit("X")).otherwise(F.col("status_code")))
 
 
 def planted_negative_discount(line_items: DataFrame) -> DataFrame:
+    """Lines of the largest quantity (50) get a negative discount."""
     from sparkmarts.settings import RATE
 
     return line_items.withColumn(
         "discount_percentage",
-        F.when(F.col("order_key") % 97 == 0, F.lit(-0.05).cast(RATE)).otherwise(F.col("discount_percentage")),
+        F.when(F.col("quantity") == 50, F.lit(-0.05).cast(RATE)).otherwise(F.col("discount_percentage")),
     )
 
 
