@@ -37,7 +37,9 @@ def supplier_concentration(order_items: DataFrame, top_n: int = 5, buckets: int
     found in two exact steps so no task ever holds a whole region: a ranking
     within (region, hash bucket of supplier) keeps each bucket's top-n (the
     region's top-n are always among them), then a ranking of those
-    candidates per region. Region totals come from a plain aggregation."""
+    candidates per region. Spark also places a partial ``WindowGroupLimit``
+    before each ranking shuffle, so only the top-n rows per map task and
+    group are shuffled. Region totals come from a plain aggregation."""
     rev = order_items.groupBy("sales_region", "supplier_key").agg(
         F.sum("discounted_price").alias("net_revenue")
     )
