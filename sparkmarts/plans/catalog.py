@@ -420,3 +420,25 @@ def q_append_next_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, target, spark.read.parquet(batch_path), "o_orderkey", scenarios.APPEND_LOADED_AT, ["o_orderkey"]
     )
     return spark.read.option("mergeSchema", "true").parquet(target)
+
+
+# -- seeds, as applied to the values that occur in the given tables -----------------------
+@query("seed_nation_regions")
+def q_seed_nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The override seed rows that apply to the given nation table."""
+    return warehouse(spark, sf_dir).overrides
+
+
+@query("seed_segment_labels")
+def q_seed_segment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label seed for each market segment occurring among the customers."""
+    wh = warehouse(spark, sf_dir)
+    return wh.customers.select("market_segment").distinct().join(wh.segment_labels, "market_segment", "left")
+
+
+@query("seed_fx_rates")
+def q_seed_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fx seed for each currency code occurring among the customers."""
+    wh = warehouse(spark, sf_dir)
+    codes = standins.with_local_currency(wh.customers.select("nation_key")).select("currency_code").distinct()
+    return decimals_as_double(codes.join(wh.fx_rates, "currency_code", "left"))

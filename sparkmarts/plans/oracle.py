@@ -683,3 +683,44 @@ def _register_dq_report() -> None:
 
 
 _register_dq_report()
+
+
+# -- seeds applied to the given tables ---------------------------------------------------
+_OVERRIDE_DISPLAY = ", ".join(
+    f"({k}, '{name}', '{region}')"
+    for k, name, region in [
+        (0, "Algeria", "EMEA"), (1, "Argentina", "LATAM"), (2, "Brazil", "LATAM"), (3, "Canada", "NORTH AMERICA"),
+        (4, "Egypt", "EMEA"), (5, "Ethiopia", "EMEA"), (6, "France", "EMEA"), (7, "Germany", "EMEA"),
+        (8, "India", "APAC"), (9, "Indonesia", "APAC"), (10, "Iran", "EMEA"), (11, "Iraq", "EMEA"),
+        (12, "Japan", "APAC"), (13, "Jordan", "EMEA"), (14, "Kenya", "EMEA"),
+    ]
+)
+ORACLE_SQL["seed_nation_regions"] = f"""
+SELECT n.n_name AS nation_name, v.display_name, v.sales_region
+FROM nation n JOIN (VALUES {_OVERRIDE_DISPLAY}) AS v(nation_key, display_name, sales_region)
+  ON n.n_nationkey = v.nation_key
+"""
+
+_LABEL_FULL = (
+    "('AUTOMOBILE', 'Automobile', 'Industrial', 2), ('BUILDING', 'Building & Construction', 'Industrial', 3), "
+    "('FURNITURE', 'Furniture', 'Consumer', 4), ('HOUSEHOLD', 'Household Goods', 'Consumer', 4), "
+    "('MACHINERY', 'Heavy Machinery', 'Industrial', 1)"
+)
+ORACLE_SQL["seed_segment_labels"] = f"""
+SELECT s.market_segment, l.display_label, l.industry_group, CAST(l.priority_tier AS INTEGER) AS priority_tier
+FROM (SELECT DISTINCT c_mktsegment AS market_segment FROM customer) s
+LEFT JOIN (VALUES {_LABEL_FULL}) AS l(market_segment, display_label, industry_group, priority_tier)
+  ON s.market_segment = l.market_segment
+"""
+
+_FX_NAMED = (
+    "('USD', 'US Dollar', 1.000), ('EUR', 'Euro', 1.080), ('GBP', 'British Pound', 1.260), "
+    "('JPY', 'Japanese Yen', 0.0067), ('CNY', 'Chinese Yuan', 0.140), ('BRL', 'Brazilian Real', 0.200), "
+    "('INR', 'Indian Rupee', 0.012), ('RUB', 'Russian Ruble', 0.011), ('CAD', 'Canadian Dollar', 0.740), "
+    "('ARS', 'Argentine Peso', 0.0011), ('SAR', 'Saudi Riyal', 0.270)"
+)
+ORACLE_SQL["seed_fx_rates"] = f"""
+SELECT c.currency_code, f.currency_name, CAST(CAST(f.usd_rate AS DECIMAL(12,6)) AS DOUBLE) AS usd_rate
+FROM (SELECT DISTINCT {_FX_CODES}[(c_nationkey % 13) + 1] AS currency_code FROM customer) c
+LEFT JOIN (VALUES {_FX_NAMED}) AS f(currency_code, currency_name, usd_rate) ON c.currency_code = f.currency_code
+"""
