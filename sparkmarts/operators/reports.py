@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkmarts.functions.columns import ratio
 from sparkmarts.functions.joins import checked_broadcast
+from sparkmarts.session import work_dir
 
 
 def monthly_revenue_trend(agg_by_sales_region: DataFrame) -> DataFrame:
@@ -108,6 +109,11 @@ def returns_alert(
         .groupBy(F.col(date_col).cast("date").alias("return_date"))
         .agg(F.sum(amount_col).alias("returned_amount"))
     )
+    # One row per day, used three times (totals, fan-out, first day): written
+    # once to the shared checkpoint folder so the returns pipeline runs once
+    # (the optimizer would otherwise compute the first day from the source).
+    work_dir(daily.sparkSession)
+    daily = daily.checkpoint(eager=True)
     first_day = daily.agg(F.min("return_date")).scalar()  # uncorrelated scalar subquery
     shifted = daily.select(
         F.explode(F.sequence(F.lit(1), F.lit(window_days))).alias("_lag"), "return_date", "returned_amount"
