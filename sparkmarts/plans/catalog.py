@@ -161,7 +161,7 @@ def q_returns_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("supplier_scorecard")
 def q_supplier_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    return decimals_as_double(reports.supplier_scorecard(wh.dim_suppliers, wh.order_lines, wh.returned_lines))
+    return decimals_as_double(reports.supplier_scorecard(wh.dim_suppliers, wh.order_lines))
 
 
 @query("convert_to_usd")

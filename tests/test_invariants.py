@@ -40,3 +40,13 @@ def test_pushdown_and_pruning(spark):
     scan = [ln for ln in wh.revenue_by_nation._jdf.queryExecution().executedPlan().toString().splitlines()
             if "FileScan parquet" in ln and "l_orderkey" in ln][0]
     assert "l_comment" not in scan and "l_returnflag" not in scan  # only needed columns are read
+
+
+def test_scorecard_forms_agree(spark):
+    from sparkmarts.operators import reports
+
+    wh = warehouse(spark, SMOKE_DIR)
+    one_pass = reports.supplier_scorecard(wh.dim_suppliers, wh.order_lines)
+    two_inputs = reports.supplier_scorecard(wh.dim_suppliers, wh.fct_order_items, wh.fct_returns)
+    assert one_pass.count() == two_inputs.count()
+    assert one_pass.exceptAll(two_inputs.select(*one_pass.columns)).count() == 0
