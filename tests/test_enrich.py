@@ -64,3 +64,16 @@ def test_staging_strict_and_fill_missing(spark):
     assert out.columns == ["region_key", "region_name", "region_comment"]
     assert dict(out.dtypes)["region_comment"] == "string"
     assert out.collect()[0].region_comment is None
+
+
+def test_strict_warehouse_refuses_partial_extracts(spark):
+    from conftest import SMOKE_DIR
+
+    from sparkmarts.plans.warehouse import Warehouse
+
+    wh = Warehouse(spark, SMOKE_DIR)  # strict by default
+    with pytest.raises(staging.MissingSourceColumn):
+        wh.customers  # no address, phone or comment columns in the extract
+    with pytest.raises(Exception):
+        wh.part_suppliers.collect()  # no partsupp table and no stand-in when strict
+    assert Warehouse(spark, SMOKE_DIR, fill_missing=True).part_suppliers.count() > 0
