@@ -220,10 +220,10 @@ def quality_scores(
 ) -> DataFrame:
     """Each row of ``docs`` with its score (0 to 1) added; ``keep`` names the
     columns to carry (all by default). Null and empty texts are one empty line."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(part: pa.RecordBatch) -> dict:
-        return {score_col: pa.array(shared.value.scores(texts_of(part, "__text")), pa.float64())}
+        return {score_col: pa.array(Crf(**shared.value).scores(texts_of(part, "__text")), pa.float64())}
 
     return map_slices(docs, text_col, run, f"`{score_col}` double", keep)
 

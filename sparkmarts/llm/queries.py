@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkmarts.llm.block_knn import nearest
 from sparkmarts.llm.common import remainder, table
 from sparkmarts.llm.decontaminate import contamination, items_digest
+from sparkmarts.llm.hmm_lm import hmm_scores
+from sparkmarts.llm.html_render import extract
+from sparkmarts.llm.license_templates import licenses
 from sparkmarts.llm.line_crf import FOLDS, HELD_OUT, THRESHOLD, quality_scores, train
 from sparkmarts.llm.packing import pack
 from sparkmarts.llm.secret_scan import base_digest, secrets
 from sparkmarts.llm.simhash_bktree import simhash_groups
+from sparkmarts.llm.warc_derive import derivatives, responses
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op2_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_scores(table(spark, sf_dir, "documents"), remainder("doc_id", 5) == 1)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     ids = F.array_distinct(F.transform("spans", lambda s: s["item_id"]))
@@ -30,6 +39,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
@@ -42,6 +55,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -61,6 +78,15 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = derivatives(responses(table(spark, sf_dir, "pages")), "page_id")
+    return made.withColumn("record", F.decode("record", "UTF-8"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("matches")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -69,10 +95,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_hmm_lm": op2_hmm_lm,
     "op3_decontamination": op3_decontamination,
+    "op4_html": op4_html,
     "op5_quality": op5_quality,
+    "op6_nearest": op6_nearest,
     "op7_simhash": op7_simhash,
     "op8_secrets": op8_secrets,
+    "op9_warc": op9_warc,
+    "op10_licenses": op10_licenses,
     "pipeline": pipeline,
 }
 
