@@ -134,10 +134,10 @@ def contamination(
             before = part.column(part.schema.names.index("__spans")).to_pylist() if earlier else None
             for i, text in enumerate(texts_of(part, "__text")):
                 words = normalise(text)
-                got = item_spans(occurrences(built[0], words))
-                rows = original_spans(text, got)
-                if before and before[i]:
-                    rows = sorted(before[i] + rows, key=lambda r: (r["item_id"], r["first_word"]))
+                hits = occurrences(built[0], words)
+                if before:
+                    hits += [(r["first_word"], r["last_word"] - r["first_word"] + 1, (r["item_id"],)) for r in before[i]]
+                rows = original_spans(text, item_spans(hits))
                 reach, hit = -1, 0
                 for a, b in sorted((r["first_word"], r["last_word"]) for r in rows):
                     hit += max(0, b - max(a, reach + 1) + 1)
