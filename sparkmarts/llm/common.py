@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +50,7 @@ def slices(batches: Iterable[pa.RecordBatch], name: str, max_bytes: int) -> Iter
     """Cut batches into slices whose column ``name`` holds about ``max_bytes``
     at most (one row may hold more), so that a worker's memory stays bounded."""
     for batch in batches:
-        sizes = [len(x) for x in texts_of(batch, name)]
+        sizes = pc.fill_null(pc.binary_length(column_of(batch, name)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and held + n > max_bytes:

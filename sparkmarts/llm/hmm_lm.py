@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.chain import backward, forward, layout
-from sparkmarts.llm.common import column_of, materialise, texts_of
+from sparkmarts.llm.common import column_of, materialise, slices, texts_of
 
 END = b""
 STATES = 8
@@ -94,7 +94,7 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, held_col: str, classes:
             return pa.RecordBatch.from_arrays(arrays, names=["chunk", "ids", "held", "lens", "codes", "cls", "words", "counts", "tokens"])
 
         id_type = None
-        for batch in batches:
+        for batch in slices(batches, "__text", chunk_bytes // 4):
             id_type = batch.schema.field("__id").type
             own_ids = column_of(batch, "__id").to_pylist()
             own_held = column_of(batch, "__held").to_pylist()
@@ -132,7 +132,9 @@ def with_counts(packed: DataFrame, least: int) -> DataFrame:
     total = F.sum("counts").over(word)
     rows = rows.withColumn("total", total).withColumn("nth", F.row_number().over(word.orderBy("chunk")))
     rows = rows.select(
-        F.col("chunk").alias("of"), "pos", "total", ((F.col("nth") == 1) & (F.col("total") > 0)).alias("new"),
+        F.col("chunk").alias("of"), "pos",
+        # a total is sent negated to the chunk that meets the word first
+        F.when(F.col("nth") == 1, -F.col("total")).otherwise(F.col("total")).alias("total"),
         F.when(F.col("total") >= least, F.col("words")).alias("word"),
     )
     kind = packed.schema["ids"].dataType.simpleString()
@@ -143,11 +145,12 @@ def with_counts(packed: DataFrame, least: int) -> DataFrame:
 
     def merge(chunk: pa.Table, got: pa.Table) -> pa.Table:
         pos = got.column("pos").to_numpy()
+        signed = got.column("total").to_numpy()
         totals = np.zeros(len(pos), np.int64)
-        totals[pos] = got.column("total").to_numpy()
+        totals[pos] = np.abs(signed)
         named = got.filter(got.column("word").is_valid())
         own = [{"pos": p, "word": w} for p, w in zip(named.column("pos").to_pylist(), named.column("word").to_pylist(), strict=True)]
-        new = int(np.count_nonzero(got.column("new").to_numpy(zero_copy_only=False))) if got.num_rows else 0
+        new = int(np.count_nonzero(signed < 0))
         more = {"totals": pa.array([_pack(totals)], pa.binary()), "own": pa.array([own], pa.list_(pa.struct([("pos", pa.int32()), ("word", pa.string())]))), "n_new": pa.array([new], pa.int64())}
         for k, v in more.items():
             chunk = chunk.append_column(k, v)
