@@ -6,6 +6,7 @@ still running. Used by the hidden Markov model and by the random field."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +20,7 @@ class Layout:
     running: np.ndarray  # sequences still running at each step
     offset: np.ndarray  # first place of each step
     order: np.ndarray  # sequences, longest first
+    begin: np.ndarray  # first item of each sequence
 
 
 def layout(lens: np.ndarray) -> Layout:
@@ -32,44 +34,93 @@ def layout(lens: np.ndarray) -> Layout:
     offset = np.concatenate([[0], np.cumsum(running)])
     starts = np.cumsum(lens) - lens
     step = np.arange(int(lens.sum())) - np.repeat(starts, lens)
-    return Layout(offset[step] + np.repeat(rank, lens), running, offset, order)
-
-
-def forward(emit: np.ndarray, lay: Layout, start: np.ndarray, trans: np.ndarray, keep: bool = False):
-    """Log-likelihood of each sequence; with ``keep`` also the scaled forward
-    vectors and the scales. ``emit``: items x states, in step-major order."""
-    n = len(lay.order)
-    total = np.zeros(n)
-    alphas = np.empty_like(emit) if keep else None
-    scales = np.empty(len(emit)) if keep else None
-    alpha = None
-    for t, k in enumerate(lay.running):
-        a, b = lay.offset[t], lay.offset[t + 1]
-        alpha = (start if alpha is None else alpha[:k] @ trans) * emit[a:b]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        total[:k] += np.log(scale)
-        if keep:
-            alphas[a:b] = alpha
-            scales[a:b] = scale
-    out = np.empty(n)
-    out[lay.order] = total
-    return out, alphas, scales
-
-
-def backward(emit, lay: Layout, trans, alphas, scales) -> tuple[np.ndarray, np.ndarray]:
-    """State marginals of every item and the summed pair marginals."""
-    gamma = alphas.copy()
-    pairs = np.zeros((emit.shape[1], emit.shape[1]))
-    beta = None
-    for t in range(len(lay.running) - 1, 0, -1):
-        a, b = lay.offset[t], lay.offset[t + 1]
-        right = emit[a:b] / scales[a:b, None]
-        if beta is not None:
-            right[: len(beta)] *= beta
-        k = lay.running[t]
-        p = lay.offset[t - 1]
-        pairs += alphas[p : p + k].T @ right
-        beta = right @ trans.T
-        gamma[p : p + k] *= beta
-    return gamma, pairs * trans
+    return Layout(offset[step] + np.repeat(rank, lens), running, offset, order, starts)
+
+
+#: steps between two scalings; a step's factors are far above 1e-18, so that
+#: neither vector can leave the range of doubles in between
+STRIDE = 16
+
+
+class Pass:
+    """Scaled forward and backward recursion over the sequences of a layout.
+
+    ``emit(a, b)`` gives a new states x items matrix for the places a to b.
+    Each step's block of states x running sequences is contiguous in ``flat``.
+    A sequence's vector is scaled to sum 1 at every ``STRIDE``-th step and at
+    its end; the same factors scale the backward vectors, so that the
+    product of both is a distribution at every step."""
+
+    def __init__(self, emit: Callable[[int, int], np.ndarray], lay: Layout, start: np.ndarray, trans: np.ndarray, keep: bool):
+        self.emit, self.lay, self.trans, self.states = emit, lay, trans, len(start)
+        # forward vectors, overwritten by the state marginals in backward()
+        self.flat = np.empty(self.states * int(lay.offset[-1])) if keep else None
+        self._factors: dict[int, tuple[int, np.ndarray]] = {}
+        move, ones = np.ascontiguousarray(trans.T), np.ones(self.states)
+        total = np.zeros(len(lay.order))
+        running = [*lay.running.tolist(), 0]
+        offset = lay.offset.tolist()
+        before = None
+        for t, k in enumerate(running[:-1]):
+            e = emit(offset[t], offset[t + 1])
+            now = self.block(t) if keep else np.empty_like(e)
+            if before is None:
+                np.multiply(e, start[:, None], out=now)
+            else:
+                np.matmul(move, before[:, :k], out=now)
+                now *= e
+            first = 0 if t % STRIDE == STRIDE - 1 else running[t + 1]
+            if first < k:
+                scale = ones @ now[:, first:]
+                factor = 1.0 / scale
+                now[:, first:] *= factor
+                total[first:k] += np.log(scale)
+                if keep:
+                    self._factors[t] = (first, factor)
+            before = now
+        #: log-likelihood of each sequence
+        self.logs = np.empty_like(total)
+        self.logs[lay.order] = total
+
+    def block(self, t: int) -> np.ndarray:
+        a, b = self.lay.offset[t], self.lay.offset[t + 1]
+        return self.flat[self.states * a : self.states * b].reshape(self.states, b - a)
+
+    def backward(self) -> np.ndarray:
+        """The summed pair marginals; afterwards ``flat`` holds the state marginals."""
+        pairs = np.zeros((self.states, self.states))
+        offset = self.lay.offset.tolist()
+        beta = None
+        for t in range(len(self.lay.running) - 1, 0, -1):
+            right = self.emit(offset[t], offset[t + 1])
+            if t in self._factors:
+                first, factor = self._factors.pop(t)
+                right[:, first:] *= factor
+            if beta is not None:
+                right[:, : beta.shape[1]] *= beta
+            left = self.block(t - 1)[:, : right.shape[1]]
+            pairs += left @ right.T
+            beta = self.trans @ right
+            left *= beta
+        return pairs * self.trans
+
+    def marginals(self) -> np.ndarray:
+        """States x items, in the items' own order."""
+        out = np.empty((self.states, len(self.lay.slot)))
+        for t in range(len(self.lay.running)):
+            out[:, self.lay.offset[t] : self.lay.offset[t + 1]] = self.block(t)
+        return out[:, self.lay.slot]
+
+    def by_symbol(self, symbols: np.ndarray, n: int, piece: int = 1 << 17) -> np.ndarray:
+        """Marginals summed per symbol (n x states); ``symbols`` by place."""
+        out = np.zeros(n * self.states)
+        shift = (np.arange(self.states) * n)[:, None]
+        offset = self.lay.offset.tolist()
+        keys, since = [], 0
+        for t in range(len(self.lay.running)):
+            keys.append((symbols[offset[t] : offset[t + 1]] + shift).ravel())
+            if offset[t + 1] - since >= piece or t == len(self.lay.running) - 1:
+                part = self.flat[self.states * since : self.states * offset[t + 1]]
+                out += np.bincount(np.concatenate(keys), part, len(out))
+                keys, since = [], offset[t + 1]
+        return out.reshape(self.states, n).T

@@ -19,6 +19,7 @@ Tokens are whitespace-separated words (A-Z lowered) and one end token per text.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmarts.llm.chain import backward, forward, layout
+from sparkmarts.llm.chain import Pass, layout
 from sparkmarts.llm.common import column_of, materialise, slices, texts_of
 
 END = b""
@@ -40,7 +41,7 @@ OWN_SHARE = 1e-4
 CLASSES = 4096
 CHUNK_BYTES = 16 << 20
 #: tokens handled by one batch of the recursions
-BATCH_TOKENS = 300_000
+BATCH_TOKENS = 1_000_000
 _LOG10 = np.log(10.0)
 
 
@@ -76,7 +77,10 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, held_col: str, classes:
         number = TaskContext.get().partitionId() << 32
 
         def fresh():
-            words: dict[bytes, int] = {END: 0}
+            # a word that is looked up for the first time gets the next number
+            words: defaultdict[bytes, int] = defaultdict()
+            words.default_factory = words.__len__
+            words[END]
             return words, [], [], [], []
 
         words, ids, held, lens, codes = fresh()
@@ -106,9 +110,6 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, held_col: str, classes:
                     size = 0
                 tokens = text.lower().split()
                 tokens.append(END)
-                for w in tokens:
-                    if w not in words:
-                        words[w] = len(words)
                 codes.append(np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)))
                 ids.append(own_ids[i])
                 held.append(bool(own_held[i]))
@@ -214,6 +215,7 @@ def _items(codes: np.ndarray, starts: np.ndarray, lens: np.ndarray, part: np.nda
 def expected_counts(model: Hmm, rows: Iterator[dict]):
     """Summed over the training texts: (symbols x states), transitions, starts."""
     k = model.emit.shape[1]
+    table = np.ascontiguousarray(model.emit.T)
     counts = np.zeros_like(model.emit)
     pairs, starts_of = np.zeros((k, k)), np.zeros(k)
     for row in rows:
@@ -225,13 +227,10 @@ def expected_counts(model: Hmm, rows: Iterator[dict]):
             lay = layout(lens[part])
             seen = np.empty(int(lens[part].sum()), np.int64)
             seen[lay.slot] = sym[_items(codes, begin, lens, part)]
-            emit = model.emit[seen]
-            _, alphas, scales = forward(emit, lay, model.start, model.trans, keep=True)
-            gamma, two = backward(emit, lay, model.trans, alphas, scales)
-            pairs += two
-            starts_of += gamma[: len(part)].sum(axis=0)
-            for s in range(k):
-                counts[:, s] += np.bincount(seen, gamma[:, s], len(counts))
+            both = Pass(lambda a, b: table.take(seen[a:b], axis=1), lay, model.start, model.trans, keep=True)
+            pairs += both.backward()
+            starts_of += both.block(0).sum(axis=1)
+            counts += both.by_symbol(seen, len(counts))
     return counts, pairs, starts_of
 
 
@@ -332,6 +331,7 @@ def text_scores(table: DataFrame, model: Hmm, id_col: str) -> DataFrame:
 
     def run(batches):
         m = Hmm(**shared.value)
+        by_state = np.ascontiguousarray(m.emit.T)
         for batch in batches:
             id_type = batch.schema.field("ids").type.value_type
             for i in range(batch.num_rows):
@@ -350,7 +350,7 @@ def text_scores(table: DataFrame, model: Hmm, id_col: str) -> DataFrame:
                     lay = layout(lens[part])
                     seen = np.empty(int(lens[part].sum()), np.int64)
                     seen[lay.slot] = sym[_items(codes, begin, lens, part)]
-                    score[part] = forward(m.emit[seen], lay, m.start, m.trans)[0]
+                    score[part] = Pass(lambda a, b: by_state.take(seen[a:b], axis=1), lay, m.start, m.trans, keep=False).logs
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row["ids"], id_type), pa.array(row["held"], pa.bool_()), pa.array(lens),

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmarts.llm.chain import backward, forward, layout
+from sparkmarts.llm.chain import Pass, layout
 from sparkmarts.llm.common import column_of, map_slices, remainder, texts_of
 
 THRESHOLD = 0.7
@@ -112,17 +112,16 @@ class Crf:
     prior: float
 
     def marginals(self, x: np.ndarray, per_text: np.ndarray):
-        """P(good) of every line; pair marginals; log-likelihood parts."""
+        """P(good) of every line, and the summed pair marginals."""
         z = np.clip(((x - self.mean) / self.scale) @ self.node, -50, 50)
         lay = layout(per_text)
-        emit = np.empty((len(z), 2))
-        emit[lay.slot, 1] = good = 1 / (1 + np.exp(-z))
-        emit[lay.slot, 0] = 1 - good
+        emit = np.empty((2, len(z)))
+        emit[1, lay.slot] = good = 1 / (1 + np.exp(-z))
+        emit[0, lay.slot] = 1 - good
         emit += 1e-30
-        weight = np.exp(self.trans)
-        _, alphas, scales = forward(emit, lay, np.ones(2), weight, keep=True)
-        gamma, pairs = backward(emit, lay, weight, alphas, scales)
-        return gamma[lay.slot, 1], pairs
+        both = Pass(lambda a, b: emit[:, a:b].copy(), lay, np.ones(2), np.exp(self.trans), keep=True)
+        pairs = both.backward()
+        return both.marginals()[1], pairs
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Length-weighted mean of the lines' marginals."""
