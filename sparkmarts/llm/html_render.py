@@ -50,8 +50,9 @@ _CLOSES = {
 _SCOPE = frozenset("table td th caption html template object".split())
 
 _TAG = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>|"
-    r"<([a-zA-Z][^\s/>]*)((?:[^>\"']|=\s*\"[^\"]*\"|=\s*'[^']*'|[\"'])*?)(/?)>",
+    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*+)[^>]*+>|"
+    # a quoted value, which may hold >, counts only after an equals sign
+    r"<([a-zA-Z][^\s/>]*+)((?>[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>",
     re.S,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
@@ -99,13 +100,17 @@ def parse(source: str) -> Node:
                 return
 
     at = 0
+    closed = source.rfind(">") + 1  # nothing behind it can be a tag
     while True:
-        m = _TAG.search(source, at)
+        m = _TAG.search(source, at, closed)
         if not m:
-            text(source[at:])
+            tail = source.find("<!", max(at, closed - 1))
+            text(source[at : tail if tail >= 0 else None])
             return root
         text(source[at : m.start()])
         at = m.end()
+        if at == closed and m[0].startswith("<!--") and not m[0].endswith(("-->", "--!>")) and m[0] != "<!-->":
+            return root  # a comment without an end
         if m[1]:
             tag = m[1].lower()
             for i in range(len(stack) - 1, 0, -1):
