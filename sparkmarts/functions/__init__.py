@@ -10,14 +10,13 @@ from sparkmarts.functions.columns import (
     to_money,
     to_rate,
 )
-from sparkmarts.functions.joins import broadcast_keys, checked_broadcast, is_small
+from sparkmarts.functions.joins import broadcast_reference, leaf_bytes
 
 __all__ = [
-    "broadcast_keys",
+    "broadcast_reference",
     "cents_to_dollars",
-    "checked_broadcast",
     "day_of_week_sun0",
-    "is_small",
+    "leaf_bytes",
     "month_start",
     "null_safe_changed",
     "ratio",

@@ -1,10 +1,10 @@
-"""Size-checked broadcast.
+"""Broadcast of small reference tables, decided from plan statistics.
 
-Only sides whose row count is proven small are hinted for broadcast. The check
-is a bounded ``limit(n + 1).count()`` so it stays cheap even when the side is
-large; beyond the bound the join is left to the planner (sort-merge join, with
-AQE turning it into a broadcast at runtime if the side turns out small, and
-splitting skewed partitions otherwise)."""
+Only nations, regions and seeds are hinted, and only while the tables they are
+read from are proven small: the statistics of the plan's leaves (file sizes,
+inline rows) are summed without starting a job. Customers, parts, suppliers and
+key sets grow with the data and are never hinted; the planner and AQE choose,
+and split skewed partitions."""
 
 from __future__ import annotations
 
@@ -14,20 +14,14 @@ from pyspark.sql import functions as F
 from sparkmarts.settings import DEFAULT_SETTINGS
 
 
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    limit = DEFAULT_SETTINGS.broadcast_max_rows if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
+def leaf_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` is computed from, as the planner knows
+    them; a source without statistics counts as huge."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def broadcast_keys(df: DataFrame, cols: list[str], max_rows: int | None = None) -> DataFrame:
-    """Distinct ``cols`` of ``df``, broadcast when ``df`` itself has at most
-    ``max_rows`` rows. Bounding the rows *before* the distinct keeps the check
-    a cheap early-stopping scan (a limit over a distinct would have to finish
-    the whole aggregation first); the distinct keys are never more."""
-    keys = df.select(*cols).distinct()
-    return F.broadcast(keys) if is_small(df.select(*cols), max_rows) else keys
+def broadcast_reference(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` while its source tables hold ``max_bytes`` at most, else ``df``."""
+    bound = DEFAULT_SETTINGS.reference_max_bytes if max_bytes is None else max_bytes
+    return F.broadcast(df) if leaf_bytes(df) <= bound else df

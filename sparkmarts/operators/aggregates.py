@@ -21,7 +21,7 @@ MEASURES = [
 
 def _finish(per_order: DataFrame, group_col: str, out_name: str) -> DataFrame:
     agg = per_order.groupBy(group_col, "order_year", "order_month").agg(
-        F.count(F.lit(1)).alias("order_count"),
+        F.count("order_key").alias("order_count"),  # a NULL key is no order
         F.sum("q").alias("total_quantity"),
         F.sum("g").alias("gross_revenue"),
         F.sum("n").alias("net_revenue"),

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 
 def _row_hash(df: DataFrame):
-    return F.xxhash64(F.struct(*[F.col(c) for c in df.columns]))
+    """60 bits of the MD5 of a row's values as text, a NULL apart from any
+    value; any engine with MD5 can compute it."""
+    text = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in df.columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *text)), 1, 15), 16, 10).cast("bigint")
 
 
 def table_fingerprint(df: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
-    """Row count, XOR and decimal SUM of a 64-bit hash of every row, for the
-    whole table or per ``group_by`` (e.g. per partition column).
+    """Row count, XOR and exact SUM of a hash of every row, for the whole table
+    or per ``group_by`` (e.g. per partition column).
 
     Both combiners are order-insensitive and aggregate partially, so the
     fingerprint is one pass with no shuffle of rows. XOR alone would cancel a
@@ -23,7 +26,7 @@ def table_fingerprint(df: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
     aggs = [
         F.count(F.lit(1)).alias("row_count"),
         F.bit_xor(h).alias("hash_xor"),
-        F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_sum"),
+        F.sum(h.cast("decimal(28,0)")).cast("string").alias("hash_sum"),
     ]
     return df.groupBy(*group_by).agg(*aggs) if group_by else df.agg(*aggs)
 
@@ -32,12 +35,13 @@ def table_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Data
     """Keys added, removed or changed between two versions of a keyed table.
 
     A full outer join on the keys (one shuffle of each side) with a NULL-safe
-    comparison of every non-key column common to both sides. Keys are
-    expected to be unique on each side."""
+    comparison of every non-key column; a column that one side lacks counts as
+    NULL there. Keys are expected to be unique on each side."""
     keys = list(keys)
-    common = [c for c in before.columns if c in after.columns and c not in keys]
-    b = before.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in common], F.lit(True).alias("_in_b"))
-    a = after.select(*keys, *[F.col(c).alias(f"_a_{c}") for c in common], F.lit(True).alias("_in_a"))
+    common = [c for c in dict.fromkeys([*before.columns, *after.columns]) if c not in keys]
+    side = lambda df, tag: [(F.col(c) if c in df.columns else F.lit(None)).alias(f"_{tag}_{c}") for c in common]
+    b = before.select(*keys, *side(before, "b"), F.lit(True).alias("_in_b"))
+    a = after.select(*keys, *side(after, "a"), F.lit(True).alias("_in_a"))
     j = b.join(a, keys, "full_outer")
     changed = F.lit(False)
     for c in common:

@@ -1,8 +1,8 @@
 """Enrichment joins: geography resolution, enriched orders and line items,
 segment labels.
 
-Small reference tables (nations, regions, seeds) are broadcast after a bounded
-size check; entity-to-entity joins (orders x customers, line items x parts /
+Reference tables (nations, regions, seeds) are broadcast while plan statistics
+prove them small; entity-to-entity joins (orders x customers, line items x parts /
 suppliers) are left to the planner, which picks sort-merge joins at scale and
 lets AQE broadcast them at runtime when a side turns out small, or split
 skewed keys."""
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmarts.functions.joins import checked_broadcast
+from sparkmarts.functions.joins import broadcast_reference
 
 LINE_ITEM_ENRICHED_COLUMNS = [
     "order_key", "part_key", "supplier_key", "line_number",
@@ -36,12 +36,12 @@ def nation_geography(nations: DataFrame, regions: DataFrame, overrides: DataFram
     """One row per nation: nation_key, nation_name, region_name and the sales
     region (override seed by nation name, falling back to the region name).
 
-    Derived inputs and the result are size-checked once (file-based tables
-    carry their size to the planner); the result, when small, carries its
-    broadcast hint into every join of an entity table with it."""
+    While its source tables are proven small, the result carries a broadcast
+    hint into every join of an entity table with it: customers are then never
+    shuffled by their few nations."""
     # a region table read from files carries its size: the planner decides
     regs = regions.select("region_key", "region_name")
-    ovr = checked_broadcast(overrides.select("nation_name", F.col("sales_region").alias("_override_region")))
+    ovr = overrides.select("nation_name", F.col("sales_region").alias("_override_region"))
     geo = (
         nations.select("nation_key", "nation_name", "region_key")
         .join(regs, "region_key", "left")
@@ -53,7 +53,7 @@ def nation_geography(nations: DataFrame, regions: DataFrame, overrides: DataFram
             F.coalesce("_override_region", "region_name").alias("sales_region"),
         )
     )
-    return checked_broadcast(geo)
+    return broadcast_reference(geo)
 
 
 def with_geography(df: DataFrame, geography: DataFrame, nation_key: str = "nation_key") -> DataFrame:
@@ -67,11 +67,11 @@ def with_geography(df: DataFrame, geography: DataFrame, nation_key: str = "natio
 
 
 def customer_geography(customers: DataFrame, geography: DataFrame) -> DataFrame:
-    """Customers with their geography, size-checked for broadcasting (small
-    extracts); at scale the orders join stays a sort-merge join on
-    customer_key with AQE splitting skewed customers."""
+    """Customers with their geography. The orders join is the planner's choice;
+    at scale it is a sort-merge join on customer_key, with AQE splitting skewed
+    customers."""
     cust = customers.select("customer_key", "customer_name", "market_segment", "account_balance", "nation_key")
-    return checked_broadcast(with_geography(cust, geography).select(
+    return with_geography(cust, geography).select(
         "customer_key",
         "customer_name",
         "market_segment",
@@ -79,7 +79,7 @@ def customer_geography(customers: DataFrame, geography: DataFrame) -> DataFrame:
         F.col("nation_name").alias("customer_nation"),
         F.col("region_name").alias("customer_region"),
         "sales_region",
-    ))
+    )
 
 
 def orders_enriched(orders: DataFrame, customers: DataFrame, geography: DataFrame) -> DataFrame:
@@ -107,8 +107,8 @@ def supplier_nations(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
     """supplier_key, supplier_name, supplier_nation."""
     nat = nations.select(F.col("nation_key").alias("_snk"), F.col("nation_name").alias("supplier_nation"))
     sup = suppliers.select("supplier_key", "supplier_name", F.col("nation_key").alias("_sk_nation"))
-    return checked_broadcast(
-        sup.join(nat, sup["_sk_nation"] == nat["_snk"], "left").select("supplier_key", "supplier_name", "supplier_nation")
+    return sup.join(broadcast_reference(nat), sup["_sk_nation"] == nat["_snk"], "left").select(
+        "supplier_key", "supplier_name", "supplier_nation"
     )
 
 
@@ -116,7 +116,7 @@ def line_items_enriched(
     line_items: DataFrame, parts: DataFrame, suppliers: DataFrame, nations: DataFrame
 ) -> DataFrame:
     """Line items LEFT parts LEFT suppliers LEFT supplier nation, plus prices."""
-    prt = checked_broadcast(parts.select("part_key", "part_name", "manufacturer", "brand", "part_type", "retail_price"))
+    prt = parts.select("part_key", "part_name", "manufacturer", "brand", "part_type", "retail_price")
     sup = supplier_nations(suppliers, nations)
     return (
         priced_line_items(line_items)
@@ -126,10 +126,6 @@ def line_items_enriched(
     )
 
 
-class DuplicateLabelKey(ValueError):
-    pass
-
-
 def with_segment_label(
     df: DataFrame,
     labels: DataFrame,
@@ -138,23 +134,18 @@ def with_segment_label(
 ) -> DataFrame:
     """Display label of a segment code, falling back to the code itself.
 
-    Behaves like a scalar lookup: more than one label for a code is an error,
-    never a silent fan-out. The check runs on the (small) label table."""
-    dup = (
+    Behaves like a scalar lookup: a row whose code has more than one label is
+    an error when it is computed, never a silent fan-out."""
+    lab = (
         labels.where(F.col("market_segment").isNotNull())
-        .groupBy("market_segment")
-        .count()
-        .where(F.col("count") > 1)
-        .limit(1)
-        .count()
-    )
-    if dup:
-        raise DuplicateLabelKey("market_segment_labels has more than one label for a segment")
-    lab = checked_broadcast(
-        labels.select(F.col("market_segment").alias("_lbl_key"), F.col("display_label").alias("_lbl"))
+        .groupBy(F.col("market_segment").alias("_lbl_key"))
+        .agg(F.min("display_label").alias("_lbl"), F.count(F.lit(1)).alias("_lbl_n"))
     )
+    twice = F.raise_error(F.concat(F.lit("market_segment_labels has more than one label for "), F.col("_lbl_key")))
     return (
-        df.join(lab, df[segment_col] == lab["_lbl_key"], "left")
-        .withColumn(out_col, F.coalesce(F.col("_lbl"), F.col(segment_col)))
-        .drop("_lbl_key", "_lbl")
+        df.join(broadcast_reference(lab), df[segment_col] == lab["_lbl_key"], "left")
+        .withColumn(
+            out_col, F.when(F.col("_lbl_n") > 1, twice.cast("string")).otherwise(F.coalesce(F.col("_lbl"), F.col(segment_col)))
+        )
+        .drop("_lbl_key", "_lbl", "_lbl_n")
     )

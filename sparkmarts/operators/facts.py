@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmarts.functions.columns import ratio, surrogate_key
-from sparkmarts.functions.joins import broadcast_keys
 from sparkmarts.operators.enrich import priced_line_items
 
 FCT_ORDERS_COLUMNS = [
@@ -65,7 +64,7 @@ def fct_orders(orders_enriched: DataFrame, line_items: DataFrame, restrict_to_or
     semi-joined to the given orders before aggregating."""
     li = priced_line_items(line_items)
     if restrict_to_orders:
-        li = li.join(broadcast_keys(orders_enriched, ["order_key"]), "order_key", "left_semi")
+        li = li.join(orders_enriched.select("order_key"), "order_key", "left_semi")
     rollup = order_line_rollup(li)
     return (
         orders_enriched.join(rollup, "order_key", "left")
@@ -111,6 +110,18 @@ def fct_returns(line_items_enriched: DataFrame, orders_enriched: DataFrame) -> D
     )
 
 
+def order_measures(orders: DataFrame, line_items: DataFrame) -> DataFrame:
+    """order_key, customer_key and the line-item rollup of every order: the
+    order fact without its customer attributes, for reports that read none."""
+    return orders.select("order_key", "customer_key").join(order_line_rollup(line_items), "order_key", "left")
+
+
+def sold_lines(line_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Priced line items of the given orders with their order date; no
+    customer, part or supplier attributes."""
+    return priced_line_items(line_items).join(orders.select("order_key", "order_date"), "order_key", "inner")
+
+
 def order_lines(line_items: DataFrame, orders_enriched: DataFrame) -> DataFrame:
     """The line-item fact without part and supplier attributes: priced line
     items inner-joined to their order context. The same rows as
@@ -120,13 +131,10 @@ def order_lines(line_items: DataFrame, orders_enriched: DataFrame) -> DataFrame:
     return priced_line_items(line_items).join(_order_context(orders_enriched, True), "order_key", "inner")
 
 
-def returned_lines(line_items: DataFrame, orders_enriched: DataFrame) -> DataFrame:
-    """The returns fact's measures and order context, without part and
-    supplier attributes (see :func:`order_lines`)."""
-    returned = priced_line_items(line_items).where(F.col("return_flag") == "R")
-    return returned.join(_order_context(orders_enriched, False), "order_key", "inner").select(
-        "order_key", "line_number", "part_key", "supplier_key", "order_date", "customer_key",
-        "customer_nation", "customer_region", "sales_region",
+def returned_lines(line_items: DataFrame, orders: DataFrame) -> DataFrame:
+    """The measures of the returns fact with the order date."""
+    return sold_lines(line_items, orders).where(F.col("return_flag") == "R").select(
+        "order_key", "line_number", "part_key", "supplier_key", "order_date",
         F.col("quantity").alias("returned_quantity"),
         F.col("extended_price").alias("returned_gross_amount"),
         F.col("discounted_price").alias("returned_net_amount"),

@@ -1,8 +1,7 @@
 """Source freshness: how old is the newest data of a table?
 
 By a load-time column (``max(column)``, optionally over a row filter) or, for
-tables without one, by storage metadata (the newest file modification time,
-read from Parquet's ``_metadata`` column; no data pages are read). The clock
+tables without one, by storage metadata (the newest file modification time). The clock
 is passed in, so runs are repeatable. Ages are compared in whole
 microseconds: status is ``error`` when older than the error threshold,
 ``warn`` when older than the warn threshold, else ``pass``; a table without
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmarts.settings import DEFAULT_SETTINGS, Freshness
-from sparkmarts.sources.readers import read_source
+from sparkmarts.sources.readers import read_source, source_path
 
 HOUR_US = 3_600_000_000
 
@@ -63,11 +62,11 @@ def freshness_by_column(
     return _classify(latest, name, now, thresholds)
 
 
-def freshness_by_files(df: DataFrame, name: str, now: dt.datetime, thresholds: Freshness) -> DataFrame:
-    """One row from file metadata of a file-based DataFrame (e.g. Parquet)."""
-    latest = df.select(F.col("_metadata.file_modification_time").alias("_mtime")).agg(
-        F.max(F.col("_mtime").cast("timestamp_ntz")).alias("max_loaded_at")
-    )
+def freshness_by_files(spark: SparkSession, path: str, name: str, now: dt.datetime, thresholds: Freshness) -> DataFrame:
+    """One row from the modification times of the table's files: a listing,
+    no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    latest = files.load(path).agg(F.max(F.col("modificationTime").cast("timestamp_ntz")).alias("max_loaded_at"))
     return _classify(latest, name, now, thresholds)
 
 
@@ -79,18 +78,18 @@ def freshness_report(
     loaded_at: dict[str, tuple[str, str | None]] | None = None,
     settings=DEFAULT_SETTINGS,
 ) -> DataFrame:
-    """One row per table: by ``loaded_at[table] = (column, filter)`` when
-    given, else by file metadata with the default thresholds."""
-    loaded_at = loaded_at or {}
+    """One row per table: by ``loaded_at[table] = (column, filter)``, by
+    default that of the settings where the table has the column, else by its
+    files; always with the table's own thresholds."""
     rows = []
     for t in tables:
-        df = read_source(spark, root, t)
         th = settings.table_freshness.get(t, settings.default_freshness)
-        if t in loaded_at:
-            col, flt = loaded_at[t]
+        df = read_source(spark, root, t)
+        col, flt = (loaded_at or {}).get(t) or settings.table_loaded_at.get(t, (None, None))
+        if t in (loaded_at or {}) or col in df.columns:
             rows.append(freshness_by_column(df, t, col, now, th, flt))
         else:
-            rows.append(freshness_by_files(df, t, now, settings.default_freshness))
+            rows.append(freshness_by_files(spark, source_path(root, t), t, now, th))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)

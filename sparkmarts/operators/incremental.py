@@ -9,10 +9,10 @@ partitions with dynamic partition overwrite:
 2. touched partitions = partitions of the batch, plus partitions holding
    target rows whose key occurs in the batch (a key may move between months);
 3. new contents of the touched partitions = their target rows without the
-   batch keys (left anti join), plus the batch;
-4. a dynamic-overwrite write replaces just those partitions; a touched
-   partition left without rows is deleted afterwards (dynamic overwrite
-   would keep its old files).
+   batch keys (left anti join), plus the batch, written to a hidden folder;
+4. :mod:`sparkmarts.sources.commit` then replaces just those partitions in a
+   way that a crash at any point is finished by the next load; a touched
+   partition left without rows is deleted (dynamic overwrite would keep it).
 
 Semantics kept on purpose: NULL keys never match, so such rows are appended
 again; duplicate keys inside a batch are all inserted; the high-water mark is
@@ -28,9 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from sparkmarts.functions.joins import broadcast_keys
-from sparkmarts.session import scratch_path
-from sparkmarts.sources.readers import delete_path, list_partition_dirs, table_exists
+from sparkmarts.sources.commit import committed, recover, replace_partitions, staging_path
+from sparkmarts.sources.readers import delete_path, list_partition_dirs
 
 log = logging.getLogger(__name__)
 
@@ -45,16 +44,19 @@ EMPTY_TARGET_SCHEMA = "order_date date, order_year int, order_month int"
 
 
 def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The stored target; None when it does not exist; an empty DataFrame
-    when the folder exists without data files."""
-    if not table_exists(spark, path):
+    """The stored target, after finishing an interrupted load; None when no
+    write of it ever finished; an empty DataFrame when it holds no data files."""
+    recover(spark, path)
+    if not committed(spark, path):
         return None
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     try:
         return reader.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return spark.createDataFrame([], schema or EMPTY_TARGET_SCHEMA)
 
 
@@ -130,12 +132,6 @@ def month_lookback_batch(
     return items.where(cond)
 
 
-def _stage_batch(spark: SparkSession, batch: DataFrame) -> tuple[DataFrame, str]:
-    path = scratch_path(spark, "batch")
-    batch.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), path
-
-
 def _partition_filter(partition_cols: Sequence[str], values: list[tuple]) -> Column:
     cond = F.lit(False)
     for vals in values:
@@ -149,18 +145,25 @@ def _partition_filter(partition_cols: Sequence[str], values: list[tuple]) -> Col
 def _partition_dir(partition_cols: Sequence[str], vals: tuple) -> str:
     parts = []
     for c, v in zip(partition_cols, vals):
-        parts.append(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")
+        parts.append(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")  # months need no escaping
     return "/".join(parts)
 
 
-def _write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], dynamic: bool) -> None:
+def _write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str]) -> None:
     # REBALANCE: one shuffle by the partition columns; AQE splits large
     # partitions and merges small ones to the advisory size, so each month
     # gets a few right-sized files instead of one file per task and month.
-    w = df.hint("rebalance", *partition_by).write.mode("overwrite")
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.partitionBy(*partition_by).parquet(path)
+    # Sorted files let a batch's key range skip row groups.
+    rows = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+
+
+def _partition_folders(spark: SparkSession, path: str, depth: int) -> set[str]:
+    """Relative partition folders (``a=1/b=2``) under a stored table."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{x}/{d}".strip("/") for x in found for d in list_partition_dirs(spark, f"{path.rstrip('/')}/{x}")]
+    return set(found)
 
 
 def delete_insert(
@@ -178,35 +181,42 @@ def delete_insert(
     the monthly aggregates) skips the scan for keys stored in other
     partitions. ``locate_by``: a coarser key implied by the unique key (e.g.
     order_key for a key hashed from order_key and line number) used only to
-    find those partitions, so the scan reads a compact column. Returns a
-    small summary dict."""
+    find those partitions, so the scan reads a compact column; the batch's
+    range of its first column is pushed into that scan, whose files are sorted
+    by it. Partition columns must have few values, such as months: the touched
+    ones are listed on the driver. Returns a small summary dict."""
     unique_key, partition_by = list(unique_key), list(partition_by)
     locate = list(locate_by or unique_key)
-    if not table_exists(spark, target_path):
-        _write_partitioned(batch, target_path, partition_by, dynamic=False)
+    base = target_path.rstrip("/")
+    recover(spark, base)
+    if not committed(spark, base):
+        _write_partitioned(batch, base, partition_by, locate)
         return {"mode": "create", "touched_partitions": None}
-    staged, staged_path = _stage_batch(spark, batch)
+    # written once: a retry after an executor loss re-reads it
+    staged_path, new_path = staging_path(base), staging_path(base)
+    batch.write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.schema(batch.schema).parquet(staged_path)
     try:
-        target = spark.read.schema(staged.schema).parquet(target_path)
+        target = spark.read.schema(staged.schema).parquet(base)
         # NULL key parts never match the equi-joins below: such target rows stay
         touched_df = staged.select(*partition_by).distinct()
         if keys_may_move:
-            moved = target.join(broadcast_keys(staged, locate), locate, "left_semi").select(*partition_by).distinct()
+            lo, hi = staged.agg(F.min(locate[0]), F.max(locate[0])).first()
+            near = target.where(F.col(locate[0]).between(F.lit(lo), F.lit(hi))) if lo is not None else target.where("false")
+            moved = near.join(staged.select(*locate), locate, "left_semi").select(*partition_by).distinct()
             touched_df = touched_df.union(moved).distinct()
-        # bounded by the number of partitions (months), not by the data
         touched = [tuple(r) for r in touched_df.collect()]
         if not touched:
             return {"mode": "noop", "touched_partitions": []}
-
         kept = target.where(_partition_filter(partition_by, touched)).join(
-            broadcast_keys(staged, unique_key), unique_key, "left_anti"
+            staged.select(*unique_key), unique_key, "left_anti"
+        )
+        _write_partitioned(kept.unionByName(staged), new_path, partition_by, locate)
+        present = _partition_folders(spark, new_path, len(partition_by))
+        emptied = [t for t in touched if _partition_dir(partition_by, t) not in present]
+        replace_partitions(
+            spark, base, new_path, staged, partition_by, [_partition_dir(partition_by, t) for t in emptied]
         )
-        new = kept.unionByName(staged)
-        present = {tuple(r) for r in new.select(*partition_by).distinct().collect()}
-        _write_partitioned(new, target_path, partition_by, dynamic=True)
-        emptied = [t for t in touched if t not in present]
-        for vals in emptied:
-            delete_path(spark, f"{target_path.rstrip('/')}/{_partition_dir(partition_by, vals)}")
         return {"mode": "delete+insert", "touched_partitions": sorted(map(str, touched)), "emptied": emptied}
     finally:
         delete_path(spark, staged_path)

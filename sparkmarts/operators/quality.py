@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmarts.functions.joins import broadcast_keys
 from sparkmarts.settings import DEFAULT_SETTINGS
 from sparkmarts.sources.sinks import store_failures
 
@@ -51,7 +50,7 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence) -> Da
 
 def relationships_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-NULL ``column`` has no match in the parent."""
-    keys = broadcast_keys(parent.select(F.col(parent_column).alias("_parent_key")), ["_parent_key"])
+    keys = parent.select(F.col(parent_column).alias("_parent_key"))
     return child.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_parent_key"), "left_anti")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmarts.functions.columns import ratio
-from sparkmarts.functions.joins import checked_broadcast
+from sparkmarts.functions.joins import broadcast_reference
 from sparkmarts.session import work_dir
 
 
@@ -182,10 +182,10 @@ def convert_to_usd(
     fx_rates: DataFrame,
     out_col: str | None = None,
 ) -> DataFrame:
-    """``amount * usd_rate`` of the row's currency (broadcast lookup, size
-    checked); unknown or NULL codes give NULL."""
+    """``amount * usd_rate`` of the row's currency (a broadcast lookup
+    while the rates are proven small); unknown or NULL codes give NULL."""
     out_col = out_col or f"{amount_col}_usd"
-    fx = checked_broadcast(
+    fx = broadcast_reference(
         fx_rates.select(F.col("currency_code").alias("_fx_code"), F.col("usd_rate").alias("_fx_rate"))
     )
     return (

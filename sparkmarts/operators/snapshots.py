@@ -3,10 +3,13 @@
 Storage: a Parquet folder partitioned by ``_state``. ``_state=current`` holds
 the open versions; the versions closed by a load go to
 ``_state=closed_<load time>``. A load reads only the current partition, joins
-it with the new extract on the key, and writes one dynamic-overwrite job that
-replaces the current partition and adds the closed partition of this load, so
-the cost of a load follows the size of the entity table, not of its history.
-Re-running the same load is a no-op (nothing differs, nothing is closed).
+it with the new extract on the key, and replaces the current partition and
+adds the closed partition of this load (see :mod:`sparkmarts.sources.commit`: a
+crash is finished by the next load), so the cost of a load follows the size of
+the entity table, not of its history. Load times count to the microsecond.
+Re-running the same load is a no-op (nothing differs, nothing is closed); a
+different load with the time of an applied one is refused, and so is an
+extract with NULL or repeated keys.
 
 Rules: a version opens for a new key and for a key whose checked columns
 differ (NULL-safe: NULL <-> value is a change); changes in other columns open
@@ -20,8 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmarts.session import scratch_path
-from sparkmarts.sources.readers import delete_path, table_exists
+from sparkmarts.sources.commit import committed, recover, replace_partitions, staging_path
+from sparkmarts.sources.readers import delete_path
 
 STATE = "_state"
 CURRENT = "current"
@@ -46,7 +49,21 @@ def scd_id(key: str, valid_from: Column) -> Column:
 
 
 def _ts(t: dt.datetime) -> Column:
-    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return F.lit(t.isoformat(" ")).cast("timestamp_ntz")
+
+
+def _utc(t: dt.datetime) -> dt.datetime:
+    return t if t.tzinfo is None else t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+
+class BadKeys(ValueError):
+    pass
+
+
+def _check_keys(extract: DataFrame, key: str) -> None:
+    bad = extract.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).select(key).head(1)
+    if bad:
+        raise BadKeys(f"the extract has a NULL or repeated {key}: {bad[0][0]}")
 
 
 def _open_versions(df: DataFrame, key: str, columns: Sequence[str], load_ts: dt.datetime) -> DataFrame:
@@ -71,27 +88,31 @@ def snapshot_check(
 ) -> dict:
     """Apply one extract of the entity table to its history at ``snapshot_path``."""
     columns = list(columns or extract.columns)
-    closed_state = "closed_" + load_ts.strftime("%Y%m%dT%H%M%S")
+    load_ts = _utc(load_ts)
+    closed_state = "closed_" + load_ts.strftime("%Y%m%dT%H%M%S%f")
     ext = extract.select(*columns)
+    base = snapshot_path.rstrip("/")
+    _check_keys(ext, key)
+    recover(spark, base)
 
-    if not table_exists(spark, snapshot_path):
+    if not committed(spark, base):
         first = _open_versions(ext, key, columns, load_ts).withColumn(STATE, F.lit(CURRENT))
-        first.write.mode("overwrite").partitionBy(STATE).parquet(snapshot_path)
+        first.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(STATE).parquet(base)
         return {"mode": "create"}
 
-    current = spark.read.parquet(snapshot_path).where(F.col(STATE) == CURRENT).drop(STATE)
+    current = spark.read.parquet(base).where(F.col(STATE) == CURRENT).drop(STATE)
     latest = current.agg(F.max("valid_from")).first()[0]  # one column of the current versions
     if latest is not None and load_ts < latest:
         raise ValueError(f"load time {load_ts} is earlier than the latest version ({latest})")
-    c = current.alias("c")
-    n = ext.alias("n")
+    c = current.withColumn("_stored", F.lit(True)).alias("c")
+    n = ext.withColumn("_arrived", F.lit(True)).alias("n")
     joined = c.join(n, F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer")
     differs = F.lit(False)
     for col in check_cols:
         differs = differs | ~F.col(f"c.{col}").eqNullSafe(F.col(f"n.{col}"))
     status = (
-        F.when(F.col(f"c.{key}").isNull(), F.lit("new"))
-        .when(F.col(f"n.{key}").isNull(), F.lit("missing"))
+        F.when(F.col("_stored").isNull(), F.lit("new"))
+        .when(F.col("_arrived").isNull(), F.lit("missing"))
         .when(differs, F.lit("changed"))
         .otherwise(F.lit("same"))
     )
@@ -109,28 +130,14 @@ def snapshot_check(
         classified.where(F.col("_status").isin("new", "changed")).select(*[F.col(f"n.{x}").alias(x) for x in columns]),
         key, columns, load_ts,
     )
-    new_current = kept_open.unionByName(opened).withColumn(STATE, F.lit(CURRENT))
-    out = new_current.unionByName(closed)
-    # Stage once in the shared work folder: the writes below replace the
-    # partition it was computed from.
-    staged_path = scratch_path(spark, "snapshot")
-    out.write.mode("overwrite").parquet(staged_path)
-    try:
-        staged = spark.read.parquet(staged_path)
-        closing = staged.where(F.col(STATE) != CURRENT)
-        if latest == load_ts and not closing.isEmpty():
-            raise ValueError(f"a different load with time {load_ts} was already applied")
-        # Closed versions first (a re-run after a failure rewrites the same
-        # partition), then the current versions.
-        for part in (closing, staged.where(F.col(STATE) == CURRENT)):
-            (
-                part.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(STATE)
-                .parquet(snapshot_path)
-            )
-    finally:
-        delete_path(spark, staged_path)
+    out = kept_open.unionByName(opened).withColumn(STATE, F.lit(CURRENT)).unionByName(closed)
+    staged = staging_path(base)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(STATE).parquet(staged)
+    closing = spark.read.schema(out.schema).parquet(staged).where(F.col(STATE) != CURRENT)
+    if latest == load_ts and not closing.isEmpty():
+        delete_path(spark, staged)
+        raise ValueError(f"a different load with time {load_ts} was already applied")
+    replace_partitions(spark, base, staged, out, [STATE])
     return {"mode": "update", "closed_state": closed_state}
 
 

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkmarts.operators import quality, snapshots
 from sparkmarts.plans import loads
 from sparkmarts.plans.warehouse import Warehouse
-from sparkmarts.session import scratch_path
-from sparkmarts.sources.readers import SOURCE_TABLES, delete_path, source_path, table_exists
+from sparkmarts.sources.readers import SOURCE_TABLES, delete_path, source_exists
 from sparkmarts.sources.sinks import save_table
 
 FACTS = ("fct_orders", "fct_order_items", "fct_returns")
@@ -39,17 +38,13 @@ def build_all(
         for p in path.values():
             delete_path(spark, p)
 
-    # The enriched orders feed all three facts: written once to the shared
-    # work folder (a cut in the lineage, and column pruning on each read).
-    oe_path = scratch_path(spark, "orders_enriched")
-    warehouse.orders_enriched.write.parquet(oe_path)
-    try:
-        oe = spark.read.parquet(oe_path)
-        loads.load_fct_orders(spark, oe, warehouse.line_items, path["fct_orders"])
-        loads.load_fct_order_items(spark, warehouse.line_items_enriched, oe, path["fct_order_items"])
-        loads.load_fct_returns(spark, warehouse.line_items_enriched, oe, path["fct_returns"])
-    finally:
-        delete_path(spark, oe_path)
+    # each load cuts orders by its mark, and lines by the orders left, before enriching them
+    o, lines = warehouse.orders, warehouse.line_items
+    on = {"enrich_orders": warehouse.enrich_orders}
+    loads.load_fct_orders(spark, o, lines, path["fct_orders"], **on)
+    on["enrich"] = warehouse.enrich_line_items
+    loads.load_fct_order_items(spark, lines, o, path["fct_order_items"], **on)
+    loads.load_fct_returns(spark, lines, o, path["fct_returns"], **on)
 
     save_table(warehouse.dim_customers, f"{out}/dim_customers")
     save_table(warehouse.dim_suppliers, f"{out}/dim_suppliers")
@@ -79,7 +74,7 @@ def check_relations(spark: SparkSession, warehouse: Warehouse, out: str) -> dict
     history, and the seeds in use."""
     rel: dict[str, DataFrame] = {}
     for t in SOURCE_TABLES:
-        if table_exists(spark, source_path(warehouse.root, t)):
+        if source_exists(spark, warehouse.root, t):
             rel[f"source.{t}"] = warehouse.raw(t)
     staged = {
         "stg_customers": "customers", "stg_orders": "orders", "stg_line_items": "line_items",

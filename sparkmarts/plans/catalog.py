@@ -7,6 +7,7 @@ value by value (the oracle SQL does the same)."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from sparkmarts.plans.warehouse import Warehouse
 from sparkmarts.session import scratch_path
 from sparkmarts.settings import Freshness
 from sparkmarts.sources import landing
+from sparkmarts.sources.sinks import save_table, store_failures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -50,9 +52,8 @@ _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The synthetic extracts lack several columns and use coded nation names.
 
-    One Warehouse per (application, folder): its lazy plans and the one-time
-    size checks of the small tables are shared by all queries, as when one
-    job builds every mart."""
+    One Warehouse per (application, folder): its lazy plans are shared by all
+    queries, as when one job builds every mart."""
     key = (spark.sparkContext.applicationId, sf_dir)
     wh = _WAREHOUSES.get(key)
     if wh is None:
@@ -148,7 +149,7 @@ def q_supplier_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("top_customers")
 def q_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    return decimals_as_double(reports.top_customers(wh.fct_orders, wh.dim_customers, 50))
+    return decimals_as_double(reports.top_customers(wh.order_measures, wh.dim_customers, 50))
 
 
 @query("returns_alert")
@@ -161,7 +162,7 @@ def q_returns_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("supplier_scorecard")
 def q_supplier_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    return decimals_as_double(reports.supplier_scorecard(wh.dim_suppliers, wh.order_lines))
+    return decimals_as_double(reports.supplier_scorecard(wh.dim_suppliers, wh.sold_lines))
 
 
 @query("convert_to_usd")
@@ -177,9 +178,7 @@ def q_convert_to_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_order_loads(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
-    o1 = wh.enrich_orders(scenarios.orders_load1(wh.orders))
-    o2 = wh.enrich_orders(scenarios.orders_load2(wh.orders))
-    return o1, o2
+    return scenarios.orders_load1(wh.orders), scenarios.orders_load2(wh.orders)
 
 
 @query("fct_orders_incremental")
@@ -187,8 +186,8 @@ def q_fct_orders_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
     path = scratch_path(spark, "fct_orders")
     o1, o2 = _two_order_loads(wh)
-    loads.load_fct_orders(spark, o1, wh.line_items, path)
-    loads.load_fct_orders(spark, o2, wh.line_items, path)
+    for o in (o1, o2):
+        loads.load_fct_orders(spark, o, wh.line_items, path, enrich_orders=wh.enrich_orders)
     return decimals_as_double(read_fact(spark, path))
 
 
@@ -197,8 +196,10 @@ def q_fct_order_items_incremental(spark: SparkSession, sf_dir: str) -> DataFrame
     wh = warehouse(spark, sf_dir)
     path = scratch_path(spark, "fct_order_items")
     o1, o2 = _two_order_loads(wh)
-    loads.load_fct_order_items(spark, wh.line_items_enriched, o1, path)
-    loads.load_fct_order_items(spark, wh.line_items_enriched, o2, path)
+    for o in (o1, o2):
+        loads.load_fct_order_items(
+            spark, wh.line_items, o, path, enrich=wh.enrich_line_items, enrich_orders=wh.enrich_orders
+        )
     return decimals_as_double(read_fact(spark, path))
 
 
@@ -207,8 +208,10 @@ def q_fct_returns_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
     path = scratch_path(spark, "fct_returns")
     o1, o2 = _two_order_loads(wh)
-    loads.load_fct_returns(spark, wh.line_items_enriched, o1, path)
-    loads.load_fct_returns(spark, wh.line_items_enriched, o2, path)
+    for o in (o1, o2):
+        loads.load_fct_returns(
+            spark, wh.line_items, o, path, enrich=wh.enrich_line_items, enrich_orders=wh.enrich_orders
+        )
     return decimals_as_double(read_fact(spark, path))
 
 
@@ -217,7 +220,7 @@ def _revenue_incremental(spark: SparkSession, sf_dir: str, loader, name: str) ->
     path = scratch_path(spark, name)
     items1 = wh.fct_order_items.where(F.col("order_date") < F.lit(scenarios.AGG_LOAD1_BEFORE))
     _, o2 = _two_order_loads(wh)
-    items2 = facts.fct_order_items(wh.line_items_enriched, o2)
+    items2 = facts.fct_order_items(wh.line_items_enriched, wh.enrich_orders(o2))
     loader(spark, items1, path)
     loader(spark, items2, path)
     return decimals_as_double(spark.read.parquet(path))
@@ -297,7 +300,7 @@ def q_dq_valid_currency_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dq_gross_gte_net")
 def q_dq_gross_gte_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = warehouse(spark, sf_dir)
-    fo = facts.fct_orders(wh.orders_enriched, scenarios.planted_negative_discount(wh.line_items))
+    fo = facts.order_measures(wh.orders, scenarios.planted_negative_discount(wh.line_items))
     return decimals_as_double(quality.gross_gte_net_failures(fo))
 
 
@@ -361,14 +364,24 @@ def q_freshness_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("freshness_by_files")
 def q_freshness_by_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows-only check: the result depends on file modification times."""
-    tables = ["customer", "orders", "lineitem", "supplier", "part", "nation", "region"]
-    return freshness.freshness_report(spark, sf_dir, tables, scenarios.FRESHNESS_NOW)
+    """Status by the files' own times at two clocks, one before and one after any file."""
+    parts = []
+    for clock in (dt.datetime(2000, 1, 1), dt.datetime(2200, 1, 1)):
+        report = freshness.freshness_report(spark, sf_dir, LANDED, clock)
+        parts.append(report.select("source_name", F.lit(str(clock.date())).alias("clock"), "status"))
+    return parts[0].unionByName(parts[1])
+
+
+@query("freshness_configured")
+def q_freshness_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The configured load-time column and filter, on landed orders to which a batch was appended."""
+    dst = _landed_with_batch(spark, sf_dir)
+    report = freshness.freshness_report(spark, dst, ["orders"], scenarios.FRESHNESS_NOW)
+    return report.select("source_name", "max_loaded_at", "warn_after_hours", "error_after_hours", "status")
 
 
 @query("table_fingerprint")
 def q_table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows-only check: 64-bit row hashes have no equal in the oracle engine."""
     return changes.table_fingerprint(warehouse(spark, sf_dir).line_items, ["return_flag"])
 
 
@@ -407,8 +420,8 @@ def q_land_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query("append_next_keys")
-def q_append_next_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _landed_with_batch(spark: SparkSession, sf_dir: str) -> str:
+    """A root whose orders table got a batch of copies with new keys."""
     dst = scratch_path(spark, "landed")
     landing.land_tables(spark, sf_dir, dst, ["orders"])
     target = f"{dst}/orders.parquet"
@@ -419,7 +432,57 @@ def q_append_next_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing.append_with_next_keys(
         spark, target, spark.read.parquet(batch_path), "o_orderkey", scenarios.APPEND_LOADED_AT, ["o_orderkey"]
     )
-    return spark.read.option("mergeSchema", "true").parquet(target)
+    # one schema for old and new files, so that any reader sees the new column
+    merged = spark.read.option("mergeSchema", "true").parquet(target)
+    final = scratch_path(spark, "landed-merged")
+    save_table(merged, f"{final}/orders.parquet")
+    return final
+
+
+@query("append_next_keys")
+def q_append_next_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_landed_with_batch(spark, sf_dir)}/orders.parquet")
+
+
+@query("reload_table")
+def q_reload_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and key sums after each way of reloading landed tables."""
+    parts = []
+    for method in landing.RELOAD_METHODS:
+        dst = scratch_path(spark, "reloaded")
+        tables = {"customer": "c_custkey", "orders": "o_orderkey"}
+        landing.land_tables(spark, sf_dir, dst, list(tables))
+        landing.reload_table(spark, sf_dir, dst, list(tables), method)
+        for t, key in tables.items():
+            parts.append(
+                spark.read.parquet(f"{dst}/{t}.parquet").agg(
+                    F.lit(method).alias("method"), F.lit(t).alias("table_name"),
+                    F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"),
+                )
+            )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("save_table")
+def q_save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned full replace whose new data lacks one of the old partitions."""
+    orders = warehouse(spark, sf_dir).orders
+    path = scratch_path(spark, "saved")
+    save_table(orders, path, ["status_code"])
+    save_table(orders.where("status_code <> 'P'"), path, ["status_code"])
+    return spark.read.parquet(path).groupBy("status_code").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("store_failures")
+def q_store_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failing rows of a check, as stored."""
+    cust = scenarios.planted_null_names(warehouse(spark, sf_dir).customers)
+    path = scratch_path(spark, "failures")
+    store_failures(quality.not_null_failures(cust, "customer_name"), path)
+    return decimals_as_double(spark.read.parquet(path))
 
 
 # -- seeds, as applied to the values that occur in the given tables -----------------------

@@ -3,7 +3,11 @@ month-partitioned Parquet targets (first run = full build)."""
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sparkmarts.operators import aggregates, facts
 from sparkmarts.operators.incremental import (
@@ -16,6 +20,9 @@ from sparkmarts.operators.incremental import (
 )
 from sparkmarts.sources.readers import latest_partition
 
+log = logging.getLogger(__name__)
+Enrich = Callable[[DataFrame], DataFrame]
+
 
 def _latest_month(spark: SparkSession, target_path: str) -> str | None:
     """Newest order_month partition of a stored fact (folder listing only)."""
@@ -23,40 +30,79 @@ def _latest_month(spark: SparkSession, target_path: str) -> str | None:
     return latest[0] if latest else None
 
 
+def new_orders(spark: SparkSession, orders: DataFrame, target_path: str, lookback_days: int = 0) -> tuple[DataFrame, bool]:
+    """Orders past the stored fact's high-water mark, and whether there is a
+    stored fact. Only columns of ``orders`` itself are read, so the mark cuts
+    the rows before any enrichment."""
+    target = read_target(spark, target_path)
+    rows = high_water_batch(orders, target, "order_date", lookback_days, _latest_month(spark, target_path))
+    return rows, target is not None
+
+
+def late_orders(orders: DataFrame, stored: DataFrame) -> DataFrame:
+    """Orders that the strict mark passes over: dated up to the stored maximum,
+    but not stored. For reports after a load; ``lookback_days`` loads them."""
+    mark = stored.agg(F.max("order_date")).scalar()
+    return orders.where(F.col("order_date") <= mark).join(stored.select("order_key"), "order_key", "left_anti")
+
+
+def _lines_of(line_items: DataFrame, orders: DataFrame, incremental: bool) -> DataFrame:
+    """Lines of the given orders, cut before anything is joined to them."""
+    return line_items.join(orders.select("order_key"), "order_key", "left_semi") if incremental else line_items
+
+
+def store_fct_orders(spark: SparkSession, orders_enriched: DataFrame, line_items: DataFrame, target_path: str, some: bool) -> dict:
+    batch = facts.fct_orders(orders_enriched, line_items, restrict_to_orders=some)
+    return delete_insert(spark, with_month_partition(batch), target_path, ["order_key"], [MONTH_PARTITION])
+
+
+def _store_lines(spark, fact, orders_enriched, line_items, target_path, some, enrich) -> dict:
+    lines = _lines_of(line_items, orders_enriched, some)
+    batch = fact(enrich(lines) if enrich else lines, orders_enriched)
+    return delete_insert(
+        spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
+    )
+
+
+def store_fct_order_items(spark, orders_enriched, line_items, target_path, some: bool, enrich: Enrich | None = None) -> dict:
+    return _store_lines(spark, facts.fct_order_items, orders_enriched, line_items, target_path, some, enrich)
+
+
+def store_fct_returns(spark, orders_enriched, line_items, target_path, some: bool, enrich: Enrich | None = None) -> dict:
+    return _store_lines(spark, facts.fct_returns, orders_enriched, line_items, target_path, some, enrich)
+
+
 def load_fct_orders(
-    spark: SparkSession, orders_enriched: DataFrame, line_items: DataFrame, target_path: str, lookback_days: int = 0
+    spark: SparkSession, orders: DataFrame, line_items: DataFrame, target_path: str, lookback_days: int = 0,
+    enrich_orders: Enrich | None = None,
 ) -> dict:
     """Orders newer than the target's latest order date, rolled up from only
     their own line items (semi join before the aggregation), delete+insert
-    by order_key."""
-    target = read_target(spark, target_path)
-    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days, _latest_month(spark, target_path))
-    batch = facts.fct_orders(new_orders, line_items, restrict_to_orders=target is not None)
-    return delete_insert(spark, with_month_partition(batch), target_path, ["order_key"], [MONTH_PARTITION])
+    by order_key. ``orders`` are enriched already, or ``enrich_orders`` does it
+    after the mark has cut them."""
+    rows, some = new_orders(spark, orders, target_path, lookback_days)
+    return store_fct_orders(spark, enrich_orders(rows) if enrich_orders else rows, line_items, target_path, some)
 
 
 def load_fct_order_items(
-    spark: SparkSession, line_items_enriched: DataFrame, orders_enriched: DataFrame, target_path: str,
-    lookback_days: int = 0,
+    spark: SparkSession, line_items: DataFrame, orders: DataFrame, target_path: str, lookback_days: int = 0,
+    enrich: Enrich | None = None, enrich_orders: Enrich | None = None,
 ) -> dict:
-    target = read_target(spark, target_path)
-    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days, _latest_month(spark, target_path))
-    batch = facts.fct_order_items(line_items_enriched, new_orders)
-    return delete_insert(
-        spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
-    )
+    """``line_items`` are enriched already, or ``enrich`` adds part and
+    supplier attributes to the new orders' lines only."""
+    rows, some = new_orders(spark, orders, target_path, lookback_days)
+    rows = enrich_orders(rows) if enrich_orders else rows
+    return store_fct_order_items(spark, rows, line_items, target_path, some, enrich)
 
 
 def load_fct_returns(
-    spark: SparkSession, line_items_enriched: DataFrame, orders_enriched: DataFrame, target_path: str,
-    lookback_days: int = 0,
+    spark: SparkSession, line_items: DataFrame, orders: DataFrame, target_path: str, lookback_days: int = 0,
+    enrich: Enrich | None = None, enrich_orders: Enrich | None = None,
 ) -> dict:
-    target = read_target(spark, target_path)
-    new_orders = high_water_batch(orders_enriched, target, "order_date", lookback_days, _latest_month(spark, target_path))
-    batch = facts.fct_returns(line_items_enriched, new_orders)
-    return delete_insert(
-        spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
-    )
+    """As :func:`load_fct_order_items`, for returned lines."""
+    rows, some = new_orders(spark, orders, target_path, lookback_days)
+    rows = enrich_orders(rows) if enrich_orders else rows
+    return store_fct_returns(spark, rows, line_items, target_path, some, enrich)
 
 
 def load_revenue(

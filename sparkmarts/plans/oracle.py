@@ -7,23 +7,26 @@ decimals and cast to double at the end, as on the Spark side."""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
+from sparkmarts.plans.standins import TPCH_NATIONS
+from sparkmarts.sources.seeds import FX_RATES, MARKET_SEGMENT_LABELS, NATION_REGION_OVERRIDES
+
 NULL_MARKER = "_surrogate_key_null_"
 
-# Sales region of the override seed for the coded nations NATION_0..NATION_14
-# (the TPC-H nation with the same key); written out as the stand-in rule.
-_OVERRIDE_VALUES = ", ".join(
-    f"({k}, '{r}')"
-    for k, r in [
-        (0, "EMEA"), (1, "LATAM"), (2, "LATAM"), (3, "NORTH AMERICA"), (4, "EMEA"),
-        (5, "EMEA"), (6, "EMEA"), (7, "EMEA"), (8, "APAC"), (9, "APAC"),
-        (10, "EMEA"), (11, "EMEA"), (12, "APAC"), (13, "EMEA"), (14, "EMEA"),
-    ]
-)
 
-_LABEL_VALUES = (
-    "('AUTOMOBILE', 'Automobile'), ('BUILDING', 'Building & Construction'), "
-    "('FURNITURE', 'Furniture'), ('HOUSEHOLD', 'Household Goods'), ('MACHINERY', 'Heavy Machinery')"
-)
+
+def _values(rows, take) -> str:
+    """A VALUES list of some columns of the fixed rows."""
+    quote = lambda v: str(v) if isinstance(v, (int, Decimal)) else "'" + v.replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(quote(r[i]) for i in take) + ")" for r in rows)
+
+
+_REGION_OF = {name: (display, region) for name, display, region in NATION_REGION_OVERRIDES}
+# the override seed keyed by nation key, for nation tables whose names are codes
+_CODED = [(key, *_REGION_OF[name]) for key, name in TPCH_NATIONS if name in _REGION_OF]
+_OVERRIDE_VALUES = _values(_CODED, (0, 2))
+_LABEL_VALUES = _values(MARKET_SEGMENT_LABELS, (0, 1))
 
 BASE_CTES = f"""
 stg_customers AS (
@@ -87,31 +90,33 @@ orders_enriched AS (
   FROM stg_orders o
   LEFT JOIN stg_customers c ON o.customer_key = c.customer_key
   LEFT JOIN geography g ON c.nation_key = g.nation_key),
+priced AS (
+  SELECT *, extended_price - extended_price * discount_percentage AS discounted_price,
+         (extended_price - extended_price * discount_percentage) * (tax_rate + 1) AS net_price
+  FROM stg_line_items),
 line_items_enriched AS (
   SELECT li.order_key, li.part_key, li.supplier_key, li.line_number, li.quantity, li.extended_price,
          li.discount_percentage, li.tax_rate,
-         li.extended_price * (1 - li.discount_percentage) AS discounted_price,
-         li.extended_price * (1 - li.discount_percentage) * (1 + li.tax_rate) AS net_price,
-         li.return_flag, li.line_status, li.ship_date, li.commit_date, li.receipt_date,
+         li.discounted_price, li.net_price, li.return_flag, li.line_status, li.ship_date, li.commit_date, li.receipt_date,
          li.ship_instructions, li.ship_mode,
          p.part_name, p.manufacturer, p.brand, p.part_type, p.retail_price,
          s.supplier_name, sn.nation_name AS supplier_nation
-  FROM stg_line_items li
+  FROM priced li
   LEFT JOIN stg_parts p ON li.part_key = p.part_key
   LEFT JOIN stg_suppliers s ON li.supplier_key = s.supplier_key
   LEFT JOIN stg_nations sn ON s.nation_key = sn.nation_key),
-per_order_rollup AS (
-  SELECT order_key, COUNT(*) AS line_item_count, SUM(extended_price) AS gross_revenue,
-         SUM(discounted_price) AS net_revenue, SUM(net_price) AS net_revenue_after_tax,
-         SUM(quantity) AS total_quantity, MIN(ship_date) AS first_ship_date, MAX(ship_date) AS last_ship_date,
-         CAST(SUM(discount_percentage) AS DOUBLE) / COUNT(discount_percentage) AS avg_discount_rate
-  FROM line_items_enriched GROUP BY order_key),
+order_totals AS (
+  SELECT order_key AS k, MIN(ship_date) AS shipped_from, MAX(ship_date) AS shipped_to, SUM(quantity) AS pieces,
+         COUNT(*) AS n, CAST(SUM(discount_percentage) AS DOUBLE) / NULLIF(COUNT(discount_percentage), 0) AS rate,
+         SUM(extended_price) AS before_discount, SUM(discounted_price) AS before_tax, SUM(net_price) AS after_tax
+  FROM priced GROUP BY 1),
 fct_orders AS (
-  SELECT o.order_key, o.customer_key, o.customer_name, o.customer_nation, o.customer_region, o.sales_region,
-         o.market_segment, o.order_date, o.status_code, o.priority_code, o.total_price, o.clerk_name,
-         s.line_item_count, s.gross_revenue, s.net_revenue, s.net_revenue_after_tax, s.total_quantity,
-         s.avg_discount_rate, s.first_ship_date, s.last_ship_date
-  FROM orders_enriched o LEFT JOIN per_order_rollup s ON o.order_key = s.order_key),
+  SELECT e.order_key, e.customer_key, e.customer_name, e.customer_nation, e.customer_region, e.sales_region,
+         e.market_segment, e.order_date, e.status_code, e.priority_code, e.total_price, e.clerk_name,
+         t.n AS line_item_count, t.before_discount AS gross_revenue, t.before_tax AS net_revenue,
+         t.after_tax AS net_revenue_after_tax, t.pieces AS total_quantity, t.rate AS avg_discount_rate,
+         t.shipped_from AS first_ship_date, t.shipped_to AS last_ship_date
+  FROM orders_enriched e LEFT JOIN order_totals t ON t.k = e.order_key),
 fct_order_items AS (
   SELECT md5(concat_ws('-', COALESCE(CAST(li.order_key AS VARCHAR), '{NULL_MARKER}'),
                             COALESCE(CAST(li.line_number AS VARCHAR), '{NULL_MARKER}'))) AS order_item_key,
@@ -267,11 +272,8 @@ ORACLE_SQL: dict[str, str] = {
     key: with_base(select_doubles(rel, cols, decs)) for key, (rel, cols, decs) in RELATIONS.items()
 }
 
-_FX_CODES = "['USD', 'EUR', 'GBP', 'JPY', 'CNY', 'BRL', 'INR', 'RUB', 'CAD', 'ARS', 'SAR', 'XXX', NULL]"
-_FX_VALUES = (
-    "('USD', 1.000), ('EUR', 1.080), ('GBP', 1.260), ('JPY', 0.0067), ('CNY', 0.140), ('BRL', 0.200), "
-    "('INR', 0.012), ('RUB', 0.011), ('CAD', 0.740), ('ARS', 0.0011), ('SAR', 0.270)"
-)
+_FX_CODES = "[" + ", ".join(f"'{code}'" for code, _, _ in FX_RATES) + ", 'XXX', NULL]"
+_FX_VALUES = _values([(code, name, Decimal(rate)) for code, name, rate in FX_RATES], (0, 2))
 FX_CTE = f"""fx_rates AS (
   SELECT code AS currency_code, CAST(rate AS DECIMAL(12,6)) AS usd_rate FROM (VALUES {_FX_VALUES}) AS f(code, rate))"""
 
@@ -311,33 +313,34 @@ FROM (SELECT l_orderkey AS order_key, l_linenumber AS line_number,
 """
 
 ORACLE_SQL["monthly_revenue_trend"] = with_base("""
-SELECT sales_region, order_year, order_month, CAST(net_revenue AS DOUBLE) AS net_revenue,
-       CAST(prev AS DOUBLE) AS prev_month_net_revenue, CAST(net_revenue - prev AS DOUBLE) AS mom_delta,
-       CASE WHEN prev IS NULL OR prev = 0 THEN NULL
-            ELSE CAST(net_revenue - prev AS DOUBLE) / CAST(prev AS DOUBLE) END AS mom_pct_change
-FROM (SELECT *, lag(net_revenue) OVER (PARTITION BY sales_region ORDER BY order_year, order_month) AS prev
-      FROM agg_revenue_by_sales_region)
-""")
+SELECT now.sales_region, now.order_year, now.order_month, CAST(now.net_revenue AS DOUBLE) AS net_revenue,
+       CAST(old.net_revenue AS DOUBLE) AS prev_month_net_revenue,
+       CAST(now.net_revenue - old.net_revenue AS DOUBLE) AS mom_delta,
+       CAST(now.net_revenue - old.net_revenue AS DOUBLE) / NULLIF(CAST(old.net_revenue AS DOUBLE), 0) AS mom_pct_change
+FROM numbered now LEFT JOIN numbered old
+  ON old.sales_region IS NOT DISTINCT FROM now.sales_region AND old.nth = now.nth - 1
+""", """numbered AS (
+  SELECT m.sales_region, m.order_year, m.order_month, m.net_revenue,
+         (SELECT COUNT(*) FROM agg_revenue_by_sales_region e
+          WHERE e.sales_region IS NOT DISTINCT FROM m.sales_region
+            AND e.order_year * 12 + e.order_month <= m.order_year * 12 + m.order_month) AS nth
+  FROM agg_revenue_by_sales_region m)""")
 
 ORACLE_SQL["supplier_concentration"] = with_base("""
-SELECT sales_region,
-       CAST(SUM(CASE WHEN supplier_rank <= 5 THEN net_revenue ELSE 0 END) AS DOUBLE) AS top_5_net_revenue,
-       CAST(MAX(region_net_revenue) AS DOUBLE) AS region_net_revenue,
-       CAST(SUM(CASE WHEN supplier_rank <= 5 THEN net_revenue ELSE 0 END) AS DOUBLE)
-         / CAST(NULLIF(MAX(region_net_revenue), 0) AS DOUBLE) AS top_5_share
-FROM (SELECT *, row_number() OVER (PARTITION BY sales_region ORDER BY net_revenue DESC NULLS LAST, supplier_key)
-                  AS supplier_rank,
-             SUM(net_revenue) OVER (PARTITION BY sales_region) AS region_net_revenue
-      FROM (SELECT sales_region, supplier_key, SUM(discounted_price) AS net_revenue
-            FROM fct_order_items GROUP BY 1, 2))
-GROUP BY 1
+SELECT sales_region, CAST(COALESCE(list_sum(amounts[1:5]), 0) AS DOUBLE) AS top_5_net_revenue,
+       CAST(list_sum(amounts) AS DOUBLE) AS region_net_revenue,
+       CAST(COALESCE(list_sum(amounts[1:5]), 0) AS DOUBLE) / NULLIF(CAST(list_sum(amounts) AS DOUBLE), 0) AS top_5_share
+FROM (SELECT sales_region, list(amount ORDER BY amount DESC NULLS LAST, supplier_key) AS amounts
+      FROM (SELECT e.sales_region, l.supplier_key, SUM(l.discounted_price) AS amount
+            FROM priced l JOIN orders_enriched e USING (order_key) GROUP BY ALL)
+      GROUP BY 1)
 """)
 
 ORACLE_SQL["top_customers"] = with_base("""
 SELECT cr.customer_key, d.customer_name, d.market_segment_label, d.nation_name, d.sales_region,
        cr.order_count, CAST(cr.lifetime_net_revenue AS DOUBLE) AS lifetime_net_revenue
-FROM (SELECT customer_key, SUM(net_revenue) AS lifetime_net_revenue, COUNT(*) AS order_count
-      FROM fct_orders GROUP BY 1) cr
+FROM (SELECT s.customer_key, SUM(t.before_tax) AS lifetime_net_revenue, COUNT(*) AS order_count
+      FROM stg_orders s LEFT JOIN order_totals t ON t.k = s.order_key GROUP BY 1) cr
 JOIN dim_customers d ON cr.customer_key = d.customer_key
 ORDER BY cr.lifetime_net_revenue DESC NULLS LAST, cr.customer_key
 LIMIT 50
@@ -409,11 +412,7 @@ load1_keys AS (
     + """,
 hwm AS (SELECT MAX(order_date) AS mark FROM stg_orders WHERE order_key IN (SELECT order_key FROM load1_keys)),
 fct_orders2 AS (
-  SELECT o.order_key, o.customer_key, o.customer_name, o.customer_nation, o.customer_region, o.sales_region,
-         o.market_segment, o.order_date, o.status_code, o.priority_code, o.total_price, o.clerk_name,
-         s.line_item_count, s.gross_revenue, s.net_revenue, s.net_revenue_after_tax, s.total_quantity,
-         s.avg_discount_rate, s.first_ship_date, s.last_ship_date
-  FROM orders_enriched2 o LEFT JOIN per_order_rollup s ON o.order_key = s.order_key),
+  SELECT f.* REPLACE (m.order_date AS order_date) FROM fct_orders f JOIN stg_orders2 m USING (order_key)),
 fct_order_items2 AS (
   SELECT f.order_item_key, f.order_key, f.line_number, f.part_key, f.supplier_key, o.order_date, f.customer_key,
          f.customer_nation, f.customer_region, f.sales_region, f.order_status, f.part_name, f.brand, f.part_type,
@@ -676,6 +675,41 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00'
 """
 
 
+# -- fingerprint, file freshness, reloads, replaced tables, stored failures ------------------
+def _fingerprint_sql(relation: str, columns: list[str], group: str) -> str:
+    text = ", ".join(f"COALESCE('=' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    return (
+        f"SELECT {group}, COUNT(*) AS row_count, bit_xor(h) AS hash_xor, CAST(SUM(h) AS VARCHAR) AS hash_sum "
+        f"FROM (SELECT {group}, CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 15) AS BIGINT) AS h FROM {relation}) "
+        "GROUP BY 1"
+    )
+
+
+ORACLE_SQL["table_fingerprint"] = with_base(
+    _fingerprint_sql("stg_line_items", RELATIONS["stg_line_items"][1], "return_flag")
+)
+_FILE_TABLES = ["customer", "orders", "lineitem", "supplier", "part", "nation", "region"]
+ORACLE_SQL["freshness_by_files"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS source_name, '{clock}' AS clock, '{status}' AS status"
+    for t in _FILE_TABLES for clock, status in (("2000-01-01", "pass"), ("2200-01-01", "error"))
+)
+ORACLE_SQL["freshness_configured"] = """
+SELECT 'orders' AS source_name, TIMESTAMP '2024-01-01 00:00:00' AS max_loaded_at,
+       CAST(48 AS DOUBLE) AS warn_after_hours, CAST(168 AS DOUBLE) AS error_after_hours, 'error' AS status
+FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00' HAVING COUNT(*) > 0
+"""
+ORACLE_SQL["reload_table"] = "\nUNION ALL\n".join(
+    f"SELECT '{m}' AS method, '{t}' AS table_name, COUNT(*) AS row_count, SUM({k}) AS key_sum FROM {t}"
+    for m in ("truncate_reload", "recreate") for t, k in (("customer", "c_custkey"), ("orders", "o_orderkey"))
+)
+ORACLE_SQL["save_table"] = """
+SELECT o_orderstatus AS status_code, COUNT(*) AS row_count FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1
+"""
+ORACLE_SQL["store_failures"] = with_base(
+    select_doubles("dq_customers", _CUSTOMER_COLS, {"account_balance"}) + " WHERE customer_name IS NULL", DQ_CTES
+)
+
+
 def _register_dq_report() -> None:
     from sparkmarts.plans.catalog import dq_suite
 
@@ -686,41 +720,21 @@ _register_dq_report()
 
 
 # -- seeds applied to the given tables ---------------------------------------------------
-_OVERRIDE_DISPLAY = ", ".join(
-    f"({k}, '{name}', '{region}')"
-    for k, name, region in [
-        (0, "Algeria", "EMEA"), (1, "Argentina", "LATAM"), (2, "Brazil", "LATAM"), (3, "Canada", "NORTH AMERICA"),
-        (4, "Egypt", "EMEA"), (5, "Ethiopia", "EMEA"), (6, "France", "EMEA"), (7, "Germany", "EMEA"),
-        (8, "India", "APAC"), (9, "Indonesia", "APAC"), (10, "Iran", "EMEA"), (11, "Iraq", "EMEA"),
-        (12, "Japan", "APAC"), (13, "Jordan", "EMEA"), (14, "Kenya", "EMEA"),
-    ]
-)
 ORACLE_SQL["seed_nation_regions"] = f"""
 SELECT n.n_name AS nation_name, v.display_name, v.sales_region
-FROM nation n JOIN (VALUES {_OVERRIDE_DISPLAY}) AS v(nation_key, display_name, sales_region)
+FROM nation n JOIN (VALUES {_values(_CODED, (0, 1, 2))}) AS v(nation_key, display_name, sales_region)
   ON n.n_nationkey = v.nation_key
 """
 
-_LABEL_FULL = (
-    "('AUTOMOBILE', 'Automobile', 'Industrial', 2), ('BUILDING', 'Building & Construction', 'Industrial', 3), "
-    "('FURNITURE', 'Furniture', 'Consumer', 4), ('HOUSEHOLD', 'Household Goods', 'Consumer', 4), "
-    "('MACHINERY', 'Heavy Machinery', 'Industrial', 1)"
-)
 ORACLE_SQL["seed_segment_labels"] = f"""
 SELECT s.market_segment, l.display_label, l.industry_group, CAST(l.priority_tier AS INTEGER) AS priority_tier
 FROM (SELECT DISTINCT c_mktsegment AS market_segment FROM customer) s
-LEFT JOIN (VALUES {_LABEL_FULL}) AS l(market_segment, display_label, industry_group, priority_tier)
+LEFT JOIN (VALUES {_values(MARKET_SEGMENT_LABELS, (0, 1, 2, 3))}) AS l(market_segment, display_label, industry_group, priority_tier)
   ON s.market_segment = l.market_segment
 """
 
-_FX_NAMED = (
-    "('USD', 'US Dollar', 1.000), ('EUR', 'Euro', 1.080), ('GBP', 'British Pound', 1.260), "
-    "('JPY', 'Japanese Yen', 0.0067), ('CNY', 'Chinese Yuan', 0.140), ('BRL', 'Brazilian Real', 0.200), "
-    "('INR', 'Indian Rupee', 0.012), ('RUB', 'Russian Ruble', 0.011), ('CAD', 'Canadian Dollar', 0.740), "
-    "('ARS', 'Argentine Peso', 0.0011), ('SAR', 'Saudi Riyal', 0.270)"
-)
 ORACLE_SQL["seed_fx_rates"] = f"""
 SELECT c.currency_code, f.currency_name, CAST(CAST(f.usd_rate AS DECIMAL(12,6)) AS DOUBLE) AS usd_rate
 FROM (SELECT DISTINCT {_FX_CODES}[(c_nationkey % 13) + 1] AS currency_code FROM customer) c
-LEFT JOIN (VALUES {_FX_NAMED}) AS f(currency_code, currency_name, usd_rate) ON c.currency_code = f.currency_code
+LEFT JOIN (VALUES {_values([(c, n, Decimal(r)) for c, n, r in FX_RATES], (0, 1, 2))}) AS f(currency_code, currency_name, usd_rate) ON c.currency_code = f.currency_code
 """

@@ -22,23 +22,17 @@ TPCH_NATIONS = [
 ]
 # ---------------------------------------------------------------------------
 
-# Nations with a key below this get the seed's sales region; the rest fall
-# back to their TPC-H region, so both branches of the geography are exercised.
-OVERRIDDEN_NATION_KEYS_BELOW = 15
-
 
 def overrides_for_coded_nations(spark: SparkSession, nations: DataFrame) -> DataFrame:
     """The real override seed, re-keyed onto a nation table whose names are
-    codes (``NATION_<key>``): the seed row of the TPC-H nation with the same
-    key, for keys below :data:`OVERRIDDEN_NATION_KEYS_BELOW`."""
+    codes (``NATION_<key>``): the seed row of the TPC-H nation with the same key."""
     keys = constant_table(spark, TPCH_NATIONS, "nation_key int, tpch_name string")
     seed = load_seed(spark, "nation_region_overrides")
     mapped = keys.join(seed, keys["tpch_name"] == seed["nation_name"]).select(
         "nation_key", "display_name", "sales_region"
     )
     return (
-        nations.where(F.col("nation_key") < OVERRIDDEN_NATION_KEYS_BELOW)
-        .select("nation_key", "nation_name")
+        nations.select("nation_key", "nation_name")
         .join(F.broadcast(mapped), "nation_key")  # at most 25 rows: two constant tables
         .select("nation_name", "display_name", "sales_region")
     )

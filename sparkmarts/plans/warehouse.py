@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkmarts.operators import aggregates, dimensions, enrich, facts, staging
 from sparkmarts.plans import standins
-from sparkmarts.sources.readers import read_source, source_path, table_exists
+from sparkmarts.sources.readers import read_source, source_exists
 from sparkmarts.sources.seeds import load_seed
 
 
@@ -84,7 +84,7 @@ class Warehouse:
     def part_suppliers(self) -> DataFrame:
         if self._part_suppliers is not None:
             return self._part_suppliers
-        if table_exists(self.spark, source_path(self.root, "partsupp")) or not self.fill_missing:
+        if source_exists(self.spark, self.root, "partsupp") or not self.fill_missing:
             return self._stage("partsupp")
         raw = standins.part_suppliers_from_line_items(self.raw("lineitem"))
         return staging.stage(raw, "partsupp", fill_missing=True)
@@ -123,9 +123,20 @@ class Warehouse:
     def orders_enriched(self) -> DataFrame:
         return self.enrich_orders(self.orders)
 
+    def enrich_line_items(self, line_items: DataFrame) -> DataFrame:
+        """Enrich some of the line items (e.g. those of new orders)."""
+        return enrich.line_items_enriched(line_items, self.parts, self.suppliers, self.nations)
+
     @cached_property
     def line_items_enriched(self) -> DataFrame:
-        return enrich.line_items_enriched(self.line_items, self.parts, self.suppliers, self.nations)
+        return self.enrich_line_items(self.line_items)
+
+    def fresh(self) -> "Warehouse":
+        """The same warehouse with new file listings."""
+        return Warehouse(
+            self.spark, self.root, self.fill_missing, self._overrides, self._labels, self._fx,
+            self._part_suppliers, self._coded,
+        )
 
     @cached_property
     def order_rollup(self) -> DataFrame:
@@ -152,7 +163,15 @@ class Warehouse:
 
     @cached_property
     def returned_lines(self) -> DataFrame:
-        return facts.returned_lines(self.line_items, self.orders_enriched)
+        return facts.returned_lines(self.line_items, self.orders)
+
+    @cached_property
+    def sold_lines(self) -> DataFrame:
+        return facts.sold_lines(self.line_items, self.orders)
+
+    @cached_property
+    def order_measures(self) -> DataFrame:
+        return facts.order_measures(self.orders, self.line_items)
 
     # -- dimensions ----------------------------------------------------------
     @cached_property

@@ -51,17 +51,18 @@ def recommended_conf() -> dict[str, str]:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables and checkpoints.
-
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a temporary folder is created and registered as checkpoint dir."""
+    """Shared folder for intermediate tables and checkpoints: the cluster's
+    ``spark.checkpoint.dir``. Only a local session, whose executors share the
+    driver's disk, may do without it and then gets a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
         return root.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
-        # core confs cannot be set at runtime: register through the context
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkmarts-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

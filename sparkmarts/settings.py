@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
 from dataclasses import dataclass, field
 
 # Money (prices, balances, quantities) and rates are exact decimals. Narrow
@@ -35,10 +34,17 @@ class Settings:
             "lineitem": Freshness(48, 168),
         }
     )
-    # Largest row count a side may have to be broadcast by our explicit
-    # hints (nation, region, seeds, batch key sets). Beyond it the join is
-    # left to the planner (sort-merge with AQE skew splitting).
-    broadcast_max_rows: int = int(os.environ.get("SPARKMARTS_BROADCAST_MAX_ROWS", "100000"))
+    # Load-time column and row filter of the tables that have one.
+    table_loaded_at: dict = field(
+        default_factory=lambda: {
+            "orders": ("loaded_at", "o_orderdate >= '1990-01-01'"),
+            "lineitem": ("loaded_at", None),
+        }
+    )
+    # Most bytes the source tables of a reference relation (nation, region,
+    # seeds) may have for a broadcast hint. Beyond it the join is left to the
+    # planner (sort-merge with AQE skew splitting).
+    reference_max_bytes: int = 1 << 20
     # Month look-back of the incremental aggregates.
     aggregate_lookback_months: int = 1
 

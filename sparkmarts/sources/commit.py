@@ -1,0 +1,117 @@
+"""Crash-safe replacement of partitions in a stored Parquet table.
+
+Parquet folders have no transactions, and Spark commits the partitions of a
+dynamic overwrite one after the other. So the complete new contents of the
+touched partitions are written first, to a hidden folder inside the table; a
+small intent file then names that folder. From there the replacement can be
+applied any number of times with the same result: :func:`recover`, which every
+load calls before it reads the table, repeats it when a run died half-way. The
+intent is removed last."""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+from sparkmarts.sources.readers import delete_path, hadoop_path, table_exists
+
+INTENT = "_replacement.json"
+
+
+class HalfWritten(RuntimeError):
+    """A table folder holds data files but no mark of a finished write."""
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write made this table. A folder that a first write
+    left without data does not count; one with data files but without the mark
+    of a finished write is refused."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return False
+    if fs.getFileStatus(p).isFile() or table_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        return True
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        name = str(files.next().getPath())[len(str(fs.makeQualified(p))) :]
+        if name.endswith(".parquet") and not any(x.startswith(("_", ".")) for x in name.strip("/").split("/")):
+            raise HalfWritten(f"{path}: data without _SUCCESS; check the folder and delete it or complete it")
+    return False
+
+
+def staging_path(table_path: str) -> str:
+    """A fresh hidden folder inside the table (readers skip names with an underscore)."""
+    return f"{table_path.rstrip('/')}/_staged-{uuid.uuid4().hex[:12]}"
+
+
+def _write_intent(spark: SparkSession, table_path: str, intent: dict) -> None:
+    base = table_path.rstrip("/")
+    fs, draft = hadoop_path(spark, f"{base}/_draft-{uuid.uuid4().hex[:8]}")
+    _, final = hadoop_path(spark, f"{base}/{INTENT}")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(intent).encode()))
+    out.close()
+    fs.rename(draft, final)  # whole or not at all
+
+
+def _read_intent(spark: SparkSession, table_path: str) -> dict | None:
+    path = f"{table_path.rstrip('/')}/{INTENT}"
+    if not table_exists(spark, path):
+        return None
+    fs, p = hadoop_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _apply(spark: SparkSession, table_path: str, intent: dict) -> None:
+    base = table_path.rstrip("/")
+    staged = f"{base}/{intent['staged']}"
+    (
+        spark.read.schema(intent["schema"]).parquet(staged)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*intent["partition_by"]).parquet(base)
+    )
+    for folder in intent["emptied"]:
+        delete_path(spark, f"{base}/{folder}")
+    delete_path(spark, f"{base}/{INTENT}")
+    delete_path(spark, staged)
+
+
+def replace_partitions(
+    spark: SparkSession,
+    table_path: str,
+    staged: str,
+    schema: DataFrame,
+    partition_by: Sequence[str],
+    emptied: Sequence[str] = (),
+) -> None:
+    """Replace the partitions that the folder ``staged`` (from
+    :func:`staging_path`, written with the same partition columns) holds, and
+    delete the partition folders ``emptied``. ``schema``: any DataFrame of the
+    table's columns."""
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields)
+    intent = {
+        "staged": staged.rsplit("/", 1)[1], "schema": ddl, "partition_by": list(partition_by), "emptied": list(emptied)
+    }
+    _write_intent(spark, table_path, intent)
+    _apply(spark, table_path, intent)
+
+
+def recover(spark: SparkSession, table_path: str) -> bool:
+    """Finish a replacement that an earlier run began. True if there was one."""
+    intent = _read_intent(spark, table_path)
+    if intent is None:
+        return False
+    staged = f"{table_path.rstrip('/')}/{intent['staged']}"
+    if not table_exists(spark, f"{staged}/_SUCCESS"):
+        # it was applied and its data deleted; only the intent's own removal is left
+        delete_path(spark, f"{table_path.rstrip('/')}/{INTENT}")
+        return False
+    _apply(spark, table_path, intent)
+    return True

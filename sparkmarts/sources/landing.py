@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkmarts.session import scratch_path
+from sparkmarts.sources.commit import committed
 from sparkmarts.sources.readers import SOURCE_TABLES, delete_path, read_source, source_path, table_exists
+from sparkmarts.sources.sinks import save_table
 
-RELOAD_METHODS = ("truncate_reload", "noop_insert", "recreate")
+RELOAD_METHODS = ("truncate_reload", "recreate")
 
 
 def land_tables(
@@ -31,11 +33,11 @@ def land_tables(
     actions = []
     for t in selected:
         dst = source_path(dst_root, t)
-        exists = table_exists(spark, dst)
+        exists = committed(spark, dst)
         if exists and not full_refresh:
             actions.append((t, "skipped"))
             continue
-        read_source(spark, src_root, t).write.mode("overwrite").parquet(dst)
+        save_table(read_source(spark, src_root, t), dst)
         actions.append((t, "replaced" if exists else "created"))
     return actions
 
@@ -43,9 +45,9 @@ def land_tables(
 def reload_table(
     spark: SparkSession, src_root: str, dst_root: str, tables: Sequence[str], method: str = "truncate_reload"
 ) -> list[tuple[str, str]]:
-    """Reload landed tables from the source: ``truncate_reload`` and
-    ``recreate`` replace the contents, ``noop_insert`` appends zero rows
-    (data unchanged). An empty list or an unknown method is an error."""
+    """Reload landed tables from the source: ``truncate_reload`` replaces the
+    contents of the table, ``recreate`` drops and writes it. An empty list or an
+    unknown method is an error."""
     if not tables:
         raise ValueError("reload_table needs an explicit list of tables")
     if method not in RELOAD_METHODS:
@@ -55,9 +57,7 @@ def reload_table(
         dst = source_path(dst_root, t)
         src = read_source(spark, src_root, t)
         if method == "truncate_reload":
-            src.write.mode("overwrite").parquet(dst)
-        elif method == "noop_insert":
-            spark.read.parquet(dst).where(F.lit(False)).write.mode("append").parquet(dst)
+            save_table(src, dst)
         else:
             delete_path(spark, dst)
             src.write.mode("errorifexists").parquet(dst)
@@ -128,15 +128,17 @@ def append_with_next_keys(
     order_by: Sequence[str] | None = None,
 ) -> dict:
     """Append ``batch`` to the table at ``target_path`` with fresh keys after
-    ``coalesce(max(key), 0)`` and ``loaded_at`` set to the given time. An
-    empty batch is an error."""
+    ``coalesce(max(key), 0)`` and ``loaded_at`` set to the given time (UTC
+    if it has a zone). An empty batch is an error."""
     if batch.isEmpty():
         raise ValueError("batch must contain at least one row")
     start = 0
     if table_exists(spark, target_path):
         start = spark.read.parquet(target_path).agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
     keyed, scratch = _assign_next_keys(spark, batch, key, int(start), order_by)
-    ts = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    if loaded_at.tzinfo is not None:
+        loaded_at = loaded_at.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    ts = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
     try:
         keyed.withColumn("loaded_at", ts).write.mode("append").parquet(target_path)
     finally:

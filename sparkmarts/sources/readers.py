@@ -8,59 +8,56 @@ from pyspark.sql import DataFrame, SparkSession
 SOURCE_TABLES = ("customer", "orders", "lineitem", "supplier", "part", "partsupp", "nation", "region")
 
 
+CATALOG = "catalog:"
+
+
 def source_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}.parquet"
 
 
-# Dominant join / grouping key of the large raw tables.
-SPREAD_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+def read_source(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
+    """Lazy scan of ``<root>/<name>.parquet`` (a file or a folder of part
+    files), with an explicit ``schema`` if given, or of the table ``name`` in
+    the catalog's database when the root is ``catalog:<database>``.
 
+    Column pruning and filter pushdown reach the scan through the staging
+    projections, so nothing here reads more than the query needs. The scan's
+    own partitions are kept: joins and aggregations shuffle by their keys, where
+    AQE can split a hot one."""
+    if root.startswith(CATALOG):
+        return spark.table(f"{root.removeprefix(CATALOG)}.{name}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(source_path(root, name))
 
-def read_source(spark: SparkSession, root: str, name: str, spread: bool = True) -> DataFrame:
-    """Lazy scan of ``<root>/<name>.parquet`` (a file or a folder of part files).
 
-    Column pruning and filter pushdown reach the scan through the staging
-    projections, so nothing here reads more than the query needs.
-
-    A Parquet row group is the unit of a scan task. When a large table comes
-    in fewer scan partitions than ``spark.sql.shuffle.partitions`` (a few big
-    row groups), it is hash-partitioned by its dominant key right after the
-    scan, so the decoding, casting and map-side work use every core, and
-    later joins / aggregations on that key reuse the partitioning. Tables
-    with enough partitions (any large data set) are returned as scanned."""
-    df = spark.read.parquet(source_path(root, name))
-    key = SPREAD_KEYS.get(name)
-    if spread and key and key in df.columns:
-        wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if df.rdd.getNumPartitions() < wanted:
-            # no explicit count: spark.sql.shuffle.partitions, which AQE may
-            # coalesce for tiny inputs and which matches the other exchanges
-            df = df.repartition(key)
-    return df
-
-
-def _fs_and_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs, hpath
 
 
+def source_exists(spark: SparkSession, root: str, name: str) -> bool:
+    if root.startswith(CATALOG):
+        return spark.catalog.tableExists(f"{root.removeprefix(CATALOG)}.{name}")
+    return table_exists(spark, source_path(root, name))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists in the (possibly distributed) file system."""
-    fs, hpath = _fs_and_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     return bool(fs.exists(hpath))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, hpath = _fs_and_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
 
 
 def list_partition_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the first-level partition folders (``col=value``) under ``path``."""
-    fs, hpath = _fs_and_path(spark, path)
+    fs, hpath = hadoop_path(spark, path)
     if not fs.exists(hpath):
         return []
     out = []

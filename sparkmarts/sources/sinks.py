@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 
 def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Materialize ``df`` as Parquet at ``path`` (full replace by default)."""
-    w = df.write.mode(mode)
+    # static: a full replace also drops partitions that the new data lacks
+    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -1,13 +1,14 @@
 """Load the order facts as new order files land, with Structured Streaming.
 
-A file stream over the landing folder of raw orders feeds ``foreachBatch``;
-each micro-batch is staged, enriched and applied with the same incremental
-operators as the batch build (strict high-water mark on order_date, then
-delete+insert by key). The stream's checkpoint records which files were
-processed; a replayed micro-batch after a failure re-applies the same keyed
-replacement, which is idempotent, so the facts end up as after one clean run.
-Line items are read from their table at each micro-batch (new orders'
-lines are expected to have landed with or before their order)."""
+A file stream over the landing folder of raw orders feeds ``foreachBatch``.
+Every arriving order is loaded, whatever its date: a micro-batch's orders are
+enriched and rolled up with their own lines, then replace or extend the stored
+facts by key. The stream's checkpoint records which files were processed, so
+a replayed micro-batch applies the same keyed replacement again and the facts
+end up as after one clean run. Empty micro-batches are skipped. Line items,
+customers and the other tables are listed anew for each micro-batch; an order's
+lines must have landed with or before it (an order that arrives again takes the
+lines that have landed since)."""
 
 from __future__ import annotations
 
@@ -43,11 +44,14 @@ def start_order_fact_stream(
     out = out_root.rstrip("/")
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        orders = staging.stage(batch, "orders", warehouse.fill_missing)
-        enriched = warehouse.enrich_orders(orders)
-        loads.load_fct_orders(spark, enriched, warehouse.line_items, f"{out}/fct_orders")
-        loads.load_fct_order_items(spark, warehouse.line_items_enriched, enriched, f"{out}/fct_order_items")
-        loads.load_fct_returns(spark, warehouse.line_items_enriched, enriched, f"{out}/fct_returns")
+        if batch.isEmpty():
+            return
+        wh = warehouse.fresh()
+        orders = wh.enrich_orders(staging.stage(batch, "orders", wh.fill_missing))
+        loads.store_fct_orders(spark, orders, wh.line_items, f"{out}/fct_orders", True)
+        more = (True, wh.enrich_line_items)
+        loads.store_fct_order_items(spark, orders, wh.line_items, f"{out}/fct_order_items", *more)
+        loads.store_fct_returns(spark, orders, wh.line_items, f"{out}/fct_returns", *more)
 
     writer = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -30,11 +30,10 @@ def test_empty_table_is_error(spark):
 def test_by_file_metadata(spark, scratch):
     path = scratch("fresh")
     _rows(spark, [(dt.datetime(2024, 1, 1), "a")]).write.parquet(path)
-    df = spark.read.parquet(path)
     far_future = dt.datetime(2200, 1, 1)
-    r = freshness.freshness_by_files(df, "t", far_future, Freshness(24, 72)).collect()[0]
+    r = freshness.freshness_by_files(spark, path, "t", far_future, Freshness(24, 72)).collect()[0]
     assert r.max_loaded_at is not None and r.status == "error"
-    r = freshness.freshness_by_files(df, "t", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=1), Freshness(24, 72)).collect()[0]
+    r = freshness.freshness_by_files(spark, path, "t", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=1), Freshness(24, 72)).collect()[0]
     assert r.status == "pass"
 
 

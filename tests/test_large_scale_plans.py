@@ -13,7 +13,7 @@ from sparkmarts.plans.warehouse import Warehouse
 
 @pytest.fixture()
 def no_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(joins, "DEFAULT_SETTINGS", dataclasses.replace(joins.DEFAULT_SETTINGS, broadcast_max_rows=0))
+    monkeypatch.setattr(joins, "DEFAULT_SETTINGS", dataclasses.replace(joins.DEFAULT_SETTINGS, reference_max_bytes=-1))
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
     for k in keys:
@@ -41,10 +41,49 @@ def test_sort_merge_plans_match(spark, no_broadcast):
     plan = big["fct_order_items"]._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     rows = {k: sorted(map(repr, v.collect())) for k, v in big.items()}
-    joins.DEFAULT_SETTINGS = dataclasses.replace(joins.DEFAULT_SETTINGS, broadcast_max_rows=100_000)
+    joins.DEFAULT_SETTINGS = dataclasses.replace(joins.DEFAULT_SETTINGS, reference_max_bytes=1 << 20)
     for k in ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]:
         spark.conf.unset(k)
     small = _marts(Warehouse(spark, SMOKE_DIR, fill_missing=True, coded_nation_names=True))
     assert "BroadcastHashJoin" in small["fct_order_items"]._jdf.queryExecution().executedPlan().toString()
     for k, v in small.items():
         assert sorted(map(repr, v.collect())) == rows[k], k
+
+
+def test_new_orders_cut_the_lines_before_the_part_join(spark, no_broadcast):
+    from sparkmarts.operators import facts
+    from sparkmarts.plans import loads
+
+    wh = Warehouse(spark, SMOKE_DIR, fill_missing=True, coded_nation_names=True)
+    new = wh.enrich_orders(wh.orders.where("order_date >= '2001-06-01'"))
+    batch = facts.fct_order_items(wh.enrich_line_items(loads._lines_of(wh.line_items, new, True)), new)
+    plan = batch._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    left_joins = [i for i, x in enumerate(lines) if "LeftOuter" in x and i < semi]
+    assert any(depth(lines[i]) < depth(lines[semi]) for i in left_joins)  # it stands below a dimension join
+    full = wh.fct_order_items.where("order_date >= '2001-06-01'")
+    assert batch.exceptAll(full).count() == 0 and full.exceptAll(batch).count() == 0
+
+
+def test_no_job_starts_while_plans_are_built(spark):
+    wh = Warehouse(spark, SMOKE_DIR, fill_missing=True, coded_nation_names=True)
+    for t in ("customers", "orders", "line_items", "parts", "suppliers", "nations", "regions"):
+        getattr(wh, t)  # Spark reads the files' footers for their schema
+    wh.part_suppliers
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        for name, df in _marts(wh).items():
+            df._jdf.queryExecution().executedPlan()
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plans")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rollup_aggregates_before_its_shuffle(spark):
+    wh = Warehouse(spark, SMOKE_DIR, fill_missing=True, coded_nation_names=True)
+    plan = wh.order_rollup._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    exchange = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(order_key" in x)
+    assert any("partial_" in x for x in lines[exchange:]) and "REPARTITION" not in plan

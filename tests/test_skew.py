@@ -23,7 +23,7 @@ CONF = {
 
 @pytest.fixture()
 def skewed_root(spark, scratch, monkeypatch):
-    monkeypatch.setattr(joins, "DEFAULT_SETTINGS", dataclasses.replace(joins.DEFAULT_SETTINGS, broadcast_max_rows=0))
+    monkeypatch.setattr(joins, "DEFAULT_SETTINGS", dataclasses.replace(joins.DEFAULT_SETTINGS, reference_max_bytes=-1))
     old = {k: spark.conf.get(k, None) for k in CONF}
     for k, v in CONF.items():
         spark.conf.set(k, v)
@@ -54,6 +54,9 @@ def test_hot_order_key(spark, skewed_root):
     items = wh.fct_order_items
     rows = items.collect()
     assert "SortMergeJoin(skew=true)" in items._jdf.queryExecution().executedPlan().toString()
+    narrow = wh.order_lines
+    narrow.collect()
+    assert "SortMergeJoin(skew=true)" in narrow._jdf.queryExecution().executedPlan().toString()
     li = spark.read.parquet(f"{root}/lineitem.parquet")
     assert len(rows) == li.count()
     assert sum(1 for r in rows if r.order_key == hot) > len(rows) // 4

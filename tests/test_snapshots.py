@@ -60,3 +60,26 @@ def test_load_time_must_not_go_back(spark, scratch):
         _apply(spark, path, [(1, "a", "p", D("2.00"), "S")], T2)
     _apply(spark, path, [(1, "a", "p", D("1.00"), "S")], T2)  # the same load again: no-op
     assert snapshots.read_snapshot(spark, path).count() == 1
+
+
+def test_two_loads_in_one_second(spark, scratch):
+    path = scratch("snp-second")
+    t = [dt.datetime(2024, 1, 1, 0, 0, 0, us) for us in (0, 100_000, 600_000)]
+    for i, ts in enumerate(t):
+        _apply(spark, path, [(1, "a", "p", D(f"{i}.00"), "S")], ts)
+    rows = sorted(snapshots.read_snapshot(spark, path).collect(), key=lambda r: r.valid_from)
+    assert [(r.account_balance, r.valid_from, r.valid_to) for r in rows] == [
+        (D("0.00"), t[0], t[1]), (D("1.00"), t[1], t[2]), (D("2.00"), t[2], None)
+    ]
+    assert len({r.scd_id for r in rows}) == 3
+
+
+@pytest.mark.parametrize("bad", [[(None, "a", "p", None, "S")], [(1, "a", "p", None, "S"), (1, "b", "p", None, "S")]])
+def test_null_and_repeated_keys_are_refused(spark, scratch, bad):
+    path = scratch("snp-bad")
+    with pytest.raises(snapshots.BadKeys):
+        _apply(spark, path, bad, T1)
+    _apply(spark, path, [(1, "a", "p", None, "S")], T1)
+    with pytest.raises(snapshots.BadKeys):
+        _apply(spark, path, bad, T2)
+    assert snapshots.read_snapshot(spark, path).count() == 1
