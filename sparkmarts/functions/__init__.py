@@ -4,7 +4,6 @@ from sparkmarts.functions.columns import (
     cents_to_dollars,
     day_of_week_sun0,
     month_start,
-    null_safe_changed,
     ratio,
     surrogate_key,
     to_money,
@@ -18,7 +17,6 @@ __all__ = [
     "day_of_week_sun0",
     "leaf_bytes",
     "month_start",
-    "null_safe_changed",
     "ratio",
     "surrogate_key",
     "to_money",

@@ -51,11 +51,3 @@ def ratio(num: str | Column, den: str | Column) -> Column:
     return F.when(d.isNull() | (d == 0), F.lit(None).cast("double")).otherwise(
         n.cast("double") / d.cast("double")
     )
-
-
-def null_safe_changed(cols: list[str], left: str, right: str) -> Column:
-    """True when any of ``cols`` differs between two aliased sides, NULL-safe."""
-    cond = F.lit(False)
-    for c in cols:
-        cond = cond | ~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond

@@ -193,8 +193,9 @@ def run_checks(
 
     Checks on the same relation share one pass (see
     :func:`_fused_relation_report`); relationship checks are anti joins.
-    With ``store_failures_to`` the failing rows of every check are written to
-    ``<path>/<check name>`` (replaced on each run)."""
+    With ``store_failures_to`` the report is computed at once, and the failing
+    rows of every check are written to ``<path>/<check name>`` (replaced on each
+    run; empty for a check that passed, without running it again)."""
     parts: list[DataFrame] = []
     missing = [c for c in checks if c.relation not in relations or (c.parent and c.parent not in relations)]
     checks = [c for c in checks if c not in missing]
@@ -214,9 +215,6 @@ def run_checks(
     for ch in checks:
         if ch.kind not in FUSED:
             parts.append(failures_of(ch, relations).agg(F.count(F.lit(1)).alias("_c")).select(_report_rows([ch], [F.col("_c")])))
-    if store_failures_to:
-        for ch in checks:
-            store_failures(failures_of(ch, relations), f"{store_failures_to.rstrip('/')}/{_safe(ch.name)}")
     if not parts:
         return spark.createDataFrame([], REPORT_SCHEMA)
     report = parts[0]
@@ -227,29 +225,34 @@ def run_checks(
         .when(F.col("failures") == 0, F.lit("pass"))
         .otherwise(F.col("severity"))
     )
-    return report.withColumn("status", status)
+    report = report.withColumn("status", status)
+    if store_failures_to:
+        # one row per check: kept, so that only checks with failures run again
+        rows = report.collect()
+        failing = {r.check_name for r in rows if r.failures}
+        for ch in checks:
+            bad = failures_of(ch, relations)
+            store_failures(bad if ch.name in failing else bad.where("false"), f"{store_failures_to.rstrip('/')}/{_safe(ch.name)}")
+        report = spark.createDataFrame(rows, REPORT_SCHEMA)
+    return report
 
 
 def _safe(name: str) -> str:
     return "".join(ch if ch.isalnum() or ch in "_-." else "_" for ch in name)
 
 
-def default_suite() -> CheckSuite:
-    """The column checks declared on the staged tables and the marts."""
+def accepted_value_checks() -> CheckSuite:
+    """The project's documented value domains (8 sites)."""
+    regions, status = ("NORTH AMERICA", "LATAM", "EMEA", "APAC"), ("O", "F", "P")
     s = CheckSuite()
-    s.add("unique", "stg_customers", "customer_key").add("not_null", "stg_customers", ["customer_key", "market_segment"])
-    s.add("unique", "stg_orders", "order_key").add("not_null", "stg_orders", ["order_key", "customer_key"])
-    s.add("relationships", "stg_orders", "customer_key", parent="stg_customers", parent_column="customer_key")
-    s.add("not_null", "stg_line_items", ["order_key", "line_number"])
-    s.add("unique", "stg_suppliers", "supplier_key").add("not_null", "stg_suppliers", "supplier_key")
-    s.add("unique", "stg_parts", "part_key").add("not_null", "stg_parts", "part_key")
-    s.add("unique", "stg_nations", ["nation_key", "nation_name"]).add("not_null", "stg_nations", ["nation_key", "nation_name"])
-    s.add("unique", "stg_regions", ["region_key", "region_name"]).add("not_null", "stg_regions", ["region_key", "region_name"])
-    s.add("unique", "fct_orders", "order_key").add("not_null", "fct_orders", ["order_key", "order_date", "sales_region"])
-    s.add("not_negative", "fct_orders", ["gross_revenue", "net_revenue"])
-    s.add("unique", "fct_order_items", "order_item_key")
-    s.add("not_null", "fct_order_items", ["order_item_key", "order_key", "sales_region"])
-    s.add("not_negative", "fct_order_items", ["discounted_price", "net_price"])
+    s.add("accepted_values", "source.orders", "o_orderstatus", values=status)
+    s.add("accepted_values", "stg_orders", "status_code", values=status)
+    s.add("accepted_values", "stg_line_items", "return_flag", values=("R", "A", "N"))
+    s.add("accepted_values", "orders_enriched", "sales_region", values=regions)
+    s.add("accepted_values", "fct_orders", "status_code", values=status)
+    s.add("accepted_values", "agg_revenue_by_sales_region", "sales_region", values=regions)
+    s.add("accepted_values", "seed.nation_region_overrides", "sales_region", values=regions)
+    s.add("accepted_values", "seed.market_segment_labels", "priority_tier", values=(1, 2, 3, 4))
     return s
 
 

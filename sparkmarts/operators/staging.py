@@ -1,14 +1,15 @@
 """Staging: 1:1 rename and typing of the raw tables.
 
-Each staging function is a single projection, so Catalyst prunes the scan to
+Staging a table is a single projection, so Catalyst prunes the scan to
 the columns a downstream query actually uses and pushes filters through it.
 ``fill_missing=True`` replaces raw columns absent from the input with typed
 NULLs (for partial extracts); the default is strict and raises."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 
 from sparkmarts.settings import MONEY, RATE
 
@@ -98,6 +99,18 @@ class MissingSourceColumn(ValueError):
     pass
 
 
+def _exact(value: Column, kind: DataType, typ: str) -> Column:
+    """``value`` as ``typ``; a value with more decimals than the type keeps is an
+    error, not rounded. Binary fractions may differ by their own error."""
+    out = value.cast(typ)
+    to = DataType.fromDDL(typ)
+    wider = isinstance(kind, (FloatType, DoubleType)) or isinstance(kind, DecimalType) and kind.scale > getattr(to, "scale", 0)
+    if not isinstance(to, DecimalType) or not wider:
+        return out
+    lost = F.abs(value.cast("double") - out.cast("double")) > 1e-6 * F.greatest(F.lit(1.0), F.abs(value.cast("double")) / 1e6)
+    return F.when(lost, F.raise_error(F.concat(F.lit(f"no exact {typ}: "), value.cast("string"))).cast(typ)).otherwise(out)
+
+
 def stage(raw: DataFrame, table: str, fill_missing: bool = False) -> DataFrame:
     """Rename and cast the raw ``table`` to its staged schema."""
     present = set(raw.columns)
@@ -105,42 +118,10 @@ def stage(raw: DataFrame, table: str, fill_missing: bool = False) -> DataFrame:
     missing = []
     for src, out, typ in STAGING_COLUMNS[table]:
         if src in present:
-            cols.append(F.col(src).cast(typ).alias(out))
+            cols.append(_exact(F.col(src), raw.schema[src].dataType, typ).alias(out))
         else:
             missing.append(src)
             cols.append(F.lit(None).cast(typ).alias(out))
     if missing and not fill_missing:
         raise MissingSourceColumn(f"{table}: missing columns {missing} (pass fill_missing=True to use NULLs)")
     return raw.select(*cols)
-
-
-def stg_customers(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "customer", fill_missing)
-
-
-def stg_orders(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "orders", fill_missing)
-
-
-def stg_line_items(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "lineitem", fill_missing)
-
-
-def stg_parts(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "part", fill_missing)
-
-
-def stg_suppliers(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "supplier", fill_missing)
-
-
-def stg_part_suppliers(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "partsupp", fill_missing)
-
-
-def stg_nations(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "nation", fill_missing)
-
-
-def stg_regions(raw: DataFrame, fill_missing: bool = False) -> DataFrame:
-    return stage(raw, "region", fill_missing)

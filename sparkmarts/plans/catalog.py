@@ -23,6 +23,7 @@ from sparkmarts.plans.warehouse import Warehouse
 from sparkmarts.session import scratch_path
 from sparkmarts.settings import Freshness
 from sparkmarts.sources import landing
+from sparkmarts.sources.readers import SOURCE_TABLES, source_exists
 from sparkmarts.sources.sinks import save_table, store_failures
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -310,27 +311,52 @@ def q_dq_months_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_relations(wh: Warehouse) -> dict[str, DataFrame]:
-    return {
+    """The relations of all declared checks, with planted violations. Line-level
+    marts come without the part and supplier attributes that no check reads."""
+    spark, root = wh.spark, wh.root
+    lines = wh.order_lines.withColumn("order_item_key", surrogate_key("order_key", "line_number"))
+    returned = lines.where(F.col("return_flag") == "R")
+    rel = {
         "stg_customers": scenarios.planted_null_names(wh.customers),
         "stg_orders": scenarios.planted_status(wh.orders),
         "stg_line_items": wh.line_items,
         "stg_suppliers": wh.suppliers,
         "stg_parts": wh.parts,
+        "stg_part_suppliers": wh.part_suppliers,
         "stg_nations": wh.nations,
         "stg_regions": wh.regions,
+        "orders_enriched": wh.orders_enriched,
+        "line_items_enriched": wh.line_items,
         "fct_orders": facts.fct_orders(wh.orders_enriched, scenarios.planted_negative_discount(wh.line_items)),
-        "fct_order_items": wh.fct_order_items,
+        "fct_order_items": lines,
+        "fct_returns": returned.withColumnRenamed("extended_price", "returned_gross_amount"),
+        "dim_customers": wh.dim_customers,
+        "dim_suppliers": wh.dim_suppliers,
+        "dim_parts": wh.dim_parts,
+        "dim_dates": q_dim_dates(spark, root),
+        "agg_revenue_by_nation": wh.revenue_by_nation,
+        "agg_revenue_by_sales_region": wh.revenue_by_sales_region,
+        "snp_customers": q_snapshot_customers(spark, root),
+        "snp_suppliers": q_snapshot_suppliers(spark, root),
+        "seed.nation_region_overrides": wh.overrides,
+        "seed.fx_rates": wh.fx_rates,
+        "seed.market_segment_labels": wh.segment_labels,
         "customers_with_currency": standins.with_local_currency(wh.customers.select("customer_key", "nation_key")),
-        "fx_rates": wh.fx_rates,
     }
+    for t in SOURCE_TABLES:
+        if source_exists(spark, root, t):
+            rel[f"source.{t}"] = wh.raw(t)
+    return rel
 
 
 def dq_suite() -> quality.CheckSuite:
-    s = quality.default_suite()
+    """All declared checks, the documented value domains, and the checks of
+    the planted violations. The extracts have no partsupp: its checks are skipped."""
+    s = quality.declared_checks()
+    s.checks += quality.accepted_value_checks().checks
     s.add("not_null", "stg_customers", "customer_name")
     s.add("not_negative", "stg_customers", "account_balance", severity="error")
-    s.add("accepted_values", "stg_orders", "status_code", values=("O", "F", "P"))
-    s.add("valid_currency_code", "customers_with_currency", "currency_code", parent="fx_rates")
+    s.add("valid_currency_code", "customers_with_currency", "currency_code", parent="seed.fx_rates")
     return s
 
 

@@ -537,7 +537,7 @@ planted_summary AS (
          SUM(extended_price * (1 - discount_percentage)) AS net_revenue
   FROM planted_items GROUP BY order_key),
 dq_fct_orders AS (
-  SELECT o.order_key, o.order_date, o.sales_region, s.gross_revenue, s.net_revenue
+  SELECT o.order_key, o.order_date, o.sales_region, o.status_code, s.gross_revenue, s.net_revenue
   FROM orders_enriched o LEFT JOIN planted_summary s ON o.order_key = s.order_key),
 customers_with_currency AS (
   SELECT customer_key, nation_key, {_FX_CODES}[(nation_key % 13) + 1] AS currency_code FROM stg_customers),
@@ -582,16 +582,24 @@ ORACLE_SQL["dq_months_complete"] = with_base(
 )
 
 # relation names of the check suite -> relations of the oracle
-_DQ_RELATIONS = {"stg_customers": "dq_customers", "stg_orders": "dq_orders", "fct_orders": "dq_fct_orders"}
+_DQ_RELATIONS = {
+    "stg_customers": "dq_customers", "stg_orders": "dq_orders", "fct_orders": "dq_fct_orders",
+    "seed.fx_rates": "fx_rates", "seed.nation_region_overrides": "coded_overrides",
+    "seed.market_segment_labels": "label_rows", "dim_dates": "day_rows", "snp_customers": "customer_history",
+    "snp_suppliers": "supplier_history",
+}
+_NOT_IN_EXTRACTS = {"source.partsupp"}
 
 
 def _check_sql(check) -> str:
-    rel = _DQ_RELATIONS.get(check.relation, check.relation)
+    rel = _DQ_RELATIONS.get(check.relation, check.relation.removeprefix("source."))
     col = check.column
     head = (
         f"SELECT '{check.name}' AS check_name, '{check.relation}' AS relation, '{col}' AS column_name, "
         f"'{check.severity}' AS severity, "
     )
+    if check.relation in _NOT_IN_EXTRACTS:
+        return head + "CAST(NULL AS BIGINT) AS failures"
     if check.kind == "not_null":
         return head + f"COUNT(*) FILTER (WHERE {col} IS NULL) AS failures FROM {rel}"
     if check.kind == "not_negative":
@@ -602,10 +610,10 @@ def _check_sql(check) -> str:
             f"HAVING COUNT(*) > 1)) AS failures"
         )
     if check.kind == "accepted_values":
-        vals = ", ".join(f"'{v}'" for v in check.values)
+        vals = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in check.values)
         return head + f"(SELECT COUNT(DISTINCT {col}) FROM {rel} WHERE {col} NOT IN ({vals})) AS failures"
     if check.kind in ("relationships", "valid_currency_code"):
-        parent = _DQ_RELATIONS.get(check.parent, check.parent) if check.parent else "fx_rates"
+        parent = _DQ_RELATIONS.get(check.parent, check.parent)
         pcol = check.parent_column or "currency_code"
         return head + (
             f"(SELECT COUNT(*) FROM {rel} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
@@ -616,8 +624,18 @@ def _check_sql(check) -> str:
 
 def dq_report_sql(checks) -> str:
     body = "\nUNION ALL\n".join(_check_sql(c) for c in checks)
+    more = f"""{DQ_CTES},
+coded_overrides AS (
+  SELECT n.n_name AS nation_name, v.sales_region
+  FROM nation n JOIN (VALUES {_OVERRIDE_VALUES}) AS v(nation_key, sales_region) ON n.n_nationkey = v.nation_key),
+label_rows AS (
+  SELECT * FROM (VALUES {_values(MARKET_SEGMENT_LABELS, (0, 3))}) AS l(market_segment, priority_tier)),
+day_rows AS ({ORACLE_SQL["dim_dates"]}),
+customer_history AS ({ORACLE_SQL["snapshot_customers"]}),
+supplier_history AS ({ORACLE_SQL["snapshot_suppliers"]})"""
     return with_base(
-        "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM (\n" + body + "\n)", DQ_CTES
+        "SELECT *, CASE WHEN failures IS NULL THEN 'skipped' WHEN failures = 0 THEN 'pass' ELSE severity END AS status "
+        "FROM (\n" + body + "\n)", more
     )
 
 

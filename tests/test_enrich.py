@@ -59,8 +59,8 @@ def test_priced_line_items_exact(spark):
 def test_staging_strict_and_fill_missing(spark):
     raw = spark.createDataFrame([(1, "r")], "r_regionkey int, r_name string")
     with pytest.raises(staging.MissingSourceColumn):
-        staging.stg_regions(raw)
-    out = staging.stg_regions(raw, fill_missing=True)
+        staging.stage(raw, "region")
+    out = staging.stage(raw, "region", fill_missing=True)
     assert out.columns == ["region_key", "region_name", "region_comment"]
     assert dict(out.dtypes)["region_comment"] == "string"
     assert out.collect()[0].region_comment is None
@@ -77,3 +77,11 @@ def test_strict_warehouse_refuses_partial_extracts(spark):
     with pytest.raises(Exception):
         wh.part_suppliers.collect()  # no partsupp table and no stand-in when strict
     assert Warehouse(spark, SMOKE_DIR, fill_missing=True).part_suppliers.count() > 0
+
+
+def test_money_is_never_rounded(spark):
+    raw = lambda v: spark.createDataFrame([(1, v)], "c_custkey long, c_acctbal double")
+    stage = lambda v: staging.stage(raw(v), "customer", fill_missing=True).first().account_balance
+    assert stage(1234567.89) == D("1234567.89") and stage(None) is None and stage(-0.07) == D("-0.07")
+    with pytest.raises(Exception, match="no exact decimal"):
+        stage(0.0825)
