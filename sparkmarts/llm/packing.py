@@ -104,15 +104,16 @@ def pack(
     max_tokens: int = MAX_TOKENS,
     buckets: int = BUCKETS,
     budget: int = BUDGET,
-    stream_rows: int = 100_000,
+    stream_batches: int = 64,
     with_text: bool = False,
 ) -> DataFrame:
     """(id, segment, n_tokens, start, end, bucket_tokens, batch_id, slot, padding)
     of every sequence, ``text`` too if asked for.
 
-    A bucket of more than ``stream_rows`` sequences is dealt to several streams
-    by a hash of the sequence, so that no task numbers a whole hot bucket; only
-    the last batch of a stream may be short. In a stream, sequences are ordered
+    A bucket of more than ``stream_batches`` batches is dealt to several streams
+    of about that many by a hash of the sequence, so that a task numbers a
+    bounded number of tokens however hot a bucket is; only the last batch of a
+    stream may be short. In a stream, sequences are ordered
     by (id, segment, start, end); rows equal in all of these are interchangeable.
     A batch has max(1, budget // bucket_tokens) slots (bucket 0 counts as 1).
     Null and empty texts are sequences of no tokens; null ids are kept."""
@@ -120,7 +121,8 @@ def pack(
     counts = {int(r[0]): int(r[1]) for r in rows.groupBy("n_tokens").count().collect()}  # at most max_tokens + 1 rows
     bounds = optimal_buckets(counts, buckets)
     held = {b: sum(v for k, v in counts.items() if k <= b and (i == 0 or k > bounds[i - 1])) for i, b in enumerate(bounds)}
-    streams = F.create_map(*(F.lit(x) for b in bounds for x in (b, -(-held[b] // stream_rows)))) if bounds else None
+    per_stream = {b: stream_batches * max(1, budget // max(1, b)) for b in bounds}
+    streams = F.create_map(*(F.lit(x) for b in bounds for x in (b, -(-held[b] // per_stream[b])))) if bounds else None
     rows = rows.withColumn("bucket_tokens", _bucket(bounds, F.col("n_tokens")).cast("bigint"))
     n = streams[F.col("bucket_tokens")].cast("bigint") if bounds else F.lit(1).cast("bigint")
     rows = rows.withColumn("__stream", F.pmod(F.xxhash64(id_col, "segment", "n_tokens", "start", "end"), n))

@@ -57,7 +57,7 @@ def test_pack_covers_every_token(spark):
 
 def test_pack_streams_of_a_hot_bucket(spark):
     docs = spark.range(500).selectExpr("id doc_id", "repeat('w ', 7) text")
-    rows = pack(docs, buckets=3, budget=70, stream_rows=100).collect()
+    rows = pack(docs, buckets=3, budget=70, stream_batches=10).collect()
     assert len(rows) == 500 and {r.bucket_tokens for r in rows} == {7}
     check(rows, 2048, 70, short_batches=5)
 
