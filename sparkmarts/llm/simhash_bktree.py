@@ -278,7 +278,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def fp_components(
-    fps: DataFrame, id_col: str, radius: int = RADIUS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS
+    fps: DataFrame, id_col: str, radius: int = RADIUS, blocks: int = BLOCKS, shard_rows: int = SHARD_ROWS, salts: int = 32
 ) -> DataFrame:
     """(fp, root, component_id) of every distinct fingerprint: its component's
     smallest fingerprint and the smallest id among all rows of the component."""
@@ -287,8 +287,14 @@ def fp_components(
     placed = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
-    named = placed.groupBy("root").agg(F.min("low").alias("component_id"))
-    return placed.join(named, "root").select("fp", "root", "component_id")
+    # a component may hold a large share of all fingerprints: its name goes to
+    # ``salts`` places; a fingerprint without links keeps its own
+    named = placed.groupBy("root").agg(F.min("low").alias("name"), F.count("*").alias("n")).where("n > 1")
+    named = named.select("root", "name", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    salted = placed.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(salts)).cast("int"))
+    return salted.join(named, ["root", "salt"], "left").select(
+        "fp", "root", F.coalesce("name", "low").alias("component_id")
+    )
 
 
 def simhash_groups(
