@@ -107,4 +107,47 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x{00}-\\x{2F}\\x{3A}-\\x{60}\\x{7B}-\\x{7F}]+')"
+)
+
+#: DuckDB SQL of the queries that SQL can express over whole tables. A trained
+#: model, XXH64, checksums, template automata and markup cannot be: the tests
+#: hold those against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+  SELECT item, least(len(w), 10) AS n, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+  FROM items WHERE len(w) > 0),
+grams AS (SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS gram FROM item_windows),
+widths AS (SELECT DISTINCT n FROM grams),
+places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN widths ON len(w) >= n),
+hits AS (
+  SELECT doc_id, i, n, item
+  FROM (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS gram FROM places) JOIN grams USING (n, gram)),
+touched AS (SELECT doc_id, unnest(range(i, i + n)) AS word FROM (SELECT DISTINCT doc_id, i, n FROM hits)),
+n_touched AS (SELECT doc_id, COUNT(DISTINCT word) AS n_hit FROM touched GROUP BY 1),
+found AS (
+  SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY 1)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(t.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
+       sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(t.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN n_touched t USING (doc_id) LEFT JOIN found f USING (doc_id)
+""",
+    "op6_nearest": """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and([c IS NOT NULL AND isfinite(c) FOR c IN embedding])
+    AND list_bool_or([c <> 0 FOR c IN embedding])),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.x) = len(q.x) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+WHERE rank <= 20
+""",
+}
