@@ -104,10 +104,15 @@ def _exact(value: Column, kind: DataType, typ: str) -> Column:
     error, not rounded. Binary fractions may differ by their own error."""
     out = value.cast(typ)
     to = DataType.fromDDL(typ)
-    wider = isinstance(kind, (FloatType, DoubleType)) or isinstance(kind, DecimalType) and kind.scale > getattr(to, "scale", 0)
-    if not isinstance(to, DecimalType) or not wider:
+    if not isinstance(to, DecimalType):
+        return out
+    if isinstance(kind, (FloatType, DoubleType)):
+        units = value.cast("double") * float(10**to.scale)
+        lost = F.abs(units - F.rint(units)) > 1e-4 + F.abs(units) * (1e-14 if isinstance(kind, DoubleType) else 1e-6)
+    elif isinstance(kind, DecimalType) and kind.scale > to.scale:
+        lost = out.cast(kind) != value
+    else:
         return out
-    lost = F.abs(value.cast("double") - out.cast("double")) > 1e-6 * F.greatest(F.lit(1.0), F.abs(value.cast("double")) / 1e6)
     return F.when(lost, F.raise_error(F.concat(F.lit(f"no exact {typ}: "), value.cast("string"))).cast(typ)).otherwise(out)
 
 
