@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from sparkmarts.llm.common import materialise
 
 K = 20
-QUERY_ROWS = 4096
-TILE_ROWS = 8192
+#: bounds of a tile: rows, and bytes of the vectors of one side
+QUERY_ROWS, TILE_ROWS, TILE_BYTES = 4096, 65_536, 64 << 20
 #: candidates multiplied at once inside a tile
 BLOCK = 512
 
@@ -87,12 +87,13 @@ def nearest(
     vec_col: str = "embedding",
     k: int = K,
     query_rows: int = QUERY_ROWS,
-    tile_rows: int = TILE_ROWS,
+    tile_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest rows of every query,
     ties to the smaller id. Rows with a null id, or whose vector is null, empty, zero
     or holds null or non-finite components take no part. Of rows that repeat an id the one with the
-    smallest vector counts. Vectors of unlike length have no product."""
+    smallest vector counts. Vectors of unlike length have no product. How the
+    rows are cut into tiles changes no result."""
     rows = (
         vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), is_query.alias("q"))
         .where(F.col("id").isNotNull() & usable(F.col("v")))
@@ -101,9 +102,16 @@ def nearest(
         .select("id", "r.v", F.coalesce("r.q", F.lit(False)).alias("q"))
     )
     rows = materialise(rows, "vectors")
-    n, asked = rows.agg(F.count("*"), F.count_if("q")).first()
+    n, asked, width = rows.agg(F.count("*"), F.count_if("q"), F.coalesce(F.max(F.size("v")), F.lit(1))).first()
+    fit = max(256, TILE_BYTES // (8 * width))
+    query_rows = min(query_rows, fit)
+    if tile_rows is None:
+        # large tiles send each row to fewer places; enough of them for all cores
+        busy = math.ceil(n / (4 * vectors.sparkSession.sparkContext.defaultParallelism))
+        tile_rows = min(TILE_ROWS, fit, max(1024, busy))
     q_groups, c_groups = max(1, math.ceil(asked / query_rows)), max(1, math.ceil(n / tile_rows))
-    place = lambda groups, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(groups))
+    # both sides' keys need one type: a cogroup deals an int and a bigint to different tasks
+    place = lambda groups, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(groups)).cast("int")
     every = lambda groups: F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     size = F.size("v").alias("size")
     left = rows.where("q").select("id", "v", size, place(q_groups, 1).alias("qg"), every(c_groups).alias("cg"))

@@ -65,6 +65,25 @@ def test_many_tiles(spark):
     assert got == brute(rows, [i for i in rows if i % 7 == 0], 5)
 
 
+def test_many_tasks(spark):
+    """Tiles dealt to many tasks that are not merged again."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "37"}
+    old = {k: spark.conf.get(k) for k in conf}
+    rng = np.random.default_rng(9)
+    rows = {i: [float(x) for x in rng.normal(size=4)] for i in range(400)}
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {}
+        for r in nearest(df, F.col("vec_id") % 5 == 0, k=5, query_rows=20, tile_rows=60).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == brute(rows, [i for i in rows if i % 5 == 0], 5)
+
+
 def test_odd_rows(spark):
     nan, inf = math.nan, math.inf
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [2.0, 1.0]), (2, [2.0, 5.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]),
