@@ -16,7 +16,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from sparkmarts.session import recommended_conf
+from sparkmarts.session import clear_scratch, recommended_conf
 
 
 def _session() -> SparkSession:
@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
         report = build_all(spark, wh, args.out, _now(args.now), full_refresh=args.full_refresh)
         report.orderBy("relation", "check_name").show(200, truncate=False)
         failed = report.where("status = 'error'").count()
+        clear_scratch(spark)
         return 1 if failed else 0
     from sparkmarts.operators.freshness import freshness_report
     from sparkmarts.sources.readers import SOURCE_TABLES, source_path, table_exists

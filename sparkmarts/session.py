@@ -68,5 +68,16 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared work folder."""
-    return f"{work_dir(spark)}/sparkmarts/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under this application's part of the work folder."""
+    return f"{_own_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/sparkmarts/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application: at its end, as
+    DataFrames that were returned may still read them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,11 +11,12 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from sparkmarts.session import local_session, work_dir
+    from sparkmarts.session import clear_scratch, local_session, work_dir
 
     s = local_session("*", shuffle_partitions=8, app="sparkmarts-tests")
     work_dir(s)  # uses spark.checkpoint.dir; sets a temporary one only when unset
     yield s
+    clear_scratch(s)
     s.stop()
 
 
