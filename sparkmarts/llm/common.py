@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmarts.session import scratch_path
+from sparkmarts.sources.readers import delete_path
 
 # A-Z to a-z; every byte that ends a word of ``WORDS`` to a space. Bytes from
 # 0x80 up belong to non-ASCII characters, which are word characters.
@@ -22,13 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
     """Write to a new folder under the shared work folder and read it back:
-    cuts the lineage with files that survive the loss of executors."""
+    cuts the lineage with files that survive the loss of executors. The folder of
+    ``instead_of``, an earlier table that nothing else reads, is then deleted."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if instead_of is not None:
+        delete_path(spark, instead_of.scratch)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
 
 
 def remainder(id_col: str, n: int) -> Column:

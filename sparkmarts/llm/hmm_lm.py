@@ -385,6 +385,6 @@ def hmm_scores(
     packed = materialise(chunks(marked, id_col, text_col, "__held", classes, chunk_bytes), "chunks")
     tokens = int(packed.agg(F.sum("tokens")).first()[0] or 0)
     least = max(1, int(np.ceil(tokens * own_share)))
-    table = materialise(with_counts(packed, least), "counted")
+    table = materialise(with_counts(packed, least), "counted", instead_of=packed)
     model = train(table, tokens, states, rounds, classes)
     return text_scores(table, model, id_col)

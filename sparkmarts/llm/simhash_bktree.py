@@ -267,7 +267,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if seen[0] == 0:
             break
-        e = materialise(small(large(e)), "stars")
+        e = materialise(small(large(e)), "stars", instead_of=e)
         now = state(e)
         if now == seen:
             break
