@@ -717,7 +717,7 @@ SELECT 'orders' AS source_name, TIMESTAMP '2024-01-01 00:00:00' AS max_loaded_at
 FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00' HAVING COUNT(*) > 0
 """
 ORACLE_SQL["reload_table"] = "\nUNION ALL\n".join(
-    f"SELECT '{m}' AS method, '{t}' AS table_name, COUNT(*) AS row_count, SUM({k}) AS key_sum FROM {t}"
+    f"SELECT '{m}' AS method, '{t}' AS table_name, COUNT(*) AS row_count, CAST(SUM({k}) AS BIGINT) AS key_sum FROM {t}"
     for m in ("truncate_reload", "recreate") for t, k in (("customer", "c_custkey"), ("orders", "o_orderkey"))
 )
 ORACLE_SQL["save_table"] = """
