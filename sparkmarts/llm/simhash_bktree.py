@@ -77,7 +77,8 @@ def fingerprints(
         flat = np.fromiter(itertools.chain.from_iterable(hashes), dtype=np.uint64, count=int(counts.sum()))
         return {"fp": pa.array(majority(flat, counts).view(np.int64))}
 
-    return map_slices(docs, text_col, run, "fp long", keep=[id_col, *(extra or [])])
+    # 64 bytes a shingle while bits are counted: small slices
+    return map_slices(docs, text_col, run, "fp long", keep=[id_col, *(extra or [])], slice_bytes=1 << 20)
 
 
 # --- BK-trees ---------------------------------------------------------------
