@@ -47,6 +47,8 @@ _CLOSES = {
     "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset()),
 }
+#: what may stand in a head; any other start tag and any text begin the body
+_IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template head".split())
 _SCOPE = frozenset("table td th caption html template object".split())
 
 _TAG = re.compile(
@@ -86,6 +88,8 @@ def parse(source: str) -> Node:
 
     def text(s: str) -> None:
         if s:
+            if stack[-1].tag == "head" and s.strip():
+                stack.pop()
             stack[-1].kids.append(html.unescape(s) if "&" in s else s)
 
     def close(tags: frozenset, barriers: frozenset) -> None:
@@ -131,6 +135,10 @@ def parse(source: str) -> Node:
         if tag == "html":
             root.attrs.update(_attributes(m[3]))
             continue
+        if tag == "head" and (len(stack) > 1 or any(isinstance(k, Node) or k.strip() for k in root.kids)):
+            continue  # a head after the page's first content is none
+        if stack[-1].tag == "head" and tag not in _IN_HEAD:
+            stack.pop()
         if tag in _P_ENDS:
             close(frozenset(["p"]), _SCOPE)
         if tag in _CLOSES:

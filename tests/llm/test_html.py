@@ -52,6 +52,27 @@ def test_no_visible_character_is_lost(source):
         assert got == want
 
 
+HEADS = [
+    ("<html><head><title>T</title><h1>A</h1><p>text", "A\n\ntext"),
+    ("<head><meta charset=utf-8><title>T</title>\ntext <b>x</b></head><body>y", "text x\ny"),
+    ("<head><noscript><img alt=n></noscript><style>s{}</style><div>a</div><title>T</title></head><body>b", "a\nb"),
+    ("<p>a<head>b</p>c", "ab\n\nc"),
+    ("<head><template><p>no</template></head><body>b", "b"),
+]
+
+
+@pytest.mark.parametrize(("source", "text"), HEADS)
+def test_a_head_ends_where_the_body_begins(source, text):
+    assert render(source) == text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*PIECES, "<head>", "<head>", "</head>", "<body>", "<meta>"]), max_size=30).map("".join))
+def test_no_visible_character_is_lost_by_a_head(source):
+    got = re.sub(r"[\s|]|- ", "", render(source))
+    assert sorted(got) == sorted(re.sub(r"<[^>]*>|\s", "", source))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/\"'=-!&;ab pt\n", max_size=60))
 def test_any_input_renders(source):
