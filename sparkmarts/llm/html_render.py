@@ -47,6 +47,15 @@ _CLOSES = {
     "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
     "body": (frozenset(["head"]), frozenset()),
 }
+#: parts of a table, and where the parts may stand; elements in between are left when a part begins
+_PARTS = {
+    "tr": frozenset("table thead tbody tfoot".split()),
+    "td": frozenset("table thead tbody tfoot tr".split()),
+    "th": frozenset("table thead tbody tfoot tr".split()),
+    "thead": frozenset(["table"]),
+    "tbody": frozenset(["table"]),
+    "tfoot": frozenset(["table"]),
+}
 #: what may stand in a head; any other start tag and any text begin the body
 _IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template head".split())
 _SCOPE = frozenset("table td th caption html template object".split())
@@ -143,6 +152,13 @@ def parse(source: str) -> Node:
             close(frozenset(["p"]), _SCOPE)
         if tag in _CLOSES:
             close(*_CLOSES[tag])
+        if tag in _PARTS:
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag in _PARTS[tag]:
+                    del stack[i + 1 :]
+                    break
+                if stack[i].tag in ("td", "th", "caption", "template"):
+                    break
         if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             _open(stack, Node("tr", {}))
         node = Node(tag, _attributes(m[3]) if m[3].strip() else {})
@@ -229,26 +245,29 @@ def _span(cell: Node, name: str) -> int:
     return min(max(int(v), 1), 100) if v.isascii() and v.isdigit() and len(v) < 4 else 1
 
 
-def _rows(table: Node):
+def _parts(table: Node):
+    """(is a row, node) of all rows of a table and of all else that stands in it."""
     for kid in table.kids:
-        if isinstance(kid, Node) and visible(kid):
-            if kid.tag == "tr":
-                yield kid
-            elif kid.tag in ("thead", "tbody", "tfoot"):
-                yield from _rows(kid)
+        if isinstance(kid, str):
+            if kid.strip():
+                yield False, kid
+        elif visible(kid):
+            if kid.tag in ("thead", "tbody", "tfoot", "colgroup"):
+                yield from _parts(kid)
+            else:
+                yield kid.tag == "tr", kid
 
 
 def _render_table(node: Node, page: _Page) -> None:
-    for kid in node.kids:
-        if isinstance(kid, str):
-            if kid.strip():
-                page.inline(kid)
-        elif kid.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col"):
+    parts = list(_parts(node))
+    for is_row, kid in parts:
+        if not is_row:
             _render(kid, page)
-            page.owe(1)
+            if isinstance(kid, Node):
+                page.owe(1)
     rows, ends = [], []
     busy: dict[int, int] = {}  # column -> rows still covered from above
-    for tr in _rows(node):
+    for tr in (kid for is_row, kid in parts if is_row):
         line, col = {}, 0
         for kid in tr.kids:
             if isinstance(kid, str) or kid.tag not in ("td", "th"):

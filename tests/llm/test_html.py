@@ -73,6 +73,32 @@ def test_no_visible_character_is_lost_by_a_head(source):
     assert sorted(got) == sorted(re.sub(r"<[^>]*>|\s", "", source))
 
 
+TABLES = [
+    ("<table><tbody><form><tr><td>a</td></tr></form></tbody></table>", "a"),
+    ("<table><tbody><form><tr><td>a<td>b</tr></form><tr><td>cc<td>d</table>", "a  | b\ncc | d"),
+    ("<table><tbody>text<div>x</div><tr><td>a<td>b</table>", "text\nx\na | b"),
+    ("<table><thead>h<tfoot><p>f</p><tbody><tr><form><td>a<td>b</form></table>", "h\n\nf\n\na | b"),
+    ("<table><colgroup><div>c</div><tr><td>a</table>", "c\na"),
+    ("<table><tr><td><form><table><tr><td>in</table></form><td>b</table>", "in | b"),
+    ("<table><tbody hidden>no<tr><td>no</tbody><tbody><tr><td>a</table>", "a"),
+]
+
+
+@pytest.mark.parametrize(("source", "text"), TABLES)
+def test_all_parts_of_a_table_show(source, text):
+    assert render(source) == text
+
+
+GROUPS = ["<tbody>", "</tbody>", "<thead>", "<tfoot>", "<form>", "</form>", "<colgroup>", "<caption>"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from([*PIECES, *GROUPS]), max_size=30).map("".join))
+def test_no_visible_character_is_lost_in_row_groups(source):
+    got = re.sub(r"[\s|]|- ", "", render("<table>" + source))
+    assert sorted(got) == sorted(re.sub(r"<[^>]*>|\s", "", source))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/\"'=-!&;ab pt\n", max_size=60))
 def test_any_input_renders(source):
