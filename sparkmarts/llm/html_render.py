@@ -21,9 +21,22 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style xmp iframe noembed noframes".split())
 TEXT_ONLY = frozenset("title textarea".split())
 HIDDEN = frozenset(
-    "head script style template noscript iframe object svg math canvas audio video datalist title noembed noframes "
-    "select option optgroup map meta link base param source track".split()
+    "head script style template noscript iframe object canvas audio video datalist title noembed noframes "
+    "meta link base param source track".split()
 )
+#: what a browser does not draw of a drawing or a formula where it stands
+_UNDRAWN = {
+    "svg": frozenset("defs metadata title desc symbol clippath mask marker pattern".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+#: parts of a formula that stand above, below or beside each other
+_APART = frozenset("mfrac msub msup msubsup munder mover munderover mroot mmultiscripts mtr".split())
+#: HTML start tags that end an open svg or math, and the elements inside these that hold HTML again
+_BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+_HTML_INSIDE = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary ul xmp "
@@ -58,7 +71,7 @@ _PARTS = {
 }
 #: what may stand in a head; any other start tag and any text begin the body
 _IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template head".split())
-_SCOPE = frozenset("table td th caption html template object".split())
+_SCOPE = frozenset("table td th caption html template object foreignobject".split())
 
 _TAG = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*+)[^>]*+>|"
@@ -112,6 +125,17 @@ def parse(source: str) -> Node:
             if tag in barriers:
                 return
 
+    drawn = re.search("<(?:svg|math)", source, re.I)
+
+    def foreign() -> int:
+        """Place of the svg or math whose content is read, or 0."""
+        for i in range(len(stack) - 1 if drawn else 0, 0, -1):
+            if stack[i].tag in ("svg", "math"):
+                return i
+            if stack[i].tag in _HTML_INSIDE or stack[i].tag in BLOCK:
+                return 0
+        return 0
+
     at = 0
     closed = source.rfind(">") + 1  # nothing behind it can be a tag
     while True:
@@ -139,11 +163,28 @@ def parse(source: str) -> Node:
                     stack[-1].kids.append(Node("br", {}))
             continue
         if not m[2]:
+            if m[0].startswith("<![CDATA[") and foreign():
+                end = source.find("]]>", m.start())
+                at = end + 3 if end >= 0 else len(source)
+                stack[-1].kids.append(source[m.start() + 9 : end if end >= 0 else None])
             continue
         tag = m[2].lower()
         if tag == "html":
             root.attrs.update(_attributes(m[3]))
             continue
+        inside = foreign()
+        while inside and tag in _BREAKOUT:
+            del stack[inside:]
+            inside = foreign()
+        if inside:
+            a = _attributes(m[3].removesuffix("/"))
+            if tag in _UNDRAWN[stack[inside].tag] or a.get("display") == "none" or a.get("visibility") in ("hidden", "collapse"):
+                a["hidden"] = ""
+            node = Node(f"svg:{tag}" if tag in BLOCK else tag, a)  # not the HTML element of that name
+            stack[-1].kids.append(node)
+            if not m[3].endswith("/") and len(stack) < MAX_DEPTH:
+                stack.append(node)
+            continue
         if tag == "head" and (len(stack) > 1 or any(isinstance(k, Node) or k.strip() for k in root.kids)):
             continue  # a head after the page's first content is none
         if stack[-1].tag == "head" and tag not in _IN_HEAD:
@@ -163,7 +204,7 @@ def parse(source: str) -> Node:
             _open(stack, Node("tr", {}))
         node = Node(tag, _attributes(m[3]) if m[3].strip() else {})
         stack[-1].kids.append(node)
-        if tag in VOID:
+        if tag in VOID or tag in ("svg", "math") and m[3].endswith("/"):
             continue
         if tag in RAW or tag in TEXT_ONLY:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
@@ -307,6 +348,42 @@ def _render_table(node: Node, page: _Page) -> None:
                 page.owe(1)
 
 
+def _render_svg(node: Node, page: _Page) -> None:
+    """Only text and foreign objects of a drawing show characters."""
+    for kid in node.kids:
+        if isinstance(kid, str) or not visible(kid):
+            continue
+        if kid.tag in ("text", "foreignobject"):
+            page.space = bool(page.out)
+            _render(kid, page)
+            page.space = bool(page.out)
+        else:
+            _render_svg(kid, page)
+
+
+def _render_select(node: Node, page: _Page) -> None:
+    """The chosen options; all of a list that shows several rows."""
+    options = []
+
+    def walk(of: Node) -> None:
+        for kid in of.kids:
+            if isinstance(kid, Node) and visible(kid):
+                if kid.tag == "option":
+                    options.append(kid)
+                else:
+                    walk(kid)
+
+    walk(node)
+    size = node.attrs.get("size", "")
+    if "multiple" not in node.attrs and not (size.isascii() and size.isdigit() and int(size[:9]) > 1):
+        options = [x for x in options if "selected" in x.attrs][-1:]
+    for x in options:
+        page.space = bool(page.out)
+        for kid in x.kids:
+            _render(kid, page)
+        page.space = bool(page.out)
+
+
 def _render(node, page: _Page, pre: bool = False, depth: int = 0) -> None:
     if isinstance(node, str):
         if pre:
@@ -338,6 +415,14 @@ def _render(node, page: _Page, pre: bool = False, depth: int = 0) -> None:
         page.owe(2 if tag in SPACED and not (tag in ("ul", "ol") and depth) else 1)
     if tag == "table":
         _render_table(node, page)
+    elif tag == "svg":
+        _render_svg(node, page)
+    elif tag == "select":
+        _render_select(node, page)
+    elif tag in _APART:
+        for kid in node.kids:
+            _render(kid, page)
+            page.space = bool(page.out)
     elif tag in ("ul", "ol", "menu", "dir"):
         number = node.attrs.get("start", "1")
         number = int(number) if re.fullmatch(r"-?[0-9]{1,9}", number) else 1

@@ -99,6 +99,36 @@ def test_no_visible_character_is_lost_in_row_groups(source):
     assert sorted(got) == sorted(re.sub(r"<[^>]*>|\s", "", source))
 
 
+DRAWN = [
+    ("a <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> b", "a x=1 2 b"),
+    ("<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>", "x"),
+    ("<annotation>shown</annotation>", "shown"),
+    ("<p>a<svg width='1'><defs><text>no</text></defs><title>no</title><g><text>yes<desc>no</desc></text></g></svg>b", "a yes b"),
+    ("<svg><style>x{}</style><text><![CDATA[1 < 2]]></text><text display=none>no</text></svg>", "1 < 2"),
+    ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"),
+    ("<div>a <svg/>b <math/>c</div>", "a b c"),
+    ("<div><svg><path d='M0 0'/><script/></svg>b</div>", "b"),
+    ("<div><svg><g><svg><path><p>b", "b"),
+    ("<map name=m><a href=x>l</a><area alt=no></map>", "l"),
+    ("<select><option>o<option selected>p</select> q", "p q"),
+    ("<select multiple><optgroup><option>o<option>p</select>q", "o p q"),
+]
+
+
+@pytest.mark.parametrize(("source", "text"), DRAWN)
+def test_drawings_formulas_and_choices(source, text):
+    assert render(source) == text
+
+
+FOREIGN = ["<svg>", "</svg>", "<svg/>", "<math>", "</math>", "<math/>", "<text>", "</text>", "<mi>", "</mi>", "<title>", "<g/>", "<"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*PIECES, *FOREIGN]), max_size=30).map("".join))
+def test_what_follows_a_drawing_shows(source):
+    assert render(source + "</title></svg></math><p>END").split()[-1:] in (["END"], ["|END"]) or "<table>" in source
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/\"'=-!&;ab pt\n", max_size=60))
 def test_any_input_renders(source):
