@@ -4,16 +4,17 @@ Tokens are whitespace-separated words (A-Z lowered) and one end token per text.
 
 1. Each task packs its texts into chunks of bounded size: distinct words, their
    training counts, and the texts as positions in that list.
-2. The (chunk, word) counts are summed per word over the whole corpus and sent
-   back to their chunks: exact counts, with one row per chunk and word, not one
-   per token.
-3. The model's symbols: each word that makes up ``own_share`` of the training
-   tokens or more has a symbol (so there are at most 1 / own_share of them);
-   all other words share ``classes`` symbols chosen by their ending; unknown
-   words have one. A word's share of its symbol is its smoothed count, the same
-   in every state. So the emission table has a fixed bound whatever the corpus.
-4. Every Baum-Welch round is one pass over all training chunks; tasks send
-   summed expected counts (states x symbols), which are added per symbol.
+2. The (chunk, word) counts are summed per word over the whole corpus, in
+   buckets of words, and sent back to their chunks: exact counts.
+3. The model's symbols: each word counted ``least`` times or more in the
+   training texts has a symbol; rarer words share ``classes`` symbols chosen by
+   their ending; unknown words have one. A rare word's share of its symbol is
+   its smoothed count, the same in every state. So the vocabulary with
+   statistics of its own grows with the corpus.
+4. Every Baum-Welch round is one pass over all training chunks. A word's
+   statistics are never held as a whole: a chunk sends the expected counts of its
+   own words to their buckets, where they are summed per word, and gets back the
+   sums of its own words. Only the classes, transitions and starts are broadcast.
 5. The scaled forward recursion gives each text's exact probability.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.chain import Pass, layout
@@ -37,9 +39,13 @@ from sparkmarts.llm.common import column_of, materialise, slices, texts_of
 END = b""
 STATES = 8
 ROUNDS = 6
-OWN_SHARE = 1e-4
+#: training count from which a word has statistics of its own
+LEAST = 2
 CLASSES = 4096
 CHUNK_BYTES = 16 << 20
+#: (chunk, word) pairs summed together, and buckets of words at least
+BUCKET_PAIRS = 250_000
+BUCKETS = 256
 #: tokens handled by one batch of the recursions
 BATCH_TOKENS = 1_000_000
 _LOG10 = np.log(10.0)
@@ -59,6 +65,16 @@ def _unpack(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind) if b else np.zeros(0, kind)
 
 
+def _pack_sums(x: np.ndarray) -> bytes:
+    """As singles, their bytes apart by significance, which compresses better."""
+    return _pack(np.ascontiguousarray(x, np.float32).view(np.uint8).reshape(-1, 4).T)
+
+
+def _unpack_sums(b: bytes, states: int) -> np.ndarray:
+    flat = np.ascontiguousarray(_unpack(b, np.uint8).reshape(4, -1).T).view(np.float32)
+    return flat.astype(np.float64).reshape(-1, states)
+
+
 # --- chunks and counts --------------------------------------------------------
 
 _CHUNK = (
@@ -121,73 +137,110 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, held_col: str, classes:
     return docs.mapInArrow(run, _CHUNK.format(id=kind))
 
 
-def with_counts(packed: DataFrame, least: int) -> DataFrame:
+def with_counts(packed: DataFrame, least: int, buckets: int, states: int) -> DataFrame:
     """The chunks with each of their words' training count in the whole corpus
-    (``totals``), the words counted ``least`` times or more with their places
-    (``own``), and n_new: distinct training words met first in this chunk."""
+    (``totals``) and n_new, which adds up to the distinct training words. Of the
+    words counted ``least`` times or more, ordered by bucket and rank: place
+    in the chunk (``own``), rank in the bucket, first leaning to the states; and
+    how many there are in each bucket (``sizes``)."""
     rows = packed.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "e")).select(
-        "chunk", "pos", "e.words", "e.counts"
+        "chunk", "pos", "e.words", "e.counts", F.expr(f"cast(pmod(xxhash64(e.words), {buckets}) as int)").alias("bucket")
+    )
+
+    def count(got: pa.Table) -> pa.Table:
+        words = got.column("words").combine_chunks().dictionary_encode()
+        code, names = words.indices.to_numpy(), words.dictionary
+        total = np.bincount(code, got.column("counts").to_numpy(), len(names)).astype(np.int64)
+        mine = total >= least
+        rank = (np.cumsum(mine) - 1).astype(np.int32)
+        lean = np.array([_noise(w.encode()[-3:], states) for w in names.filter(pa.array(mine)).to_pylist()], np.uint8)
+        chunk, pos = got.column("chunk").to_numpy(), got.column("pos").to_numpy()
+        order = np.lexsort((code, chunk))
+        new = int(np.count_nonzero(total))
+        out = []
+        for at in np.split(order, np.flatnonzero(np.diff(chunk[order])) + 1):
+            own = at[mine[code[at]]]
+            ranks = rank[code[own]]
+            out.append((chunk[at[0]], got.column("bucket")[0].as_py(), _pack(pos[at]), _pack(total[code[at]]), _pack(pos[own]), _pack(ranks), _pack(lean[ranks]), new))
+            new = 0
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.int64()], strict=True)], ["of", "bucket", "pos", "total", "own", "ranks", "lean", "new"])
+
+    counted = rows.groupBy("bucket").applyInArrow(
+        count, "of long, bucket int, pos binary, total binary, own binary, ranks binary, lean binary, new long"
     )
-    # a word has one row a chunk at most, so no window is larger than the number of chunks
-    word = Window.partitionBy("words")
-    total = F.sum("counts").over(word)
-    rows = rows.withColumn("total", total).withColumn("nth", F.row_number().over(word.orderBy("chunk")))
-    rows = rows.select(
-        F.col("chunk").alias("of"), "pos",
-        # a total is sent negated to the chunk that meets the word first
-        F.when(F.col("nth") == 1, -F.col("total")).otherwise(F.col("total")).alias("total"),
-        F.when(F.col("total") >= least, F.col("words")).alias("word"),
-    )
     kind = packed.schema["ids"].dataType.simpleString()
     out = (
         f"chunk long, ids {kind}, held array<boolean>, lens array<int>, codes binary, cls binary, "
-        "totals binary, own array<struct<pos:int,word:string>>, n_new long"
+        "totals binary, own binary, ranks binary, lean binary, sizes array<struct<bucket:int,n:int>>, n_new long"
     )
 
     def merge(chunk: pa.Table, got: pa.Table) -> pa.Table:
-        pos = got.column("pos").to_numpy()
-        signed = got.column("total").to_numpy()
+        got = got.sort_by("bucket")
+        of = {k: [_unpack(x, t) for x in got.column(k).to_pylist()] for k, t in (("pos", np.int32), ("total", np.int64), ("own", np.int32), ("ranks", np.int32), ("lean", np.uint8))}
+        pos = np.concatenate(of["pos"])
         totals = np.zeros(len(pos), np.int64)
-        totals[pos] = np.abs(signed)
-        named = got.filter(got.column("word").is_valid())
-        own = [{"pos": p, "word": w} for p, w in zip(named.column("pos").to_pylist(), named.column("word").to_pylist(), strict=True)]
-        new = int(np.count_nonzero(signed < 0))
-        more = {"totals": pa.array([_pack(totals)], pa.binary()), "own": pa.array([own], pa.list_(pa.struct([("pos", pa.int32()), ("word", pa.string())]))), "n_new": pa.array([new], pa.int64())}
+        totals[pos] = np.concatenate(of["total"])
+        sizes = [{"bucket": b, "n": len(x)} for b, x in zip(got.column("bucket").to_pylist(), of["own"], strict=True) if len(x)]
+        more = {"totals": pa.array([_pack(totals)], pa.binary())}
+        more |= {k: pa.array([_pack(np.concatenate(of[k]))], pa.binary()) for k in ("own", "ranks", "lean")}
+        more["sizes"] = pa.array([sizes], pa.list_(pa.struct([("bucket", pa.int32()), ("n", pa.int32())])))
+        more["n_new"] = pa.array([sum(got.column("new").to_pylist())], pa.int64())
         for k, v in more.items():
             chunk = chunk.append_column(k, v)
         return chunk
 
     left = packed.select("chunk", "ids", "held", "lens", "codes", "cls")
-    return left.groupBy("chunk").cogroup(rows.groupBy("of")).applyInArrow(merge, out)
+    return left.groupBy("chunk").cogroup(counted.groupBy("of")).applyInArrow(merge, out)
 
 
 # --- the model ----------------------------------------------------------------
 
 
+def _noise(name: bytes, states: int) -> np.ndarray:
+    return np.frombuffer(xxhash.xxh3_128_digest(name) * (states // 16 + 1), np.uint8)[:states]
+
+
 @dataclass
 class Hmm:
-    """Symbols: own words, then ending classes, then the unknown word."""
+    """What all chunks share: ending classes, then the unknown word. A word of its
+    own has a row of expected counts in the table of its chunk."""
 
-    own: dict[str, int]
     classes: int
     tokens: int
     vocabulary: int
-    mass: np.ndarray  # smoothed unigram probability of each symbol
+    mass: np.ndarray  # smoothed unigram probability of each class
     start: np.ndarray
     trans: np.ndarray
-    emit: np.ndarray  # symbols x states
+    emit: np.ndarray  # classes x states
+    norm: np.ndarray  # of the emissions, by state
+    share: np.ndarray | None  # added to the expected counts of a word; None before the first round
 
     def word_prob(self, totals: np.ndarray) -> np.ndarray:
         return (totals + 0.5) / (self.tokens + 0.5 * (self.vocabulary + 1))
 
-    def symbols(self, row: dict) -> tuple[np.ndarray, np.ndarray]:
-        """Of each word of a chunk: its symbol and its corpus count."""
-        totals = _unpack(row["totals"], np.int64)
-        sym = _unpack(row["cls"], np.int32) + len(self.own)
-        for e in row["own"]:
-            sym[e["pos"]] = self.own[e["word"]]
-        sym[totals == 0] = len(self.own) + self.classes
-        return sym, totals
+    def symbols(self, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word of a chunk its symbol (own words first, by their first
+        place: common words lie together) and its corpus count; the places of
+        the own words, and their order in the rows by bucket."""
+        totals, own = _unpack(row["totals"], np.int64), _unpack(row["own"], np.int32)
+        order = np.argsort(own)
+        own = own[order]
+        sym = _unpack(row["cls"], np.int32) + len(own)
+        sym[own] = np.arange(len(own))
+        sym[totals == 0] = len(own) + self.classes
+        return sym, totals, own, order
+
+    def lean(self, row: dict, mass: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """First emissions of the own words, not yet normed."""
+        return mass[:, None] * (1.0 + _unpack(row["lean"], np.uint8).reshape(len(mass), -1)[order] / 255.0)
+
+    def emissions(self, row: dict, sums: np.ndarray | None, mass: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """States x symbols of a chunk; ``sums``: expected counts of its own words."""
+        if self.share is not None:
+            own = sums[order] + 0.5 * self.share
+        else:
+            own = self.lean(row, mass, order) if len(mass) else np.zeros((0, len(self.norm)))
+        return np.ascontiguousarray(np.vstack([own / self.norm, self.emit]).T)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -212,74 +265,107 @@ def _items(codes: np.ndarray, starts: np.ndarray, lens: np.ndarray, part: np.nda
     return codes[np.repeat(starts[part] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
 
 
-def expected_counts(model: Hmm, rows: Iterator[dict]):
-    """Summed over the training texts: (symbols x states), transitions, starts."""
-    k = model.emit.shape[1]
-    table = np.ascontiguousarray(model.emit.T)
-    counts = np.zeros_like(model.emit)
+def expected_counts(model: Hmm, row: dict, sums: np.ndarray | None):
+    """Summed over a chunk's training texts: (symbols x states), transitions, starts."""
+    k = len(model.start)
+    sym, totals, own, order = model.symbols(row)
+    table = model.emissions(row, sums, model.word_prob(totals[own]), order)
+    counts = np.zeros((table.shape[1], k))
     pairs, starts_of = np.zeros((k, k)), np.zeros(k)
-    for row in rows:
-        sym, _ = model.symbols(row)
-        codes = _unpack(row["codes"], np.int32)
-        lens = np.array(row["lens"], np.int64)
-        begin = np.cumsum(lens) - lens
-        for part in _groups(lens, np.flatnonzero(~np.array(row["held"], bool))):
-            lay = layout(lens[part])
-            seen = np.empty(int(lens[part].sum()), np.int64)
-            seen[lay.slot] = sym[_items(codes, begin, lens, part)]
-            both = Pass(lambda a, b: table.take(seen[a:b], axis=1), lay, model.start, model.trans, keep=True)
-            pairs += both.backward()
-            starts_of += both.block(0).sum(axis=1)
-            counts += both.by_symbol(seen, len(counts))
+    codes = _unpack(row["codes"], np.int32)
+    lens = np.array(row["lens"], np.int64)
+    begin = np.cumsum(lens) - lens
+    for part in _groups(lens, np.flatnonzero(~np.array(row["held"], bool))):
+        lay = layout(lens[part])
+        seen = np.empty(int(lens[part].sum()), np.int64)
+        seen[lay.slot] = sym[_items(codes, begin, lens, part)]
+        both = Pass(lambda a, b: table.take(seen[a:b], axis=1), lay, model.start, model.trans, keep=True)
+        pairs += both.backward()
+        starts_of += both.block(0).sum(axis=1)
+        counts += both.by_symbol(seen, len(counts), piece=1 << 19)
+    # own words by bucket again
+    counts[order] = counts[: len(own)].copy()
     return counts, pairs, starts_of
 
 
-def initial(own: dict[str, int], classes: int, states: int, tokens: int, vocabulary: int, counts: np.ndarray) -> Hmm:
+def initial(classes: int, states: int, tokens: int, vocabulary: int, counts: np.ndarray, own: np.ndarray) -> Hmm:
     """Sticky states; emissions lean to a state by the ending of the word.
-    ``counts``: (training count, distinct words) of each symbol."""
+    ``counts``: (training count, distinct words) of each class; ``own``: summed
+    first emissions of the own words."""
     mass = (counts[:, 0] + 0.5 * counts[:, 1]) / (tokens + 0.5 * (vocabulary + 1))
-    lean = np.ones((len(mass), states))
-    names = [w.encode()[-3:] for w in own] + [str(i).encode() for i in range(classes + 1)]
-    for i, name in enumerate(names):
-        noise = np.frombuffer(xxhash.xxh3_128_digest(name) * (states // 16 + 1), np.uint8)[:states]
-        lean[i] += noise / 255.0
+    lean = np.array([_noise(str(i).encode(), states) for i in range(classes + 1)]) / 255.0 + 1.0
     emit = mass[:, None] * lean
-    emit /= emit.sum(axis=0)
+    norm = emit.sum(axis=0) + own
     trans = np.full((states, states), 0.05 / states) + 0.95 * np.eye(states)
-    return Hmm(own, classes, tokens, vocabulary, mass, np.full(states, 1 / states), trans, emit)
+    return Hmm(classes, tokens, vocabulary, mass, np.full(states, 1 / states), trans, emit / norm, norm, None)
 
 
-def maximise(model: Hmm, counts: np.ndarray, words: np.ndarray, pairs: np.ndarray, starts: np.ndarray) -> Hmm:
+def maximise(model: Hmm, counts: np.ndarray, words: np.ndarray, own: np.ndarray, pairs: np.ndarray, starts: np.ndarray) -> Hmm:
     """New parameters. The base model's added half count of every word is
     shared by the states in proportion to their use, so that an unknown word
-    is as likely in each state as in the base model."""
-    use = counts.sum(axis=0) + 1e-9
+    is as likely in each state as in the base model. ``own``: expected counts of
+    all own words together."""
+    total = counts.sum(axis=0) + own
+    use = total + 1e-9
     share = use / max(use.sum(), 1e-9)
-    emit = counts + 0.5 * words[:, None] * share
-    emit /= emit.sum(axis=0)
+    norm = total + 0.5 * (model.vocabulary + 1) * share
     trans = pairs + 0.1
     start = starts + 0.1
     return Hmm(
-        model.own, model.classes, model.tokens, model.vocabulary, model.mass,
-        start / start.sum(), trans / trans.sum(axis=1, keepdims=True), emit,
+        model.classes, model.tokens, model.vocabulary, model.mass, start / start.sum(),
+        trans / trans.sum(axis=1, keepdims=True), (counts + 0.5 * words[:, None] * share) / norm, norm, share,
     )
 
 
-def train(table: DataFrame, tokens: int, states: int, rounds: int, classes: int) -> Hmm:
-    """Baum-Welch over all training texts of the counted chunks."""
+def _each(table: DataFrame, sums: DataFrame | None, states: int, fn, out: str) -> DataFrame:
+    """``fn`` of every chunk and the expected counts of its own words (None before the first round)."""
+    if sums is None:
+
+        def alone(batches):
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    yield from fn(next(_rows([batch.slice(i, 1)])), None, batch.schema).to_batches()
+
+        return table.mapInArrow(alone, out)
+
+    def joined(chunk: pa.Table, got: pa.Table) -> pa.Table:
+        parts = [_unpack_sums(x, states) for x in got.sort_by("bucket").column("sums").to_pylist()]
+        return fn({k: v[0] for k, v in chunk.to_pydict().items()}, np.vstack([np.zeros((0, states)), *parts]), chunk.schema)
+
+    return table.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(joined, out)
+
+
+def _added(sent: DataFrame, states: int) -> DataFrame:
+    """Expected counts summed per word, for each chunk that sent some; rows of
+    negative buckets, what all chunks share, are added up."""
+
+    def add(got: pa.Table) -> pa.Table:
+        if got.column("bucket")[0].as_py() < 0:
+            whole = np.sum([np.frombuffer(x) for x in got.column("sums").to_pylist()], axis=0)
+            return got.select(["chunk", "bucket"]).slice(0, 1).append_column("sums", pa.array([whole.tobytes()], pa.binary()))
+        ranks = [_unpack(x, np.int32) for x in got.column("ranks").to_pylist()]
+        total = np.zeros((1 + max(int(r[-1]) for r in ranks), states))
+        for r, x in zip(ranks, got.column("sums").to_pylist(), strict=True):
+            total[r] += _unpack_sums(x, states)
+        return got.select(["chunk", "bucket"]).append_column("sums", pa.array([_pack_sums(total[r]) for r in ranks], pa.binary()))
+
+    return sent.groupBy("bucket").applyInArrow(add, "chunk long, bucket int, sums binary")
+
+
+def train(table: DataFrame, tokens: int, states: int, rounds: int, classes: int) -> tuple[Hmm, DataFrame | None]:
+    """Baum-Welch over all training texts of the counted chunks: what all chunks
+    share, and the expected counts of each chunk's own words."""
     spark = table.sparkSession
     vocabulary = int(table.agg(F.sum("n_new")).first()[0] or 0)
-    words = table.select(F.explode("own.word").alias("w")).distinct().collect()  # at most 1 / own_share
-    own = {w: i for i, w in enumerate(sorted(r.w for r in words))}
-    base = Hmm(own, classes, tokens, vocabulary, None, None, None, None)
-    size = len(own) + classes + 1
+    size = classes + 1
 
-    def gather(model_of, fn, width: int) -> np.ndarray:
-        """fn's (rows x width) sums over all tasks, added per row."""
-        shared = spark.sparkContext.broadcast(vars(model_of))
+    def gather(rows: DataFrame, fn, height: int, width: int) -> np.ndarray:
+        """fn's (height x width) sums over all tasks, added per row."""
 
         def run(batches):
-            got = fn(Hmm(**shared.value), _rows(batches))
+            got = np.zeros((height, width))
+            for row in _rows(batches):
+                got += fn(row)
             at = np.flatnonzero(got.any(axis=1))
             flat = pa.array(got[at].ravel(), pa.float64())
             yield pa.RecordBatch.from_arrays(
@@ -288,84 +374,130 @@ def train(table: DataFrame, tokens: int, states: int, rounds: int, classes: int)
             )
 
         sums = [F.sum(F.col("v")[i]).alias(f"v{i}") for i in range(width)]
-        got = table.mapInArrow(run, "row long, v array<double>").groupBy("row").agg(*sums).toArrow()  # size + states + 1 rows
-        out = np.zeros((size + states + 1, width))
+        got = rows.mapInArrow(run, "row long, v array<double>").groupBy("row").agg(*sums).toArrow()  # height rows
+        out = np.zeros((height, width))
         if got.num_rows:
             out[got.column("row").to_numpy()] = np.column_stack([got.column(f"v{i}").to_numpy() for i in range(width)])
-        shared.destroy()
         return out
 
-    def symbol_counts(model: Hmm, rows) -> np.ndarray:
-        """Training tokens of each symbol; its words are counted in the chunk where they are new."""
-        out = np.zeros((size + states + 1, 2))
-        for row in rows:
-            sym, totals = model.symbols(row)
-            codes = _unpack(row["codes"], np.int32)
-            train_of = np.repeat(~np.array(row["held"], bool), row["lens"])
-            in_chunk = np.bincount(codes[train_of], minlength=len(sym))
-            out[:size, 0] += np.bincount(sym, in_chunk, size)
-            # a word that stands in n chunks' training texts is counted by its share of the corpus count
-            known = totals > 0
-            out[:size, 1] += np.bincount(sym[known], in_chunk[known] / totals[known], size)
+    base = Hmm(classes, tokens, vocabulary, None, None, None, None, None, None)
+
+    def class_counts(row: dict) -> np.ndarray:
+        """Training tokens and words of each class, and the own words' first
+        emissions; a word that stands in n chunks' training texts is counted by
+        its share of the corpus count."""
+        out = np.zeros((size + 1, max(2, states)))
+        sym, totals, own, order = base.symbols(row)
+        train_of = np.repeat(~np.array(row["held"], bool), row["lens"])
+        in_chunk = np.bincount(_unpack(row["codes"], np.int32)[train_of], minlength=len(sym))
+        part = in_chunk / np.maximum(totals, 1)
+        rare = sym >= len(own)
+        out[:size, 0] = np.bincount(sym[rare] - len(own), in_chunk[rare], size)
+        out[:size, 1] = np.bincount(sym[rare] - len(own), part[rare], size)
+        out[size, :states] = part[own] @ base.lean(row, base.word_prob(totals[own]), order) if len(own) else 0.0
         return out
 
-    counts = gather(base, symbol_counts, 2)[:size]
+    got = gather(table, class_counts, size + 1, max(2, states))
+    counts = got[:size, :2]
     counts[:, 1] = np.rint(counts[:, 1])
     counts[size - 1] = (0, 1)  # the unknown word
-    model = initial(own, classes, states, tokens, vocabulary, counts)
-
-    def step(m: Hmm, rows) -> np.ndarray:
-        return np.vstack(expected_counts(m, rows))
-
+    model = initial(classes, states, tokens, vocabulary, counts, got[size, :states])
+    height = size + states + 2
+    added = sums = None
     for _ in range(rounds):
-        got = gather(model, step, states)
-        model = maximise(model, got[:size], counts[:, 1], got[size : size + states], got[-1])
-    return model
+        shared = spark.sparkContext.broadcast(vars(model))
+
+        def step(row: dict, own_sums, _schema, shared=shared) -> pa.Table:
+            model = Hmm(**shared.value)
+            got, pairs, starts = expected_counts(model, row, own_sums)
+            n = len(got) - size
+            cuts = np.cumsum([e["n"] for e in row["sizes"]], dtype=np.int64)[:-1]
+            ranks = np.split(_unpack(row["ranks"], np.int32), cuts) if n else []
+            parts = np.split(got[:n], cuts) if n else []
+            rest = np.vstack([got[n:], pairs, starts, got[:n].sum(axis=0)])
+            m = len(parts) + 1
+            return pa.table(
+                {
+                    "chunk": pa.array([row["chunk"]] * m, pa.int64()),
+                    "bucket": pa.array([-1 - row["chunk"] % 1021 % BUCKETS] + [e["bucket"] for e in row["sizes"]], pa.int32()),
+                    "ranks": pa.array([b""] + [_pack(r) for r in ranks], pa.binary()),
+                    "sums": pa.array([rest.tobytes()] + [_pack_sums(x) for x in parts], pa.binary()),
+                }
+            )
+
+        kept = ["chunk", "held", "lens", "codes", "cls", "totals", "own", "ranks", "sizes"]
+        of = table.select(*kept, "lean") if sums is None else table.select(*kept)
+        # in two steps, so that the shuffles of one are gone before the other's
+        sent = materialise(_each(of, sums, states, step, "chunk long, bucket int, ranks binary, sums binary"), "sent", instead_of=added)
+        added = materialise(_added(sent, states), "added", instead_of=sent)
+        shared.destroy()
+        rest = added.filter("bucket < 0").select("sums")
+        got = gather(rest, lambda row: np.frombuffer(row["sums"]).reshape(height, states), height, states)
+        model = maximise(model, got[:size], counts[:, 1], got[-1], got[size : size + states], got[-2])
+        sums = added.filter("bucket >= 0")
+    return model, sums
 
 
-def text_scores(table: DataFrame, model: Hmm, id_col: str) -> DataFrame:
+def text_scores(table: DataFrame, model: Hmm, sums: DataFrame | None, id_col: str) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
-    spark = table.sparkSession
-    shared = spark.sparkContext.broadcast(vars(model))
+    shared = table.sparkSession.sparkContext.broadcast(vars(model))
     kind = table.schema["ids"].dataType.elementType.simpleString()
+    states = len(model.start)
 
-    def run(batches):
+    def run(row: dict, own_sums, schema: pa.Schema) -> pa.Table:
         m = Hmm(**shared.value)
-        by_state = np.ascontiguousarray(m.emit.T)
-        for batch in batches:
-            id_type = batch.schema.field("ids").type.value_type
-            for i in range(batch.num_rows):
-                row = next(_rows([batch.slice(i, 1)]))
-                sym, totals = m.symbols(row)
-                codes = _unpack(row["codes"], np.int32)
-                lens = np.array(row["lens"], np.int64)
-                begin = np.cumsum(lens) - lens
-                log_word = np.log10(m.word_prob(totals))
-                known = np.add.reduceat((totals > 0)[codes], begin, dtype=np.int64)
-                base = np.add.reduceat(log_word[codes], begin)
-                # the word's share of its symbol
-                inside = np.add.reduceat((log_word - np.log10(m.mass[sym]))[codes], begin)
-                score = np.empty(len(lens))
-                for part in _groups(lens, np.arange(len(lens))):
-                    lay = layout(lens[part])
-                    seen = np.empty(int(lens[part].sum()), np.int64)
-                    seen[lay.slot] = sym[_items(codes, begin, lens, part)]
-                    score[part] = Pass(lambda a, b: by_state.take(seen[a:b], axis=1), lay, m.start, m.trans, keep=False).logs
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["ids"], id_type), pa.array(row["held"], pa.bool_()), pa.array(lens),
-                        pa.array(known), pa.array(np.full(len(lens), m.tokens)), pa.array(base),
-                        pa.array(score / _LOG10 + inside),
-                    ],
-                    names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
-
-    return table.mapInArrow(
+        id_type = schema.field("ids").type.value_type
+        sym, totals, own, order = m.symbols(row)
+        codes = _unpack(row["codes"], np.int32)
+        lens = np.array(row["lens"], np.int64)
+        begin = np.cumsum(lens) - lens
+        word = m.word_prob(totals)
+        log_word = np.log10(word)
+        known = np.add.reduceat((totals > 0)[codes], begin, dtype=np.int64)
+        base = np.add.reduceat(log_word[codes], begin)
+        # the word's share of its symbol
+        mass = np.concatenate([word[own], m.mass])
+        inside = np.add.reduceat((log_word - np.log10(mass[sym]))[codes], begin)
+        by_state = m.emissions(row, own_sums, word[own], order)
+        score = np.empty(len(lens))
+        for part in _groups(lens, np.arange(len(lens))):
+            lay = layout(lens[part])
+            seen = np.empty(int(lens[part].sum()), np.int64)
+            seen[lay.slot] = sym[_items(codes, begin, lens, part)]
+            score[part] = Pass(lambda a, b: by_state.take(seen[a:b], axis=1), lay, m.start, m.trans, keep=False).logs
+        return pa.table(
+            [
+                pa.array(row["ids"], id_type), pa.array(row["held"], pa.bool_()), pa.array(lens),
+                pa.array(known), pa.array(np.full(len(lens), m.tokens)), pa.array(base),
+                pa.array(score / _LOG10 + inside),
+            ],
+            names=[id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+        )
+
+    return _each(
+        table.drop("ranks", "sizes", "n_new", *(["lean"] if sums is not None else [])),
+        sums,
+        states,
         run,
         f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 
 
+@contextmanager
+def _shuffles_cleared(spark: SparkSession):
+    """The shuffle files of a job go at its end, not when the driver next collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def hmm_scores(
     docs: DataFrame,
     held_out,
@@ -373,18 +505,24 @@ def hmm_scores(
     text_col: str = "text",
     states: int = STATES,
     rounds: int = ROUNDS,
-    own_share: float = OWN_SHARE,
+    own_share: float | None = None,
     classes: int = CLASSES,
     chunk_bytes: int = CHUNK_BYTES,
+    least: int = LEAST,
 ) -> DataFrame:
     """Train on the rows where the column ``held_out`` is not true and score
     every row. Null and empty texts are the end token alone; repeated rows each
     count; null ids are kept (and are training rows if ``held_out`` is null).
-    Without training rows every token is unknown and has probability one."""
+    Without training rows every token is unknown and has probability one.
+    ``own_share`` sets ``least`` as a share of the training tokens."""
     marked = docs.select(F.col(id_col), F.col(text_col), F.coalesce(held_out, F.lit(False)).alias("__held"))
     packed = materialise(chunks(marked, id_col, text_col, "__held", classes, chunk_bytes), "chunks")
-    tokens = int(packed.agg(F.sum("tokens")).first()[0] or 0)
-    least = max(1, int(np.ceil(tokens * own_share)))
-    table = materialise(with_counts(packed, least), "counted", instead_of=packed)
-    model = train(table, tokens, states, rounds, classes)
-    return text_scores(table, model, id_col)
+    tokens, pairs = packed.agg(F.sum("tokens"), F.sum(F.size("words"))).first()
+    tokens = int(tokens or 0)
+    if own_share is not None:
+        least = int(np.ceil(tokens * own_share))
+    buckets = max(BUCKETS, int(pairs or 0) // BUCKET_PAIRS)
+    with _shuffles_cleared(docs.sparkSession):
+        table = materialise(with_counts(packed, max(1, least), buckets, states), "counted", instead_of=packed)
+        model, sums = train(table, tokens, states, rounds, classes)
+    return text_scores(table, model, sums, id_col)

@@ -132,6 +132,18 @@ def test_probabilities_of_all_short_texts_sum_to_one(spark, rounds):
     assert math.isclose(sum(base[w] for w in words) / base[""] + base[""], 1.0, rel_tol=1e-9)
 
 
+def test_rare_words_have_statistics_of_their_own(spark):
+    """Two words of like ending and count, one in 15,000 tokens each, that stand in different contexts."""
+    left, right = "l1 l2 l3 l4 " * 4, "r1 r2 r3 r4 " * 4
+    train = [left] * 1600 + [right] * 1600 + [left + "xaing " + left] * 4 + [right + "ybing " + right] * 4
+    probes = [left + "xaing", left + "ybing", right + "ybing", right + "xaing"]
+    rows = [(i, False, t) for i, t in enumerate(train)] + [(10_000 + i, True, t) for i, t in enumerate(probes)]
+    df = spark.createDataFrame(rows, "doc_id long, held boolean, text string").repartition(3)
+    got = {r.doc_id: r.score for r in hmm_scores(df, F.col("held"), chunk_bytes=50_000).filter("held_out").collect()}
+    own_left, other_left, own_right, other_right = (got[10_000 + i] for i in range(4))
+    assert own_left > other_left + 0.5 and own_right > other_right + 0.5
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     got = hmm_scores(docs, F.col("doc_id") % 5 == 1, rounds=2)
