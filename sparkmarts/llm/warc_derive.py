@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from urllib.parse import urldefrag, urljoin
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,37 +93,78 @@ def first(headers: list[tuple[str, str]], name: str) -> str | None:
     return next((v for k, v in headers if k.lower() == name.lower()), None)
 
 
-def _unchunk(body: bytes) -> bytes:
+def _unchunk(body: bytes) -> tuple[bytes, str | None]:
+    """The chunks' data, and what is wrong with them. A body that does not begin
+    with a chunk stays as it is."""
     out, at = [], 0
     while True:
         end = body.find(b"\n", at)
         if end < 0:
-            return b"".join(out)
-        try:
-            n = int(body[at:end].split(b";")[0], 16)
-        except ValueError:
-            return b"".join(out)
-        if n <= 0:
-            return b"".join(out)
+            return b"".join(out), "chunked body is cut short"
+        size = body[at:end].split(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size):
+            return b"".join(out) if out else body, "bad chunk size"
+        n = int(size, 16)
+        if not n:
+            return b"".join(out), None
         out.append(body[end + 1 : end + 1 + n])
         at = end + 1 + n
+        if at > len(body):
+            return b"".join(out), "chunked body is cut short"
         at += 2 if body[at : at + 2] == b"\r\n" else body[at : at + 1] == b"\n"
 
 
-def http_body(block: bytes) -> tuple[str, list[tuple[str, str]], bytes, bytes]:
-    """(status line, headers, payload as stored, payload without transfer and content encodings)."""
+def _deflate(data: bytes):
+    """With the zlib header that the standard asks for, or without, as some servers send it."""
+    headed = len(data) > 1 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0
+    return zlib.decompressobj(15 if headed else -15)
+
+
+#: content encoding -> a decompressor for one member
+_CODECS = {
+    "gzip": lambda data: zlib.decompressobj(31),
+    "x-gzip": lambda data: zlib.decompressobj(31),
+    "deflate": _deflate,
+    "zstd": lambda data: zstandard.ZstdDecompressor(max_window_size=1 << 27).decompressobj(),
+}
+
+
+def _decoded(body: bytes, coding: str) -> tuple[bytes, str | None]:
+    """All members of an encoded body as far as they can be read, and what is wrong."""
+    if coding in ("", "identity"):
+        return body, None
+    if coding not in _CODECS:
+        return b"", f"unsupported content encoding: {coding}"
+    out, left = [], body
+    while left:
+        one, at = _CODECS[coding](left), 0
+        try:
+            # by pieces, so that what stands before a fault is kept
+            while at < len(left) and not one.eof:
+                out.append(one.decompress(left[at : at + 4096]))
+                at += 4096
+        except (zlib.error, zstandard.ZstdError):
+            return b"".join(out), f"corrupt {coding} body"
+        if not one.eof:
+            return b"".join(out), f"{coding} body is cut short"
+        left = (one.unused_data + left[at:]).lstrip(b"\0")
+    return b"".join(out), None
+
+
+def http_body(block: bytes) -> tuple[str, list[tuple[str, str]], bytes, bytes, str | None]:
+    """(status line, headers, payload as stored, payload without transfer and
+    content encodings, what is wrong with these)."""
     head, payload = _cut(block)
     status, _, raw = head.partition(b"\n")
     headers = _fields(raw)
-    body = payload
+    body, problem = payload, None
     if "chunked" in (first(headers, "Transfer-Encoding") or "").lower():
-        body = _unchunk(body)
-    if (first(headers, "Content-Encoding") or "").lower() in ("gzip", "x-gzip"):
-        try:
-            body = zlib.decompressobj(31).decompress(body)
-        except zlib.error:
-            body = b""
-    return status.decode("latin-1").strip(), headers, payload, body
+        body, problem = _unchunk(body)
+    codings = ",".join(v for k, v in headers if k.lower() == "content-encoding").lower().split(",")
+    for coding in reversed(codings):
+        body, wrong = _decoded(body, coding.strip())
+        problem = problem or wrong
+    return status.decode("latin-1").strip(), headers, payload, body, problem
 
 
 def as_text(body: bytes, kind: str) -> str:
@@ -150,7 +192,9 @@ def links(page: str, base: str) -> Iterator[str]:
 
 def derive(data: bytes) -> list[dict]:
     """The metadata and the conversion record of a response; nothing for other
-    types; one row with ``problem`` for a malformed record."""
+    types; one row with ``problem`` for a malformed record. If the body's encoding
+    is unsupported, corrupt or cut, both have ``problem``, and there is a
+    conversion record only of what could be read."""
     try:
         headers, block = read_record(data)
     except ValueError as e:
@@ -160,7 +204,7 @@ def derive(data: bytes) -> list[dict]:
     source = first(headers, "WARC-Record-ID")
     if not source:
         return [{"problem": "response without WARC-Record-ID"}]
-    status, http, payload, body = http_body(block)
+    status, http, payload, body, problem = http_body(block)
     kind = first(http, "Content-Type") or ""
     page = as_text(body, kind)
     markup = "html" in kind.lower() or not kind and "<html" in page[:1024].lower()
@@ -183,6 +227,8 @@ def derive(data: bytes) -> list[dict]:
     text = (render(page) if markup else page).encode("utf-8", "replace")
     out = []
     for name, mime, content in (("metadata", "application/warc-fields", fields_block), ("conversion", "text/plain; charset=utf-8", text)):
+        if name == "conversion" and problem and not body:
+            continue
         own = record_id(source, name)
         own_headers = [("WARC-Type", name), ("WARC-Record-ID", own), *shared, ("WARC-Block-Digest", digest(content)), ("Content-Type", mime)]
         if name == "conversion":
@@ -191,7 +237,7 @@ def derive(data: bytes) -> list[dict]:
             {
                 "record_type": name, "record_id": own, "refers_to": source, "target_uri": uri or None,
                 "payload_digest": known["WARC-Payload-Digest"], "block_digest": digest(content), "source_digest_ok": ok,
-                "content_length": len(content), "record": write_record(own_headers, content),
+                "content_length": len(content), "problem": problem, "record": write_record(own_headers, content),
             }
         )
     return out
@@ -220,8 +266,8 @@ def responses(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
 
 def derivatives(records: DataFrame, id_col: str, record_col: str = "record") -> DataFrame:
-    """Rows of ``derive`` for every record, beside its id: two for a response,
-    none for other types, one with ``problem`` for a malformed or null record."""
+    """Rows of ``derive`` for every record, beside its id: two for a response
+    (one if nothing of its body can be read), none for other types, one with ``problem`` for a malformed or null record."""
 
     def run(part: pa.RecordBatch) -> dict:
         return {"__rows": [derive(x) for x in texts_of(part, "__text")]}

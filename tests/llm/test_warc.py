@@ -1,5 +1,7 @@
 import gzip
+import zlib
 
+import zstandard
 from helpers_llm import SMOKE
 
 from sparkmarts.llm.common import table
@@ -57,6 +59,43 @@ def test_encodings_and_damage():
         assert list(derive(bad)[0]) == ["problem"]
 
 
+def derived(body, *fields):
+    head = "".join(f"{f}\r\n" for f in ("HTTP/1.1 200 OK", "Content-Type: text/plain", *fields))
+    rows = derive(write_record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>")], head.encode() + b"\r\n" + body))
+    texts = [read_record(r["record"])[1] for r in rows]
+    assert rows[0]["record_type"] == "metadata" and b"http-status: HTTP/1.1 200 OK" in texts[0]
+    assert len({r["problem"] for r in rows}) == 1
+    return texts[1] if len(rows) > 1 else None, rows[0]["problem"]
+
+
+def test_encoded_bodies_are_whole_or_have_a_problem():
+    text = b"".join(b"%d " % (i * i) for i in range(20_000))
+    members = gzip.compress(text[:9]) + gzip.compress(text[9:]) + b"\0" * 8
+    assert derived(members, "Content-Encoding: gzip") == (text, None)
+    raw = zlib.compressobj(wbits=-15)
+    for body in (zlib.compress(text), raw.compress(text) + raw.flush()):
+        assert derived(body, "Content-Encoding: deflate") == (text, None)
+    frames = zstandard.compress(text[:9]) + zstandard.compress(text[9:])
+    assert derived(frames, "Content-Encoding: zstd") == (text, None)
+    assert derived(zlib.compress(members), "Content-Encoding: gzip, deflate") == (text, None)
+    assert derived(b"x", "Content-Encoding: br") == (None, "unsupported content encoding: br")
+    assert derived(b"plain", "Content-Encoding: gzip") == (None, "corrupt gzip body")
+    zipped = gzip.compress(text)
+    for bad, problem in ((zipped[:-9000], "gzip body is cut short"), (zipped[:-4] + b"abcd", "corrupt gzip body")):
+        got, why = derived(bad, "Content-Encoding: gzip")
+        assert why == problem and len(got) > 10_000 and text.startswith(got)
+    assert derived(b"", "Content-Encoding: gzip") == (b"", None)
+
+
+def test_chunks_are_whole_or_have_a_problem():
+    chunked = "Transfer-Encoding: chunked"
+    assert derived(b"3;x=y\r\nabc\r\n2\r\nde\r\n0\r\n\r\n", chunked) == (b"abcde", None)
+    assert derived(b"3\r\nabc\r\nzz\r\nde\r\n", chunked) == (b"abc", "bad chunk size")
+    assert derived(b"3\r\nabc\r\n9\r\nde", chunked) == (b"abcde", "chunked body is cut short")
+    assert derived(b"3\r\nabc\r\n", chunked) == (b"abc", "chunked body is cut short")
+    assert derived(b"no chunk\nat all", chunked) == (b"no chunk\nat all", "bad chunk size")
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (None, "http://a/", "<a href='b?x=1#f'>l</a>"), (2, "http://a/\nX: y", ""), (2, "http://a/\nX: y", "")]
     pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, record string")
