@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Callable
 
 import ahocorasick
 import pyarrow as pa
@@ -88,16 +89,16 @@ def original_spans(text: bytes, spans: list[tuple[str, int, int]]) -> list[dict]
 
 def benchmark_passes(
     benchmark: DataFrame, id_col: str, text_col: str, pass_bytes: int
-) -> list[list[tuple[str, bytes]]]:
-    """The test items in groups of bounded size. Their total size is checked
-    first; each group is collected by itself. Items without id are named ''."""
+) -> tuple[int, Callable[[int], list[tuple[str, bytes]]]]:
+    """The distinct test items in groups of bounded size: how many groups there
+    are, and what collects one of them. Items without id are named ''."""
     items = benchmark.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"), F.coalesce(F.col(text_col), F.lit("")).alias("t")
     )
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    total = items.distinct().agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = int(total // pass_bytes) + 1
     group = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-    return [[(r.i, r.t.encode()) for r in items.where(group == k).collect()] for k in range(n)]
+    return n, lambda k: [(r.i, r.t.encode()) for r in items.where(group == k).distinct().collect()]
 
 
 def contamination(
@@ -119,11 +120,11 @@ def contamination(
     spark = docs.sparkSession
     c_n, c_hit, c_spans = (f"{prefix}{x}" for x in ("n_words", "n_hit", "spans"))
     keep = list(docs.columns) if keep is None else keep
-    groups = benchmark_passes(benchmark, item_id_col, item_text_col, pass_bytes)
+    passes, items_of = benchmark_passes(benchmark, item_id_col, item_text_col, pass_bytes)
     out = docs
-    for k, items in enumerate(groups):
-        last = k == len(groups) - 1
-        shared = spark.sparkContext.broadcast(items)
+    for k in range(passes):
+        last = k == passes - 1
+        shared = spark.sparkContext.broadcast(items_of(k))
         earlier = k > 0
         built: list[ahocorasick.Automaton] = []
 
@@ -155,6 +156,7 @@ def contamination(
         out = out.drop("__spans")
         if not last:
             out = materialise(out, "scan")
+            shared.destroy()
     return out
 
 

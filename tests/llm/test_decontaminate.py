@@ -2,6 +2,7 @@ import hashlib
 import random
 
 from helpers_llm import SMOKE, odd_docs, words
+from pyspark.core.broadcast import Broadcast
 
 from sparkmarts.llm.common import table
 from sparkmarts.llm.decontaminate import contamination, remove_contaminated
@@ -62,6 +63,30 @@ def test_query_on_given_tables(spark):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (len(w), len(hit), len(ids), digest, bool(hit))
 
 
+def test_one_bounded_group_of_distinct_items_at_a_time(spark, monkeypatch):
+    items = [(1, "a b c d e f g h i j")] * 200 + [(k, f"k{k} l m n o p q r s t") for k in range(2, 14)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    d = spark.createDataFrame([(i, f"x {t} y") for i, t in dict(items).items()], "doc_id long, text string")
+    sizes, held = [], [0]
+    broadcast, destroy = spark.sparkContext.broadcast, Broadcast.destroy
+
+    def counted(value):
+        sizes.append(sum(len(t) for _, t in value))
+        held[0] += 1
+        assert held[0] == 1
+        return broadcast(value)
+
+    def freed(self, *a):
+        held[0] -= 1
+        destroy(self, *a)
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    monkeypatch.setattr(Broadcast, "destroy", freed)
+    got = {r.doc_id: [s.item_id for s in r.spans] for r in contamination(d, b, pass_bytes=100).collect()}
+    assert got == {i: [str(i)] for i in dict(items)}
+    assert sum(sizes) == sum(len(t) for t in dict(items).values()) and len(sizes) == 3
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     none = docs.selectExpr("doc_id item_id", "text").limit(0)
