@@ -5,7 +5,8 @@ Kinds that need no checksum: ``assign`` (a password-like name with a value),
 ``access`` (AKIA keys), ``hex`` (long lowercase hexadecimal runs). Kinds that
 are reported only if they validate: ``github`` and ``npm`` (CRC-32 of the token
 in its last six base-62 digits), ``jwt`` (a decodable header naming its
-algorithm), ``pem`` (a private key whose body is one complete DER sequence) and
+algorithm), ``pem`` (a private key whose body is one complete DER sequence, the fields of an
+OpenSSH key, or whole blocks of the cipher that its header lines name) and
 ``card`` (a number with a Luhn check digit, only behind a card keyword)."""
 
 from __future__ import annotations
@@ -39,7 +40,9 @@ _ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _BASE62 = re.compile(rb"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 _JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_PEM = re.compile(rb"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_PEM = re.compile(rb"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s*+((?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n)*+)([A-Za-z0-9+/=\s]++)-----END \1-----")
+_DEK = re.compile(rb"^DEK-Info:\s*[A-Z0-9-]+,([0-9A-Fa-f]+)\s*$", re.M)
+_OPENSSH = b"openssh-key-v1\0"
 _CARD = re.compile(rb"(?:card|visa|mastercard|amex)(?:[ _-]?(?:number|no|nr|num))?[\"']?[:=# ]{1,3}[\"']?((?:\d[ -]?){12,18}\d)(?!\d)", re.I)
 _HEX_RUN = re.compile(rb"[0-9a-f]+")
 _HEX_SHAPE = bytes(0x68 if c in b"0123456789abcdef" else 0x20 for c in range(256))
@@ -65,12 +68,40 @@ def _jwt_ok(header: bytes, payload: bytes) -> bool:
         return False
 
 
-def _der_ok(body: bytes) -> bool:
-    """One DER sequence whose length field covers exactly the rest."""
+def _pem_ok(label: bytes, headers: bytes, body: bytes) -> bool:
     try:
-        der = base64.b64decode(b"".join(body.split()), validate=True)
+        data = base64.b64decode(b"".join(body.split()), validate=True)
     except ValueError:
         return False
+    if label.startswith(b"OPENSSH"):
+        return _openssh_ok(data)
+    if m := _DEK.search(headers):
+        return len(data) > 0 and len(m[1]) in (16, 32) and len(data) % (len(m[1]) // 2) == 0
+    return _der_ok(data)
+
+
+def _openssh_ok(data: bytes) -> bool:
+    """The magic, cipher, its key derivation and options, the number of keys, the
+    public keys and the private part; behind it at most a cipher's tag."""
+    at = len(_OPENSSH)
+    if not data.startswith(_OPENSSH):
+        return False
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    keys = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    if not 0 < keys <= len(data):
+        return False
+    for _ in range(keys + 1):
+        size = int.from_bytes(data[at : at + 4], "big")
+        at += 4 + size
+        if not size or at > len(data):
+            return False
+    return len(data) - at in (0, 16)
+
+
+def _der_ok(der: bytes) -> bool:
+    """One DER sequence whose length field covers exactly the rest."""
     if len(der) < 2 or der[0] != 0x30:
         return False
     if der[1] < 0x80:
@@ -101,7 +132,7 @@ def _match(kind: str, data: bytes, at: int) -> tuple[int, int, int, bool] | None
         return m and (m.start(), m.end(), m.end(), _jwt_ok(m[1], m[2]))
     if kind == "pem":
         m = _PEM.match(data, at)
-        return m and (m.start(), m.end(), m.end(), _der_ok(m[2]))
+        return m and (m.start(), m.end(), m.end(), _pem_ok(m[1], m[2], m[3]))
     m = _CARD.match(data, at)
     return m and (m.start(1), m.end(1), m.end(), _luhn_ok(m[1]))
 

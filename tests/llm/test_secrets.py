@@ -52,6 +52,27 @@ def test_checksums():
     assert not found("card: 4111 1111 1111 1112", base=False)
 
 
+def test_openssh_and_encrypted_keys():
+    def block(label, data, headers="", end="\n"):
+        body = base64.encodebytes(data).decode()
+        return f"-----BEGIN {label} PRIVATE KEY-----\n{headers}{body}-----END {label} PRIVATE KEY-----".replace("\n", end)
+
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    one = b"\0\0\0\1" + field(b"p" * 51) + field(b"k" * 144)
+    key = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + one
+    for end in ("\n", "\r\n"):
+        text = block("OPENSSH", key, end=end)
+        assert ("pem", 2, 2 + len(text)) in found(f"x {text} y", base=False)
+        headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+        text = block("RSA", b"\x81" * 608, headers, end)
+        assert ("pem", 0, len(text)) in found(text, base=False)
+    kinds = lambda text: [k for k, *_ in found(text, base=False)]
+    assert kinds(block("RSA", b"\x30\x03abc", "Comment: c\n\n")) == ["pem"]
+    for bad in (key[:-1], key[:40], key + b"x", key[1:], b"openssh-key-v1\0"):
+        assert "pem" not in kinds(block("OPENSSH", bad))
+    assert "pem" not in kinds(block("RSA", b"\x81" * 607, headers))
+
+
 def test_query_on_given_tables(spark):
     texts = {r.doc_id: r.text or "" for r in table(spark, SMOKE, "documents").collect()}
     for r in op8_secrets(spark, SMOKE).collect():
