@@ -37,6 +37,15 @@ def materialise(df: DataFrame, name: str, instead_of: DataFrame | None = None) -
     return out
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name`` after as many underscores as set it apart from all ``taken`` (whatever their case)."""
+    used = {x.lower() for x in taken}
+    name = f"__{name}"
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def remainder(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
@@ -77,11 +86,14 @@ def map_slices(
 ) -> DataFrame:
     """One output row per input row: the columns ``keep`` (all by default)
     and those of the DDL string ``added``, whose values ``fn`` returns for a
-    bounded slice of rows as {name: list or Arrow array}."""
-    df = df.select(*(df[f"`{c}`"] for c in (keep if keep is not None else df.columns)), df[f"`{text_col}`"].alias("__text"))
+    bounded slice of rows as {name: list or Arrow array}. ``fn`` finds the text
+    as ``__text``; a kept column of that name has another one inside."""
+    names = keep if keep is not None else df.columns
+    own = lambda c: fresh("text", [*names, "__text"]) if c.lower() == "__text" else c
+    inside = df.select(*(F.col(f"`{c}`").alias(own(c)) for c in names), F.col(f"`{text_col}`").alias("__text"))
     more = T.StructType.fromDDL(added)
-    kept = T.StructType(df.schema.fields[:-1])
-    schema = T.StructType(kept.fields + more.fields)
+    kept = [T.StructField(c, f.dataType, f.nullable, f.metadata) for c, f in zip(names, inside.schema.fields, strict=False)]
+    schema = T.StructType(kept + more.fields)
     from pyspark.sql.pandas.types import to_arrow_type
 
     kinds = {f.name: to_arrow_type(f.dataType) for f in more.fields}
@@ -92,6 +104,6 @@ def map_slices(
             arrays = part.columns[:-1] + [
                 v if isinstance(v, pa.Array) else pa.array(v, kinds[k]) for k, v in ((k, got[k]) for k in kinds)
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=part.schema.names[:-1] + list(kinds))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, *kinds])
 
-    return df.mapInArrow(run, schema)
+    return inside.mapInArrow(run, schema)

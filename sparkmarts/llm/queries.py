@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkmarts.llm.block_knn import nearest
 from sparkmarts.llm.common import remainder, table
 from sparkmarts.llm.decontaminate import contamination, items_digest
+from sparkmarts.llm.fill_middle import fill_middle, restore
 from sparkmarts.llm.hmm_lm import hmm_scores
 from sparkmarts.llm.html_render import extract
 from sparkmarts.llm.license_templates import licenses
@@ -87,6 +88,15 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("matches")
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restore(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -104,6 +114,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "op12_fill_middle": op12_fill_middle,
     "pipeline": pipeline,
 }
 
@@ -149,5 +160,24 @@ pairs AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 WHERE rank <= 20
+""",
+    "op12_fill_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+         CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+         CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+         CASE WHEN n = 0 OR regexp_matches(t, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '<P>' || t[1:lo] || '<S>' || t[hi + 1:] || '<M>' || t[lo + 1:hi]
+              ELSE '<S>' || t[hi + 1:] || '<P>' || t[1:lo] || '<M>' || t[lo + 1:hi] END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
 """,
 }
