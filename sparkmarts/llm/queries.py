@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.block_knn import nearest
+from sparkmarts.llm.collocations import collocations
 from sparkmarts.llm.common import remainder, table
 from sparkmarts.llm.decontaminate import contamination, items_digest
 from sparkmarts.llm.fill_middle import fill_middle, restore
@@ -97,6 +98,10 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -115,6 +120,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
     "op12_fill_middle": op12_fill_middle,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
 
@@ -179,5 +185,37 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars,
               ELSE '<S>' || t[hi + 1:] || '<P>' || t[1:lo] || '<M>' || t[lo + 1:hi] END) AS output_sha256,
        sha256(t) AS restored_sha256
 FROM c
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY 1),
+lengths AS (SELECT unnest([1, 2, 3, 4]) AS k),
+occurrences AS (
+  SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM worded JOIN lengths ON len(w) >= k),
+f AS (
+  SELECT lang, w[i : i + k - 1] AS p, CAST(count(*) AS HUGEINT) AS a FROM occurrences GROUP BY 1, 2 HAVING count(*) >= 30),
+cands AS (SELECT * FROM f WHERE len(p) > 1),
+cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM cands),
+scored AS (
+  SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r, 2000000 * c.a // (x.a + y.a) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : c.k] JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1 :]),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS nth FROM scored) WHERE nth = 1),
+inside AS (
+  SELECT lang, a, p, m, unnest(range(1, len(p) - m + 2)) AS i
+  FROM (SELECT lang, a, p, unnest(range(2, len(p))) AS m FROM cands WHERE len(p) > 2)),
+longer AS (SELECT lang, p[i : i + m - 1] AS p, max(a) AS a FROM inside GROUP BY 1, 2),
+kept AS (
+  SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, b.l, b.r, b.score
+  FROM best b LEFT JOIN longer g ON g.lang = b.lang AND g.p = b.p WHERE g.a IS NULL OR 100 * g.a < 80 * b.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "C") AS rank FROM kept)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
 """,
 }
