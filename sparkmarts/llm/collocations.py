@@ -6,28 +6,30 @@ chunk of texts, with a gap between pieces, so a place one further is the next
 word of the same piece. Each length is one round over Spark:
 
 1. R(k) comes from a merge join of R(k-1) with R(1) on position + k - 1, chunk by chunk.
-2. Group-count: a chunk's distinct groups, already counted, are summed over all chunks.
-   So a group is one row per chunk at most, however often it occurs.
+2. Group-count: a chunk's distinct groups, already counted, are summed over all chunks
+   in buckets dealt by a hash. So a group is one entry per chunk at most, however often it occurs.
 3. Semi-join: only the groups frequent in the whole corpus go back to their
    chunks, and R(k) keeps only their occurrences before it is extended.
 
 The relations are stored per chunk, compressed, in the shared work folder. A group
 is named by the place where it is first seen (chunk and number in it), so names
 are exact: no hash stands for a word or phrase. What is frequent grows with the
-corpus and is never broadcast or collected."""
+corpus and is never broadcast or collected; buckets grow in number, not in size."""
 
 from __future__ import annotations
 
-import itertools
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmarts.llm.common import column_of, materialise, slices, texts_of
 
@@ -38,9 +40,11 @@ TOP = 2000
 SCALE = 2_000_000
 #: a phrase gives way to a longer one with this percentage of its count
 ABSORBED = 80
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: bits of a group's name that number it in its chunk, and of a chunk's number in its task
 _LOCAL, _CHUNKS = 24, 13
+#: entries (chunk, group) summed together, at most but for chance
+BUCKET_ENTRIES = 250_000
 
 _BREAK = b"."
 _TABLE = bytes.maketrans(
@@ -75,87 +79,117 @@ def segments(text: bytes, max_bytes: int, context: int) -> Iterator[tuple[list[b
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a, np.int32).tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
 
 
-def _unpack(b: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.int32) if b else np.zeros(0, np.int32)
+def _unpack(b: bytes | None, kind=np.int32) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind) if b else np.zeros(0, kind)
+
+
+def _blobs(t: pa.Table, name: str, kind=np.int32) -> list[np.ndarray]:
+    return [_unpack(x, kind) for x in t.column(name).to_pylist()]
+
+
+def _parts(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, its places in their order)."""
+    order = np.argsort(bucket, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        if len(part):
+            yield int(bucket[part[0]]), part
 
 
 # --- R(1) -------------------------------------------------------------------------
 
-_CHUNK = "chunk long, own int, codes binary, words array<struct<lang:string,word:string,n:long>>"
+_CHUNK = "chunk long, own int, codes binary, size int, langs array<string>, words array<binary>, totals array<long>, n binary"
+_ENTRIES = "bucket int, chunk long, lang string, words binary, prefix binary, last binary, local binary, n binary"
 
 
 def chunks(docs: DataFrame, text_col: str, lang_col: str, chunk_bytes: int, context: int) -> DataFrame:
     """Texts packed into chunks by their task: ``codes`` numbers the words in order (0: a break), ``words``
-    counts the distinct ones by language. The first ``own`` codes of a chunk only lead in."""
+    has the distinct ones of each language, ``n`` their counts. The first ``own`` codes of a chunk only lead in."""
     docs = docs.select(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").alias("text")
     )
-    struct = pa.struct([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+    kinds = pa.schema(
+        [("chunk", pa.int64()), ("own", pa.int32()), ("codes", pa.binary()), ("size", pa.int32()), ("langs", pa.list_(pa.string()))]
+        + [("words", pa.list_(pa.binary())), ("totals", pa.list_(pa.int64())), ("n", pa.binary())]
+    )
+
+    def packed(chunk: int, own: int, tokens: dict[str, list[pa.Array]]) -> pa.RecordBatch:
+        codes, langs, names, ends = [], [], [], []
+        size = 0
+        for lang, arrays in tokens.items():
+            coded = pc.dictionary_encode(pa.concat_arrays(arrays))
+            words = coded.dictionary
+            is_word = pc.not_equal(words, _BREAK).to_numpy(zero_copy_only=False)
+            number = np.where(is_word, size + np.cumsum(is_word), 0).astype(np.int32)
+            codes.append(number[coded.indices.to_numpy()])
+            kept = words.filter(pa.array(is_word))
+            # a word holds no break
+            names.append(zstandard.ZstdCompressor(level=1).compress(pc.binary_join(pa.ListArray.from_arrays([0, len(kept)], kept), _BREAK)[0].as_py()))
+            langs.append(lang)
+            size += len(kept)
+            ends.append(size)
+        flat = np.concatenate(codes)
+        n = np.bincount(flat[own:], minlength=1 + size)[1:].astype(np.int32)
+        totals = [int(x.sum()) for x in np.split(n.astype(np.int64), ends[:-1])]
+        row = [chunk, own, _pack(flat), size, langs, names, totals, _pack(n)]
+        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds.types, strict=True)], schema=kinds)
 
     def run(batches: Iterable[pa.RecordBatch]):
-        task = TaskContext.get().partitionId()
-        made = 0
-
-        def fresh():
-            number = itertools.count(1)
-
-            def of_language():
-                d = defaultdict(number.__next__)
-                d[_BREAK] = 0
-                return d
-
-            return defaultdict(of_language), []
-
-        words, codes = fresh()
-        held = own = 0
-
-        def full():
-            nonlocal made
-            if made >> _CHUNKS:
-                raise ValueError("too many chunks in one task: use more input partitions")
-            flat = np.concatenate(codes)
-            counts = np.bincount(flat[own:], minlength=1 + sum(len(d) - 1 for d in words.values()))
-            langs, names, ids = [], [], []
-            for lang, d in words.items():
-                del d[_BREAK]
-                langs += [lang] * len(d)
-                names += d.keys()
-                ids += d.values()
-            order = np.argsort(np.array(ids, np.int64))
-            columns = [
-                pa.array(langs, pa.string()).take(pa.array(order)),
-                pa.array(names, pa.binary()).cast(pa.string()).take(pa.array(order)),
-                pa.array(counts[1:], pa.int64()),
-            ]
-            one = pa.StructArray.from_arrays(columns, fields=list(struct))
-            row = [pa.array([task << _CHUNKS | made], pa.int64()), pa.array([own], pa.int32()), pa.array([_pack(flat)], pa.binary())]
-            made += 1
-            row.append(pa.ListArray.from_arrays([0, len(one)], one))
-            return pa.RecordBatch.from_arrays(row, names=["chunk", "own", "codes", "words"])
-
+        task = TaskContext.get().partitionId() << _CHUNKS
+        made = held = own = 0
+        tokens: dict[str, list[pa.Array]] = defaultdict(list)
         for batch in slices(batches, "text", chunk_bytes // 4):
             langs = column_of(batch, "lang").to_pylist()
             for lang, text in zip(langs, texts_of(batch, "text"), strict=True):
-                for tokens, lead in segments(text, chunk_bytes, context):
-                    if codes and (lead or held + len(text) > chunk_bytes):
-                        yield full()
-                        words, codes = fresh()
-                        held = own = 0
-                    if not codes:
+                for words, lead in segments(text, chunk_bytes, context):
+                    if tokens and (lead or held + len(text) > chunk_bytes):
+                        yield packed(task | made, own, tokens)
+                        tokens, made, held = defaultdict(list), made + 1, 0
+                        if made >> _CHUNKS:
+                            raise ValueError("too many chunks in one task: use more input partitions")
+                    if not tokens:
                         own = lead
-                    of = words[lang]
-                    codes.append(np.fromiter(map(of.__getitem__, tokens), np.int32, len(tokens)))
-                    codes.append(np.zeros(1, np.int32))
+                    words.append(_BREAK)
+                    tokens[lang].append(pa.array(words, pa.binary()))
                     held += min(len(text), chunk_bytes)
-        if codes:
-            yield full()
+        if tokens:
+            yield packed(task | made, own, tokens)
 
     return docs.mapInArrow(run, _CHUNK)
 
 
+def word_entries(state: DataFrame, buckets: int) -> DataFrame:
+    """The words of every chunk, dealt to buckets by a hash of language and word."""
+
+    def run(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            for row in batch.to_pylist():
+                n, at = _unpack(row["n"]), 0
+                for lang, blob in zip(row["langs"], row["words"], strict=True):
+                    words = zstandard.ZstdDecompressor().decompress(blob).split(_BREAK) if blob else []
+                    words = words if any(words) else []
+                    seed = xxhash.xxh32_intdigest(lang)
+                    bucket = np.fromiter((xxhash.xxh64_intdigest(w, seed) % buckets for w in words), np.int64, len(words))
+                    rows = [
+                        {
+                            "bucket": b, "chunk": row["chunk"], "lang": lang, "words": _join(words, part),
+                            "local": _pack((part + at).astype(np.int32)), "n": _pack(n[part + at]),
+                        }
+                        for b, part in _parts(bucket)
+                    ]
+                    at += len(words)
+                    if rows:
+                        yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY_FIELDS)
+
+    return state.select("chunk", "langs", "words", "n").mapInArrow(run, _ENTRIES)
+
+
+def _join(words: list[bytes], part: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(_BREAK.join([words[i] for i in part]))
+
+
 # --- one length -------------------------------------------------------------------
 
 
@@ -167,15 +201,17 @@ def merge_join(left_at: np.ndarray, right_at: np.ndarray, shift: int) -> tuple[n
     return np.flatnonzero(found), place[found]
 
 
-_STATE = (
-    "chunk long, own int, word_at binary, word binary, word_names array<long>, at binary, group binary, "
-    "prefix array<long>, last array<long>, n array<long>"
+_STATE = "chunk long, own int, word_at binary, word binary, word_names binary, at binary, group binary"
+_STATE_FIELDS = [("chunk", pa.int64()), ("own", pa.int32())] + [
+    (c, pa.binary()) for c in ("word_at", "word", "word_names", "at", "group")
+]
+_ENTRY_FIELDS = pa.schema(
+    [("bucket", pa.int32()), ("chunk", pa.int64()), ("lang", pa.string())]
+    + [(c, pa.binary()) for c in ("words", "prefix", "last", "local", "n")]
 )
-_FIELDS = pa.schema(
-    [("chunk", pa.int64()), ("own", pa.int32())]
-    + [(c, pa.binary()) for c in ("word_at", "word")] + [("word_names", pa.list_(pa.int64()))]
-    + [(c, pa.binary()) for c in ("at", "group")] + [(c, pa.list_(pa.int64())) for c in ("prefix", "last", "n")]
-)
+#: a chunk's state and its entries come from one pass: rows without and with a bucket
+_MADE_FIELDS = pa.schema(_STATE_FIELDS + [(f.name, f.type) for f in _ENTRY_FIELDS if f.name != "chunk"])
+_MADE = f"{_STATE}, {_ENTRIES.replace('chunk long, ', '')}"
 
 
 def extend(at, group, names, word_at, word, word_names, k: int, own: int, last: bool):
@@ -198,64 +234,109 @@ def extend(at, group, names, word_at, word, word_names, k: int, own: int, last:
     return at_start[i], number, prefix, end, n
 
 
-def _extension(k: int, max_words: int):
+def _extension(k: int, max_words: int, buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return _FIELDS.empty_table()
-        row = left.to_pylist()[0] if k == 2 else {c: left.column(c)[0] for c in left.column_names}
-        local = right.column("local").to_numpy()
+            return _MADE_FIELDS.empty_table()
+        row = {c: left.column(c)[0].as_py() for c in left.column_names}
+        chunk, own = row["chunk"], row["own"]
+        none = [np.zeros(0, np.int32)]
+        local = np.concatenate(none + _blobs(right, "local"))
+        names = np.concatenate([np.zeros(0, np.int64)] + _blobs(right, "names", np.int64))
         order = np.argsort(local)
-        local, names = local[order], right.column("name").to_numpy()[order]
+        local, names = local[order], names[order]
         if k == 2:
             codes = _unpack(row["codes"])
-            number = np.full(int(codes.max(initial=0)) + 1, -1, np.int32)
-            number[local] = np.arange(len(local))
+            number = np.full(row["size"] + 1, -1, np.int32)
+            number[local + 1] = np.arange(len(local))
             word = number[codes]
             word_at = np.flatnonzero(word >= 0).astype(np.int32)
             word, word_names = word[word_at], names
             at, group = word_at, word
-            chunk, own = row["chunk"], row["own"]
         else:
-            chunk, own = row["chunk"].as_py(), row["own"].as_py()
-            word_at, word = np.cumsum(_unpack(row["word_at"].as_py()), dtype=np.int32), _unpack(row["word"].as_py())
-            word_names = row["word_names"].values.to_numpy()
-            at, group = np.cumsum(_unpack(row["at"].as_py()), dtype=np.int32), _unpack(row["group"].as_py())
+            word_at, word = np.cumsum(_unpack(row["word_at"]), dtype=np.int32), _unpack(row["word"])
+            word_names = _unpack(row["word_names"], np.int64)
+            at, group = np.cumsum(_unpack(row["at"]), dtype=np.int32), _unpack(row["group"])
             # semi-join: only occurrences of frequent groups are extended
-            place = np.searchsorted(local, group + 1)
+            place = np.searchsorted(local, group).astype(np.int32)
             place[place == len(local)] = 0
-            frequent = local[place] == group + 1 if len(local) else np.zeros(len(group), bool)
+            frequent = local[place] == group if len(local) else np.zeros(len(group), bool)
             at, group = at[frequent], place[frequent]
         last = k == max_words
         new_at, new_group, prefix, end, n = extend(at, group, names, word_at, word, word_names, k, own, last)
-        blob = (lambda x: b"") if last else _pack
-        deltas = lambda x: blob(np.diff(x, prepend=0))
-        lists = lambda x: pa.ListArray.from_arrays([0, len(x)], pa.array(x, pa.int64()))
-        one = lambda x, kind: pa.array([x], kind)
-        return pa.Table.from_arrays(
-            [
-                one(chunk, pa.int64()), one(own, pa.int32()), one(deltas(word_at), pa.binary()), one(blob(word), pa.binary()),
-                lists(word_names[:0] if last else word_names), one(deltas(new_at), pa.binary()), one(blob(new_group), pa.binary()),
-                lists(prefix), lists(end), lists(n),
-            ],
-            schema=_FIELDS,
-        )
+        rows = []
+        if not last:
+            delta = lambda x: _pack(np.diff(x, prepend=0).astype(np.int32))
+            state = [delta(word_at), _pack(word), _pack(word_names), delta(new_at), _pack(new_group.astype(np.int32))]
+            rows.append({"chunk": chunk, "own": own} | dict(zip((x for x, _ in _STATE_FIELDS[2:]), state, strict=True)))
+        for b, part in _parts(_mix(prefix, end) % np.uint64(buckets)):
+            entry = {"prefix": prefix[part], "last": end[part], "local": part.astype(np.int32), "n": n[part].astype(np.int32)}
+            rows.append({"chunk": chunk, "bucket": b} | {c: _pack(x) for c, x in entry.items()})
+        return pa.Table.from_pylist(rows, schema=_MADE_FIELDS)
 
     return run
 
 
-def frequent(groups: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Of (uid, keys, n), one row per group and chunk, the groups that sum up to ``least``:
-    (uid, name, keys, a), with keys and the sum only in the row that gives the group its name."""
-    over = Window.partitionBy(*keys)
-    summed = groups.withColumns({"a": F.sum("n").over(over), "name": F.min("uid").over(over)}).where(F.col("a") >= least)
-    first = F.col("uid") == F.col("name")
-    return summed.select("uid", "name", *(F.when(first, F.col(c)).alias(c) for c in [*keys, "a"]))
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A well-mixed number for each pair."""
+    x = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ x >> np.uint64(32)
 
 
-def _back(found: DataFrame) -> DataFrame:
-    return found.select(
-        F.shiftright("uid", _LOCAL).alias("chunk"), F.col("uid").bitwiseAND(F.lit((1 << _LOCAL) - 1)).alias("local"), "name"
-    )
+_SUMMED = "chunk long, local binary, names binary, name long, lang string, word string, prefix long, last long, a long"
+
+
+def frequent(entries: DataFrame, least: int) -> DataFrame:
+    """Groups whose entries sum up to ``least``, in two kinds of rows: (name, the group's
+    keys, a) for each group, and (chunk, local, names) for the entries of a bucket that go back to their chunk."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    fields = to_arrow_schema(T.StructType.fromDDL(_SUMMED))
+
+    def summed(t: pa.Table) -> pa.Table:
+        local, n = _blobs(t, "local"), _blobs(t, "n")
+        sizes = [len(x) for x in local]
+        row = np.repeat(np.arange(t.num_rows), sizes)
+        chunk = t.column("chunk").to_numpy()
+        local, n = np.concatenate(local), np.concatenate(n)
+        if t.column("words").null_count:
+            first = np.concatenate(_blobs(t, "prefix", np.int64))
+            second = np.concatenate(_blobs(t, "last", np.int64))
+        else:
+            words = zstandard.ZstdDecompressor().decompress
+            words = pa.array([w for x in t.column("words").to_pylist() for w in words(x).split(_BREAK)], pa.binary())
+            langs = t.column("lang").combine_chunks().dictionary_encode()
+            coded = words.dictionary_encode()
+            first, second = langs.indices.to_numpy()[row], coded.indices.to_numpy()
+        order = np.lexsort((second, first))
+        new = np.r_[True, (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)]
+        starts = np.flatnonzero(new)
+        a = np.add.reduceat(n[order].astype(np.int64), starts)
+        uid = (chunk[row] << _LOCAL) + local
+        name = np.minimum.reduceat(uid[order], starts)
+        keep = np.flatnonzero(a >= least)
+        head = order[starts[keep]]
+        found = {"name": name[keep], "a": a[keep]}
+        if t.column("words").null_count:
+            found |= {"prefix": first[head], "last": second[head]}
+        else:
+            found |= {"lang": langs.dictionary.take(pa.array(first[head])), "word": coded.dictionary.take(pa.array(second[head])).cast(pa.string())}
+        groups = pa.table(
+            [pa.array(found[f.name], f.type) if f.name in found else pa.nulls(len(keep), f.type) for f in fields], schema=fields
+        )
+        of_group = np.cumsum(new) - 1
+        of_entry = np.empty(len(order), np.int64)
+        of_entry[order] = np.where(a[of_group] >= least, name[of_group], -1)
+        back = []
+        for r, (x, y) in enumerate(zip(np.cumsum([0, *sizes[:-1]]), np.cumsum(sizes), strict=True)):
+            mine = np.flatnonzero(of_entry[x:y] >= 0) + x
+            if len(mine):
+                back.append({"chunk": int(chunk[r]), "local": _pack(local[mine]), "names": _pack(of_entry[mine])})
+        return pa.concat_tables([groups, pa.Table.from_pylist(back, schema=fields)])
+
+    return entries.groupBy("bucket").applyInArrow(summed, _SUMMED)
 
 
 def mine(
@@ -268,25 +349,29 @@ def mine(
 ) -> tuple[DataFrame, DataFrame]:
     """(phrases, languages): all phrases of 1 to ``max_words`` words that occur ``least`` times or more in
     their language, as (lang, ids array<long>, phrase, a), and the number of words of each language, as (lang, n)."""
-    if not 0 < chunk_bytes < 1 << _LOCAL + 1:
-        raise ValueError(f"a chunk has at most {1 << _LOCAL + 1} bytes")
+    if not 0 < chunk_bytes < 1 << _LOCAL:
+        raise ValueError(f"a chunk has at most {1 << _LOCAL} bytes")
+    spark = docs.sparkSession
+    # a bucket's size is bounded by their number, which follows the entries
+    enough = lambda n: max(2 * spark.sparkContext.defaultParallelism, (n or 0) // BUCKET_ENTRIES + 1)
     state = materialise(chunks(docs, text_col, lang_col, chunk_bytes, max_words - 1), "r1")
-    uid = lambda at: (F.shiftleft("chunk", _LOCAL) + F.col(at) + 1).alias("uid")
-    words = state.select("chunk", F.posexplode("words").alias("i", "w")).select(uid("i"), "w.lang", "w.word", "w.n")
-    languages = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    found = materialise(frequent(words, ["lang", "word"], least), "c1")
-    first = found.where("a IS NOT NULL").select(
-        "name", "lang", F.array("name").alias("ids"), F.col("word").alias("phrase"), "a"
-    )
+    entries = word_entries(state, enough(state.agg(F.sum("size")).first()[0]))
+    found = materialise(frequent(entries, least), "c1")
+    totals = state.select(F.explode(F.arrays_zip("langs", "totals")).alias("t"))
+    languages = materialise(totals.groupBy(F.col("t.langs").alias("lang")).agg(F.sum("t.totals").alias("n")), "languages")
+    first = found.where("name IS NOT NULL").select("name", "lang", F.array("name").alias("ids"), F.col("word").alias("phrase"), "a")
     phrases, of_length = first, first
-    languages = materialise(languages, "languages")
     for k in range(2, max_words + 1):
-        left = state.select("chunk", "own", "codes") if k == 2 else state.drop("prefix", "last", "n")
-        made = left.groupBy("chunk").cogroup(_back(found).groupBy("chunk")).applyInArrow(_extension(k, max_words), _STATE)
+        # the occurrences to be extended bound the entries of the next length
+        buckets = enough(found.agg(F.sum("a")).first()[0])
+        fields = ["chunk", "own", "codes", "size"] if k == 2 else [c for c, _ in _STATE_FIELDS]
+        left = (state if k == 2 else state.where("bucket IS NULL")).select(*fields)
+        right = found.where("name IS NULL").select("chunk", "local", "names")
+        made = left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(_extension(k, max_words, buckets), _MADE)
         state = materialise(made, f"r{k}", instead_of=state)
-        groups = state.select("chunk", F.posexplode(F.arrays_zip("prefix", "last", "n")).alias("i", "g"))
-        found = materialise(frequent(groups.select(uid("i"), "g.prefix", "g.last", "g.n"), ["prefix", "last"], least), f"c{k}")
-        here = found.where("a IS NOT NULL").select("name", "prefix", "last", "a")
+        entries = state.where("bucket IS NOT NULL").select(*(f.name for f in _ENTRY_FIELDS))
+        found = materialise(frequent(entries, least), f"c{k}")
+        here = found.where("name IS NOT NULL").select("name", "prefix", "last", "a")
         starts = of_length.select(F.col("name").alias("prefix"), "lang", F.col("ids").alias("p_ids"), F.col("phrase").alias("p"))
         ends = first.select(F.col("name").alias("last"), F.col("phrase").alias("w"))
         of_length = materialise(
