@@ -10,6 +10,7 @@ from sparkmarts.llm.collocations import collocations
 from sparkmarts.llm.common import remainder, table
 from sparkmarts.llm.decontaminate import contamination, items_digest
 from sparkmarts.llm.fill_middle import fill_middle, restore
+from sparkmarts.llm.flat_graph import near_duplicates
 from sparkmarts.llm.hmm_lm import hmm_scores
 from sparkmarts.llm.html_render import extract
 from sparkmarts.llm.license_templates import licenses
@@ -89,6 +90,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("matches")
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fill_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return made.select(
@@ -119,6 +124,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_licenses": op10_licenses,
+    "op11_near_vectors": op11_near_vectors,
     "op12_fill_middle": op12_fill_middle,
     "op13_collocations": op13_collocations,
     "pipeline": pipeline,
