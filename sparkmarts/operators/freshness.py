@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmarts.settings import DEFAULT_SETTINGS, Freshness
+from sparkmarts.sources import versions
 from sparkmarts.sources.readers import read_source, source_path
 
 HOUR_US = 3_600_000_000
@@ -63,10 +64,12 @@ def freshness_by_column(
 
 
 def freshness_by_files(spark: SparkSession, path: str, name: str, now: dt.datetime, thresholds: Freshness) -> DataFrame:
-    """One row from the modification times of the table's files: a listing,
-    no file is opened."""
+    """One row from the modification times of the table's files (of its current
+    version, if it has versions): a listing, no data file is opened."""
+    version = versions.current(spark, path)
+    paths = [path] if version is None else version.paths(path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    latest = files.load(path).agg(F.max(F.col("modificationTime").cast("timestamp_ntz")).alias("max_loaded_at"))
+    latest = files.load(paths).agg(F.max(F.col("modificationTime").cast("timestamp_ntz")).alias("max_loaded_at"))
     return _classify(latest, name, now, thresholds)
 
 

@@ -1,18 +1,21 @@
 """Incremental loading: batch selection and keyed delete+insert.
 
-Targets are Parquet folders partitioned by month. Built-in Parquet tables do
-not support MERGE or DELETE, so a keyed replacement rewrites only the touched
-partitions with dynamic partition overwrite:
+Targets are Parquet tables partitioned by month, stored in versions (see
+:mod:`sparkmarts.sources.versions`). Built-in Parquet tables do not support MERGE
+or DELETE, so a keyed replacement rewrites only the touched partitions:
 
-1. the batch is written once to the shared work folder (cuts lineage; task
-   retries after an executor loss re-read it instead of recomputing sources);
-2. touched partitions = partitions of the batch, plus partitions holding
+1. the batch is written once, as the files of a new load (this cuts its lineage, too: the
+   later steps read it back);
+2. touched partitions = partitions of the batch, plus other partitions holding
    target rows whose key occurs in the batch (a key may move between months);
-3. new contents of the touched partitions = their target rows without the
-   batch keys (left anti join), plus the batch, written to a hidden folder;
-4. :mod:`sparkmarts.sources.commit` then replaces just those partitions in a
-   way that a crash at any point is finished by the next load; a touched
-   partition left without rows is deleted (dynamic overwrite would keep it).
+3. the rows of the touched partitions whose key is not in the batch (left anti
+   join) are added to the load;
+4. one small file makes the next version, in which the touched partitions consist of the new
+   load. Until then readers see the old version whole, and a load that dies has changed nothing. A touched
+   partition left without rows is no longer named.
+
+Every row is written once. Of two loads that ran at the same time, the later to finish fails
+with ``LostRace`` and changes nothing.
 
 Semantics kept on purpose: NULL keys never match, so such rows are appended
 again; duplicate keys inside a batch are all inserted; the high-water mark is
@@ -28,8 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from sparkmarts.sources.commit import committed, recover, replace_partitions, staging_path
-from sparkmarts.sources.readers import delete_path, list_partition_dirs
+from sparkmarts.sources import versions
+from sparkmarts.sources.readers import list_partition_dirs
 
 log = logging.getLogger(__name__)
 
@@ -44,16 +47,12 @@ EMPTY_TARGET_SCHEMA = "order_date date, order_year int, order_month int"
 
 
 def read_target(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """The stored target, after finishing an interrupted load; None when no
-    write of it ever finished; an empty DataFrame when it holds no data files."""
-    recover(spark, path)
-    if not committed(spark, path):
+    """The stored target in its current version; None when no write of it ever
+    finished; an empty DataFrame when it holds no data files."""
+    if not versions.committed(spark, path):
         return None
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
-        return reader.parquet(path)
+        return versions.read_table(spark, path, schema)
     except AnalysisException as e:
         if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
@@ -132,21 +131,14 @@ def month_lookback_batch(
     return items.where(cond)
 
 
-def _partition_filter(partition_cols: Sequence[str], values: list[tuple]) -> Column:
-    cond = F.lit(False)
-    for vals in values:
-        term = F.lit(True)
-        for c, v in zip(partition_cols, vals):
-            term = term & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
-        cond = cond | term
-    return cond
+def _partition_dir(partition_cols: Sequence[str], vals: tuple) -> str:
+    # months need no escaping
+    return "/".join(f"{c}={versions.NULL_PARTITION if v is None else v}" for c, v in zip(partition_cols, vals))
 
 
-def _partition_dir(partition_cols: Sequence[str], vals: tuple) -> str:
-    parts = []
-    for c, v in zip(partition_cols, vals):
-        parts.append(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")  # months need no escaping
-    return "/".join(parts)
+def _partition_values(folder: str) -> tuple:
+    found = (x.split("=", 1)[1] for x in folder.split("/"))
+    return tuple(None if v == versions.NULL_PARTITION else int(v) if v.lstrip("-").isdigit() else v for v in found)
 
 
 def _write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str]) -> None:
@@ -155,15 +147,7 @@ def _write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], so
     # gets a few right-sized files instead of one file per task and month.
     # Sorted files let a batch's key range skip row groups.
     rows = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, *sort_by)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
-
-
-def _partition_folders(spark: SparkSession, path: str, depth: int) -> set[str]:
-    """Relative partition folders (``a=1/b=2``) under a stored table."""
-    found = [""]
-    for _ in range(depth):
-        found = [f"{x}/{d}".strip("/") for x in found for d in list_partition_dirs(spark, f"{path.rstrip('/')}/{x}")]
-    return set(found)
+    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def delete_insert(
@@ -174,6 +158,7 @@ def delete_insert(
     partition_by: Sequence[str],
     keys_may_move: bool = True,
     locate_by: Sequence[str] | None = None,
+    full_refresh: bool = False,
 ) -> dict:
     """Replace target rows whose key occurs in ``batch`` and append the batch.
 
@@ -184,47 +169,62 @@ def delete_insert(
     find those partitions, so the scan reads a compact column; the batch's
     range of its first column is pushed into that scan, whose files are sorted
     by it. Partition columns must have few values, such as months: the touched
-    ones are listed on the driver. Returns a small summary dict."""
+    ones are listed on the driver. With ``full_refresh`` the batch becomes the whole
+    table. Returns a small summary dict."""
     unique_key, partition_by = list(unique_key), list(partition_by)
     locate = list(locate_by or unique_key)
     base = target_path.rstrip("/")
-    recover(spark, base)
-    if not committed(spark, base):
-        _write_partitioned(batch, base, partition_by, locate)
-        return {"mode": "create", "touched_partitions": None}
-    # written once: a retry after an executor loss re-reads it
-    staged_path, new_path = staging_path(base), staging_path(base)
-    batch.write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.schema(batch.schema).parquet(staged_path)
+    table = versions.current(spark, base) if full_refresh else versions.adopt(spark, base)
+    load = versions.new_load()
+    folder = versions.load_path(base, load)
+    done = False
     try:
-        target = spark.read.schema(staged.schema).parquet(base)
-        # NULL key parts never match the equi-joins below: such target rows stay
-        touched_df = staged.select(*partition_by).distinct()
-        if keys_may_move:
-            lo, hi = staged.agg(F.min(locate[0]), F.max(locate[0])).first()
-            near = target.where(F.col(locate[0]).between(F.lit(lo), F.lit(hi))) if lo is not None else target.where("false")
-            moved = near.join(staged.select(*locate), locate, "left_semi").select(*partition_by).distinct()
-            touched_df = touched_df.union(moved).distinct()
-        touched = [tuple(r) for r in touched_df.collect()]
-        if not touched:
+        _write_partitioned(batch, folder, partition_by, locate)
+        own = versions.partition_folders(spark, folder, len(partition_by))
+        schema = versions.stored_schema(batch, partition_by)
+        if table is None or full_refresh:
+            made = versions.Version(0, schema, tuple(partition_by), {p: (load,) for p in own}, {load: len(own)})
+            versions.commit(spark, base, made, table)
+            done = True
+            versions.clear_plain(spark, base)
+            return {"mode": "create", "touched_partitions": None}
+        if not own:
             return {"mode": "noop", "touched_partitions": []}
-        kept = target.where(_partition_filter(partition_by, touched)).join(
-            staged.select(*unique_key), unique_key, "left_anti"
-        )
-        _write_partitioned(kept.unionByName(staged), new_path, partition_by, locate)
-        present = _partition_folders(spark, new_path, len(partition_by))
-        emptied = [t for t in touched if _partition_dir(partition_by, t) not in present]
-        replace_partitions(
-            spark, base, new_path, staged, partition_by, [_partition_dir(partition_by, t) for t in emptied]
-        )
-        return {"mode": "delete+insert", "touched_partitions": sorted(map(str, touched)), "emptied": emptied}
+        # as written: the batch is not computed again
+        written = versions.Version(0, schema, tuple(partition_by), {p: (load,) for p in own}, {load: len(own)})
+        staged = versions.read_version(spark, base, written)
+        touched = set(own)
+        others = [p for p in table.parts if p not in touched]
+        if keys_may_move and others:
+            lo, hi = staged.agg(F.min(locate[0]), F.max(locate[0])).first()
+            if lo is not None:
+                far = versions.read_version(spark, base, table, others).where(F.col(locate[0]).between(F.lit(lo), F.lit(hi)))
+                moved = far.join(staged.select(*locate), locate, "left_semi").select(*partition_by).distinct()
+                touched |= {_partition_dir(partition_by, tuple(r)) for r in moved.collect()}
+        # NULL key parts never match: such target rows stay
+        target = versions.read_version(spark, base, table, touched).select(*schema.names)
+        kept = target.join(staged.select(*unique_key), unique_key, "left_anti")
+        if any(p in table.parts for p in touched):
+            _write_partitioned(kept.select(*schema.names), folder, partition_by, locate)
+        present = versions.partition_folders(spark, folder, len(partition_by))
+        emptied = sorted(touched - set(present))
+        parts = {p: x for p, x in table.parts.items() if p not in touched} | {p: (load,) for p in present}
+        made = versions.Version(0, schema, tuple(partition_by), parts, table.sizes | {load: len(present)}, table.notes)
+        versions.commit(spark, base, made, table)
+        done = True
+        return {
+            "mode": "delete+insert",
+            "touched_partitions": sorted(str(_partition_values(p)) for p in touched),
+            "emptied": [_partition_values(p) for p in emptied],
+        }
     finally:
-        delete_path(spark, staged_path)
+        if not done:
+            versions.drop_load(spark, base, load)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """A stored month-partitioned fact without its partition column."""
-    return spark.read.parquet(path).drop(MONTH_PARTITION)
+    return versions.read_table(spark, path).drop(MONTH_PARTITION)
 
 
 __all__ = [

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkmarts.operators import quality, snapshots
 from sparkmarts.plans import loads
 from sparkmarts.plans.warehouse import Warehouse
-from sparkmarts.sources.readers import SOURCE_TABLES, delete_path, source_exists
+from sparkmarts.sources.readers import SOURCE_TABLES, source_exists
 from sparkmarts.sources.sinks import save_table
+from sparkmarts.sources.versions import read_table
 
 FACTS = ("fct_orders", "fct_order_items", "fct_returns")
 AGGREGATES = ("agg_revenue_by_nation", "agg_revenue_by_sales_region")
@@ -34,13 +35,11 @@ def build_all(
     """Run the whole build; returns the check report (stored as well)."""
     out = out_root.rstrip("/")
     path = {name: f"{out}/{name}" for name in FACTS + AGGREGATES}
-    if full_refresh:
-        for p in path.values():
-            delete_path(spark, p)
-
+    # a full refresh switches each table to its new contents once they are whole
+    fresh = {"full_refresh": full_refresh}
     # each load cuts orders by its mark, and lines by the orders left, before enriching them
     o, lines = warehouse.orders, warehouse.line_items
-    on = {"enrich_orders": warehouse.enrich_orders}
+    on = {"enrich_orders": warehouse.enrich_orders} | fresh
     loads.load_fct_orders(spark, o, lines, path["fct_orders"], **on)
     on["enrich"] = warehouse.enrich_line_items
     loads.load_fct_order_items(spark, lines, o, path["fct_order_items"], **on)
@@ -53,9 +52,9 @@ def build_all(
     save_table(warehouse.dim_dates(start, end), f"{out}/dim_dates")
 
     # Aggregates read the stored fact; the look-back prunes its partitions.
-    items = spark.read.parquet(path["fct_order_items"])
-    loads.load_revenue_by_nation(spark, items, path["agg_revenue_by_nation"])
-    loads.load_revenue_by_sales_region(spark, items, path["agg_revenue_by_sales_region"])
+    items = read_table(spark, path["fct_order_items"])
+    loads.load_revenue_by_nation(spark, items, path["agg_revenue_by_nation"], **fresh)
+    loads.load_revenue_by_sales_region(spark, items, path["agg_revenue_by_sales_region"], **fresh)
 
     snapshots.snapshot_customers(spark, warehouse.customers, f"{out}/snp_customers", now)
     snapshots.snapshot_suppliers(spark, warehouse.suppliers, f"{out}/snp_suppliers", now)
@@ -65,7 +64,7 @@ def build_all(
         store_failures_to=f"{out}/check_failures",
     )
     save_table(report, f"{out}/check_report")
-    return spark.read.parquet(f"{out}/check_report")
+    return read_table(spark, f"{out}/check_report")
 
 
 def check_relations(spark: SparkSession, warehouse: Warehouse, out: str) -> dict[str, DataFrame]:
@@ -86,7 +85,7 @@ def check_relations(spark: SparkSession, warehouse: Warehouse, out: str) -> dict
         rel[name] = getattr(warehouse, attr)
     stored = FACTS + AGGREGATES + ("dim_customers", "dim_suppliers", "dim_parts", "dim_dates", "snp_customers", "snp_suppliers")
     for name in stored:
-        rel[name] = spark.read.parquet(f"{out}/{name}")
+        rel[name] = snapshots.read_snapshot(spark, f"{out}/{name}") if name.startswith("snp_") else read_table(spark, f"{out}/{name}")
     rel["seed.nation_region_overrides"] = warehouse.overrides
     rel["seed.fx_rates"] = warehouse.fx_rates
     rel["seed.market_segment_labels"] = warehouse.segment_labels

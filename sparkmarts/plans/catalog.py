@@ -25,6 +25,7 @@ from sparkmarts.settings import Freshness
 from sparkmarts.sources import landing
 from sparkmarts.sources.readers import SOURCE_TABLES, source_exists
 from sparkmarts.sources.sinks import save_table, store_failures
+from sparkmarts.sources.versions import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -224,7 +225,7 @@ def _revenue_incremental(spark: SparkSession, sf_dir: str, loader, name: str) ->
     items2 = facts.fct_order_items(wh.line_items_enriched, wh.enrich_orders(o2))
     loader(spark, items1, path)
     loader(spark, items2, path)
-    return decimals_as_double(spark.read.parquet(path))
+    return decimals_as_double(read_table(spark, path))
 
 
 @query("revenue_by_nation_incremental")
@@ -435,7 +436,7 @@ def q_land_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     for step, actions in steps:
         for table, action in actions:
             parts.append(
-                spark.read.parquet(f"{dst}/{table}.parquet").agg(
+                read_table(spark, f"{dst}/{table}.parquet").agg(
                     F.lit(step).alias("step"), F.lit(table).alias("table_name"), F.lit(action).alias("action"),
                     F.count(F.lit(1)).alias("row_count"),
                 )
@@ -451,23 +452,19 @@ def _landed_with_batch(spark: SparkSession, sf_dir: str) -> str:
     dst = scratch_path(spark, "landed")
     landing.land_tables(spark, sf_dir, dst, ["orders"])
     target = f"{dst}/orders.parquet"
-    batch = spark.read.parquet(target).where(F.col("o_orderdate") >= F.lit(scenarios.APPEND_BATCH_FROM))
+    batch = read_table(spark, target).where(F.col("o_orderdate") >= F.lit(scenarios.APPEND_BATCH_FROM))
     # materialize the batch first: it is read from the table it is appended to
     batch_path = scratch_path(spark, "append-batch")
     batch.write.parquet(batch_path)
     landing.append_with_next_keys(
         spark, target, spark.read.parquet(batch_path), "o_orderkey", scenarios.APPEND_LOADED_AT, ["o_orderkey"]
     )
-    # one schema for old and new files, so that any reader sees the new column
-    merged = spark.read.option("mergeSchema", "true").parquet(target)
-    final = scratch_path(spark, "landed-merged")
-    save_table(merged, f"{final}/orders.parquet")
-    return final
+    return dst
 
 
 @query("append_next_keys")
 def q_append_next_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_landed_with_batch(spark, sf_dir)}/orders.parquet")
+    return read_table(spark, f"{_landed_with_batch(spark, sf_dir)}/orders.parquet")
 
 
 @query("reload_table")
@@ -481,7 +478,7 @@ def q_reload_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing.reload_table(spark, sf_dir, dst, list(tables), method)
         for t, key in tables.items():
             parts.append(
-                spark.read.parquet(f"{dst}/{t}.parquet").agg(
+                read_table(spark, f"{dst}/{t}.parquet").agg(
                     F.lit(method).alias("method"), F.lit(t).alias("table_name"),
                     F.count(F.lit(1)).alias("row_count"), F.sum(key).alias("key_sum"),
                 )
@@ -499,7 +496,7 @@ def q_save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "saved")
     save_table(orders, path, ["status_code"])
     save_table(orders.where("status_code <> 'P'"), path, ["status_code"])
-    return spark.read.parquet(path).groupBy("status_code").agg(F.count(F.lit(1)).alias("row_count"))
+    return read_table(spark, path).groupBy("status_code").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query("store_failures")

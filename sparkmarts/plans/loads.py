@@ -30,11 +30,13 @@ def _latest_month(spark: SparkSession, target_path: str) -> str | None:
     return latest[0] if latest else None
 
 
-def new_orders(spark: SparkSession, orders: DataFrame, target_path: str, lookback_days: int = 0) -> tuple[DataFrame, bool]:
+def new_orders(
+    spark: SparkSession, orders: DataFrame, target_path: str, lookback_days: int = 0, full_refresh: bool = False
+) -> tuple[DataFrame, bool]:
     """Orders past the stored fact's high-water mark, and whether there is a
-    stored fact. Only columns of ``orders`` itself are read, so the mark cuts
+    stored fact that stays; all orders with ``full_refresh``. Only columns of ``orders`` itself are read, so the mark cuts
     the rows before any enrichment."""
-    target = read_target(spark, target_path)
+    target = None if full_refresh else read_target(spark, target_path)
     rows = high_water_batch(orders, target, "order_date", lookback_days, _latest_month(spark, target_path))
     return rows, target is not None
 
@@ -51,81 +53,90 @@ def _lines_of(line_items: DataFrame, orders: DataFrame, incremental: bool) -> Da
     return line_items.join(orders.select("order_key"), "order_key", "left_semi") if incremental else line_items
 
 
-def store_fct_orders(spark: SparkSession, orders_enriched: DataFrame, line_items: DataFrame, target_path: str, some: bool) -> dict:
+def store_fct_orders(spark: SparkSession, orders_enriched: DataFrame, line_items: DataFrame, target_path: str, some: bool, full_refresh: bool = False) -> dict:
     batch = facts.fct_orders(orders_enriched, line_items, restrict_to_orders=some)
-    return delete_insert(spark, with_month_partition(batch), target_path, ["order_key"], [MONTH_PARTITION])
+    return delete_insert(
+        spark, with_month_partition(batch), target_path, ["order_key"], [MONTH_PARTITION], full_refresh=full_refresh
+    )
 
 
-def _store_lines(spark, fact, orders_enriched, line_items, target_path, some, enrich) -> dict:
+def _store_lines(spark, fact, orders_enriched, line_items, target_path, some, enrich, full_refresh=False) -> dict:
     lines = _lines_of(line_items, orders_enriched, some)
     batch = fact(enrich(lines) if enrich else lines, orders_enriched)
     return delete_insert(
-        spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"]
+        spark, with_month_partition(batch), target_path, ["order_item_key"], [MONTH_PARTITION], locate_by=["order_key"],
+        full_refresh=full_refresh,
     )
 
 
-def store_fct_order_items(spark, orders_enriched, line_items, target_path, some: bool, enrich: Enrich | None = None) -> dict:
-    return _store_lines(spark, facts.fct_order_items, orders_enriched, line_items, target_path, some, enrich)
+def store_fct_order_items(
+    spark, orders_enriched, line_items, target_path, some: bool, enrich: Enrich | None = None, full_refresh: bool = False
+) -> dict:
+    return _store_lines(spark, facts.fct_order_items, orders_enriched, line_items, target_path, some, enrich, full_refresh)
 
 
-def store_fct_returns(spark, orders_enriched, line_items, target_path, some: bool, enrich: Enrich | None = None) -> dict:
-    return _store_lines(spark, facts.fct_returns, orders_enriched, line_items, target_path, some, enrich)
+def store_fct_returns(
+    spark, orders_enriched, line_items, target_path, some: bool, enrich: Enrich | None = None, full_refresh: bool = False
+) -> dict:
+    return _store_lines(spark, facts.fct_returns, orders_enriched, line_items, target_path, some, enrich, full_refresh)
 
 
 def load_fct_orders(
     spark: SparkSession, orders: DataFrame, line_items: DataFrame, target_path: str, lookback_days: int = 0,
-    enrich_orders: Enrich | None = None,
+    enrich_orders: Enrich | None = None, full_refresh: bool = False,
 ) -> dict:
     """Orders newer than the target's latest order date, rolled up from only
     their own line items (semi join before the aggregation), delete+insert
     by order_key. ``orders`` are enriched already, or ``enrich_orders`` does it
     after the mark has cut them."""
-    rows, some = new_orders(spark, orders, target_path, lookback_days)
-    return store_fct_orders(spark, enrich_orders(rows) if enrich_orders else rows, line_items, target_path, some)
+    rows, some = new_orders(spark, orders, target_path, lookback_days, full_refresh)
+    return store_fct_orders(spark, enrich_orders(rows) if enrich_orders else rows, line_items, target_path, some, full_refresh)
 
 
 def load_fct_order_items(
     spark: SparkSession, line_items: DataFrame, orders: DataFrame, target_path: str, lookback_days: int = 0,
-    enrich: Enrich | None = None, enrich_orders: Enrich | None = None,
+    enrich: Enrich | None = None, enrich_orders: Enrich | None = None, full_refresh: bool = False,
 ) -> dict:
     """``line_items`` are enriched already, or ``enrich`` adds part and
     supplier attributes to the new orders' lines only."""
-    rows, some = new_orders(spark, orders, target_path, lookback_days)
+    rows, some = new_orders(spark, orders, target_path, lookback_days, full_refresh)
     rows = enrich_orders(rows) if enrich_orders else rows
-    return store_fct_order_items(spark, rows, line_items, target_path, some, enrich)
+    return store_fct_order_items(spark, rows, line_items, target_path, some, enrich, full_refresh)
 
 
 def load_fct_returns(
     spark: SparkSession, line_items: DataFrame, orders: DataFrame, target_path: str, lookback_days: int = 0,
-    enrich: Enrich | None = None, enrich_orders: Enrich | None = None,
+    enrich: Enrich | None = None, enrich_orders: Enrich | None = None, full_refresh: bool = False,
 ) -> dict:
     """As :func:`load_fct_order_items`, for returned lines."""
-    rows, some = new_orders(spark, orders, target_path, lookback_days)
+    rows, some = new_orders(spark, orders, target_path, lookback_days, full_refresh)
     rows = enrich_orders(rows) if enrich_orders else rows
-    return store_fct_returns(spark, rows, line_items, target_path, some, enrich)
+    return store_fct_returns(spark, rows, line_items, target_path, some, enrich, full_refresh)
 
 
 def load_revenue(
     spark: SparkSession, order_items: DataFrame, target_path: str, group_col: str, out_name: str,
-    lookback_months: int = 1,
+    lookback_months: int = 1, full_refresh: bool = False,
 ) -> dict:
     """Recompute the months from (latest stored month - ``lookback_months``)
     on, replace those (group, year, month) rows; older months stay."""
-    target = read_target(spark, target_path)
+    target = None if full_refresh else read_target(spark, target_path)
     latest = latest_partition(spark, target_path, ["order_year", "order_month"]) if target is not None else None
     items = month_lookback_batch(order_items, target, lookback_months, latest=latest)
     batch = aggregates.revenue_by(items, group_col, out_name)
     return delete_insert(
         spark, batch, target_path, [out_name, "order_year", "order_month"], ["order_year", "order_month"],
-        keys_may_move=False,
+        keys_may_move=False, full_refresh=full_refresh,
     )
 
 
-def load_revenue_by_nation(spark: SparkSession, order_items: DataFrame, target_path: str, lookback_months: int = 1) -> dict:
-    return load_revenue(spark, order_items, target_path, "customer_nation", "nation_name", lookback_months)
+def load_revenue_by_nation(
+    spark: SparkSession, order_items: DataFrame, target_path: str, lookback_months: int = 1, full_refresh: bool = False
+) -> dict:
+    return load_revenue(spark, order_items, target_path, "customer_nation", "nation_name", lookback_months, full_refresh)
 
 
 def load_revenue_by_sales_region(
-    spark: SparkSession, order_items: DataFrame, target_path: str, lookback_months: int = 1
+    spark: SparkSession, order_items: DataFrame, target_path: str, lookback_months: int = 1, full_refresh: bool = False
 ) -> dict:
-    return load_revenue(spark, order_items, target_path, "sales_region", "sales_region", lookback_months)
+    return load_revenue(spark, order_items, target_path, "sales_region", "sales_region", lookback_months, full_refresh)

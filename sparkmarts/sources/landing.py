@@ -8,11 +8,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmarts.session import scratch_path
-from sparkmarts.sources.commit import committed
-from sparkmarts.sources.readers import SOURCE_TABLES, delete_path, read_source, source_path, table_exists
+from sparkmarts.sources import versions
+from sparkmarts.sources.readers import SOURCE_TABLES, delete_path, read_source, source_path
 from sparkmarts.sources.sinks import save_table
+from sparkmarts.sources.versions import committed
 
 RELOAD_METHODS = ("truncate_reload", "recreate")
 
@@ -46,8 +48,9 @@ def reload_table(
     spark: SparkSession, src_root: str, dst_root: str, tables: Sequence[str], method: str = "truncate_reload"
 ) -> list[tuple[str, str]]:
     """Reload landed tables from the source: ``truncate_reload`` replaces the
-    contents of the table, ``recreate`` drops and writes it. An empty list or an
-    unknown method is an error."""
+    contents of the table and keeps its columns' types, ``recreate`` takes the source's
+    schema as it is. Either way readers see the old table until the new one is whole.
+    An empty list or an unknown method is an error."""
     if not tables:
         raise ValueError("reload_table needs an explicit list of tables")
     if method not in RELOAD_METHODS:
@@ -56,11 +59,10 @@ def reload_table(
     for t in tables:
         dst = source_path(dst_root, t)
         src = read_source(spark, src_root, t)
-        if method == "truncate_reload":
-            save_table(src, dst)
-        else:
-            delete_path(spark, dst)
-            src.write.mode("errorifexists").parquet(dst)
+        stored = versions.current(spark, dst)
+        if method == "truncate_reload" and stored is not None:
+            src = src.select(*(F.col(c).cast(stored.schema[c].dataType) if c in stored.schema.names else F.col(c) for c in src.columns))
+        save_table(src, dst)
         out.append((t, method))
     return out
 
@@ -126,21 +128,68 @@ def append_with_next_keys(
     key: str,
     loaded_at: dt.datetime,
     order_by: Sequence[str] | None = None,
+    batch_id: str | None = None,
+    attempts: int = 5,
 ) -> dict:
     """Append ``batch`` to the table at ``target_path`` with fresh keys after
     ``coalesce(max(key), 0)`` and ``loaded_at`` set to the given time (UTC
-    if it has a zone). An empty batch is an error."""
+    if it has a zone). An empty batch is an error.
+
+    The keys are reserved by the version that adds the batch: of two writers that
+    start from one version the later finds the next one taken and numbers its batch again after it. The
+    version also notes ``batch_id``: a batch whose id is noted is not appended again, so a
+    caller that does not know whether its append succeeded can repeat it."""
     if batch.isEmpty():
         raise ValueError("batch must contain at least one row")
-    start = 0
-    if table_exists(spark, target_path):
-        start = spark.read.parquet(target_path).agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    keyed, scratch = _assign_next_keys(spark, batch, key, int(start), order_by)
     if loaded_at.tzinfo is not None:
         loaded_at = loaded_at.astimezone(dt.timezone.utc).replace(tzinfo=None)
     ts = F.lit(loaded_at.isoformat(" ")).cast("timestamp_ntz")
-    try:
-        keyed.withColumn("loaded_at", ts).write.mode("append").parquet(target_path)
-    finally:
-        delete_path(spark, scratch)
-    return {"first_key": int(start) + 1}
+    for _ in range(attempts):
+        parent = versions.adopt(spark, target_path)
+        batches = dict(parent.notes.get("batches", {})) if parent else {}
+        if batch_id is not None and batch_id in batches:
+            return {"first_key": batches[batch_id], "appended": False}
+        start = _last_key(spark, target_path, parent, key)
+        keyed, scratch = _assign_next_keys(spark, batch, key, start, order_by)
+        try:
+            rows = keyed.withColumn("loaded_at", ts)
+            load = versions.write_load(rows, target_path)
+            last = versions.load_path(target_path, load)
+            highest = spark.read.parquet(last).agg(F.max(key)).first()[0]
+        finally:
+            delete_path(spark, scratch)
+        if batch_id is not None:
+            batches[batch_id] = start + 1
+        try:
+            _commit_append(spark, target_path, parent, rows, load, {"batches": batches, "last_key": {key: int(highest)}})
+            return {"first_key": start + 1, "appended": True}
+        except versions.LostRace:
+            versions.drop_load(spark, target_path, load)
+    raise versions.LostRace(f"{target_path}: other writers were faster {attempts} times")
+
+
+def _last_key(spark: SparkSession, path: str, version: versions.Version | None, key: str) -> int:
+    """The highest key, as the last append noted it, or from one column of the table."""
+    if version is None:
+        return 0
+    noted = version.notes.get("last_key", {}).get(key)
+    if noted is not None:
+        return int(noted)
+    return int(versions.read_version(spark, path, version).agg(F.coalesce(F.max(key), F.lit(0))).first()[0])
+
+
+def _commit_append(spark: SparkSession, path: str, parent: versions.Version | None, rows: DataFrame, load: str, notes: dict) -> None:
+    schema = versions.stored_schema(rows, ())
+    if parent is None:
+        versions.commit(spark, path, versions.Version(0, schema, (), {"": (load,)}, {load: 1}, notes), None)
+        return
+    if parent.partition_by:
+        raise ValueError(f"{path} is partitioned: batches are appended to tables without partitions")
+    # columns that only the batch has read as NULL in earlier rows
+    for f in parent.schema.fields:
+        if f.name in schema.names and schema[f.name].dataType != f.dataType:
+            raise ValueError(f"{path}: {f.name} is {f.dataType.simpleString()}, in the batch {schema[f.name].dataType.simpleString()}")
+    merged = T.StructType([*parent.schema.fields, *(f for f in schema.fields if f.name not in parent.schema.names)])
+    parts = {"": (*parent.parts.get("", ()), load)}
+    made = versions.Version(0, merged, (), parts, parent.sizes | {load: 1}, parent.notes | notes)
+    versions.commit(spark, path, made, parent)

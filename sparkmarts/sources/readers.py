@@ -18,7 +18,8 @@ def source_path(root: str, name: str) -> str:
 def read_source(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
     """Lazy scan of ``<root>/<name>.parquet`` (a file or a folder of part
     files), with an explicit ``schema`` if given, or of the table ``name`` in
-    the catalog's database when the root is ``catalog:<database>``.
+    the catalog's database when the root is ``catalog:<database>``. A landed table is
+    read in its current version (see :mod:`sparkmarts.sources.versions`).
 
     Column pruning and filter pushdown reach the scan through the staging
     projections, so nothing here reads more than the query needs. The scan's
@@ -26,8 +27,9 @@ def read_source(spark: SparkSession, root: str, name: str, schema=None) -> DataF
     AQE can split a hot one."""
     if root.startswith(CATALOG):
         return spark.table(f"{root.removeprefix(CATALOG)}.{name}")
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(source_path(root, name))
+    from sparkmarts.sources.versions import read_table
+
+    return read_table(spark, source_path(root, name), schema)
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -71,7 +73,16 @@ def list_partition_dirs(spark: SparkSession, path: str) -> list[str]:
 def latest_partition(spark: SparkSession, path: str, columns: list[str]) -> tuple | None:
     """The greatest partition value tuple under ``path`` for nested partition
     ``columns`` (e.g. order_year/order_month), from the folder listing only;
-    integers compare numerically. None when there is no such partition."""
+    integers compare numerically; of the current version if the table has
+    versions. None when there is no such partition."""
+    from sparkmarts.sources.versions import current
+
+    version = current(spark, path)
+    if version is not None:
+        number = lambda v: int(v) if v.lstrip("-").isdigit() else v
+        found = [tuple(x.split("=", 1)[1] for x in part.split("/")) for part in version.parts if part]
+        found = [tuple(number(v) for v in x) for x in found if "__HIVE_DEFAULT_PARTITION__" not in x]
+        return max(found, default=None)
     values: list = []
     base = path.rstrip("/")
     for col in columns:

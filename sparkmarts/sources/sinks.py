@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from sparkmarts.sources.versions import replace_table
 
-def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Materialize ``df`` as Parquet at ``path`` (full replace by default)."""
-    # static: a full replace also drops partitions that the new data lacks
-    w = df.write.mode(mode).option("partitionOverwriteMode", "static")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+
+def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Materialize ``df`` as the whole contents of the table at ``path``. Readers
+    (``versions.read_table``) see the old contents until the new ones are whole; a
+    full replace also drops partitions that the new data lacks."""
+    replace_table(df, path, partition_by)
 
 
 def store_failures(failures: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkmarts.sources import landing
 from sparkmarts.sources.seeds import load_seed
+from sparkmarts.sources.versions import read_table
 
 
 def test_land_create_skip_replace(spark, scratch):
@@ -13,7 +14,7 @@ def test_land_create_skip_replace(spark, scratch):
     assert landing.land_tables(spark, SMOKE_DIR, dst, ["nation", "region"]) == [("nation", "created"), ("region", "created")]
     assert landing.land_tables(spark, SMOKE_DIR, dst, ["nation"]) == [("nation", "skipped")]
     assert landing.land_tables(spark, SMOKE_DIR, dst, ["nation"], full_refresh=True) == [("nation", "replaced")]
-    assert spark.read.parquet(dst + "/nation.parquet").count() == 25
+    assert read_table(spark, dst + "/nation.parquet").count() == 25
     with pytest.raises(ValueError):
         landing.land_tables(spark, SMOKE_DIR, dst, [])
 
@@ -23,7 +24,7 @@ def test_reload_methods(spark, scratch):
     landing.land_tables(spark, SMOKE_DIR, dst, ["region"])
     for m in landing.RELOAD_METHODS:
         landing.reload_table(spark, SMOKE_DIR, dst, ["region"], m)
-        assert spark.read.parquet(dst + "/region.parquet").count() == 5
+        assert read_table(spark, dst + "/region.parquet").count() == 5
     with pytest.raises(ValueError):
         landing.reload_table(spark, SMOKE_DIR, dst, ["region"], "bogus")
     with pytest.raises(ValueError):
