@@ -4,8 +4,10 @@ from conftest import SMOKE_DIR
 from pyspark.sql import functions as F
 
 from sparkmarts.operators.incremental import read_fact
+from sparkmarts.operators.snapshots import read_snapshot
 from sparkmarts.plans.build import build_all
 from sparkmarts.plans.catalog import warehouse
+from sparkmarts.sources.versions import read_table
 
 
 def test_build_then_rebuild_is_stable(spark, scratch):
@@ -15,7 +17,7 @@ def test_build_then_rebuild_is_stable(spark, scratch):
     fo1 = read_fact(spark, out + "/fct_orders")
     assert fo1.count() == wh.fct_orders.count()
     assert fo1.exceptAll(wh.fct_orders.select(*fo1.columns)).count() == 0
-    agg = spark.read.parquet(out + "/agg_revenue_by_nation")
+    agg = read_table(spark, out + "/agg_revenue_by_nation")
     assert agg.exceptAll(wh.revenue_by_nation.select(*agg.columns)).count() == 0
     # the extract repeats (order, line) pairs, so the surrogate key check fails
     assert rep1["unique:fct_order_items.order_item_key"] > 0
@@ -29,7 +31,7 @@ def test_build_then_rebuild_is_stable(spark, scratch):
     assert rep1 == rep2
     fo2 = read_fact(spark, out + "/fct_orders")
     assert fo2.count() == fo1.count() and fo2.exceptAll(fo1).count() == 0
-    assert spark.read.parquet(out + "/snp_customers").where(F.col("valid_to").isNotNull()).count() == 0
+    assert read_snapshot(spark, out + "/snp_customers").where(F.col("valid_to").isNotNull()).count() == 0
 
 
 def test_stream_of_arriving_orders(spark, scratch):
