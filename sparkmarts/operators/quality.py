@@ -4,14 +4,18 @@ report row per check.
 
 Row-level checks on the same relation (not_null, not_negative) are fused into
 a single aggregation with ``count_if``, so each relation is scanned once for
-all of them; key checks (unique, relationships) need their own shuffle."""
+all of them; key checks (unique, relationships) need their own shuffle.
+
+Row-level checks of a relation that a job computes anyway cost no scan at all: a
+:class:`Watch` counts them while its rows pass (observed metrics), be it a table
+that is being written or a view on the way to one."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmarts.settings import DEFAULT_SETTINGS
@@ -131,22 +135,15 @@ def _row_condition(check: Check):
     return F.col(check.column).isNull() if check.kind == "not_null" else F.col(check.column) < 0
 
 
-def _report_rows(checks: Sequence[Check], counts: list) -> DataFrame:
-    """One report row per check, unpivoted from a one-row DataFrame."""
-    return F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(ch.name).alias("check_name"),
-                    F.lit(ch.relation).alias("relation"),
-                    F.lit(ch.column).alias("column_name"),
-                    F.lit(ch.severity).alias("severity"),
-                    F.coalesce(n.cast("bigint"), F.lit(0).cast("bigint")).alias("failures"),
-                )
-                for ch, n in zip(checks, counts)
-            ]
-        )
-    )
+def _report_rows(checks: Sequence[Check], counts: Sequence[str]):
+    """One report row per check, unpivoted from the columns ``counts`` of a one-row DataFrame."""
+    text = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    rows = [
+        f"struct({text(c.name)} AS check_name, {text(c.relation)} AS relation, {text(c.column)} AS column_name, "
+        f"{text(c.severity)} AS severity, coalesce(CAST({n} AS BIGINT), 0L) AS failures)"
+        for c, n in zip(checks, counts)
+    ]
+    return F.expr(f"inline(array({', '.join(rows)}))")
 
 
 def _fused_relation_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -160,7 +157,7 @@ def _fused_relation_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     row_aggs = [F.count_if(_row_condition(c)).alias(f"_r{i}") for i, c in enumerate(row_checks)]
     if not value_checks:
         totals = df.agg(*row_aggs)
-        counts = [F.col(f"_r{i}") for i in range(len(row_checks))]
+        counts = [f"_r{i}" for i in range(len(row_checks))]
         return totals.select(_report_rows(row_checks, counts))
     cols = list(dict.fromkeys(c.column for c in value_checks))
     grouped = df.groupingSets([[c] for c in cols], *cols).agg(
@@ -177,15 +174,47 @@ def _fused_relation_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             bad = in_set & ~F.col(c.column).isin(list(c.values))
         final.append(F.count_if(bad).alias(f"_v{k}"))
     totals = grouped.agg(*final)
-    counts = [F.col(f"_r{i}") for i in range(len(row_checks))] + [F.col(f"_v{k}") for k in range(len(value_checks))]
+    counts = [f"_r{i}" for i in range(len(row_checks))] + [f"_v{k}" for k in range(len(value_checks))]
     return totals.select(_report_rows(row_checks + value_checks, counts))
 
 
+class Watch:
+    """Counts row-level checks while jobs compute their relations."""
+
+    def __init__(self, checks: Sequence[Check]):
+        self._checks = [c for c in checks if c.kind in ROW_LEVEL]
+        self._seen: list[tuple[Observation, list[Check], bool]] = []
+
+    def on(self, relation: str, df: DataFrame, written: bool = False) -> DataFrame:
+        """``df`` with the checks declared for ``relation`` counted on its rows. Use the
+        result in one job only. ``written``: the job writes ``df`` itself. Then a count is exact;
+        rows of a relation further inside may be seen twice if an executor is lost, so there only a
+        count of zero is taken and any other is left to :func:`run_checks`."""
+        own = [c for c in self._checks if c.relation == relation]
+        if not own:
+            return df
+        seen = Observation()
+        self._seen.append((seen, own, written))
+        return df.observe(seen, *(F.count_if(_row_condition(c)).alias(f"_r{i}") for i, c in enumerate(own)))
+
+    def failures(self) -> dict[Check, int]:
+        """The counts of all relations, whose jobs must have run."""
+        out = {}
+        for seen, own, written in self._seen:
+            got = seen.get
+            for i, c in enumerate(own):
+                n = got.get(f"_r{i}") or 0
+                if written or n == 0:
+                    out[c] = n
+        return out
+
+
 def run_checks(
     spark: SparkSession,
     relations: dict[str, DataFrame],
     checks: Sequence[Check],
     store_failures_to: str | None = None,
+    counted: dict[Check, int] | None = None,
 ) -> DataFrame:
     """One report row per check: check_name, relation, column_name, severity,
     failures (rows the check returns), status (pass, or the severity;
@@ -193,6 +222,7 @@ def run_checks(
 
     Checks on the same relation share one pass (see
     :func:`_fused_relation_report`); relationship checks are anti joins.
+    Those in ``counted`` (from :meth:`Watch.failures`) are not run again.
     With ``store_failures_to`` the report is computed at once, and the failing
     rows of every check are written to ``<path>/<check name>`` (replaced on each
     run; empty for a check that passed, without running it again)."""
@@ -206,20 +236,28 @@ def run_checks(
                 "check_name string, relation string, column_name string, severity string, failures bigint",
             )
         )
+    known = {c: n for c, n in (counted or {}).items() if c in checks}
+    if known:
+        parts.append(
+            spark.createDataFrame(
+                [(c.name, c.relation, c.column, c.severity, n) for c, n in known.items()],
+                "check_name string, relation string, column_name string, severity string, failures bigint",
+            )
+        )
     by_relation: dict[str, list[Check]] = {}
     for ch in checks:
-        if ch.kind in FUSED:
+        if ch.kind in FUSED and ch not in known:
             by_relation.setdefault(ch.relation, []).append(ch)
     for rel, chs in by_relation.items():
         parts.append(_fused_relation_report(relations[rel], chs))
     for ch in checks:
         if ch.kind not in FUSED:
-            parts.append(failures_of(ch, relations).agg(F.count(F.lit(1)).alias("_c")).select(_report_rows([ch], [F.col("_c")])))
+            parts.append(failures_of(ch, relations).agg(F.count(F.lit(1)).alias("_c")).select(_report_rows([ch], ["_c"])))
     if not parts:
         return spark.createDataFrame([], REPORT_SCHEMA)
+    while len(parts) > 1:  # in pairs: every union analyses its plan again
+        parts = [a.unionByName(b) for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2 :]
     report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
     status = (
         F.when(F.col("failures").isNull(), F.lit("skipped"))
         .when(F.col("failures") == 0, F.lit("pass"))

@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from sparkmarts.functions.columns import cents_to_dollars, month_start, surrogate_key
-from sparkmarts.operators import changes, dimensions, facts, freshness, quality, reports, snapshots
+from sparkmarts.operators import aggregates, changes, dimensions, facts, freshness, quality, reports, snapshots
 from sparkmarts.operators.enrich import with_segment_label
 from sparkmarts.operators.incremental import read_fact
 from sparkmarts.plans import loads, scenarios, standins
@@ -311,34 +313,62 @@ def q_dq_months_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.months_complete_failures(warehouse(spark, sf_dir).revenue_by_nation)
 
 
-def dq_relations(wh: Warehouse) -> dict[str, DataFrame]:
-    """The relations of all declared checks, with planted violations. Line-level
-    marts come without the part and supplier attributes that no check reads."""
+def dq_relations(wh: Warehouse, watch: quality.Watch, store: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """The relations of all declared checks, with planted violations. Marts are stored
+    once, each the relation itself; the row checks of a mart, and of the views that it is made
+    from, are counted by ``watch`` while it is written. Later marts read the stored ones;
+    those that do not depend on each other are written at the same time."""
     spark, root = wh.spark, wh.root
-    lines = wh.order_lines.withColumn("order_item_key", surrogate_key("order_key", "line_number"))
-    returned = lines.where(F.col("return_flag") == "R")
-    rel = {
+
+    def put(name: str, df: DataFrame, *more: str) -> DataFrame:
+        # all rows, and the columns that are read again
+        used = {c.column for c in dq_suite().checks if c.relation == name and c.kind not in quality.ROW_LEVEL} | set(more)
+        return store(name, watch.on(name, df, written=True).select(*(sorted(used) or df.columns[:1])))
+
+    def order_items() -> dict[str, DataFrame]:
+        lines = watch.on("line_items_enriched", wh.line_items_enriched)
+        items = put(
+            "fct_order_items", facts.fct_order_items(lines, watch.on("orders_enriched", wh.orders_enriched)),
+            "customer_nation", "sales_region", "order_date", "order_key",
+            "quantity", "extended_price", "discounted_price", "net_price", "discount_percentage",
+        )
+        return {
+            "fct_order_items": items,
+            "agg_revenue_by_nation": put("agg_revenue_by_nation", aggregates.revenue_by(items, "customer_nation", "nation_name")),
+            "agg_revenue_by_sales_region": put("agg_revenue_by_sales_region", aggregates.revenue_by(items, "sales_region", "sales_region")),
+        }
+
+    def parts() -> dict[str, DataFrame]:
+        stored = put("stg_part_suppliers", wh.part_suppliers, *wh.part_suppliers.columns)
+        return {"stg_part_suppliers": stored, "dim_parts": put("dim_parts", dimensions.dim_parts(wh.parts, stored))}
+
+    def orders() -> dict[str, DataFrame]:
+        planted = scenarios.planted_negative_discount(wh.line_items)
+        return {"fct_orders": put("fct_orders", facts.fct_orders(wh.orders_enriched, planted))}
+
+    def returns() -> dict[str, DataFrame]:
+        return {"fct_returns": put("fct_returns", wh.fct_returns)}
+
+    def history() -> dict[str, DataFrame]:
+        return {"snp_customers": q_snapshot_customers(spark, root), "snp_suppliers": q_snapshot_suppliers(spark, root)}
+
+    rel: dict[str, DataFrame] = {}
+    with ThreadPoolExecutor(5) as jobs:
+        for made in jobs.map(inheritable_thread_target(spark)(lambda f: f()), (order_items, returns, orders, parts, history)):
+            rel |= made
+    rel |= {
         "stg_customers": scenarios.planted_null_names(wh.customers),
         "stg_orders": scenarios.planted_status(wh.orders),
         "stg_line_items": wh.line_items,
         "stg_suppliers": wh.suppliers,
         "stg_parts": wh.parts,
-        "stg_part_suppliers": wh.part_suppliers,
         "stg_nations": wh.nations,
         "stg_regions": wh.regions,
         "orders_enriched": wh.orders_enriched,
-        "line_items_enriched": wh.line_items,
-        "fct_orders": facts.fct_orders(wh.orders_enriched, scenarios.planted_negative_discount(wh.line_items)),
-        "fct_order_items": lines,
-        "fct_returns": returned.withColumnRenamed("extended_price", "returned_gross_amount"),
+        "line_items_enriched": wh.line_items_enriched,
         "dim_customers": wh.dim_customers,
         "dim_suppliers": wh.dim_suppliers,
-        "dim_parts": wh.dim_parts,
         "dim_dates": q_dim_dates(spark, root),
-        "agg_revenue_by_nation": wh.revenue_by_nation,
-        "agg_revenue_by_sales_region": wh.revenue_by_sales_region,
-        "snp_customers": q_snapshot_customers(spark, root),
-        "snp_suppliers": q_snapshot_suppliers(spark, root),
         "seed.nation_region_overrides": wh.overrides,
         "seed.fx_rates": wh.fx_rates,
         "seed.market_segment_labels": wh.segment_labels,
@@ -363,8 +393,21 @@ def dq_suite() -> quality.CheckSuite:
 
 @query("dq_report")
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wh = warehouse(spark, sf_dir)
-    return quality.run_checks(spark, dq_relations(wh), dq_suite().checks)
+    return dq_report(warehouse(spark, sf_dir))
+
+
+def dq_report(wh: Warehouse) -> DataFrame:
+    """The report of all checks, each on the relation that it names."""
+    checks = dq_suite().checks
+    watch = quality.Watch(checks)
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(wh.spark, f"dq-{name}")
+        df.write.parquet(path)
+        return wh.spark.read.schema(df.schema).parquet(path)
+
+    relations = dq_relations(wh, watch, store)
+    return quality.run_checks(wh.spark, relations, checks, counted=watch.failures())
 
 
 # -- freshness and change detection -----------------------------------------------------
