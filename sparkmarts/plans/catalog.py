@@ -463,6 +463,15 @@ def q_table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.table_diff(before, after, ["customer_key"])
 
 
+@query("table_diff_stored")
+def q_table_diff_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same diff between two stored versions with a fingerprint per key bucket."""
+    cust = warehouse(spark, sf_dir).customers
+    path = scratch_path(spark, "hashed-customers")
+    versions_made = [changes.save_hashed(load(cust), path, ["customer_key"]).number for load in (scenarios.history_load1, scenarios.history_load2)]
+    return changes.stored_diff(spark, path, *versions_made)
+
+
 # -- landing and key allocation -------------------------------------------------------------
 LANDED = ["customer", "orders", "lineitem", "supplier", "part", "nation", "region"]
 

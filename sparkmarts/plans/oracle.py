@@ -673,6 +673,8 @@ ORACLE_SQL["table_diff"] = with_base(
     f"l2 AS (SELECT {', '.join(_load2_column(c) for c in _CUST_ALL)} FROM stg_customers {LOAD2_WHERE})",
 )
 
+ORACLE_SQL["table_diff_stored"] = ORACLE_SQL["table_diff"]
+
 _LAND_STEPS = [
     (1, t, "created") for t in ["customer", "orders", "lineitem", "supplier", "part", "nation", "region"]
 ] + [(2, "customer", "skipped"), (2, "nation", "skipped"), (3, "orders", "replaced")]
@@ -695,10 +697,10 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00'
 
 # -- fingerprint, file freshness, reloads, replaced tables, stored failures ------------------
 def _fingerprint_sql(relation: str, columns: list[str], group: str) -> str:
-    text = ", ".join(f"COALESCE('=' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    text = " || ".join(f"COALESCE(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
     return (
         f"SELECT {group}, COUNT(*) AS row_count, bit_xor(h) AS hash_xor, CAST(SUM(h) AS VARCHAR) AS hash_sum "
-        f"FROM (SELECT {group}, CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 15) AS BIGINT) AS h FROM {relation}) "
+        f"FROM (SELECT {group}, CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT) AS h FROM {relation}) "
         "GROUP BY 1"
     )
 
