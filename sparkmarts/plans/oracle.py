@@ -90,10 +90,14 @@ orders_enriched AS (
   FROM stg_orders o
   LEFT JOIN stg_customers c ON o.customer_key = c.customer_key
   LEFT JOIN geography g ON c.nation_key = g.nation_key),
-priced AS (
-  SELECT *, extended_price - extended_price * discount_percentage AS discounted_price,
-         (extended_price - extended_price * discount_percentage) * (tax_rate + 1) AS net_price
+cents AS (
+  SELECT *, CAST(extended_price * 100 AS HUGEINT) AS price_cents, 100 - CAST(discount_percentage * 100 AS HUGEINT) AS kept,
+         100 + CAST(tax_rate * 100 AS HUGEINT) AS taxed
   FROM stg_line_items),
+priced AS (
+  SELECT * EXCLUDE (price_cents, kept, taxed), CAST(price_cents * kept AS DECIMAL(20,0)) * 0.0001 AS discounted_price,
+         CAST(price_cents * kept * taxed AS DECIMAL(24,0)) * 0.000001 AS net_price
+  FROM cents),
 line_items_enriched AS (
   SELECT li.order_key, li.part_key, li.supplier_key, li.line_number, li.quantity, li.extended_price,
          li.discount_percentage, li.tax_rate,
@@ -105,18 +109,19 @@ line_items_enriched AS (
   LEFT JOIN stg_parts p ON li.part_key = p.part_key
   LEFT JOIN stg_suppliers s ON li.supplier_key = s.supplier_key
   LEFT JOIN stg_nations sn ON s.nation_key = sn.nation_key),
-order_totals AS (
-  SELECT order_key AS k, MIN(ship_date) AS shipped_from, MAX(ship_date) AS shipped_to, SUM(quantity) AS pieces,
-         COUNT(*) AS n, CAST(SUM(discount_percentage) AS DOUBLE) / NULLIF(COUNT(discount_percentage), 0) AS rate,
-         SUM(extended_price) AS before_discount, SUM(discounted_price) AS before_tax, SUM(net_price) AS after_tax
-  FROM priced GROUP BY 1),
+lines_of_order AS (
+  SELECT order_key, list(price_cents) AS prices, list(price_cents * kept) AS nets, list(price_cents * kept * taxed) AS totals,
+         list(CAST(quantity * 100 AS HUGEINT)) AS amounts, list(100 - kept) AS rates, list(ship_date) AS days
+  FROM cents GROUP BY order_key),
 fct_orders AS (
-  SELECT e.order_key, e.customer_key, e.customer_name, e.customer_nation, e.customer_region, e.sales_region,
-         e.market_segment, e.order_date, e.status_code, e.priority_code, e.total_price, e.clerk_name,
-         t.n AS line_item_count, t.before_discount AS gross_revenue, t.before_tax AS net_revenue,
-         t.after_tax AS net_revenue_after_tax, t.pieces AS total_quantity, t.rate AS avg_discount_rate,
-         t.shipped_from AS first_ship_date, t.shipped_to AS last_ship_date
-  FROM orders_enriched e LEFT JOIN order_totals t ON t.k = e.order_key),
+  SELECT e.* EXCLUDE (ship_priority, account_balance), len(x.days) AS line_item_count,
+         CAST(list_sum(x.prices) AS DECIMAL(20,0)) * 0.01 AS gross_revenue,
+         CAST(list_sum(x.nets) AS DECIMAL(22,0)) * 0.0001 AS net_revenue,
+         CAST(list_sum(x.totals) AS DECIMAL(24,0)) * 0.000001 AS net_revenue_after_tax,
+         CAST(list_sum(x.amounts) AS DECIMAL(20,0)) * 0.01 AS total_quantity,
+         (CAST(list_sum(x.rates) AS DOUBLE) / 100) / NULLIF(list_count(x.rates), 0) AS avg_discount_rate,
+         list_min(x.days) AS first_ship_date, list_max(x.days) AS last_ship_date
+  FROM orders_enriched e LEFT JOIN lines_of_order x USING (order_key)),
 fct_order_items AS (
   SELECT md5(concat_ws('-', COALESCE(CAST(li.order_key AS VARCHAR), '{NULL_MARKER}'),
                             COALESCE(CAST(li.line_number AS VARCHAR), '{NULL_MARKER}'))) AS order_item_key,
@@ -339,8 +344,7 @@ FROM (SELECT sales_region, list(amount ORDER BY amount DESC NULLS LAST, supplier
 ORACLE_SQL["top_customers"] = with_base("""
 SELECT cr.customer_key, d.customer_name, d.market_segment_label, d.nation_name, d.sales_region,
        cr.order_count, CAST(cr.lifetime_net_revenue AS DOUBLE) AS lifetime_net_revenue
-FROM (SELECT s.customer_key, SUM(t.before_tax) AS lifetime_net_revenue, COUNT(*) AS order_count
-      FROM stg_orders s LEFT JOIN order_totals t ON t.k = s.order_key GROUP BY 1) cr
+FROM (SELECT customer_key, SUM(net_revenue) AS lifetime_net_revenue, COUNT(*) AS order_count FROM fct_orders GROUP BY 1) cr
 JOIN dim_customers d ON cr.customer_key = d.customer_key
 ORDER BY cr.lifetime_net_revenue DESC NULLS LAST, cr.customer_key
 LIMIT 50
