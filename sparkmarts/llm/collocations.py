@@ -5,7 +5,9 @@ that may still be frequent, sorted by position. Positions number the words of a
 chunk of texts, with a gap between pieces, so a place one further is the next
 word of the same piece. Each length is one round over Spark:
 
-1. R(k) comes from a merge join of R(k-1) with R(1) on position + k - 1, chunk by chunk.
+1. R(k) comes from a merge join of R(k-1) with the words at position + k - 1, chunk by chunk. A phrase
+   can be frequent only if its last k - 1 words are, so these words are taken as the last words of the
+   rows of R(k-1) at position + 1; single words need not be stored again.
 2. Group-count: a chunk's distinct groups, already counted, are summed over all chunks
    in buckets dealt by a hash. So a group is one entry per chunk at most, however often it occurs.
 3. Semi-join: only the groups frequent in the whole corpus go back to their
@@ -95,6 +97,14 @@ def _blobs(t: pa.Table, name: str, kind=np.int32) -> list[np.ndarray]:
     return [_unpack(x, kind) for x in t.column(name).to_pylist()]
 
 
+def _deltas(ascending: np.ndarray) -> bytes:
+    return _pack(np.diff(ascending, prepend=0).astype(np.int32))
+
+
+def _undelta(b: bytes | None) -> np.ndarray:
+    return np.cumsum(_unpack(b), dtype=np.int32)
+
+
 def _parts(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, its places in their order)."""
     order = np.argsort(bucket, kind="stable")
@@ -180,7 +190,7 @@ def word_entries(state: DataFrame, buckets: int) -> DataFrame:
                     rows = [
                         {
                             "bucket": b, "chunk": row["chunk"], "lang": lang, "words": _join(words, part),
-                            "local": _pack((part + at).astype(np.int32)), "n": _pack(n[part + at]),
+                            "local": _deltas(part + at), "n": _pack(n[part + at]),
                         }
                         for b, part in _parts(bucket)
                     ]
@@ -206,10 +216,8 @@ def merge_join(left_at: np.ndarray, right_at: np.ndarray, shift: int) -> tuple[n
     return np.flatnonzero(found), place[found]
 
 
-_STATE = "chunk long, own int, word_at binary, word binary, word_names binary, at binary, group binary"
-_STATE_FIELDS = [("chunk", pa.int64()), ("own", pa.int32())] + [
-    (c, pa.binary()) for c in ("word_at", "word", "word_names", "at", "group")
-]
+_STATE = "chunk long, own int, at binary, group binary"
+_STATE_FIELDS = [("chunk", pa.int64()), ("own", pa.int32()), ("at", pa.binary()), ("group", pa.binary())]
 _ENTRY_FIELDS = pa.schema(
     [("bucket", pa.int32()), ("chunk", pa.int64()), ("lang", pa.string())]
     + [(c, pa.binary()) for c in ("words", "prefix", "last", "local", "n")]
@@ -219,24 +227,17 @@ _MADE_FIELDS = pa.schema(_STATE_FIELDS + [(f.name, f.type) for f in _ENTRY_FIELD
 _MADE = f"{_STATE}, {_ENTRIES.replace('chunk long, ', '')}"
 
 
-def extend(at, group, names, word_at, word, word_names, k: int, own: int, last: bool):
-    """R(k) from the frequent R(k-1) (positions, groups, the groups' names) and R(1): its
-    positions and groups, and for every group the names of its prefix and last word and its count."""
-    if k > 2:  # the k - 1 words from the second on must be frequent as well
-        i, _ = merge_join(at, at, 1)
-        at_start, group_start = at[i], group[i]
-    else:
-        at_start, group_start = at, group
-    i, j = merge_join(at_start, word_at, k - 1)
-    key = group_start[i].astype(np.int64) * max(1, len(word_names)) + word[j]
+def extend(at, group, names, lasts, k: int, own: int):
+    """R(k) from the frequent R(k-1) (positions, groups; the groups' names and the names of their last
+    words): its positions and groups, and for every group the names of its prefix and last word and its count."""
+    i, j = merge_join(at, at, 1)
+    words, word = np.unique(lasts, return_inverse=True)
+    key = group[i].astype(np.int64) * max(1, len(words)) + word[group[j]]
     distinct, number = np.unique(key, return_inverse=True)
     # occurrences that end in a chunk's lead-in belong to the chunk before
-    mine = at_start[i] + k - 1 >= own
+    mine = at[i] + k - 1 >= own
     n = np.bincount(number, weights=mine, minlength=len(distinct)).astype(np.int64)
-    prefix, end = names[distinct // max(1, len(word_names))], word_names[distinct % max(1, len(word_names))]
-    if last:
-        return np.zeros(0, np.int32), np.zeros(0, np.int32), prefix[n > 0], end[n > 0], n[n > 0]
-    return at_start[i], number, prefix, end, n
+    return at[i], number, names[distinct // max(1, len(words))], words[distinct % max(1, len(words))], n
 
 
 def _extension(k: int, max_words: int, buckets: int):
@@ -245,38 +246,33 @@ def _extension(k: int, max_words: int, buckets: int):
             return _MADE_FIELDS.empty_table()
         row = {c: left.column(c)[0].as_py() for c in left.column_names}
         chunk, own = row["chunk"], row["own"]
-        none = [np.zeros(0, np.int32)]
-        local = np.concatenate(none + _blobs(right, "local"))
-        names = np.concatenate([np.zeros(0, np.int64)] + _blobs(right, "names", np.int64))
+        no_names = [np.zeros(0, np.int64)]
+        local = np.concatenate([np.zeros(0, np.int32)] + [_undelta(x) for x in right.column("local").to_pylist()])
+        names = np.concatenate(no_names + _blobs(right, "names", np.int64))
+        lasts = np.concatenate(no_names + _blobs(right, "lasts", np.int64))
         order = np.argsort(local)
-        local, names = local[order], names[order]
+        local, names, lasts = local[order], names[order], lasts[order]
         if k == 2:
             codes = _unpack(row["codes"])
             number = np.full(row["size"] + 1, -1, np.int32)
             number[local + 1] = np.arange(len(local))
-            word = number[codes]
-            word_at = np.flatnonzero(word >= 0).astype(np.int32)
-            word, word_names = word[word_at], names
-            at, group = word_at, word
+            group = number[codes]
+            at = np.flatnonzero(group >= 0).astype(np.int32)
+            group = group[at]
         else:
-            word_at, word = np.cumsum(_unpack(row["word_at"]), dtype=np.int32), _unpack(row["word"])
-            word_names = _unpack(row["word_names"], np.int64)
-            at, group = np.cumsum(_unpack(row["at"]), dtype=np.int32), _unpack(row["group"])
+            at, group = _undelta(row["at"]), _unpack(row["group"])
             # semi-join: only occurrences of frequent groups are extended
             place = np.searchsorted(local, group).astype(np.int32)
             place[place == len(local)] = 0
             frequent = local[place] == group if len(local) else np.zeros(len(group), bool)
             at, group = at[frequent], place[frequent]
-        last = k == max_words
-        new_at, new_group, prefix, end, n = extend(at, group, names, word_at, word, word_names, k, own, last)
+        new_at, new_group, prefix, end, n = extend(at, group, names, lasts, k, own)
         rows = []
-        if not last:
-            delta = lambda x: _pack(np.diff(x, prepend=0).astype(np.int32))
-            state = [delta(word_at), _pack(word), _pack(word_names), delta(new_at), _pack(new_group.astype(np.int32))]
-            rows.append({"chunk": chunk, "own": own} | dict(zip((x for x, _ in _STATE_FIELDS[2:]), state, strict=True)))
+        if k < max_words:
+            rows.append({"chunk": chunk, "own": own, "at": _deltas(new_at), "group": _pack(new_group.astype(np.int32))})
         for b, part in _parts(_mix(prefix, end) % np.uint64(buckets)):
-            entry = {"prefix": prefix[part], "last": end[part], "local": part.astype(np.int32), "n": n[part].astype(np.int32)}
-            rows.append({"chunk": chunk, "bucket": b} | {c: _pack(x) for c, x in entry.items()})
+            entry = {"prefix": _pack(prefix[part]), "last": _pack(end[part]), "local": _deltas(part), "n": _pack(n[part].astype(np.int32))}
+            rows.append({"chunk": chunk, "bucket": b} | entry)
         return pa.Table.from_pylist(rows, schema=_MADE_FIELDS)
 
     return run
@@ -290,30 +286,31 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-_SUMMED = "chunk long, local binary, names binary, name long, lang string, word string, prefix long, last long, a long"
+_SUMMED = "chunk long, local binary, names binary, lasts binary, name long, lang string, word string, prefix long, last long, a long"
 
 
 def frequent(entries: DataFrame, least: int) -> DataFrame:
     """Groups whose entries sum up to ``least``, in two kinds of rows: (name, the group's
-    keys, a) for each group, and (chunk, local, names) for the entries of a bucket that go back to their chunk."""
+    keys, a) for each group, and (chunk, local, names, lasts) for the entries of a bucket that go back to
+    their chunk: their groups' names and the names of the groups' last words."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     fields = to_arrow_schema(T.StructType.fromDDL(_SUMMED))
 
     def summed(t: pa.Table) -> pa.Table:
-        local, n = _blobs(t, "local"), _blobs(t, "n")
+        local, n = [_undelta(x) for x in t.column("local").to_pylist()], _blobs(t, "n")
         sizes = [len(x) for x in local]
         row = np.repeat(np.arange(t.num_rows), sizes)
         chunk = t.column("chunk").to_numpy()
         local, n = np.concatenate(local), np.concatenate(n)
-        if t.column("words").null_count:
+        words = not t.column("words").null_count
+        if not words:
             first = np.concatenate(_blobs(t, "prefix", np.int64))
             second = np.concatenate(_blobs(t, "last", np.int64))
         else:
-            words = zstandard.ZstdDecompressor().decompress
-            words = pa.array([w for x in t.column("words").to_pylist() for w in words(x).split(_BREAK)], pa.binary())
+            unpacked = zstandard.ZstdDecompressor().decompress
+            coded = pa.array([w for x in t.column("words").to_pylist() for w in unpacked(x).split(_BREAK)], pa.binary()).dictionary_encode()
             langs = t.column("lang").combine_chunks().dictionary_encode()
-            coded = words.dictionary_encode()
             first, second = langs.indices.to_numpy()[row], coded.indices.to_numpy()
         order = np.lexsort((second, first))
         new = np.r_[True, (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)]
@@ -324,7 +321,7 @@ def frequent(entries: DataFrame, least: int) -> DataFrame:
         keep = np.flatnonzero(a >= least)
         head = order[starts[keep]]
         found = {"name": name[keep], "a": a[keep]}
-        if t.column("words").null_count:
+        if not words:
             found |= {"prefix": first[head], "last": second[head]}
         else:
             found |= {"lang": langs.dictionary.take(pa.array(first[head])), "word": coded.dictionary.take(pa.array(second[head])).cast(pa.string())}
@@ -338,7 +335,8 @@ def frequent(entries: DataFrame, least: int) -> DataFrame:
         for r, (x, y) in enumerate(zip(np.cumsum([0, *sizes[:-1]]), np.cumsum(sizes), strict=True)):
             mine = np.flatnonzero(of_entry[x:y] >= 0) + x
             if len(mine):
-                back.append({"chunk": int(chunk[r]), "local": _pack(local[mine]), "names": _pack(of_entry[mine])})
+                lasts = of_entry if words else second
+                back.append({"chunk": int(chunk[r]), "local": _deltas(local[mine]), "names": _pack(of_entry[mine]), "lasts": _pack(lasts[mine])})
         return pa.concat_tables([groups, pa.Table.from_pylist(back, schema=fields)])
 
     return entries.groupBy("bucket").applyInArrow(summed, _SUMMED)
@@ -371,7 +369,7 @@ def mine(
         buckets = enough(found.agg(F.sum("a")).first()[0])
         fields = ["chunk", "own", "codes", "size"] if k == 2 else [c for c, _ in _STATE_FIELDS]
         left = (state if k == 2 else state.where("bucket IS NULL")).select(*fields)
-        right = found.where("name IS NULL").select("chunk", "local", "names")
+        right = found.where("name IS NULL").select("chunk", "local", "names", "lasts")
         made = left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(_extension(k, max_words, buckets), _MADE)
         state = materialise(made, f"r{k}", instead_of=state)
         entries = state.where("bucket IS NOT NULL").select(*(f.name for f in _ENTRY_FIELDS))
