@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmarts.llm.common import column_of, materialise, slices, texts_of
+from sparkmarts.llm.common import column_of, materialise, shuffles_cleared, slices, texts_of
 
 MAX_WORDS = 4
 LEAST = 30
@@ -408,8 +408,9 @@ def collocations(
     inside a longer one with ``absorbed`` percent of their count or more are left out. Ties in rank
     go by larger a, then by the phrase's bytes. A null text has no words; a null language counts
     as ``und``; repeated rows count each time; other columns are ignored."""
-    phrases, languages = mine(docs, text_col, lang_col, max_words, least, chunk_bytes)
-    phrases = materialise(phrases, "phrases")
+    with shuffles_cleared(docs.sparkSession):
+        phrases, languages = mine(docs, text_col, lang_col, max_words, least, chunk_bytes)
+        phrases = materialise(phrases, "phrases")
     size = F.size("ids")
     candidates = phrases.where(size > 1)
     counts = phrases.select(F.col("ids").alias("part"), F.col("a").alias("f"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,6 +38,21 @@ def materialise(df: DataFrame, name: str, instead_of: DataFrame | None = None) -
     return out
 
 
+@contextmanager
+def shuffles_cleared(spark: SparkSession):
+    """The shuffle files of a job go at its end, not when the driver next collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def fresh(name: str, taken: Iterable[str]) -> str:
     """``name`` after as many underscores as set it apart from all ``taken`` (whatever their case)."""
     used = {x.lower() for x in taken}

@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,11 +29,11 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.chain import Pass, layout
-from sparkmarts.llm.common import column_of, materialise, slices, texts_of
+from sparkmarts.llm.common import column_of, materialise, shuffles_cleared, slices, texts_of
 
 END = b""
 STATES = 8
@@ -483,21 +482,6 @@ def text_scores(table: DataFrame, model: Hmm, sums: DataFrame | None, id_col: st
     )
 
 
-@contextmanager
-def _shuffles_cleared(spark: SparkSession):
-    """The shuffle files of a job go at its end, not when the driver next collects garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def hmm_scores(
     docs: DataFrame,
     held_out,
@@ -522,7 +506,7 @@ def hmm_scores(
     if own_share is not None:
         least = int(np.ceil(tokens * own_share))
     buckets = max(BUCKETS, int(pairs or 0) // BUCKET_PAIRS)
-    with _shuffles_cleared(docs.sparkSession):
+    with shuffles_cleared(docs.sparkSession):
         table = materialise(with_counts(packed, max(1, least), buckets, states), "counted", instead_of=packed)
         model, sums = train(table, tokens, states, rounds, classes)
     return text_scores(table, model, sums, id_col)
