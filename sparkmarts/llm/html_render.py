@@ -71,6 +71,7 @@ _PARTS = {
 }
 #: what may stand in a head; any other start tag and any text begin the body
 _IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template head".split())
+_TABLE_PARTS = frozenset("caption col colgroup tbody td tfoot th thead tr".split())
 _SCOPE = frozenset("table td th caption html template object foreignobject".split())
 
 _TAG = re.compile(
@@ -136,6 +137,15 @@ def parse(source: str) -> Node:
                 return 0
         return 0
 
+    def astray() -> bool:
+        """Whether HTML inside a drawing or formula is read that opened no table there."""
+        for i in range(len(stack) - 1 if drawn else 0, 0, -1):
+            if stack[i].tag in ("table", "template"):
+                return False
+            if stack[i].tag in _HTML_INSIDE and any(x.tag in ("svg", "math") for x in stack[:i]):
+                return True
+        return False
+
     at = 0
     closed = source.rfind(">") + 1  # nothing behind it can be a tag
     while True:
@@ -185,6 +195,8 @@ def parse(source: str) -> Node:
             if not m[3].endswith("/") and len(stack) < MAX_DEPTH:
                 stack.append(node)
             continue
+        if tag in _TABLE_PARTS and astray():
+            continue  # cells and rows need their table there
         if tag == "head" and (len(stack) > 1 or any(isinstance(k, Node) or k.strip() for k in root.kids)):
             continue  # a head after the page's first content is none
         if stack[-1].tag == "head" and tag not in _IN_HEAD:
