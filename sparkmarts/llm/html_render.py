@@ -195,7 +195,7 @@ def parse(source: str) -> Node:
             if not m[3].endswith("/") and len(stack) < MAX_DEPTH:
                 stack.append(node)
             continue
-        if tag in _TABLE_PARTS and astray():
+        if drawn and tag in _TABLE_PARTS and astray():
             continue  # cells and rows need their table there
         if tag == "head" and (len(stack) > 1 or any(isinstance(k, Node) or k.strip() for k in root.kids)):
             continue  # a head after the page's first content is none

@@ -179,8 +179,8 @@ def as_text(body: bytes, kind: str) -> str:
 def links(page: str, base: str) -> Iterator[str]:
     """Distinct absolute link targets, in the order of the page."""
     seen = set()
-    for a, b, c in _HREF.findall(page):
-        raw = html.unescape(a or b or c).strip()
+    for href in dict.fromkeys(a or b or c for a, b, c in _HREF.findall(page)):
+        raw = html.unescape(href).strip()
         try:
             target = urldefrag(urljoin(base, raw))[0] if raw else ""
         except ValueError:
@@ -229,14 +229,14 @@ def derive(data: bytes) -> list[dict]:
     for name, mime, content in (("metadata", "application/warc-fields", fields_block), ("conversion", "text/plain; charset=utf-8", text)):
         if name == "conversion" and problem and not body:
             continue
-        own = record_id(source, name)
-        own_headers = [("WARC-Type", name), ("WARC-Record-ID", own), *shared, ("WARC-Block-Digest", digest(content)), ("Content-Type", mime)]
+        own, sum_of = record_id(source, name), digest(content)
+        own_headers = [("WARC-Type", name), ("WARC-Record-ID", own), *shared, ("WARC-Block-Digest", sum_of), ("Content-Type", mime)]
         if name == "conversion":
             own_headers += [("WARC-Source-Payload-Digest", v)] if (v := known["WARC-Payload-Digest"]) else []
         out.append(
             {
                 "record_type": name, "record_id": own, "refers_to": source, "target_uri": uri or None,
-                "payload_digest": known["WARC-Payload-Digest"], "block_digest": digest(content), "source_digest_ok": ok,
+                "payload_digest": known["WARC-Payload-Digest"], "block_digest": sum_of, "source_digest_ok": ok,
                 "content_length": len(content), "problem": problem, "record": write_record(own_headers, content),
             }
         )
