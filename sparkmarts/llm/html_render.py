@@ -83,6 +83,7 @@ _TAG = re.compile(
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
+_RUNS = ("  ", "\t", "\n", "\f", "\r")
 _EMPTY_TAIL = re.compile(r"\n{3,}")
 MAX_DEPTH = 512
 
@@ -271,7 +272,8 @@ class _Page:
         self.out.append(lead + s)
 
     def inline(self, s: str) -> None:
-        s = _SPACE.sub(" ", s)
+        if any(x in s for x in _RUNS):  # most texts hold single spaces only
+            s = _SPACE.sub(" ", s)
         if s == " ":
             self.space = self.space or bool(self.out)
             return
