@@ -103,11 +103,13 @@ def map_slices(
     """One output row per input row: the columns ``keep`` (all by default)
     and those of the DDL string ``added``, whose values ``fn`` returns for a
     bounded slice of rows as {name: list or Arrow array}. ``fn`` finds the text
-    as ``__text``; a kept column of that name has another one inside."""
-    names = keep if keep is not None else df.columns
+    as ``__text``; a kept column of that name has another one inside. A column of
+    ``df`` with the name of an added one (in any case) gives way to it."""
+    more = T.StructType.fromDDL(added)
+    taken = {f.name.lower() for f in more.fields}
+    names = [c for c in (keep if keep is not None else df.columns) if c.lower() not in taken]
     own = lambda c: fresh("text", [*names, "__text"]) if c.lower() == "__text" else c
     inside = df.select(*(F.col(f"`{c}`").alias(own(c)) for c in names), F.col(f"`{text_col}`").alias("__text"))
-    more = T.StructType.fromDDL(added)
     kept = [T.StructField(c, f.dataType, f.nullable, f.metadata) for c, f in zip(names, inside.schema.fields, strict=False)]
     schema = T.StructType(kept + more.fields)
     from pyspark.sql.pandas.types import to_arrow_type

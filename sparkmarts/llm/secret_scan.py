@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmarts.llm.common import map_slices, texts_of
+from sparkmarts.llm.common import fresh, map_slices, texts_of
 
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt", "pem", "card")
 SPAN = "array<struct<kind:string,start:bigint,end:bigint>>"
@@ -39,8 +39,12 @@ KEYWORDS = {
 _ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _BASE62 = re.compile(rb"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-_JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_PEM = re.compile(rb"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s*+((?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n)*+)([A-Za-z0-9+/=\s]++)-----END \1-----")
+_JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)")
+_JWT_RUN = re.compile(rb"eyJ[A-Za-z0-9_-]*+")
+_PEM_BEGIN = re.compile(rb"-----BEGIN ((?:[A-Z]++ )?PRIVATE KEY)-----\s*+")
+_PEM_LINE = re.compile(rb"[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n")
+_PEM_LINES = re.compile(rb"(?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n)*+")
+_PEM_BODY = re.compile(rb"[A-Za-z0-9+/=\s]*+")
 _DEK = re.compile(rb"^DEK-Info:\s*[A-Z0-9-]+,([0-9A-Fa-f]+)\s*$", re.M)
 _OPENSSH = b"openssh-key-v1\0"
 _CARD = re.compile(rb"(?:card|visa|mastercard|amex)(?:[ _-]?(?:number|no|nr|num))?[\"']?[:=# ]{1,3}[\"']?((?:\d[ -]?){12,18}\d)(?!\d)", re.I)
@@ -63,7 +67,8 @@ def _unpadded(part: bytes) -> bytes:
 
 def _jwt_ok(header: bytes, payload: bytes) -> bool:
     try:
-        return isinstance(json.loads(_unpadded(header)), dict) and "alg" in json.loads(_unpadded(header)) and isinstance(json.loads(_unpadded(payload)), dict)
+        head = json.loads(_unpadded(header))
+        return isinstance(head, dict) and "alg" in head and isinstance(json.loads(_unpadded(payload)), dict)
     except (ValueError, RecursionError):
         return False
 
@@ -116,8 +121,38 @@ def _luhn_ok(digits: bytes) -> bool:
     return len(set(d)) > 1 and (sum(d[-1::-2]) + sum(doubled)) % 10 == 0
 
 
-def _match(kind: str, data: bytes, at: int) -> tuple[int, int, int, bool] | None:
-    """(start, end, end of what the match consumes, valid) at a keyword's start."""
+class _Blocks:
+    """Key blocks of a text. Where its header lines and its body end is kept from
+    one beginning to the next, as beginnings inside header lines share both: each
+    line and each body is read once, however many blocks begin in it."""
+
+    def __init__(self, data: bytes):
+        self.data, self.lines, self.body = data, (0, 0), (-1, 0)
+
+    def match(self, at: int) -> tuple[int, int, int, bool] | None:
+        m = _PEM_BEGIN.match(self.data, at)
+        if not m:
+            return None
+        head = m.end()
+        line = _PEM_LINE.match(self.data, head)
+        if not line:
+            begin = head
+        elif self.lines[0] <= head and line.end() <= self.lines[1]:
+            begin = self.lines[1]
+        else:
+            begin = _PEM_LINES.match(self.data, line.end()).end()
+            self.lines = (head, begin)
+        if self.body[0] != begin:
+            self.body = (begin, _PEM_BODY.match(self.data, begin).end())
+        tail, end = b"-----END " + m[1] + b"-----", self.body[1]
+        if end == begin or not self.data.startswith(tail, end):
+            return None
+        stop = end + len(tail)
+        return at, stop, stop, _pem_ok(m[1], self.data[head:begin], self.data[begin:end])
+
+
+def _match(kind: str, data: bytes, at: int, blocks: _Blocks) -> tuple[int, int, int, bool] | None:
+    """(start, end, end of what is settled, valid) at a keyword's start."""
     if kind == "assign":
         m = _ASSIGN.match(data, at)
         return m and (m.start(), m.end(), m.end(), len(m[1]) >= MIN_VALUE)
@@ -128,11 +163,13 @@ def _match(kind: str, data: bytes, at: int) -> tuple[int, int, int, bool] | None
         m = _BASE62.match(data, at)
         return m and (m.start(), m.end(), m.end(), _crc62(m[1]) == m[2])
     if kind == "jwt":
-        m = _JWT.match(data, at)
-        return m and (m.start(), m.end(), m.end(), _jwt_ok(m[1], m[2]))
+        if m := _JWT.match(data, at):
+            return m.start(), m.end(), m.end(), _jwt_ok(m[1], m[2])
+        # what fails here fails for every other keyword in the same run as well
+        run = _JWT_RUN.match(data, at)
+        return run and (at, at, run.end(), False)
     if kind == "pem":
-        m = _PEM.match(data, at)
-        return m and (m.start(), m.end(), m.end(), _pem_ok(m[1], m[2], m[3]))
+        return blocks.match(at)
     m = _CARD.match(data, at)
     return m and (m.start(1), m.end(1), m.end(), _luhn_ok(m[1]))
 
@@ -149,9 +186,10 @@ def byte_spans(a: ahocorasick.Automaton, data: bytes) -> list[tuple[str, int, in
     """Every secret as (kind, start, end) in bytes, by start, then kind as listed."""
     out: list[tuple[str, int, int]] = []
     reach: dict[str, int] = {}
+    blocks = _Blocks(data)
     hits = [(end + 1 - n, kind) for end, (n, kind) in a.iter(data.lower().decode("latin-1"))]
     for at, kind in sorted(set(hits)):
-        if at >= reach.get(kind, 0) and (m := _match(kind, data, at)):
+        if at >= reach.get(kind, 0) and (m := _match(kind, data, at, blocks)):
             reach[kind] = m[2]
             if m[3]:
                 out.append((kind, m[0], m[1]))
@@ -181,7 +219,7 @@ def secrets(docs: DataFrame, text_col: str = "text", keep: list[str] | None = No
     """Each row of ``docs`` (columns ``keep``, all by default) with all its
     secrets as spans (kind, start, end in code points, end exclusive) by start,
     then kind. Matches of one kind never overlap; those of different kinds may.
-    Null and empty texts have none."""
+    Null and empty texts have none. A column named ``spans_col`` gives way."""
 
     def run(part: pa.RecordBatch) -> dict:
         a = keyword_automaton()
@@ -209,13 +247,14 @@ def redact(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_ch
                     pieces += [data[done:s], f"[{kind}]".encode()]
                 done = max(done, e)
             rows.append(b"".join([*pieces, data[done:]]).decode("utf-8", "surrogateescape") if pieces else None)
-        return {"__clean": rows}
+        return {clean: rows}
 
-    out = map_slices(docs, text_col, run, "__clean string")
-    changed = F.col("__clean").isNotNull()
-    new = {text_col: F.coalesce("__clean", f"`{text_col}`")}
+    clean = fresh("clean", docs.columns)
+    out = map_slices(docs, text_col, run, f"{clean} string")
+    changed = F.col(clean).isNotNull()
+    new = {text_col: F.coalesce(clean, f"`{text_col}`")}
     if size_col in docs.columns:
-        new[size_col] = F.when(changed, F.length("__clean").cast(docs.schema[size_col].dataType)).otherwise(F.col(f"`{size_col}`"))
+        new[size_col] = F.when(changed, F.length(clean).cast(docs.schema[size_col].dataType)).otherwise(F.col(f"`{size_col}`"))
     return out.select(*((new[c] if c in new else F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 

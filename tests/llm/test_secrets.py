@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import re
+import time
 
 from helpers_llm import SMOKE, odd_docs
 from hypothesis import given, settings
@@ -91,3 +92,41 @@ def test_redaction_and_odd_rows(spark):
     clean = redact(spark.createDataFrame(rows, "doc_id long, text string, n_chars long")).collect()
     assert [tuple(r) for r in clean] == [(1, 'é [assign]" end', 15), (2, "plain", 5), (3, None, None)]
     assert redact(docs.limit(0)).count() == 0
+
+
+OLD_PEM = re.compile(rb"-----BEGIN ((?:[A-Z]+ )?PRIVATE KEY)-----\s*+((?:[A-Za-z][A-Za-z0-9-]*+:[^\n]*+\n)*+)([A-Za-z0-9+/=\s]++)-----END \1-----")
+KEY = base64.b64encode(b"\x30\x03abc")
+BLOCK_PIECES = [b"-----BEGIN PRIVATE KEY-----", b"-----BEGIN RSA PRIVATE KEY-----", b"-----END PRIVATE KEY-----", b"-----END RSA PRIVATE KEY-----", b"\n", b" ", b"A: b", b"Proc-Type: 4", KEY, b"-", b":"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(BLOCK_PIECES), max_size=14).map(b"".join))
+def test_key_blocks_against_one_expression(data):
+    """A block's body is one DER sequence, so a whole match is valid if its body is the key once."""
+    want, reach = [], 0
+    for m in re.finditer(rb"-----BEGIN ", data):
+        if m.start() >= reach and (b := OLD_PEM.match(data, m.start())):
+            reach = b.end()
+            if b"".join(b[3].split()) == KEY:
+                want.append(("pem", b.start(), b.end()))
+    assert [s for s in byte_spans(keyword_automaton(), data) if s[0] == "pem"] == want
+
+
+def test_time_grows_with_the_text():
+    """1 MB of beginnings that lead nowhere; an hour and more when each reads on to the text's end."""
+    size = 1 << 20
+    begin = b"-----BEGIN RSA PRIVATE KEY-----\nA:"
+    bad = [b"eyJ", b"eyJa.", b"eyJ.", b"eyJa.eyJ", begin, b"-----BEGIN ", b"-----BEGIN PRIVATE KEY-----\n", b"password ", b"token=", b"card 4", b"ghp_", b"AKIA"]
+    for piece in bad:
+        began = time.process_time()
+        byte_spans(keyword_automaton(), piece * (size // len(piece)))
+        assert time.process_time() - began < 5, piece
+
+
+def test_columns_with_the_names_used_inside(spark):
+    rows = [(1, "k token = abcdef12", 1, "c", "s", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, __clean string, spans string, __text string")
+    got = redact(docs).collect()
+    assert [tuple(r) for r in got] == [(1, "k [assign]", 10, "c", "s", "t")]
+    r = secrets(docs).collect()[0]
+    assert (r["__clean"], r["__text"], len(r["spans"])) == ("c", "t", 1)
