@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +23,7 @@ RAW = frozenset("script style xmp iframe noembed noframes".split())
 TEXT_ONLY = frozenset("title textarea".split())
 HIDDEN = frozenset(
     "head script style template noscript iframe object canvas audio video datalist title noembed noframes "
-    "meta link base param source track".split()
+    "meta link base param source track rp".split()
 )
 #: what a browser does not draw of a drawing or a formula where it stands
 _UNDRAWN = {
@@ -81,7 +82,10 @@ _TAG = re.compile(
     re.S,
 )
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
-_INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_UNSHOWN = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)", re.I)
+#: inputs whose value is no text on the page
+_TEXTLESS = frozenset("hidden password checkbox radio file image color range".split())
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _RUNS = ("  ", "\t", "\n", "\f", "\r")
 _EMPTY_TAIL = re.compile(r"\n{3,}")
@@ -181,7 +185,8 @@ def parse(source: str) -> Node:
             continue
         tag = m[2].lower()
         if tag == "html":
-            root.attrs.update(_attributes(m[3]))
+            for name, value in _attributes(m[3]).items():
+                root.attrs.setdefault(name, value)
             continue
         inside = foreign()
         while inside and tag in _BREAKOUT:
@@ -236,6 +241,7 @@ def _open(stack: list[Node], node: Node) -> None:
 
 
 def visible(node: Node) -> bool:
+    """Whether the element takes part in the layout; whether its text shows is up to ``hushed``."""
     a = node.attrs
     if node.tag in HIDDEN or "hidden" in a:
         return False
@@ -243,7 +249,14 @@ def visible(node: Node) -> bool:
         return False
     if node.tag == "input" and a.get("type", "").lower() == "hidden":
         return False
-    return not ("style" in a and _INVISIBLE.search(a["style"]))
+    return not ("style" in a and _UNSHOWN.search(a["style"]))
+
+
+def hushed(node: Node, before: bool) -> bool:
+    """Whether the text of an element is hidden; what its parent has holds unless it says otherwise."""
+    if "style" in node.attrs and (found := _VISIBILITY.findall(node.attrs["style"])):
+        return found[-1].lower() != "visible"
+    return before
 
 
 class _Page:
@@ -255,6 +268,7 @@ class _Page:
         self.space = False
         self.prefix = ""  # indent of the current block
         self.marker = ""  # list marker that the next text starts with
+        self.hush = False  # inside an element of hidden visibility
 
     def owe(self, n: int) -> None:
         self.space = False
@@ -272,6 +286,8 @@ class _Page:
         self.out.append(lead + s)
 
     def inline(self, s: str) -> None:
+        if self.hush:
+            return
         if any(x in s for x in _RUNS):  # most texts hold single spaces only
             s = _SPACE.sub(" ", s)
         if s == " ":
@@ -284,6 +300,8 @@ class _Page:
 
     def kept(self, s: str) -> None:
         """Preformatted text: its line ends stand."""
+        if self.hush:
+            return
         for i, line in enumerate(s.split("\n")):
             if i:
                 self.gap += 1
@@ -300,30 +318,33 @@ def _span(cell: Node, name: str) -> int:
     return min(max(int(v), 1), 100) if v.isascii() and v.isdigit() and len(v) < 4 else 1
 
 
-def _parts(table: Node):
-    """(is a row, node) of all rows of a table and of all else that stands in it."""
+def _parts(table: Node, hush: bool):
+    """(is a row, node, whether its text is hidden) of all rows of a table and of all else that stands in it."""
     for kid in table.kids:
         if isinstance(kid, str):
             if kid.strip():
-                yield False, kid
+                yield False, kid, hush
         elif visible(kid):
             if kid.tag in ("thead", "tbody", "tfoot", "colgroup"):
-                yield from _parts(kid)
+                yield from _parts(kid, hushed(kid, hush))
             else:
-                yield kid.tag == "tr", kid
+                yield kid.tag == "tr", kid, hushed(kid, hush) if kid.tag == "tr" else hush
 
 
 def _render_table(node: Node, page: _Page) -> None:
-    parts = list(_parts(node))
-    for is_row, kid in parts:
+    before = page.hush
+    parts = list(_parts(node, before))
+    for is_row, kid, hush in parts:
         if not is_row:
+            page.hush = hush
             _render(kid, page)
             if isinstance(kid, Node):
                 page.owe(1)
     rows, ends = [], []
     busy: dict[int, int] = {}  # column -> rows still covered from above
-    for tr in (kid for is_row, kid in parts if is_row):
+    for tr, hush in ((kid, hush) for is_row, kid, hush in parts if is_row):
         line, col = {}, 0
+        page.hush = hush
         for kid in tr.kids:
             if isinstance(kid, str) or kid.tag not in ("td", "th"):
                 if isinstance(kid, Node) or kid.strip():
@@ -334,6 +355,7 @@ def _render_table(node: Node, page: _Page) -> None:
             while busy.get(col, 0) > 0:
                 col += 1
             own = _Page()
+            own.hush = hushed(kid, hush)
             for x in kid.kids:
                 _render(x, own)
             wide, high = _span(kid, "colspan"), _span(kid, "rowspan")
@@ -344,6 +366,7 @@ def _render_table(node: Node, page: _Page) -> None:
         busy = {c: n - 1 for c, n in busy.items() if n > 1}
         rows.append(line)
         ends.append(col)
+    page.hush = before
     width: dict[int, int] = {}
     for line in rows:
         for c, cell in line.items():
@@ -376,7 +399,7 @@ def _render_svg(node: Node, page: _Page) -> None:
 
 
 def _render_select(node: Node, page: _Page) -> None:
-    """The chosen options; all of a list that shows several rows."""
+    """The chosen option, which is the first that can be chosen if none is marked; all of a list that shows several rows."""
     options = []
 
     def walk(of: Node) -> None:
@@ -390,7 +413,7 @@ def _render_select(node: Node, page: _Page) -> None:
     walk(node)
     size = node.attrs.get("size", "")
     if "multiple" not in node.attrs and not (size.isascii() and size.isdigit() and int(size[:9]) > 1):
-        options = [x for x in options if "selected" in x.attrs][-1:]
+        options = [x for x in options if "selected" in x.attrs][-1:] or [x for x in options if "disabled" not in x.attrs][:1]
     for x in options:
         page.space = bool(page.out)
         for kid in x.kids:
@@ -408,21 +431,28 @@ def _render(node, page: _Page, pre: bool = False, depth: int = 0) -> None:
     if not visible(node):
         return
     tag = node.tag
+    hush_before = page.hush
+    if "style" in node.attrs:
+        page.hush = hushed(node, hush_before)
     if tag == "br":
         page.space = False
         if page.out:
             page.gap += 1
+        page.hush = hush_before
         return
     if tag == "wbr":
+        page.hush = hush_before
         return
     if tag == "img":
         if node.attrs.get("alt", "").strip():
             page.inline(node.attrs["alt"])
+        page.hush = hush_before
         return
     if tag == "input":
         kind = node.attrs.get("type", "text").lower()
-        if kind in ("submit", "button", "reset") and node.attrs.get("value", "").strip():
+        if kind not in _TEXTLESS and node.attrs.get("value", "").strip():
             page.inline(node.attrs["value"])
+        page.hush = hush_before
         return
     block = tag in BLOCK
     if block:
@@ -463,35 +493,64 @@ def _render(node, page: _Page, pre: bool = False, depth: int = 0) -> None:
     else:
         pre = pre or tag in ("pre", "xmp", "listing", "textarea")
         kids = node.kids
+        if tag == "details" and "open" not in node.attrs:  # closed: its summary alone
+            kids = [x for x in kids if isinstance(x, Node) and x.tag == "summary"][:1]
         if pre and kids and isinstance(kids[0], str) and kids[0].startswith("\n"):
             kids = [kids[0][1:], *kids[1:]]
         for kid in kids:
             _render(kid, page, pre, depth)
         if tag in ("td", "th"):
             page.space = True
+    page.hush = hush_before
     if block:
         page.owe(2 if tag in SPACED and not (tag in ("ul", "ol") and depth) else 1)
 
 
-def render(source: str) -> str:
-    """All visible text of a page; at most one empty line between blocks."""
+def tree(source: str) -> Node:
+    """``parse`` of a page whose line ends are made one character each."""
+    return parse(source.replace("\r\n", "\n").replace("\r", "\n"))
+
+
+def shown(root: Node) -> str:
+    """All visible text of a tree; at most one empty line between blocks."""
     page = _Page()
-    for kid in parse(source.replace("\r\n", "\n").replace("\r", "\n")).kids:
+    for kid in root.kids:
         _render(kid, page)
     return "".join(page.out)
 
 
-def title_of(source: str) -> str:
-    m = re.search(r"<title[^>]*>(.*?)(?:</title|\Z)", source, re.I | re.S)
-    return _SPACE.sub(" ", html.unescape(m[1])).strip() if m else ""
+def render(source: str) -> str:
+    """All visible text of a page."""
+    return shown(tree(source))
+
+
+def nodes(root: Node, *tags: str) -> Iterator[Node]:
+    """The HTML elements of some names, in the order of the page; not those of drawings, formulas and templates."""
+    left = root.kids[::-1]
+    while left:
+        node = left.pop()
+        if isinstance(node, str):
+            continue
+        if node.tag in tags:
+            yield node
+        if node.tag not in ("svg", "math", "template"):
+            left += node.kids[::-1]
+
+
+def title_in(root: Node) -> str:
+    for node in nodes(root, "title"):
+        return _SPACE.sub(" ", "".join(k for k in node.kids if isinstance(k, str))).strip()
+    return ""
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None, text_col: str = "rendered") -> DataFrame:
-    """Each row of ``pages`` (columns ``keep``, all by default) with its title
-    and its visible text. A null or empty page has empty ones."""
+    """Each row of ``pages`` (columns ``keep``, all by default; those named like
+    an added one give way) with its title and its visible text. A null or empty
+    page has empty ones."""
 
     def run(part: pa.RecordBatch) -> dict:
-        sources = [t.decode("utf-8", "surrogateescape") for t in texts_of(part, "__text")]
-        return {"title": list(map(title_of, sources)), text_col: list(map(render, sources))}
+        trees = (tree(t.decode("utf-8", "surrogateescape")) for t in texts_of(part, "__text"))
+        titles, texts = zip(*((title_in(x), shown(x)) for x in trees), strict=True)
+        return {"title": list(titles), text_col: list(texts)}
 
     return map_slices(pages, html_col, run, f"title string, `{text_col}` string", keep)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import html
 import re
 import uuid
 import zlib
@@ -22,13 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.common import map_slices, texts_of
-from sparkmarts.llm.html_render import render, title_of
+from sparkmarts.llm.html_render import Node, nodes, shown, title_in, tree
 
 VERSION = b"WARC/1.1"
 DATE = "2020-01-01T00:00:00Z"
 _SPACE_ID = uuid.uuid5(uuid.NAMESPACE_URL, "urn:x-derived-records")
-_HREF = re.compile(r"<a\s[^>]*?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_LANG = re.compile(r"<html[^>]*?\slang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
+_LANG = re.compile(r"\s*([A-Za-z][A-Za-z0-9-]*)")
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 ROW = (
     "array<struct<record_type:string,record_id:string,refers_to:string,target_uri:string,payload_digest:string,"
@@ -176,11 +174,16 @@ def as_text(body: bytes, kind: str) -> str:
         return body.decode("utf-8", "replace")
 
 
-def links(page: str, base: str) -> Iterator[str]:
-    """Distinct absolute link targets, in the order of the page."""
+def links(page: Node, base: str) -> Iterator[str]:
+    """Distinct absolute targets of a tree's anchors, in the order of the page;
+    relative ones start from the page's first base element, if it has one."""
+    bases = (n.attrs["href"].strip() for n in nodes(page, "base") if "href" in n.attrs)
+    try:
+        base = urljoin(base, next(bases, ""))
+    except ValueError:
+        pass
     seen = set()
-    for href in dict.fromkeys(a or b or c for a, b, c in _HREF.findall(page)):
-        raw = html.unescape(href).strip()
+    for raw in dict.fromkeys(n.attrs["href"].strip() for n in nodes(page, "a") if "href" in n.attrs):
         try:
             target = urldefrag(urljoin(base, raw))[0] if raw else ""
         except ValueError:
@@ -220,11 +223,12 @@ def derive(data: bytes) -> list[dict]:
     fields += [(f"source-{k.lower()}", v) for k, v in headers]
     fields += [(f"http-header-{k.lower()}", v) for k, v in http]
     if markup:
-        lang = _LANG.search(page)
-        fields += [("title", title_of(page))] + ([("language", lang[1])] if lang else [])
-        fields += [("outlink", x) for x in links(page, uri)]
+        root = tree(page)
+        lang = _LANG.match(root.attrs.get("lang", ""))
+        fields += [("title", title_in(root))] + ([("language", lang[1])] if lang else [])
+        fields += [("outlink", x) for x in links(root, uri)]
     fields_block = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields).encode()
-    text = (render(page) if markup else page).encode("utf-8", "replace")
+    text = (shown(root) if markup else page).encode("utf-8", "replace")
     out = []
     for name, mime, content in (("metadata", "application/warc-fields", fields_block), ("conversion", "text/plain; charset=utf-8", text)):
         if name == "conversion" and problem and not body:

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from helpers_llm import SMOKE
@@ -7,8 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sparkmarts.llm.common import table
-from sparkmarts.llm.html_render import extract, render
+from sparkmarts.llm.html_render import extract, render, shown, title_in, tree
 from sparkmarts.llm.queries import op4_html
+from sparkmarts.llm.warc_derive import links
 
 CASES = [
     ("<p>One<p>Two <b>bo</b>ld", "One\n\nTwo bold"),
@@ -28,7 +30,7 @@ CASES = [
     ("one</p>two<textarea> a\n b</textarea>", "one\n\ntwo a\n b"),
     ("a < b and c <1", "a < b and c <1"),
     ("<blockquote>q<p>r</blockquote>s", "  q\n\n  r\n\ns"),
-    ("<select><option>o</select><input type=submit value=Go><input value=no>", "Go"),
+    ("<select><option>o<option>p</select><input type=submit value=Go><input value=yes><input type=password value=no>", "o Goyes"),
     ("", ""),
 ]
 
@@ -161,3 +163,37 @@ def test_odd_rows(spark):
     got = {r.page_id: r for r in extract(df, keep=["page_id"]).collect()}
     assert (got[1].rendered, got[1].title, got[2].rendered, got[None].rendered) == ("", "", "", "x")
     assert extract(df.limit(0)).count() == 0
+
+
+SHOWN = [
+    ("<div style='visibility:hidden'>no<p style='visibility: visible'>yes</p>no</div>z", "yes\n\nz"),
+    ("<p style='visibility:hidden'>no <b>no</b></p>y", "y"),
+    ("<table><tr style='visibility:hidden'><td>a<td style='visibility:visible'>b<tr><td>c<td>d</table>", "  | b\nc | d"),
+    ("<p style='backface-visibility: hidden'>y</p>", "y"),
+    ("<ruby>kan<rp>(</rp><rt>ji</rt><rp>)</rp></ruby>", "kanji"),
+    ("<details><summary>s</summary>no<p>no</details><details open><summary>t</summary>yes</details>", "s\nt\nyes"),
+    ("<select><option disabled>a<option>b<option>c</select>", "b"),
+    ("<select><option>a<option selected>b</select>", "b"),
+]
+
+
+@pytest.mark.parametrize(("source", "text"), SHOWN)
+def test_what_a_browser_shows(source, text):
+    assert render(source) == text
+
+
+def test_titles_come_from_the_tree():
+    title = lambda s: title_in(tree(s))
+    assert title("<!-- <title>bad</title> --><head><title> good\n one &amp; two</title>") == "good one & two"
+    assert title("<body><svg><title>bad</title></svg><template><title>bad</title></template><title>late</title>") == "late"
+    assert title("<p>none") == ""
+
+
+def test_time_grows_with_the_page():
+    for piece in ("<html ", "<a ", "<title", "<title>", "<!--", "<a href='", "<p style='visibility:hidden'>", "<details>", "<select><option>"):
+        source = piece * ((1 << 18) // len(piece))
+        for page in (source, source + ">"):
+            began = time.process_time()
+            root = tree(page)
+            title_in(root), shown(root), list(links(root, "http://x.org/"))
+            assert time.process_time() - began < 8, piece
