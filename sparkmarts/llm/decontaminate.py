@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmarts.llm.common import WORD_BYTES, map_slices, materialise, texts_of
+from sparkmarts.llm.common import WORD_BYTES, fresh, map_slices, materialise, texts_of
 
 WINDOW = 10
 #: most bytes of test text in one automaton (about 300 bytes of memory each); a
@@ -116,27 +116,29 @@ def contamination(
     n_words, n_hit (words inside any window), and spans: for each item the runs
     of words that its windows cover, with offsets in the original text.
     Null and empty texts have no words; null and empty items no windows. Equal
-    windows of several items hit all of them; repeated items count once."""
+    windows of several items hit all of them; repeated items count once. Columns
+    of ``docs`` named like an added one give way."""
     spark = docs.sparkSession
     c_n, c_hit, c_spans = (f"{prefix}{x}" for x in ("n_words", "n_hit", "spans"))
     keep = list(docs.columns) if keep is None else keep
     passes, items_of = benchmark_passes(benchmark, item_id_col, item_text_col, pass_bytes)
-    out = docs
+    own = fresh("found", [*docs.columns, c_n, c_hit, c_spans])
+    key = fresh("key", [*docs.columns, own])
+    earlier = None
     for k in range(passes):
         last = k == passes - 1
         shared = spark.sparkContext.broadcast(items_of(k))
-        earlier = k > 0
         built: list[ahocorasick.Automaton] = []
 
-        def run(part: pa.RecordBatch, shared=shared, earlier=earlier, built=built) -> dict:
+        def run(part: pa.RecordBatch, shared=shared, earlier=last and earlier is not None, built=built) -> dict:
             if not built:
                 built.append(automaton(shared.value, width))
             n_words, n_hit, spans = [], [], []
-            before = part.column(part.schema.names.index("__spans")).to_pylist() if earlier else None
+            before = part.column(part.schema.names.index(own)).to_pylist() if earlier else None
             for i, text in enumerate(texts_of(part, "__text")):
                 words = normalise(text)
                 hits = occurrences(built[0], words)
-                if before:
+                if before and before[i]:
                     hits += [(r["first_word"], r["last_word"] - r["first_word"] + 1, (r["item_id"],)) for r in before[i]]
                 rows = original_spans(text, item_spans(hits))
                 reach, hit = -1, 0
@@ -148,16 +150,20 @@ def contamination(
                 spans.append(rows)
             return {c_n: n_words, c_hit: n_hit, c_spans: spans}
 
-        carry = keep if last else list(dict.fromkeys([*keep, text_col]))
-        if earlier:
-            out = out.withColumnRenamed(c_spans, "__spans").drop(c_n, c_hit)
-            carry = [*carry, "__spans"]
-        out = map_slices(out, text_col, run, f"`{c_n}` long, `{c_hit}` long, `{c_spans}` {SPAN}", keep=carry)
-        out = out.drop("__spans")
+        added = f"`{c_n}` long, `{c_hit}` long, `{c_spans}` {SPAN}"
         if not last:
-            out = materialise(out, "scan")
+            # what a text holds follows from the text alone: only texts with hits are written, by their digest
+            texts = docs.select(F.col(f"`{text_col}`").alias("t"))
+            hit = map_slices(texts, "t", run, added, keep=["t"]).where(F.col(f"`{c_hit}`") > 0)
+            hit = hit.select(F.sha2("t", 256).alias(key), F.col(f"`{c_spans}`").alias(own)).dropDuplicates([key])
+            hit = materialise(hit, "hits")
             shared.destroy()
-    return out
+            earlier = hit if earlier is None else earlier.unionByName(hit)
+        elif earlier is None:
+            return map_slices(docs, text_col, run, added, keep=keep)
+    by_text = earlier.groupBy(key).agg(F.flatten(F.collect_list(own)).alias(own))
+    marked = docs.withColumn(key, F.sha2(F.col(f"`{text_col}`"), 256)).join(by_text, key, "left")
+    return map_slices(marked, text_col, run, added, keep=[*keep, own]).drop(own)
 
 
 def items_digest(spans):
@@ -168,6 +174,9 @@ def items_digest(spans):
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no window of the benchmark occurs."""
-    found = contamination(docs, benchmark, prefix="__")
-    return found.where("__n_hit = 0").select(*(found[f"`{c}`"] for c in docs.columns))
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    found = contamination(docs, benchmark, prefix=prefix)
+    return found.where(f"{prefix}n_hit = 0").select(*(F.col(f"`{c}`") for c in docs.columns))
 

@@ -96,3 +96,28 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert kept.count() == docs.count() - 3
     assert remove_contaminated(docs.limit(0), items).count() == 0
+
+
+def test_passes_write_only_texts_with_hits(spark, monkeypatch):
+    """Ten passes take less room than the documents; columns with the names used inside stay."""
+    import sparkmarts.llm.decontaminate as module
+
+    items = spark.createDataFrame([(k, f"k{k} l m n o p q r s t") for k in range(20)], "item_id long, text string")
+    names = "doc_id long, text string, __spans string, spans string, __n_hit long, __key string, __found string"
+    rows = [(i, f"only words of its own {i}", "s", "p", 7, "k", "f") for i in range(500)]
+    rows += [(1000 + k, f"x k{k} l m n o p q r s t k{k + 1} l m n o p q r s t", "s", "p", 7, "k", "f") for k in range(19)]
+    rows += [(2000, None, "s", "p", 7, "k", "f"), *[(3000, "x k3 l m n o p q r s t", "s", "p", 7, "k", "f")] * 50]
+    docs = spark.createDataFrame(rows, names)
+    written = []
+    plain = module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, name: written.append(plain(df, name)) or written[-1])
+    got = contamination(docs, items, pass_bytes=40).collect()
+    assert len(written) >= 9 and sum(t.count() for t in written) <= 2 * 20
+    assert len(got) == len(rows)
+    for r in got:
+        want = {r.doc_id - 1000, r.doc_id - 999} if 1000 <= r.doc_id < 2000 else {3} if r.doc_id == 3000 else set()
+        assert {int(s.item_id) for s in r.spans} == want
+        assert (r["__spans"], r["__n_hit"], r["__key"], r["__found"]) == ("s", 7, "k", "f")
+    kept = remove_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(rows[:500] + [rows[519]])
