@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmarts.llm.common import map_slices, materialise, texts_of
+from sparkmarts.llm.common import fresh, map_slices, materialise, texts_of
 
 SHINGLE = 4
 RADIUS = 4
@@ -321,13 +321,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """One row of each component, columns unchanged: that of the smallest id
     (null ids come last; of rows equal in id and text, one stays)."""
     # the text's hash tells rows of one id apart; equal ones are interchangeable
-    marked = docs.withColumns({"__h": F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
+    own = fresh("h", docs.columns)
+    marked = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
     shingle = options.pop("shingle", SHINGLE)
-    fps = materialise(fingerprints(marked, id_col, text_col, shingle, extra=["__h"]), "fps")
+    fps = materialise(fingerprints(marked, id_col, text_col, shingle, extra=[own]), "fps")
     of_fp = materialise(fp_components(fps, id_col, **options), "components")
     first = fps.join(of_fp, "fp").groupBy("root").agg(
-        F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("__id"), "__h")).alias("k")
+        F.min(F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.col(own).alias("h"))).alias("k")
     )
-    keepers = first.select(F.col("k.__id").alias("__kid"), F.col("k.__h").alias("__kh"))
-    kept = marked.join(keepers, F.col(id_col).eqNullSafe(F.col("__kid")) & (F.col("__h") == F.col("__kh")), "left_semi")
-    return kept.dropDuplicates([id_col, "__h"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    kid, kh = fresh("kid", marked.columns), fresh("kh", marked.columns)
+    keepers = first.select(F.col("k.i").alias(kid), F.col("k.h").alias(kh))
+    kept = marked.join(keepers, F.col(id_col).eqNullSafe(F.col(kid)) & (F.col(own) == F.col(kh)), "left_semi")
+    return kept.dropDuplicates([id_col, own]).select(*(F.col(f"`{c}`") for c in docs.columns))

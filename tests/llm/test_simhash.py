@@ -122,3 +122,12 @@ def test_odd_rows(spark):
     assert keep_one(docs.limit(0)).count() == 0
     nulls = docs.selectExpr("cast(null as long) doc_id", "text").where("text = 'same text here'")
     assert keep_one(nulls).count() == 1 and simhash_groups(nulls).first().component_id is None
+
+
+def test_columns_with_the_names_used_inside(spark):
+    names = "doc_id long, text string, __h long, ___h long, fp long, root long, __kid long, __kh long, component_id long"
+    rows = [(i, "one two three four five" if i % 2 else f"text {i} of its own words", 10 + i, 2, 3, 4, 5, 6, 7) for i in range(6)]
+    docs = spark.createDataFrame(rows, names)
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.collect()) == [r for r in rows if r[0] in (0, 1, 2, 4)]
