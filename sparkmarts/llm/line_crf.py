@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.chain import Pass, layout
-from sparkmarts.llm.common import column_of, map_slices, remainder, texts_of
+from sparkmarts.llm.common import fresh, map_slices, materialise, remainder, texts_of
 
 THRESHOLD = 0.7
-#: bounds of the training sample: documents, and lines of one document
+#: bounds of the training sample: documents, lines of one document, and lines of
+#: all (about 1,500 bytes of the driver's memory each while the field is fitted)
 TRAIN_DOCS = 6000
 TRAIN_LINES = 4000
+ALL_LINES = 200_000
 FOLDS, HELD_OUT = 4, 2
 
 #: byte classes whose share of a line is a feature
@@ -180,12 +182,15 @@ def train(
     label_col: str = "quality",
     max_docs: int = TRAIN_DOCS,
     max_lines: int = TRAIN_LINES,
+    all_lines: int = ALL_LINES,
 ) -> Crf:
     """Fit on a sample of labelled documents outside the held-out fold: the
     ``max_docs`` labels first in the order of a hash of the id, without
-    documents of over ``max_lines`` lines. Ids whose labels are null or
-    contradict one another are left out. Only the sample's line features reach
-    the driver (max_docs x max_lines rows at most)."""
+    documents of over ``max_lines`` lines, as far as they have ``all_lines``
+    lines together at most. Ids whose labels are null or contradict one another
+    are left out; of several texts of one id the one with the fewest lines counts.
+    Only the sample's line features reach the driver. Without a sample row of
+    each label every score is (good rows + 1) / (rows + 2)."""
     known = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (remainder(id_col, FOLDS) != HELD_OUT))
         .groupBy(F.col(id_col).alias("__id"))
@@ -199,14 +204,21 @@ def train(
 
     def run(part: pa.RecordBatch) -> dict:
         texts = texts_of(part, "__text")
-        keep = [t.count(b"\n") < max_lines for t in texts]
-        rows = [line_features([t])[0].tobytes() if k else None for t, k in zip(texts, keep, strict=True)]
-        return {"x": rows}
-
-    got = map_slices(sample, "__t", run, "x binary", keep=["__id", "__y"]).where("x is not null").toArrow()
+        per_text = [t.count(b"\n") + 1 for t in texts]
+        rows = [line_features([t])[0].tobytes() if n <= max_lines else None for t, n in zip(texts, per_text, strict=True)]
+        return {"n": per_text, "x": rows}
+
+    found = map_slices(sample, "__t", run, "n int, x binary", keep=["__id", "__y"]).where("x is not null")
+    one = found.groupBy("__id", "__y").agg(F.min(F.struct("n", "x")).alias("k"))
+    feats = materialise(one.select("__id", "__y", "k.n", "k.x", F.xxhash64("__id").alias("place")), "features")
+    # one row for each document of the sample
+    sizes = feats.groupBy("place").agg(F.sum("n").alias("n")).orderBy("place").toArrow()
+    fits = np.cumsum(sizes.column("n").to_numpy()) <= all_lines
+    until = int(sizes.column("place").to_numpy()[fits][-1]) if fits.any() else None
+    got = feats.where(F.col("place") <= until if until is not None else F.lit(False)).toArrow()
     y = got.column("__y").to_numpy()
     if len(y) == 0 or y.min() == y.max():
-        prior = (float(y.sum()) + 1) / (len(y) + 1)
+        prior = (float(y.sum()) + 1) / (len(y) + 2)
         return Crf(None, np.zeros((2, 2)), np.zeros(0), np.zeros(0), prior)
     order = np.argsort(got.column("__id").to_numpy(), kind="stable")
     parts = got.column("x").to_pylist()
@@ -218,7 +230,8 @@ def quality_scores(
     docs: DataFrame, model: Crf, text_col: str = "text", keep: list[str] | None = None, score_col: str = "score"
 ) -> DataFrame:
     """Each row of ``docs`` with its score (0 to 1) added; ``keep`` names the
-    columns to carry (all by default). Null and empty texts are one empty line."""
+    columns to carry (all by default; one named ``score_col`` gives way). Null
+    and empty texts are one empty line."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(part: pa.RecordBatch) -> dict:
@@ -229,5 +242,6 @@ def quality_scores(
 
 def accept(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, columns unchanged."""
-    scored = quality_scores(docs, train(docs, labels), score_col="__score")
-    return scored.where(F.col("__score") >= threshold).select(*(scored[f"`{c}`"] for c in docs.columns))
+    score = fresh("score", docs.columns)
+    scored = quality_scores(docs, train(docs, labels), score_col=score)
+    return scored.where(F.col(score) >= threshold).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -75,8 +75,22 @@ def test_odd_rows(spark):
     scored = quality_scores(docs, model, score_col="own_score").collect()
     assert len(scored) == docs.count() and all(0 <= r.own_score <= 1 for r in scored)
     one_label = train(docs, labels.where("quality = 1"))
-    assert one_label.node is None and one_label.prior == 1.0
-    assert accept(docs, labels.limit(0)).count() == docs.count()
+    # (good + 1) / (rows + 2)
+    assert one_label.node is None and 0.5 < one_label.prior < 1.0
+    none = train(docs, labels.limit(0))
+    assert none.node is None and none.prior == 0.5
+    assert accept(docs, labels.limit(0)).count() == 0  # nothing speaks for any document
     assert accept(docs, labels).columns == docs.columns
     assert accept(docs.limit(0), labels).count() == 0
     assert math.isclose(train(docs, labels.where("quality = 0")).prior, 1 / (1 + 2), abs_tol=0.2)
+
+
+def test_the_sample_is_bounded_in_lines(spark):
+    """Documents in the order of the hash, as far as their lines fit; a repeated id counts once."""
+    docs = table(spark, SF, "documents")
+    labels = table(spark, SF, "labels")
+    few = train(docs, labels, all_lines=400)
+    again = train(docs.unionByName(docs), labels, all_lines=400)
+    assert np.array_equal(few.node, again.node)
+    assert not np.array_equal(few.node, train(docs, labels).node)
+    assert train(docs, labels, all_lines=0).prior == 0.5
