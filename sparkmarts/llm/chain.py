@@ -113,14 +113,15 @@ class Pass:
 
     def by_symbol(self, symbols: np.ndarray, n: int, piece: int = 1 << 17) -> np.ndarray:
         """Marginals summed per symbol (n x states); ``symbols`` by place."""
+        # a symbol's states lie together: one line of the cache for each item of a step
         out = np.zeros(n * self.states)
-        shift = (np.arange(self.states) * n)[:, None]
+        first, shift = symbols * self.states, np.arange(self.states)[:, None]
         offset = self.lay.offset.tolist()
         keys, since = [], 0
         for t in range(len(self.lay.running)):
-            keys.append((symbols[offset[t] : offset[t + 1]] + shift).ravel())
+            keys.append((first[offset[t] : offset[t + 1]] + shift).ravel())
             if offset[t + 1] - since >= piece or t == len(self.lay.running) - 1:
                 part = self.flat[self.states * since : self.states * offset[t + 1]]
                 out += np.bincount(np.concatenate(keys), part, len(out))
                 keys, since = [], offset[t + 1]
-        return out.reshape(self.states, n).T
+        return out.reshape(n, self.states)
