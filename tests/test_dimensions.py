@@ -42,3 +42,23 @@ def test_default_spine_is_end_exclusive(spark):
 
 def test_empty_range(spark):
     assert dimensions.dim_dates(spark, dt.date(2000, 1, 1), dt.date(2000, 1, 1)).count() == 0
+
+
+def test_pairs_of_a_task_do_not_grow_with_the_table(spark, scratch, monkeypatch):
+    from sparkmarts.functions import joins
+
+    path = scratch("partsupp")
+    rows = spark.range(20_000).selectExpr(
+        "id % 400 AS part_key", "id % 7000 AS supplier_key", "1 AS available_quantity", "CAST(id % 90 AS decimal(12,2)) AS supply_cost"
+    )
+    rows.write.parquet(path)
+    stored = spark.read.parquet(path)
+    plain = {r.part_key: r for r in dimensions.part_supplier_stats(rows).collect()}
+    monkeypatch.setattr(joins, "TASK_BYTES", max(1, joins.leaf_bytes(stored) // 60))
+    stats = dimensions.part_supplier_stats(stored)
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert {r.part_key: r for r in stats.collect()} == plain
+    assert joins.dealt(stored, "part_key").rdd.getNumPartitions() >= 60
+    # rows without a known size are left to the planner
+    assert "REPARTITION" not in joins.dealt(spark.createDataFrame(rows.limit(5).rdd, rows.schema), "part_key")._jdf.queryExecution().executedPlan().toString()
