@@ -87,3 +87,24 @@ def test_rollup_aggregates_before_its_shuffle(spark):
     lines = plan.split("\n")
     exchange = next(i for i, x in enumerate(lines) if "Exchange hashpartitioning(order_key" in x)
     assert any("partial_" in x for x in lines[exchange:]) and "REPARTITION" not in plan
+
+
+def test_prices_are_not_carried_through_the_joins(spark, no_broadcast):
+    wh = Warehouse(spark, SMOKE_DIR, fill_missing=True, coded_nation_names=True)
+    plan = wh.line_items_enriched._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    first_join = next(i for i, x in enumerate(plan) if "Join LeftOuter" in x)
+    assert not any("AS discounted_price" in x or "AS net_price" in x for x in plan[first_join:])
+    assert any("AS net_price" in x for x in plan[:first_join])
+
+
+def test_suppliers_are_broadcast_up_to_a_bound(spark, monkeypatch):
+    size = joins.leaf_bytes(Warehouse(spark, SMOKE_DIR, fill_missing=True).suppliers)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bound, hinted in ((size, True), (size // 64, False)):
+            monkeypatch.setattr(joins, "DEFAULT_SETTINGS", dataclasses.replace(joins.DEFAULT_SETTINGS, reference_max_bytes=bound))
+            wh = Warehouse(spark, SMOKE_DIR, fill_missing=True)
+            plan = wh.line_items_enriched._jdf.queryExecution().optimizedPlan().toString()
+            assert ("supplier_key" in plan) and ("rightHint=(strategy=broadcast)" in next(x for x in plan.split("\n") if "Join LeftOuter" in x)) == hinted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
