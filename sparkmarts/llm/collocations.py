@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmarts.llm.common import column_of, materialise, shuffles_cleared, slices, texts_of
+from sparkmarts.llm.common import column_of, discard, materialise, shuffles_cleared, slices, texts_of
 
 MAX_WORDS = 4
 LEAST = 30
@@ -115,19 +115,21 @@ def _parts(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 # --- R(1) -------------------------------------------------------------------------
 
-_CHUNK = "chunk long, own int, codes binary, size int, langs array<string>, words array<binary>, totals array<long>, n binary"
+_CHUNK = "chunk long, own int, codes binary, size int, langs array<string>, words array<binary>, totals array<long>, n binary, part int"
+#: parts of a stored relation: what the next length extends, and what is only counted
+_KEPT, _COUNTED = 0, 1
 _ENTRIES = "bucket int, chunk long, lang string, words binary, prefix binary, last binary, local binary, n binary"
 
 
 def chunks(docs: DataFrame, text_col: str, lang_col: str, chunk_bytes: int, context: int) -> DataFrame:
     """Texts packed into chunks by their task: ``codes`` numbers the words in order (0: a break), ``words``
-    has the distinct ones of each language, ``n`` their counts. The first ``own`` codes of a chunk only lead in."""
+    has the distinct ones of each language, ``n`` their counts, in a row (``part``) of their own. The first ``own`` codes of a chunk only lead in."""
     docs = docs.select(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text_col}`").alias("text")
     )
     kinds = pa.schema(
         [("chunk", pa.int64()), ("own", pa.int32()), ("codes", pa.binary()), ("size", pa.int32()), ("langs", pa.list_(pa.string()))]
-        + [("words", pa.list_(pa.binary())), ("totals", pa.list_(pa.int64())), ("n", pa.binary())]
+        + [("words", pa.list_(pa.binary())), ("totals", pa.list_(pa.int64())), ("n", pa.binary()), ("part", pa.int32())]
     )
 
     def packed(chunk: int, own: int, tokens: dict[str, list[pa.Array]]) -> pa.RecordBatch:
@@ -148,8 +150,9 @@ def chunks(docs: DataFrame, text_col: str, lang_col: str, chunk_bytes: int, cont
         flat = np.concatenate(codes)
         n = np.bincount(flat[own:], minlength=1 + size)[1:].astype(np.int32)
         totals = [int(x.sum()) for x in np.split(n.astype(np.int64), ends[:-1])]
-        row = [chunk, own, _pack(flat), size, langs, names, totals, _pack(n)]
-        return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds.types, strict=True)], schema=kinds)
+        kept = {"chunk": chunk, "own": own, "codes": _pack(flat), "size": size, "part": _KEPT}
+        counted = {"chunk": chunk, "langs": langs, "words": names, "totals": totals, "n": _pack(n), "part": _COUNTED}
+        return pa.RecordBatch.from_pylist([kept, counted], schema=kinds)
 
     def run(batches: Iterable[pa.RecordBatch]):
         task = TaskContext.get().partitionId() << _CHUNKS
@@ -198,7 +201,7 @@ def word_entries(state: DataFrame, buckets: int) -> DataFrame:
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY_FIELDS)
 
-    return state.select("chunk", "langs", "words", "n").mapInArrow(run, _ENTRIES)
+    return state.where(F.col("part") == _COUNTED).select("chunk", "langs", "words", "n").mapInArrow(run, _ENTRIES)
 
 
 def _join(words: list[bytes], part: np.ndarray) -> bytes:
@@ -357,23 +360,28 @@ def mine(
     spark = docs.sparkSession
     # a bucket's size is bounded by their number, which follows the entries
     enough = lambda n: max(2 * spark.sparkContext.defaultParallelism, (n or 0) // BUCKET_ENTRIES + 1)
-    state = materialise(chunks(docs, text_col, lang_col, chunk_bytes, max_words - 1), "r1")
+    state = materialise(chunks(docs, text_col, lang_col, chunk_bytes, max_words - 1), "r1", parts="part")
     entries = word_entries(state, enough(state.agg(F.sum("size")).first()[0]))
     found = materialise(frequent(entries, least), "c1")
-    totals = state.select(F.explode(F.arrays_zip("langs", "totals")).alias("t"))
+    totals = state.where(F.col("part") == _COUNTED).select(F.explode(F.arrays_zip("langs", "totals")).alias("t"))
     languages = materialise(totals.groupBy(F.col("t.langs").alias("lang")).agg(F.sum("t.totals").alias("n")), "languages")
+    discard(state, f"part={_COUNTED}")
     first = found.where("name IS NOT NULL").select("name", "lang", F.array("name").alias("ids"), F.col("word").alias("phrase"), "a")
+    first = materialise(first, "phrases1")
     phrases, of_length = first, first
     for k in range(2, max_words + 1):
         # the occurrences to be extended bound the entries of the next length
         buckets = enough(found.agg(F.sum("a")).first()[0])
         fields = ["chunk", "own", "codes", "size"] if k == 2 else [c for c, _ in _STATE_FIELDS]
-        left = (state if k == 2 else state.where("bucket IS NULL")).select(*fields)
+        left = state.where(F.col("part") == _KEPT).select(*fields)
         right = found.where("name IS NULL").select("chunk", "local", "names", "lasts")
         made = left.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(_extension(k, max_words, buckets), _MADE)
-        state = materialise(made, f"r{k}", instead_of=state)
-        entries = state.where("bucket IS NOT NULL").select(*(f.name for f in _ENTRY_FIELDS))
+        made = made.withColumn("part", F.when(F.col("bucket").isNull(), _KEPT).otherwise(_COUNTED))
+        state = materialise(made, f"r{k}", instead_of=state, parts="part")
+        discard(found)
+        entries = state.where(F.col("part") == _COUNTED).select(*(f.name for f in _ENTRY_FIELDS))
         found = materialise(frequent(entries, least), f"c{k}")
+        discard(state, f"part={_COUNTED}")
         here = found.where("name IS NOT NULL").select("name", "prefix", "last", "a")
         starts = of_length.select(F.col("name").alias("prefix"), "lang", F.col("ids").alias("p_ids"), F.col("phrase").alias("p"))
         ends = first.select(F.col("name").alias("last"), F.col("phrase").alias("w"))

@@ -24,20 +24,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str, instead_of: DataFrame | None = None, parts: str | None = None) -> DataFrame:
     """Write to a new folder under the shared work folder and read it back:
     cuts the lineage with files that survive the loss of executors. The folder of
-    ``instead_of``, an earlier table that nothing else reads, is then deleted."""
+    ``instead_of``, an earlier table that nothing else reads, is then deleted. The rows of each
+    value of the column ``parts`` lie apart, so that :func:`discard` can delete them alone."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(parts) if parts else df.write).parquet(path)
     if instead_of is not None:
-        delete_path(spark, instead_of.scratch)
+        discard(instead_of)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out
 
 
+def discard(table: DataFrame, part: str = "") -> None:
+    """Delete a materialised table, or its rows of one part (``column=value``), that nothing reads any more."""
+    delete_path(table.sparkSession, f"{table.scratch}/{part}".rstrip("/"))
+
+
 @contextmanager
 def shuffles_cleared(spark: SparkSession):
     """The shuffle files of a job go at its end, not when the driver next collects garbage."""

@@ -122,3 +122,28 @@ def test_query_on_given_table(spark):
     rows = [(r.text, r.lang) for r in table(spark, SMOKE, "documents").select("text", "lang").collect()]
     got = sorted((tuple(r) for r in op13_collocations(spark, SMOKE).collect()), key=lambda r: (r[0], r[1]))
     assert got == plain(rows)
+
+
+def test_rows_that_are_counted_do_not_stay_on_disk(spark, monkeypatch):
+    import os
+
+    from sparkmarts.llm import collocations as module
+
+    made = {}
+
+    def noted(df, name, **how):
+        held = {n: sum(os.path.getsize(f"{d}/{f}") for d, _, files in os.walk(t.scratch) for f in files if f.endswith(".parquet")) for n, t in made.items()}
+        made[name] = module_materialise(df, name, **how)
+        sizes[name] = held
+        return made[name]
+
+    sizes, module_materialise = {}, module.materialise
+    monkeypatch.setattr(module, "materialise", noted)
+    rows = [("alpha beta gamma delta. alpha beta epsilon", "en")] * 40 + [("uno dos tres", None)] * 40
+    phrases, languages = mine(spark.createDataFrame(rows, "text string, lang string"))
+    assert {(r.phrase, r.a) for r in phrases.collect()} >= {("alpha beta", 80), ("alpha beta gamma delta", 40), ("uno dos tres", 40)}
+    assert {r.lang: r.n for r in languages.collect()} == {"en": 280, "und": 120}
+    for name, gone in (("c2", ("r1", "c1")), ("c3", ("r2", "c2")), ("c4", ("r3", "c3"))):
+        assert not any(sizes[name][x] for x in gone), (name, sizes[name])
+    # of a relation that is extended, only what is extended
+    assert 0 < sizes["r3"]["r2"] < sizes["c2"]["r2"]
