@@ -40,88 +40,118 @@ def layout(lens: np.ndarray) -> Layout:
 #: steps between two scalings; a step's factors are far above 1e-18, so that
 #: neither vector can leave the range of doubles in between
 STRIDE = 16
+#: places whose emissions are fetched together
+PIECE = 1 << 13
 
 
 class Pass:
     """Scaled forward and backward recursion over the sequences of a layout.
 
-    ``emit(a, b)`` gives a new states x items matrix for the places a to b.
-    Each step's block of states x running sequences is contiguous in ``flat``.
+    ``emit(a, b)`` gives a new states x items matrix for the places a to b, best
+    with an item's states side by side, as in ``flat`` (places x states).
     A sequence's vector is scaled to sum 1 at every ``STRIDE``-th step and at
     its end; the same factors scale the backward vectors, so that the
     product of both is a distribution at every step."""
 
     def __init__(self, emit: Callable[[int, int], np.ndarray], lay: Layout, start: np.ndarray, trans: np.ndarray, keep: bool):
         self.emit, self.lay, self.trans, self.states = emit, lay, trans, len(start)
+        offset, running = lay.offset.tolist(), [*lay.running.tolist(), 0]
         # forward vectors, overwritten by the state marginals in backward()
-        self.flat = np.empty(self.states * int(lay.offset[-1])) if keep else None
-        self._factors: dict[int, tuple[int, np.ndarray]] = {}
-        move, ones = np.ascontiguousarray(trans.T), np.ones(self.states)
-        total = np.zeros(len(lay.order))
-        running = [*lay.running.tolist(), 0]
-        offset = lay.offset.tolist()
+        self.flat = flat = np.empty((offset[-1], self.states)) if keep else None
+        ones, total = np.ones(self.states), np.zeros(len(lay.order))
+        ends = np.empty((len(total), self.states))
+        places, factors = [], []
         before = None
-        for t, k in enumerate(running[:-1]):
-            e = emit(offset[t], offset[t + 1])
-            now = self.block(t) if keep else np.empty_like(e)
-            if before is None:
-                np.multiply(e, start[:, None], out=now)
-            else:
-                np.matmul(move, before[:, :k], out=now)
-                now *= e
-            first = 0 if t % STRIDE == STRIDE - 1 else running[t + 1]
-            if first < k:
-                scale = ones @ now[:, first:]
-                factor = 1.0 / scale
-                now[:, first:] *= factor
-                total[first:k] += np.log(scale)
-                if keep:
-                    self._factors[t] = (first, factor)
-            before = now
+        for first, last in self._pieces():
+            emitted, since = emit(offset[first], offset[last]).T, offset[first]
+            for t in range(first, last):
+                k, a, b = running[t], offset[t], offset[t + 1]
+                e = emitted[a - since : b - since]
+                now = flat[a:b] if keep else np.empty((k, self.states))
+                if before is None:
+                    np.multiply(e, start, out=now)
+                else:
+                    np.matmul(before[:k], trans, out=now)
+                    now *= e
+                if t % STRIDE == STRIDE - 1:
+                    scale = now @ ones
+                    factor = 1.0 / scale
+                    now *= factor[:, None]
+                    total[:k] += np.log(scale)
+                    if keep:
+                        places.append(np.arange(a, b))
+                        factors.append(factor)
+                if running[t + 1] < k:
+                    ends[running[t + 1] : k] = now[running[t + 1] :]
+                before = now
+        scale = ends @ ones
+        total += np.log(scale)
+        if keep:
+            at = lay.slot[np.append(lay.begin[1:], len(lay.slot))[lay.order] - 1]
+            flat[at] /= scale[:, None]
+            # a place may have two factors: of its step, then of its end
+            factor = np.ones(offset[-1])
+            for p, f in zip(places, factors, strict=True):
+                factor[p] = f
+            factor[at] /= scale
+            self._scaled = np.unique(np.concatenate([*places, at]))
+            self._factors = factor[self._scaled]
         #: log-likelihood of each sequence
         self.logs = np.empty_like(total)
         self.logs[lay.order] = total
 
+    def _pieces(self) -> list[tuple[int, int]]:
+        """Runs of steps with about ``PIECE`` places, one step at least."""
+        piece = self.lay.offset[:-1] // PIECE
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(piece)]
+        return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+
     def block(self, t: int) -> np.ndarray:
-        a, b = self.lay.offset[t], self.lay.offset[t + 1]
-        return self.flat[self.states * a : self.states * b].reshape(self.states, b - a)
+        """States x running sequences of a step."""
+        return self.flat[self.lay.offset[t] : self.lay.offset[t + 1]].T
 
     def backward(self) -> np.ndarray:
         """The summed pair marginals; afterwards ``flat`` holds the state marginals."""
         pairs = np.zeros((self.states, self.states))
-        offset = self.lay.offset.tolist()
-        beta = None
-        for t in range(len(self.lay.running) - 1, 0, -1):
-            right = self.emit(offset[t], offset[t + 1])
-            if t in self._factors:
-                first, factor = self._factors.pop(t)
-                right[:, first:] *= factor
-            if beta is not None:
-                right[:, : beta.shape[1]] *= beta
-            left = self.block(t - 1)[:, : right.shape[1]]
-            pairs += left @ right.T
-            beta = self.trans @ right
-            left *= beta
+        offset, running = self.lay.offset.tolist(), self.lay.running.tolist()
+        back = np.ascontiguousarray(self.trans.T)
+        beta, later = None, 0
+        for first, last in reversed(self._pieces()):
+            since = offset[first]
+            emitted = self.emit(since, offset[last]).T
+            i, j = np.searchsorted(self._scaled, [since, offset[last]])
+            emitted[self._scaled[i:j] - since] *= self._factors[i:j, None]
+            betas, end = np.empty((len(emitted), self.states)), offset[last]
+            for t in range(last - 1, max(first, 1) - 1, -1):
+                k, a = running[t], offset[t]
+                right = emitted[a - since : a - since + k]
+                if later:
+                    right[:later] *= beta
+                beta, later = np.matmul(right, back, out=betas[a - since : a - since + k]), k
+                # steps of as many sequences lie one after the other, and so do the steps before them
+                same = running[t - 1] == k
+                if same and t > max(first, 1):
+                    continue
+                for b, e, before in ((a, end, a - k),) if same else ((a, a + k, offset[t - 1]), (a + k, end, a)):
+                    left, right = self.flat[before : before + e - b], emitted[b - since : e - since]
+                    pairs += left.T @ right
+                    left *= betas[b - since : e - since]
+                end = a
         return pairs * self.trans
 
     def marginals(self) -> np.ndarray:
         """States x items, in the items' own order."""
-        out = np.empty((self.states, len(self.lay.slot)))
-        for t in range(len(self.lay.running)):
-            out[:, self.lay.offset[t] : self.lay.offset[t + 1]] = self.block(t)
-        return out[:, self.lay.slot]
+        return self.flat[self.lay.slot].T
 
-    def by_symbol(self, symbols: np.ndarray, n: int, piece: int = 1 << 17) -> np.ndarray:
+    def by_symbol(self, symbols: np.ndarray, n: int, piece: int = 250_000) -> np.ndarray:
         """Marginals summed per symbol (n x states); ``symbols`` by place."""
-        # a symbol's states lie together: one line of the cache for each item of a step
-        out = np.zeros(n * self.states)
-        first, shift = symbols * self.states, np.arange(self.states)[:, None]
-        offset = self.lay.offset.tolist()
-        keys, since = [], 0
-        for t in range(len(self.lay.running)):
-            keys.append((first[offset[t] : offset[t + 1]] + shift).ravel())
-            if offset[t + 1] - since >= piece or t == len(self.lay.running) - 1:
-                part = self.flat[self.states * since : self.states * offset[t + 1]]
-                out += np.bincount(np.concatenate(keys), part, len(out))
-                keys, since = [], offset[t + 1]
-        return out.reshape(n, self.states)
+        # one state after the other: its sums of all symbols stay in the cache
+        out, rows = np.zeros((self.states, n)), np.empty((self.states, min(piece, len(symbols))))
+        for a in range(0, len(symbols), piece):
+            some = symbols[a : a + piece]
+            for b in range(0, len(some), PIECE):
+                part = self.flat[a + b : a + min(b + PIECE, len(some))]
+                rows[:, b : b + len(part)] = part.T
+            for sums, row in zip(out, rows, strict=True):
+                sums += np.bincount(some, row[: len(some)], n)
+        return out.T

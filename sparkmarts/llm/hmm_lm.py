@@ -25,13 +25,13 @@ Tokens are whitespace-separated words (A-Z lowered) and one end token per text.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.chain import Pass, layout
-from sparkmarts.llm.common import column_of, materialise, shuffles_cleared, slices, texts_of
+from sparkmarts.llm.common import column_of, materialise, shuffles_cleared, slices
 
 END = b""
 STATES = 8
@@ -52,22 +52,60 @@ CHUNK_BYTES = 16 << 20
 BUCKET_PAIRS = 250_000
 BUCKETS = 256
 #: tokens handled by one batch of the recursions
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 700_000
 _LOG10 = np.log(10.0)
 
 
-def ending_class(word: bytes, classes: int) -> int:
-    """Symbol class of a word without a symbol of its own: a hash of its last
-    three bytes and its length up to four."""
-    return xxhash.xxh32_intdigest(word[-3:] + bytes([min(len(word), 4)])) % classes
+def endings(words: pa.Array) -> tuple[list[tuple[bytes, int]], np.ndarray]:
+    """Distinct (last three bytes, length up to four) of some words, and each word's place among them."""
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    cuts = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    size = np.diff(cuts)
+    key = np.minimum(size, 4) << 24
+    for i in (1, 2, 3):
+        long = size >= i
+        key[long] |= data[cuts[1:][long] - i].astype(np.int64) << 8 * (i - 1)
+    found, at = np.unique(key, return_inverse=True)
+    return [((k & 0xFFFFFF).to_bytes(3, "big")[max(0, 3 - (k >> 24)) :], k >> 24) for k in found.tolist()], at
+
+
+def ending_classes(words: pa.Array, classes: int) -> np.ndarray:
+    """Symbol classes of words without a symbol of their own: a hash of their last
+    three bytes and their length up to four."""
+    found, at = endings(words)
+    return np.array([xxhash.xxh32_intdigest(e + bytes([n])) % classes for e, n in found], np.int32)[at]
+
+
+@lru_cache(1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One for a process: a new one takes ten times as long as what a bucket holds."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def _pack(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+    return _zstd()[0].compress(np.ascontiguousarray(a).tobytes())
 
 
 def _unpack(b: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), kind) if b else np.zeros(0, kind)
+    return np.frombuffer(_zstd()[1].decompress(b), kind) if b else np.zeros(0, kind)
+
+
+def _pack_words(size: np.ndarray, data: np.ndarray) -> bytes:
+    """Words as their lengths and their bytes, one after the other."""
+    low = _pack(size.astype(np.int32))
+    return len(low).to_bytes(4, "little") + low + _pack(data)
+
+
+def _unpack_words(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    cut = 4 + int.from_bytes(b[:4], "little")
+    return _unpack(b[4:cut], np.int32), _unpack(b[cut:], np.uint8)
+
+
+def _words(size: np.ndarray, data: np.ndarray) -> pa.Array:
+    cuts = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
 
 
 #: counts from which shares have more digits, and the units below and from them
@@ -121,10 +159,24 @@ def _unpack_shares(b: bytes, count: np.ndarray, states: int) -> np.ndarray:
 
 _CHUNK = (
     "chunk long, ids array<{id}>, held array<boolean>, lens array<int>, codes binary, cls binary, "
-    "words array<string>, counts array<int>, tokens long"
+    "words binary, counts binary, n_words long, tokens long"
 )
 
 
+def coded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of some texts (first the end token, then by their first
+    place), the texts as numbers of words, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    there = pc.binary_length(split.values).to_numpy() > 0
+    lens = np.diff(np.concatenate([[0], np.cumsum(there)])[split.offsets.to_numpy()]) + 1
+    tokens = split.values.filter(pa.array(there)).dictionary_encode()
+    codes = np.zeros(int(lens.sum()), np.int32)
+    inner = np.ones(len(codes), bool)
+    inner[np.cumsum(lens) - 1] = False
+    codes[inner] = tokens.indices.to_numpy() + 1
+    return pa.concat_arrays([pa.array([END.decode()]), tokens.dictionary]), codes, lens.astype(np.int32)
+
+
 def chunks(docs: DataFrame, id_col: str, text_col: str, held_col: str, classes: int, chunk_bytes: int) -> DataFrame:
     """Texts packed by task: every chunk has its own word list (first the end
     token) and the words' counts in texts that are not held out."""
@@ -134,47 +186,37 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, held_col: str, classes:
     def run(batches: Iterator[pa.RecordBatch]):
         number = TaskContext.get().partitionId() << 32
 
-        def fresh():
-            # a word that is looked up for the first time gets the next number
-            words: defaultdict[bytes, int] = defaultdict()
-            words.default_factory = words.__len__
-            words[END]
-            return words, [], [], [], []
-
-        words, ids, held, lens, codes = fresh()
-        size = 0
-
-        def full():
-            lengths = np.array(lens, np.int32)
-            flat = np.concatenate(codes)
-            train = np.repeat(~np.array(held, bool), lengths)
+        def full(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            ids, held = (pa.concat_arrays([column_of(p, c) for p in parts]) for c in ("__id", "__held"))
+            words, flat, lens = coded(pa.concat_arrays([column_of(p, "__text").cast(pa.string()).fill_null("") for p in parts]))
+            train = np.repeat(~held.to_numpy(zero_copy_only=False), lens)
             counts = np.bincount(flat[train], minlength=len(words)).astype(np.int32)
-            cls = np.array([ending_class(w, classes) for w in words], np.int32)
-            row = [number, ids, held, lens, _planes(flat, np.int32), _pack(cls), pa.array(list(words), pa.binary()).cast(pa.string()), counts, int(train.sum())]
-            arrays = [pa.array([row[0]], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())), pa.array([lens], pa.list_(pa.int32())), pa.array([row[4]], pa.binary()), pa.array([row[5]], pa.binary())]
-            arrays += [pa.ListArray.from_arrays([0, len(words)], row[6]), pa.ListArray.from_arrays([0, len(words)], pa.array(counts)), pa.array([row[8]], pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["chunk", "ids", "held", "lens", "codes", "cls", "words", "counts", "tokens"])
-
-        id_type = None
+            size = pc.binary_length(words).to_numpy()
+            data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+            row = {
+                "chunk": pa.array([number], pa.int64()), "ids": pa.ListArray.from_arrays([0, len(ids)], ids),
+                "held": pa.ListArray.from_arrays([0, len(held)], held), "lens": pa.ListArray.from_arrays([0, len(lens)], pa.array(lens)),
+                "codes": pa.array([_planes(flat, np.int32)], pa.binary()), "cls": pa.array([_pack(ending_classes(words, classes))], pa.binary()),
+                "words": pa.array([_pack_words(size, data[: int(size.sum())])], pa.binary()), "counts": pa.array([_pack(counts)], pa.binary()),
+                "n_words": pa.array([len(words)], pa.int64()), "tokens": pa.array([int(train.sum())], pa.int64()),
+            }
+            return pa.RecordBatch.from_pydict(row)
+
+        parts, size = [], 0
         for batch in slices(batches, "__text", chunk_bytes // 4):
-            id_type = batch.schema.field("__id").type
-            own_ids = column_of(batch, "__id").to_pylist()
-            own_held = column_of(batch, "__held").to_pylist()
-            for i, text in enumerate(texts_of(batch, "__text")):
-                if size and size + len(text) > chunk_bytes:
-                    yield full()
+            since = 0
+            for i, n in enumerate(pc.fill_null(pc.binary_length(column_of(batch, "__text")), 0).to_pylist()):
+                if size and size + n > chunk_bytes:
+                    yield full([*parts, batch.slice(since, i - since)])
                     number += 1
-                    words, ids, held, lens, codes = fresh()
-                    size = 0
-                tokens = text.lower().split()
-                tokens.append(END)
-                codes.append(np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)))
-                ids.append(own_ids[i])
-                held.append(bool(own_held[i]))
-                lens.append(len(tokens))
-                size += len(text) + 64
-        if ids:
-            yield full()
+                    parts, size, since = [], 0, i
+                    pa.default_memory_pool().release_unused()
+                size += n + 64
+            parts.append(batch.slice(since))
+        if size:
+            yield full(parts)
+        parts.clear()
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, _CHUNK.format(id=kind))
 
@@ -185,19 +227,42 @@ def with_counts(packed: DataFrame, least: int, buckets: int, states: int) -> Dat
     words counted ``least`` times or more, ordered by bucket and rank: place
     in the chunk (``own``), rank in the bucket, first leaning to the states; and
     how many there are in each bucket (``sizes``)."""
-    rows = packed.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("pos", "e")).select(
-        "chunk", "pos", "e.words", "e.counts", F.expr(f"cast(pmod(xxhash64(e.words), {buckets}) as int)").alias("bucket")
-    )
+
+    def deal(batches: Iterator[pa.RecordBatch]):
+        """A row for each bucket that has words of a chunk."""
+        for row in _rows(batches):
+            words, counts = _words(*_unpack_words(row["words"])), _unpack(row["counts"], np.int32)
+            bucket = np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words)) % np.uint64(buckets)
+            pos = np.argsort(bucket, kind="stable").astype(np.int32)
+            bucket, counts = bucket[pos].astype(np.int32), counts[pos]
+            words = words.take(pa.array(pos))
+            size = pc.binary_length(words).to_numpy()
+            data, end = np.frombuffer(words.buffers()[2] or b"", np.uint8), np.concatenate([[0], np.cumsum(size)])
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            some = list(zip(cuts, cuts[1:], strict=False))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "chunk": pa.array([row["chunk"]] * len(some), pa.int64()),
+                    "bucket": pa.array(bucket[cuts[:-1]]),
+                    "pos": pa.array([_pack(pos[a:b]) for a, b in some], pa.binary()),
+                    "words": pa.array([_pack_words(size[a:b], data[end[a] : end[b]]) for a, b in some], pa.binary()),
+                    "counts": pa.array([_pack(counts[a:b]) for a, b in some], pa.binary()),
+                }
+            )
+
+    rows = packed.select("chunk", "words", "counts").mapInArrow(deal, "chunk long, bucket int, pos binary, words binary, counts binary")
 
     def count(got: pa.Table) -> pa.Table:
-        words = got.column("words").combine_chunks().dictionary_encode()
+        size, data = zip(*map(_unpack_words, got.column("words").to_pylist()), strict=True)
+        words = _words(np.concatenate(size), np.concatenate(data)).dictionary_encode()
         code, names = words.indices.to_numpy(), words.dictionary
-        total = np.bincount(code, got.column("counts").to_numpy(), len(names)).astype(np.int64)
+        counts, pos = (np.concatenate([_unpack(x, np.int32) for x in got.column(c).to_pylist()]) for c in ("counts", "pos"))
+        total = np.bincount(code, counts, len(names)).astype(np.int64)
         mine = total >= least
         rank = (np.cumsum(mine) - 1).astype(np.int32)
-        noise = lru_cache(1 << 16)(lambda ending: _noise(ending, states))  # many words share an ending
-        lean = np.array([noise(w.encode()[-3:]) for w in names.filter(pa.array(mine)).to_pylist()], np.uint8)
-        chunk, pos = got.column("chunk").to_numpy(), got.column("pos").to_numpy()
+        found, at = endings(names.filter(pa.array(mine)))
+        lean = np.array([_noise(ending, states) for ending, _ in found], np.uint8).reshape(-1, states)[at]
+        chunk = np.repeat(got.column("chunk").to_numpy(), [len(x) for x in size])
         order = np.lexsort((code, chunk))
         new = int(np.count_nonzero(total))
         out = []
@@ -295,7 +360,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def _emit(table: np.ndarray, seen: np.ndarray):
     """States x items of some places; a symbol's states are one line of the cache."""
-    return lambda a, b: np.ascontiguousarray(table.take(seen[a:b], axis=0).T)
+    return lambda a, b: table.take(seen[a:b], axis=0).T
 
 
 def _groups(lens: np.ndarray, chosen: np.ndarray) -> Iterator[np.ndarray]:
@@ -333,7 +398,7 @@ def expected_counts(model: Hmm, row: dict, parts: np.ndarray | None):
         both = Pass(_emit(table, seen), lay, model.start, model.trans, keep=True)
         pairs += both.backward()
         starts_of += both.block(0).sum(axis=1)
-        counts += both.by_symbol(seen, len(counts), piece=1 << 19)
+        counts += both.by_symbol(seen, len(counts))
         known += np.bincount(seen, minlength=len(known))
     # own words by bucket again
     counts[order] = counts[: len(own)].copy()
@@ -391,7 +456,7 @@ def _each(table: DataFrame, sums: DataFrame | None, states: int, fn, out: str) -
         row = {k: v[0] for k, v in chunk.to_pydict().items()}
         counts = np.split(_unpack(row["totals"], np.int64)[_unpack(row["own"], np.int32)], _cuts(row))
         sent = got.sort_by("bucket").column("sums").to_pylist()
-        parts = [_unpack_shares(x, k, states) for x, k in zip(sent, counts[: len(sent)], strict=True)]
+        parts = (_unpack_shares(x, k, states) for x, k in zip(sent, counts[: len(sent)], strict=True))
         return fn(row, np.vstack([np.zeros((0, states)), *parts]), chunk.schema)
 
     return table.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(joined, out)
@@ -589,7 +654,7 @@ def hmm_scores(
     ``own_share`` sets ``least`` as a share of the training tokens."""
     marked = docs.select(F.col(id_col), F.col(text_col), F.coalesce(held_out, F.lit(False)).alias("__held"))
     packed = materialise(chunks(marked, id_col, text_col, "__held", classes, chunk_bytes), "chunks")
-    tokens, pairs = packed.agg(F.sum("tokens"), F.sum(F.size("words"))).first()
+    tokens, pairs = packed.agg(F.sum("tokens"), F.sum("n_words")).first()
     tokens = int(tokens or 0)
     if own_share is not None:
         least = int(np.ceil(tokens * own_share))

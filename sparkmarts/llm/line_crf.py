@@ -117,11 +117,11 @@ class Crf:
         """P(good) of every line, and the summed pair marginals."""
         z = np.clip(((x - self.mean) / self.scale) @ self.node, -50, 50)
         lay = layout(per_text)
-        emit = np.empty((2, len(z)))
-        emit[1, lay.slot] = good = 1 / (1 + np.exp(-z))
-        emit[0, lay.slot] = 1 - good
+        emit = np.empty((len(z), 2))
+        emit[lay.slot, 1] = good = 1 / (1 + np.exp(-z))
+        emit[lay.slot, 0] = 1 - good
         emit += 1e-30
-        both = Pass(lambda a, b: emit[:, a:b].copy(), lay, np.ones(2), np.exp(self.trans), keep=True)
+        both = Pass(lambda a, b: emit[a:b].copy().T, lay, np.ones(2), np.exp(self.trans), keep=True)
         pairs = both.backward()
         return both.marginals()[1], pairs
 

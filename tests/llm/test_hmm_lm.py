@@ -4,13 +4,15 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from helpers_llm import SMOKE, odd_docs, tokens
 from pyspark.sql import functions as F
 
 from sparkmarts.llm.chain import Pass, layout
 from sparkmarts.llm.common import table
-from sparkmarts.llm.hmm_lm import hmm_scores
+from sparkmarts.llm.hmm_lm import _pack, _unpack, _zstd, coded, ending_classes, hmm_scores
 from sparkmarts.llm.queries import op2_hmm_lm
 
 
@@ -154,3 +156,38 @@ def test_odd_rows(spark):
     assert hmm_scores(docs.limit(0), F.lit(True)).count() == 0
     untrained = hmm_scores(docs, F.lit(True), rounds=1).collect()
     assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in untrained} == {(0, 0, 0.0, 0.0)}
+
+
+def test_pairs_over_pieces_and_equal_steps(monkeypatch):
+    """Sums over runs of steps with as many sequences, whatever the piece, against each sequence alone."""
+    rng = np.random.default_rng(7)
+    lens = np.array([40, 40, 1, 17, 33, 40, 16])
+    start, trans, emit = random_model(rng, 3, int(lens.sum()))
+    want = np.zeros((3, 3))
+    for a, n in zip(np.cumsum(lens) - lens, lens, strict=True):
+        one = Pass(lambda i, j, a=a: emit[a + i : a + j].T.copy(), layout(np.array([n])), start, trans, keep=True)
+        want += one.backward()
+    lay = layout(lens)
+    ordered = np.empty_like(emit.T)
+    ordered[:, lay.slot] = emit.T
+    for piece in (1, 20, 1 << 13):
+        monkeypatch.setattr("sparkmarts.llm.chain.PIECE", piece)
+        both = Pass(lambda i, j: ordered[:, i:j].copy(), lay, start, trans, keep=True)
+        assert np.allclose(both.backward(), want) and np.allclose(both.marginals().sum(axis=0), 1)
+
+
+def test_words_and_classes_of_a_chunk_against_plain_code():
+    texts = ["  Ab\tc\n\x0bd  ab ", "", None, "É x \x1c y\x00z \x00\x00", "c c", "a bc def ghij klmno"]
+    plain = [[*tokens(t), ""] for t in texts]
+    names = list(dict.fromkeys(["", *itertools.chain.from_iterable(plain)]))
+    words, codes, lens = coded(pa.array(texts, pa.string()).fill_null(""))
+    assert words.to_pylist() == names and lens.tolist() == [len(p) for p in plain]
+    assert codes.tolist() == [names.index(w) for p in plain for w in p]
+    raw = [w.encode() for w in names]
+    want = [xxhash.xxh32_intdigest(w[-3:] + bytes([min(len(w), 4)])) % 97 for w in raw]
+    assert ending_classes(words, 97).tolist() == want and ending_classes(words[1:], 97).tolist() == want[1:]
+
+
+def test_compressors_are_made_once():
+    packed = _pack(np.arange(10))
+    assert _zstd() is _zstd() and _pack(np.arange(10)) == packed and _unpack(packed, np.int64).tolist() == list(range(10))
