@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkmarts.session import scratch_path
+from sparkmarts.session import scratch_path, shuffles_cleared  # noqa: F401 (used by other modules)
 from sparkmarts.sources.readers import delete_path
 
 # A-Z to a-z; every byte that ends a word of ``WORDS`` to a space. Bytes from
@@ -44,21 +43,6 @@ def discard(table: DataFrame, part: str = "") -> None:
     delete_path(table.sparkSession, f"{table.scratch}/{part}".rstrip("/"))
 
 
-@contextmanager
-def shuffles_cleared(spark: SparkSession):
-    """The shuffle files of a job go at its end, not when the driver next collects garbage."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def fresh(name: str, taken: Iterable[str]) -> str:
     """``name`` after as many underscores as set it apart from all ``taken`` (whatever their case)."""
     used = {x.lower() for x in taken}

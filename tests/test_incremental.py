@@ -120,3 +120,60 @@ def test_latest_partition_from_listing(spark, scratch):
     target = incremental.read_target(spark, fact)
     assert incremental.high_water_mark(target, "order_date", "2024-03") == d("2024-03-02")
     assert latest_partition(spark, scratch("none"), ["order_month"]) is None
+
+
+def _shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+
+
+def test_large_loads_go_through_ranges_of_the_key(spark, scratch, monkeypatch):
+    from sparkmarts.functions import joins
+
+    def rows(ids, text, month):
+        key = F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id")).cast("bigint").alias("k")
+        day = F.make_date(F.lit(2024), F.lit(month) + F.col("id").cast("int") % 3, F.lit(5)).alias("order_date")
+        # as many rows of one key as of all others: bounds that fall together are one
+        made = ids.union(spark.range(300).select(F.lit(7).cast("bigint").alias("id")))
+        spread = made.repartition(4, "id").select(key, F.lit(text).alias("v"), day)
+        return incremental.with_month_partition(spread)
+
+    def load(path, **options):
+        incremental.delete_insert(spark, rows(spark.range(300), "old", 1), path, ["k"], ["order_month"], **options)
+        new = rows(spark.range(200, 500), "new", 2)
+        if options:
+            options["batch_keys"] = new.select("k")
+        incremental.delete_insert(spark, new, path, ["k"], ["order_month"], **options)
+        return sorted(map(repr, incremental.read_fact(spark, path).collect()))
+
+    whole = load(scratch("whole"))
+    written, left = [], []
+    real = incremental._write_partitioned
+    before = _shuffle_files(spark)
+
+    def watched(df, *a):
+        left.append(len(_shuffle_files(spark) - before))
+        written.append(df.count())
+        real(df, *a)
+
+    monkeypatch.setattr(incremental, "_write_partitioned", watched)
+    monkeypatch.setattr(incremental, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(incremental, "SLICE_KEYS", 100)
+    monkeypatch.setattr(incremental, "leaf_bytes", lambda df: max(joins.leaf_bytes(df), 100_000))
+    assert load(scratch("ranges"), batch_keys=rows(spark.range(300), "old", 1).select("k")) == whole
+    assert len(written) > 8 and sum(written) >= len(whole) and max(written) < 450
+    assert max(left) < 20  # those of one range (its count here), not of all before it
+
+
+def test_key_slices_take_each_row_once(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "SLICE_BYTES", 1)
+    monkeypatch.setattr(incremental, "SLICE_KEYS", 10)
+    df = spark.createDataFrame([(k if k % 9 else None,) for k in range(-60, 60)] + [(5,)] * 40, "k bigint")
+    few = df.where("k between 0 and 30")  # bounds from other keys than the rows'
+    for keys in (df, few, df.where("k is null"), df.limit(0)):
+        parts = incremental.key_slices(df, "k", keys)
+        met = [[r.k for r in df.where(x).collect()] for x in parts]
+        assert sorted(map(str, sum(met, []))) == sorted(str(r.k) for r in df.collect())
+    assert len(incremental.key_slices(df, "k", df)) > 5
+    assert len(incremental.key_slices(df, "k", None)) == 1
+    assert len(incremental.key_slices(df.select(F.col("k").cast("string").alias("k")), "k", df.select(F.col("k").cast("string").alias("k")))) == 1
