@@ -108,3 +108,22 @@ def test_suppliers_are_broadcast_up_to_a_bound(spark, monkeypatch):
             assert ("supplier_key" in plan) and ("rightHint=(strategy=broadcast)" in next(x for x in plan.split("\n") if "Join LeftOuter" in x)) == hinted
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["order_items", "returns"])
+def test_loads_join_lines_to_their_orders_once_and_first(spark, no_broadcast, monkeypatch, name):
+    from sparkmarts.plans import loads
+
+    wh = Warehouse(spark, SMOKE_DIR, fill_missing=True, coded_nation_names=True)
+    new = wh.orders.where("order_date >= '2001-06-01'")
+    made = []
+    monkeypatch.setattr(loads, "delete_insert", lambda spark, batch, *a, **k: made.append(batch))
+    for some in (False, True):
+        getattr(loads, f"store_fct_{name}")(spark, wh.enrich_orders(new), wh.line_items, "unused", some, wh.enrich_line_items)
+    full = getattr(wh, f"fct_{name}").where("order_date >= '2001-06-01'")
+    for batch in (x.drop("order_month") for x in made):
+        plan = batch._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        joins_of = [x for x in plan if "Join " in x]
+        assert "(part_key" in joins_of[1] and "Join Inner, (order_key" in joins_of[2]  # suppliers, then parts stand above
+        assert not any("LeftSemi" in x for x in joins_of)
+        assert batch.exceptAll(full).count() == 0 and full.exceptAll(batch).count() == 0
